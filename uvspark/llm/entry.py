@@ -1,5 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
+from .minhash_join import op4_chosen_path_join
 from .mixing import op6_entropy_balancing
 from .packing import op5_vector_best_fit
 from .rule_ledger import OP8_SQL, op8_rule_ledger
@@ -8,5 +9,5 @@ from .sharding import op10_hash_tree_sharding
 from .syncmers import op2_closed_syncmers
 from .token_counts import op9_transducer_counts
 
-QUERIES = {f.__name__: f for f in (op1_secret_randomness, op2_closed_syncmers, op5_vector_best_fit, op6_entropy_balancing, op8_rule_ledger, op9_transducer_counts, op10_hash_tree_sharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_randomness, op2_closed_syncmers, op4_chosen_path_join, op5_vector_best_fit, op6_entropy_balancing, op8_rule_ledger, op9_transducer_counts, op10_hash_tree_sharding)}
 SQL = {"op8_rule_ledger": OP8_SQL}
