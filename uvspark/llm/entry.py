@@ -6,8 +6,10 @@ from .packing import op5_vector_best_fit
 from .rule_ledger import OP8_SQL, op8_rule_ledger
 from .secret_scan import op1_secret_randomness
 from .sharding import op10_hash_tree_sharding
+from .suffix_dedup import op3_prefix_doubling
 from .syncmers import op2_closed_syncmers
 from .token_counts import op9_transducer_counts
+from .weak_label import op7_weak_label_quality
 
-QUERIES = {f.__name__: f for f in (op1_secret_randomness, op2_closed_syncmers, op4_chosen_path_join, op5_vector_best_fit, op6_entropy_balancing, op8_rule_ledger, op9_transducer_counts, op10_hash_tree_sharding)}
+QUERIES = {f.__name__: f for f in (op1_secret_randomness, op2_closed_syncmers, op3_prefix_doubling, op4_chosen_path_join, op5_vector_best_fit, op6_entropy_balancing, op7_weak_label_quality, op8_rule_ledger, op9_transducer_counts, op10_hash_tree_sharding)}
 SQL = {"op8_rule_ledger": OP8_SQL}

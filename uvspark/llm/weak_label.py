@@ -64,7 +64,7 @@ def _distinct(names: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(o[new], minlength=n)
 
 
-LABELLERS = ("symbols", "capitals", "variety", "function_words", "word_length", "exclamations", "repeated_lines")
+LABELLERS = ("symbols", "capitals", "variety", "function_words", "word_length", "exclamations", "repeated_lines", "repeated_words")
 
 
 def votes(texts: list[str | None]) -> np.ndarray:
@@ -81,6 +81,7 @@ def votes(texts: list[str | None]) -> np.ndarray:
         names = _names(_lower_table()[codes], first, last)
         stops = np.bincount(owner[np.isin(names, _stop_names())], minlength=n)
         variety = _distinct(names, owner, n)
+        echo = np.bincount(owner[1:][(names[1:] == names[:-1]) & (owner[1:] == owner[:-1])], minlength=n)
         starts = np.flatnonzero(codes[:-1] == 10) + 1
         ends = np.append(starts[1:] - 1, len(codes) - 1)
         line = ends > starts
@@ -103,6 +104,7 @@ def votes(texts: list[str | None]) -> np.ndarray:
     vote("function_words", stops < 0.03 * words, stops > 0.10 * words, words >= 30)
     vote("word_length", (size > 7.5) | (size < 3), (size > 3.8) & (size < 6.8), words >= 20)
     vote("exclamations", bangs > 0.3, bangs < 0.05, words >= 10)
+    vote("repeated_words", echo * 5 > words, echo * 20 < words, words >= 20)
     vote("repeated_lines", (lines - fresh) * 2 > lines, (lines - fresh) * 20 <= lines, lines >= 3)
     return out
 
@@ -116,19 +118,18 @@ def decode(patterns: np.ndarray, n: int = len(LABELLERS)) -> np.ndarray:
 
 
 def fit_votes(v: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
-    """Share of good documents and P(vote | class) as (class, labeller, vote), from distinct vote rows and counts.
+    """Share of good documents and P(vote | class, vote cast) as (class, labeller, vote), from distinct vote rows and counts.
 
     Starts from the majority vote; labellers are taken as independent given the class, and as better
     than chance together, which fixes which class is which.
     """
     up, down = (v == GOOD).sum(axis=1), (v == BAD).sum(axis=1)
-    post = (up + 0.7 - 0.4 * (down > up)) / (up + down + 1)
-    post = np.where(down > 0, np.minimum(post, up / (up + 2 * down)), post)
+    post = (up + 1) / (up + 2 * down + 2)
     for _ in range(rounds):
         share = (counts * post).sum() / counts.sum()
-        table_ = np.empty((2, v.shape[1], 3))
+        table_ = np.zeros((2, v.shape[1], 3))
         for c, w in ((0, counts * (1 - post)), (1, counts * post)):
-            for k in range(3):
+            for k in (BAD, GOOD):
                 table_[c, :, k] = ((v == k) * w[:, None]).sum(axis=0) + 0.5
         table_ /= table_.sum(axis=2, keepdims=True)
         new = posterior(v, share, table_)
@@ -139,16 +140,16 @@ def fit_votes(v: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[flo
 
 
 def posterior(v: np.ndarray, share: float, table_: np.ndarray) -> np.ndarray:
-    logs = [np.log(table_[c][np.arange(v.shape[1]), v]).sum(axis=1) for c in (0, 1)]
-    gap = np.clip(logs[1] - logs[0] + np.log(share / (1 - share)), -60, 60) if 0 < share < 1 else np.full(len(v), 60.0 if share else -60.0)
-    return 1 / (1 + np.exp(-gap))
+    """P(good | votes cast). Abstaining says nothing: it depends on the length, not on the class."""
+    cast = v != ABSTAIN
+    logs = [np.where(cast, np.log(np.where(cast, table_[c][np.arange(v.shape[1]), v], 1.0)), 0.0).sum(axis=1) for c in (0, 1)]
+    prior = np.log(share / (1 - share)) if 0 < share < 1 else (60.0 if share else -60.0)
+    return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0] + prior, -60, 60)))
 
 
 def accuracies(share: float, table_: np.ndarray) -> np.ndarray:
     """Per labeller: chance that a vote, if cast, is right."""
-    right = share * table_[1, :, GOOD] + (1 - share) * table_[0, :, BAD]
-    cast = share * (1 - table_[1, :, ABSTAIN]) + (1 - share) * (1 - table_[0, :, ABSTAIN])
-    return right / cast
+    return share * table_[1, :, GOOD] + (1 - share) * table_[0, :, BAD]
 
 
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,27 +160,25 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return (h >> np.uint32(20)).astype(np.int64) % DIMENSIONS, begins[:-1] - 1, np.diff(begins) - 1
 
 
-def features(texts: list[str | None]) -> np.ndarray:
-    """Square roots of trigram shares, per text."""
+def features(texts: list[str | None], v: np.ndarray) -> np.ndarray:
+    """Square roots of hashed trigram shares, then one indicator per labeller and vote cast."""
     tri, begin, n = trigrams(texts)
     out = np.empty((len(texts), DIMENSIONS), np.float32)
     for i, (b, k) in enumerate(zip(begin, n)):
         out[i] = np.bincount(tri[b : b + k], minlength=DIMENSIONS)
         out[i] /= max(1, k)
-    return np.sqrt(out)
+    return np.hstack([np.sqrt(out), v == BAD, v == GOOD]).astype(np.float32)
 
 
 def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic model for soft labels y; both classes weigh alike. Accelerated gradient descent."""
-    weight = y / max(y.sum(), 1e-9) + (1 - y) / max((1 - y).sum(), 1e-9)
-    target = (y / max(y.sum(), 1e-9)) / weight
-    weight = weight / weight.sum()
-    w = v = np.zeros(x.shape[1] + 1, np.float64)
+    """Weights and bias of a logistic model for soft labels y. Accelerated gradient descent."""
+    weight, target = np.float32(1 / len(y)), y.astype(np.float32)
+    w = v = np.zeros(x.shape[1] + 1, np.float32)
     x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
     for i in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x1 @ v, -30, 30)))
-        new = v - 2.0 * (x1.T @ (weight * (p - target)) + 1e-6 * v)
-        v, w = new + i / (i + 3) * (new - w), new
+        new = v - np.float32(0.9) * (x1.T @ (weight * (p - target)) + np.float32(1e-6) * v)
+        v, w = new + np.float32(i / (i + 3)) * (new - w), new
     return w[:-1], float(w[-1])
 
 
@@ -210,30 +209,27 @@ def classify(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
     def sample(batches):
         for pdf in _slices(batches):
             texts = pdf["text"].tolist()
-            yield pd.DataFrame({"p": posterior(decode(encode(votes(texts))), share, table_), "x": [f.tobytes() for f in features(texts)]})
+            v = votes(texts)
+            yield pd.DataFrame({"p": posterior(v, share, table_), "x": [f.tobytes() for f in features(texts, v)]})
 
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(training_rows)  # a bounded sample to fit on
     train = chosen.mapInPandas(sample, "p double, x binary").toPandas()
-    x, y = np.frombuffer(b"".join(train["x"]), np.float32).reshape(len(train), DIMENSIONS), train["p"].to_numpy()
+    x, y = np.frombuffer(b"".join(train["x"]), np.float32).reshape(len(train), -1), train["p"].to_numpy()
     model = fit_scorer(x, y) if y.max() > 0.5 > y.min() else None
 
     def score(batches):
         for pdf in _slices(batches):
             texts = pdf["text"].tolist()
-            code = encode(votes(texts))
-            post = posterior(decode(code), share, table_)
+            v = votes(texts)
+            post = posterior(v, share, table_)
             if model is None:
                 result = post
             else:
-                result = 1 / (1 + np.exp(-np.clip(_dot(texts, model[0]) + model[1], -30, 30)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64").values, "pattern": code, "posterior": post, "score": result})
+                result = 1 / (1 + np.exp(-np.clip(features(texts, v) @ model[0] + model[1], -30, 30)))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64").values, "pattern": encode(v), "posterior": post, "score": result})
 
     return rows.mapInPandas(score, "doc_id long, pattern long, posterior double, score double").withColumn("kept", F.col("score") >= 0.5)
 
 
-def _dot(texts: list[str | None], w: np.ndarray) -> np.ndarray:
-    return features(texts) @ w
-
-
 def op7_weak_label_quality(spark, sf_dir):
     return classify(table(spark, sf_dir, "documents"))
