@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     Documents whose shingle sets have a Jaccard similarity of percent / 100 or more are linked;
     component_id is the least doc_id reachable, kept whether that is the document itself. Null, empty or
     blank text has an empty set and no links. Repeated rows are copies of each other (of their
-    doc_id, which counts once in a component). An empty table gives no rows; other columns are ignored.
+    doc_id, which counts once in a component); one without doc_id has no links. An empty table gives no rows; other columns are ignored.
     """
     threshold = percent / 100
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

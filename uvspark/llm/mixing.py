@@ -129,5 +129,21 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int
     return rows.withColumnRenamed("_id", "doc_id").withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
 
 
+def copy_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """docs as the mix takes them: every row as often as its copies say, so perhaps not at all.
+
+    Columns stay. Rows alike in doc_id, source and text share their copies.
+    """
+    key = {"__id": F.col("doc_id"), "__source": F.col("source"), "__text": F.xxhash64(F.coalesce("text", F.lit("")))}
+    sized = document_sizes(docs.select(F.struct(*[v.alias(k) for k, v in key.items()]).alias("doc_id"), "source", "text"))
+    mixed = mix_sizes(materialize(sized.withColumnRenamed("doc_id", "_id")), weights, cap)
+    copies = materialize(mixed.groupBy("_id").agg(F.sum("copies").cast("int").alias("__copies"), F.count("*").alias("__rows")).filter("__copies > 0"))
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.struct(*[v.alias(k) for k, v in key.items()]).alias("__key"))
+    if not copies.filter("__rows > 1").isEmpty():
+        rows = rows.groupBy("__key").agg(F.min("__row").alias("__row"))
+    joined = rows.join(copies, F.col("__key").eqNullSafe(F.col("_id")))
+    return joined.select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("__row.*")
+
+
 def op6_entropy_balancing(spark, sf_dir):
     return mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "rate")
