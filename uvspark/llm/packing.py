@@ -88,7 +88,7 @@ def plan(histogram: dict[int, int], capacity: Capacity = Capacity()) -> list[Bin
                 bins = Bins(max(1, left // each), limits)
             n = min(bins.n, left // each)
             if n < bins.n:
-                put(Bins(bins.n - n, bins.residual, bins.holds, list(bins.places)))
+                put(Bins(bins.n - n, bins.residual, bins.holds, [(k, r + n) for k, r in bins.places]))
             places = bins.places + [(length, rank + i * n) for i in range(each)]
             put(Bins(n, tuple(r - each * d for r, d in zip(bins.residual, need)), bins.holds + (length,) * each, places))
             rank += n * each
