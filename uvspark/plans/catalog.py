@@ -1,7 +1,7 @@
 """All queries of the library and their SQL, gathered from the operator modules."""
 
-from ..operators import asof, flag_stats, reduce, robust, selection
+from ..operators import asof, decide, flag_stats, merge, reduce, robust, selection
 
-MODULES = [flag_stats, reduce, robust, selection, asof]
+MODULES = [flag_stats, reduce, robust, selection, asof, decide, merge]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
