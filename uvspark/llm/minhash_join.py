@@ -7,9 +7,10 @@ each. Sets that share a leaf node are compared, and independent trees repeat thi
 miss a link at the threshold is below `miss`. Links are confirmed on the full sets.
 
 Nodes never emit all their pairs. First every member is checked against a pivot of its part of the
-node; the links found are contracted to components; only members of one node that are still in
-different components are compared further, exhaustively on sketches if the node is small, else after
-branching it deeper.
+node; the links found are contracted to components, and only members of one node that are still in
+different components are compared further, on sketches (a node that is too large is branched deeper
+first). In a few rounds each proposes its closest partner elsewhere, then its second closest and so
+on, and components are contracted again; at last every close pair across components is confirmed.
 """
 
 from __future__ import annotations
@@ -26,11 +27,15 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, materialize, table
 
-COORDS = 64
+COORDS = 128
 #: Largest node compared exhaustively; largest part of a node with one pivot; deepest extra branching.
 LEAF, PART, DEEPER = 1000, 512, 12
+#: Similarity of unrelated texts, and how many of them a set may expect to meet in a leaf: these set the trees' depth.
+UNRELATED, CHANCE = 0.04, 0.05
 #: Standard errors that a sketch may fall short of the threshold.
-SLACK = 4.0
+SLACK = 3.5
+#: Rounds in which every member meets one more close member of another component before all such pairs do.
+ROUNDS = 3
 
 _U = np.uint64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -96,12 +101,12 @@ def sketch_batches(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.D
             sets = shingle_sets(part["text"].tolist(), words)
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
-            sigs = np.zeros((len(sets), COORDS), np.uint32)
+            sigs = np.zeros((len(sets), COORDS), np.uint16)
             if full.size:
                 flat, starts = np.concatenate([sets[i] for i in full]), np.cumsum(sizes[full]) - sizes[full]
                 with np.errstate(over="ignore"):
                     for k in range(COORDS):
-                        sigs[full, k] = np.minimum.reduceat(((flat * _MUL[k] + _ADD[k]) >> _U(32)).astype(np.uint32), starts)
+                        sigs[full, k] = mix(np.minimum.reduceat(flat * _MUL[k] + _ADD[k], starts)).astype(np.uint16)
             yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").values, "n_shingles": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sig": [s.tobytes() for s in sigs]})
 
 
@@ -119,7 +124,7 @@ def branch(keys: np.ndarray, lanes: np.ndarray, sigs: np.ndarray, threshold: flo
 def leaf_batches(batches: Iterator[pd.DataFrame], trees: int, depth: int, threshold: float) -> Iterator[pd.DataFrame]:
     """(node, rep) of every leaf of every tree."""
     for pdf in batches:
-        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), COORDS)
+        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), COORDS)
         reps = pdf["rep"].to_numpy()
         for tree in range(trees):
             lanes = np.arange(len(pdf))
@@ -131,32 +136,27 @@ def leaf_batches(batches: Iterator[pd.DataFrame], trees: int, depth: int, thresh
 
 def deeper_batches(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), COORDS)
+        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), COORDS)
         keys, lanes = branch(pdf["node"].to_numpy().view(_U), np.arange(len(pdf)), sigs, threshold)
         yield pd.DataFrame({"node": keys.view(np.int64), **{c: pdf[c].to_numpy()[lanes] for c in ("rep", "label", "sig")}})
 
 
-def _close(sig8: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
-    out = np.zeros(len(a), bool)
-    for at in range(0, len(a), 100_000):
-        s = slice(at, at + 100_000)
-        out[s] = (sig8[a[s]] == sig8[b[s]]).sum(axis=1) >= least
-    return out
-
-
-def compare_node(label: np.ndarray, sig8: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of one large node, in different components, with close sketches."""
+def compare_node(label: np.ndarray, rep: np.ndarray, sig8: np.ndarray, least: int, rank: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of one node, in different components, with close sketches: all, or each member's partner of a rank."""
     left, right = [], []
     values, counts = np.unique(label, return_counts=True)
     for i in np.flatnonzero(label != values[counts.argmax()]):
-        hits = np.flatnonzero(((sig8 == sig8[i]).sum(axis=1) >= least) & (label != label[i]))
+        same = (sig8 == sig8[i]).sum(axis=1)
+        hits = np.flatnonzero((same >= least) & (label != label[i]))
+        if rank is not None:
+            hits = hits[np.lexsort((rep[hits], -same[hits]))][rank : rank + 1]
         left.append(np.full(len(hits), i))
         right.append(hits)
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
 
 
-def compare_batches(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
-    """Close pairs in different components of one node; rows come sorted by node, `sig` as bytes per coordinate."""
+def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | None) -> Iterator[pd.DataFrame]:
+    """Close pairs (node, a, b) in different components of one node; rows come sorted by node, `sig` has a byte per coordinate."""
     rest = None
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -165,19 +165,19 @@ def compare_batches(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.
         start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         size = np.diff([*start, len(node)])
         found = []
-        for k in np.flatnonzero(size > 64):
+        for k in np.flatnonzero(size > 8):
             s = slice(start[k], start[k] + size[k])
-            a, b = compare_node(label[s], sig8[s], least)
+            a, b = compare_node(label[s], rep[s], sig8[s], least, rank)
             found.append((a + start[k], b + start[k]))
-        small = np.repeat(size <= 64, size)
-        for step in range(1, min(64, len(node))):
+        small = np.repeat(size <= 8, size)
+        for step in range(1, min(8, len(node))):
             a = np.flatnonzero((node[step:] == node[:-step]) & small[step:] & (label[step:] != label[:-step]))
-            if not a.size and not (size[size <= 64] > step).any():
-                break
-            a = a[_close(sig8, a, a + step, least)]
-            found.append((a, a + step))
+            for at in range(0, len(a), 50_000):
+                x = a[at : at + 50_000]
+                x = x[(sig8[x] == sig8[x + step]).sum(axis=1) >= least]
+                found.append((x, x + step))
         a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int),) * 2
-        return pd.DataFrame({"a": np.minimum(rep[a], rep[b]), "b": np.maximum(rep[a], rep[b])}).drop_duplicates()
+        return pd.DataFrame({"node": node[a], "a": np.minimum(rep[a], rep[b]), "b": np.maximum(rep[a], rep[b])}).drop_duplicates()
 
     for pdf in batches:
         pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     reps = sets.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"))
     reps = materialize(reps.filter("rep IS NOT NULL"))
     total = max(2, reps.count())
-    depth = max(2, math.ceil(math.log(max(1.0, total / 8)) / math.log(20)))
+    depth = max(2, math.ceil(math.log(total / CHANCE) / -math.log(UNRELATED)))
     trees = math.ceil(math.log(miss) / math.log(1 - _survival(depth, threshold, threshold)))
     least = math.floor(COORDS * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDS)))
 
@@ -263,23 +263,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     found = components(links)
 
     # What one node holds in different components.
-    labelled = nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("node", "rep", "size", F.coalesce("label", "rep").alias("label"))
-    mixed = labelled.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("node")
-    open_ = materialize(labelled.join(mixed, "node", "left_semi").join(reps.select("rep", "sig"), "rep"))
-    close = None
+    low_bytes = materialize(reps.select("rep", "sig").mapInPandas(short_batches, "rep long, sig binary"))
+    labelled = relabel(nodes.select("node", "rep", "size"), found)
+    open_ = mixed(labelled).join(low_bytes, "rep")
+    flat = None
     for step in range(DEEPER + 1):
-        ready = (open_ if step == DEEPER else open_.filter(F.col("size") <= LEAF)).select("node", "rep", "label", short_sig("sig").alias("sig"))
-        pairs = ready.repartition("node").sortWithinPartitions("node").mapInPandas(lambda it: compare_batches(it, least), "a long, b long")
-        close = pairs if close is None else close.union(pairs)
+        open_ = materialize(open_)
+        ready = (open_ if step == DEEPER else open_.filter(F.col("size") <= LEAF)).select("node", "rep", "label", "sig")
+        flat = ready if flat is None else flat.union(ready)
         large = open_.filter(F.col("size") > LEAF)
         if step == DEEPER or large.isEmpty():
             break
         down = materialize(large.select("node", "rep", "label", "sig").mapInPandas(lambda it: deeper_batches(it, threshold), "node long, rep long, label long, sig binary"))
-        sizes = down.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("node", "size")
-        open_ = materialize(down.join(sizes, "node"))
-    second = materialize(close.distinct().join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        found = components(links.union(confirm(second, texts, words, percent)))
+        open_ = mixed(down.join(down.groupBy("node").agg(F.count("*").alias("size")), "node"))
+    tried = first
+    for rank in [*range(ROUNDS), None]:
+        by_node = flat.repartition("node").sortWithinPartitions("node")
+        close = materialize(by_node.mapInPandas(lambda it, rank=rank: compare_batches(it, least, rank), "node long, a long, b long"))
+        new = materialize(close.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        if not new.isEmpty():
+            tried = tried.union(new)
+            links = links.union(materialize(confirm(new, texts, words, percent)))
+            found = components(links)
+        if rank is None:
+            break
+        # Nodes without a close pair are done; the others go on with the components found.
+        flat = materialize(mixed(relabel(flat.drop("label").join(close.select("node").distinct(), "node"), found)))
+        if flat.isEmpty():
+            break
 
     rep_of = reps.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("_label"))
     rows = sets.join(rep_of, "digest", "left")
@@ -287,9 +298,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def short_sig(sig: str):
+def short_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The low byte of every coordinate."""
-    return F.unhex(F.regexp_replace(F.hex(sig), "(..)......", "$1"))
+    for pdf in batches:
+        yield pdf.assign(sig=[np.frombuffer(x, np.uint16).astype(np.uint8).tobytes() for x in pdf["sig"]])
+
+
+def relabel(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """nodes with the component of each `rep` as `label`."""
+    return nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+
+
+def mixed(nodes: DataFrame) -> DataFrame:
+    """The rows of nodes that hold several components."""
+    some = nodes.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("node")
+    return nodes.join(some, "node", "left_semi")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
