@@ -1,8 +1,9 @@
 """All queries of the library and their SQL, gathered from the operator modules."""
 
 from ..operators import asof, decide, flag_stats, merge, reduce, robust, selection, solve
+from ..functions import sky
 from ..streaming import sessions
 
-MODULES = [flag_stats, reduce, robust, selection, asof, decide, merge, solve, sessions]
+MODULES = [flag_stats, reduce, robust, selection, asof, decide, merge, solve, sky, sessions]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
