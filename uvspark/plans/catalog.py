@@ -2,8 +2,9 @@
 
 from ..operators import asof, decide, flag_stats, merge, reduce, robust, selection, solve
 from ..functions import sky
+from ..sources import store, texts
 from ..streaming import sessions
 
-MODULES = [flag_stats, reduce, robust, selection, asof, decide, merge, solve, sky, sessions]
+MODULES = [flag_stats, reduce, robust, selection, asof, decide, merge, solve, sky, store, texts, sessions]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
