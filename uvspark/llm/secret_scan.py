@@ -40,6 +40,8 @@ ENCODINGS = (
 LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
 #: Shares of letters, digits and others in a token of prose.
 CLASSES = (0.90, 0.08, 0.02)
+#: Share of capitals among the letters of prose.
+CAPITALS = 0.05
 #: Length classes by least length, false-discovery rate, and level of the battery.
 LENGTHS = (20, 32, 64)
 FDR, BATTERY_LEVEL = 0.01, 0.001
@@ -49,7 +51,7 @@ MOST_BINS = 4096
 
 def _prose_log(ch: str) -> float:
     if ch.isalpha():
-        return math.log(CLASSES[0] * LETTERS[ord(ch.lower()) - 97] / 1000 * (0.5 if ch.isupper() else 1))
+        return math.log(CLASSES[0] * LETTERS[ord(ch.lower()) - 97] / 1000 * (CAPITALS if ch.isupper() else 1 - CAPITALS))
     return math.log(CLASSES[1] / 10 if ch.isdigit() else CLASSES[2] / 4)
 
 
