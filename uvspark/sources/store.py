@@ -70,7 +70,8 @@ def select_runs(layout: DataFrame, within: dict[str, list], t_min=None, t_max=No
 def slice_cells(df: DataFrame, columns: list[str], ncorr: int, chans: range, corrs: list[int]) -> DataFrame:
     """Channel-major array cells cut to some channels and correlations."""
     index = F.array(*[F.lit(c * ncorr + k) for c in chans for k in corrs])
-    return df.withColumns({name: F.transform(index, lambda i, name=name: F.get(F.col(name), i)) for name in columns})
+    pick = lambda name: F.transform(index, lambda i: F.get(F.col(name), i))
+    return df.withColumns({name: pick(name) for name in columns})
 
 
 def write_caltable(df: DataFrame, path: str) -> None:
