@@ -6,11 +6,11 @@ coordinate and sometimes a second (1 / threshold on average), and a set goes on
 each. Sets that share a leaf node are compared, and independent trees repeat this until the chance to
 miss a link at the threshold is below `miss`. Links are confirmed on the full sets.
 
-Nodes never emit all their pairs. First every member is checked against a pivot of its part of the
-node; the links found are contracted to components, and only members of one node that are still in
-different components are compared further, on sketches (a node that is too large is branched deeper
-first). In a few rounds each proposes its closest partner elsewhere, then its second closest and so
-on, and components are contracted again; at last every close pair across components is confirmed.
+Nodes never emit all their pairs. Members are compared on sketches; in a few rounds each proposes its
+closest partner, then its second closest and so on, links are confirmed and contracted to components,
+and only members of one node that are still in different components go on. At last every close pair
+across components is confirmed, once: in the first node of the first tree where the two meet. A node
+too large for that is branched deeper. Nodes with the same members count as one.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import checkpoint, materialize, table
 
 COORDS = 128
-#: Largest node compared exhaustively; largest part of a node with one pivot; deepest extra branching.
-LEAF, PART, DEEPER = 1000, 512, 12
+#: Largest node compared exhaustively; deepest extra branching; low bits of a node's key that give its tree.
+LEAF, DEEPER, TREES = 4000, 12, 63
 #: Similarity of unrelated texts, and how many of them a set may expect to meet in a leaf: these set the trees' depth.
 UNRELATED, CHANCE = 0.04, 0.05
 #: Standard errors that a sketch may fall short of the threshold.
@@ -110,15 +110,33 @@ def sketch_batches(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.D
             yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").values, "n_shingles": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sig": [s.tobytes() for s in sigs]})
 
 
+def choices(keys: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coordinates that nodes branch on: the first, the second, and whether there is a second (1 / threshold - 1 of them)."""
+    r = mix(keys)
+    one = (r % _U(COORDS)).astype(np.int64)
+    two = (one + 1 + ((r >> _U(8)) % _U(COORDS - 1)).astype(np.int64)) % COORDS
+    return one, two, (r >> _U(32)).astype(np.float64) / 2.0**32 < 1 / threshold - 1
+
+
+def child(keys: np.ndarray, coord: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return mix(keys * _ROOT + (coord.astype(_U) << _U(32)) + value)
+
+
 def branch(keys: np.ndarray, lanes: np.ndarray, sigs: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Children of nodes: one per chosen coordinate, 1 / threshold of them on average. lanes: row of sigs per key."""
+    """Children of nodes, one per chosen coordinate. lanes: row of sigs per key."""
     with np.errstate(over="ignore"):
-        r = mix(keys)
-        one = (r % _U(COORDS)).astype(np.int64)
-        two = ((one + 1 + ((r >> _U(8)) % _U(COORDS - 1)).astype(np.int64))) % COORDS
-        again = (r >> _U(32)).astype(np.float64) / 2.0**32 < 1 / threshold - 1
-        child = lambda k, i, c: mix(k * _ROOT + (c.astype(_U) << _U(32)) + sigs[i, c])
-        return np.concatenate([child(keys, lanes, one), child(keys[again], lanes[again], two[again])]), np.concatenate([lanes, lanes[again]])
+        one, two, again = choices(keys, threshold)
+        more = child(keys[again], two[again], sigs[lanes[again], two[again]])
+        return np.concatenate([child(keys, one, sigs[lanes, one]), more]), np.concatenate([lanes, lanes[again]])
+
+
+def root(tree: int) -> np.uint64:
+    return mix(np.array([tree + 1], _U))[0]
+
+
+def leaf_key(keys: np.ndarray, tree: int) -> np.ndarray:
+    """Key of a leaf, with the tree in its low bits."""
+    return ((keys & ~_U(TREES)) | _U(tree)).view(np.int64)
 
 
 def leaf_batches(batches: Iterator[pd.DataFrame], trees: int, depth: int, threshold: float) -> Iterator[pd.DataFrame]:
@@ -128,25 +146,55 @@ def leaf_batches(batches: Iterator[pd.DataFrame], trees: int, depth: int, thresh
         reps = pdf["rep"].to_numpy()
         for tree in range(trees):
             lanes = np.arange(len(pdf))
-            keys = np.full(len(pdf), mix(np.array([tree + 1], _U))[0])
+            keys = np.full(len(pdf), root(tree))
             for _ in range(depth):
                 keys, lanes = branch(keys, lanes, sigs, threshold)
-            yield pd.DataFrame({"node": keys.view(np.int64), "rep": reps[lanes]})
+            yield pd.DataFrame({"node": leaf_key(keys, tree), "rep": reps[lanes]})
+
+
+def first_meeting(a: np.ndarray, b: np.ndarray, trees: int, depth: int, threshold: float) -> np.ndarray:
+    """Key of the first leaf (by tree, then key) that holds both signatures of each row of a and b."""
+    out = np.zeros(len(a), np.int64)
+    left = np.arange(len(a))
+    same = a == b
+    with np.errstate(over="ignore"):
+        for tree in range(trees):
+            lanes, keys = left, np.full(len(left), root(tree))
+            for _ in range(depth):
+                one, two, again = choices(keys, threshold)
+                again = again & same[lanes, two]
+                first = same[lanes, one]
+                keys, lanes = (
+                    np.concatenate([child(keys[first], one[first], a[lanes[first], one[first]]), child(keys[again], two[again], a[lanes[again], two[again]])]),
+                    np.concatenate([lanes[first], lanes[again]]),
+                )
+            if len(lanes):
+                low = np.full(len(a), np.iinfo(np.int64).max)
+                np.minimum.at(low, lanes, leaf_key(keys, tree))
+                met = np.unique(lanes)
+                out[met] = low[met]
+                left = np.setdiff1d(left, met, assume_unique=True)
+    return out
+
+
+NODES = "node long, rep long, label long, sig binary, deep boolean"
 
 
 def deeper_batches(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), COORDS)
+        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), COORDS)
         keys, lanes = branch(pdf["node"].to_numpy().view(_U), np.arange(len(pdf)), sigs, threshold)
-        yield pd.DataFrame({"node": keys.view(np.int64), **{c: pdf[c].to_numpy()[lanes] for c in ("rep", "label", "sig")}})
+        yield pd.DataFrame({"node": keys.view(np.int64), **{c: pdf[c].to_numpy()[lanes] for c in ("rep", "label", "sig")}, "deep": True})
 
 
-def compare_node(label: np.ndarray, rep: np.ndarray, sig8: np.ndarray, least: int, rank: int | None) -> tuple[np.ndarray, np.ndarray]:
+def compare_node(label: np.ndarray, rep: np.ndarray, sigs: np.ndarray, least: int, rank: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of one node, in different components, with close sketches: all, or each member's partner of a rank."""
+    low = np.ascontiguousarray(sigs.astype(np.uint8))
     left, right = [], []
     values, counts = np.unique(label, return_counts=True)
-    for i in np.flatnonzero(label != values[counts.argmax()]):
-        same = (sig8 == sig8[i]).sum(axis=1)
+    rest = np.flatnonzero(label != values[counts.argmax()]) if counts.max() > 1 else np.arange(len(label))
+    for i in rest:
+        same = (low == low[i]).sum(axis=1)
         hits = np.flatnonzero((same >= least) & (label != label[i]))
         if rank is not None:
             hits = hits[np.lexsort((rep[hits], -same[hits]))][rank : rank + 1]
@@ -155,29 +203,40 @@ def compare_node(label: np.ndarray, rep: np.ndarray, sig8: np.ndarray, least: in
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
 
 
-def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | None) -> Iterator[pd.DataFrame]:
-    """Close pairs (node, a, b) in different components of one node; rows come sorted by node, `sig` has a byte per coordinate."""
+def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | None, trees: tuple[int, int, float]) -> Iterator[pd.DataFrame]:
+    """Close pairs (node, a, b) in different components of one node; rows come sorted by node.
+
+    With a rank, nodes of more than 8 members give a partner per member; else every pair once over all nodes.
+    """
     rest = None
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, rep, label = (pdf[c].to_numpy() for c in ("node", "rep", "label"))
-        sig8 = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), COORDS)
+        node, rep, label, deep = (pdf[c].to_numpy() for c in ("node", "rep", "label", "deep"))
+        sigs = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), COORDS)
         start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         size = np.diff([*start, len(node)])
         found = []
         for k in np.flatnonzero(size > 8):
             s = slice(start[k], start[k] + size[k])
-            a, b = compare_node(label[s], rep[s], sig8[s], least, rank)
+            a, b = compare_node(label[s], rep[s], sigs[s], least, rank)
             found.append((a + start[k], b + start[k]))
         small = np.repeat(size <= 8, size)
         for step in range(1, min(8, len(node))):
             a = np.flatnonzero((node[step:] == node[:-step]) & small[step:] & (label[step:] != label[:-step]))
             for at in range(0, len(a), 50_000):
                 x = a[at : at + 50_000]
-                x = x[(sig8[x] == sig8[x + step]).sum(axis=1) >= least]
+                x = x[(sigs[x] == sigs[x + step]).sum(axis=1) >= least]
                 found.append((x, x + step))
         a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int),) * 2
-        return pd.DataFrame({"node": node[a], "a": np.minimum(rep[a], rep[b]), "b": np.maximum(rep[a], rep[b])}).drop_duplicates()
+        a, b = np.where(rep[a] < rep[b], a, b), np.where(rep[a] < rep[b], b, a)
+        if len(a):
+            once = np.unique(np.stack([a, b]), axis=1)
+            a, b = once
+        if rank is None:
+            keep = [deep[a[x]] | (first_meeting(sigs[a[x]], sigs[b[x]], *trees) == node[a[x]]) for x in (slice(i, i + 20_000) for i in range(0, len(a), 20_000))]
+            keep = np.concatenate(keep) if keep else np.empty(0, bool)
+            a, b = a[keep], b[keep]
+        return pd.DataFrame({"node": node[a], "a": rep[a], "b": rep[b]})
 
     for pdf in batches:
         pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
@@ -245,45 +304,41 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     reps = materialize(reps.filter("rep IS NOT NULL"))
     total = max(2, reps.count())
     depth = max(2, math.ceil(math.log(total / CHANCE) / -math.log(UNRELATED)))
-    trees = math.ceil(math.log(miss) / math.log(1 - _survival(depth, threshold, threshold)))
+    trees = min(TREES + 1, math.ceil(math.log(miss) / math.log(1 - _survival(depth, threshold, threshold))))
     least = math.floor(COORDS * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDS)))
 
-    leaves = reps.mapInPandas(lambda it: leaf_batches(it, trees, depth, threshold), "node long, rep long")
-    shared = leaves.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-    nodes = materialize(leaves.join(shared, "node"))
-
-    # Every member against the pivot of its part of the node, the parts' pivots against the node's.
-    part = nodes.withColumn("part", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / PART)))
-    pivots = part.groupBy("node", "part").agg(F.min("rep").alias("a"))
-    tops = pivots.groupBy("node").agg(F.min("a").alias("top"))
-    stars = part.join(pivots, ["node", "part"]).select("a", F.col("rep").alias("b"))
-    tips = pivots.join(tops, "node").select(F.col("top").alias("a"), F.col("a").alias("b"))
-    first = materialize(stars.union(tips).filter("a < b").distinct())
-    links = materialize(confirm(first, texts, words, percent))
-    found = components(links)
-
-    # What one node holds in different components.
-    low_bytes = materialize(reps.select("rep", "sig").mapInPandas(short_batches, "rep long, sig binary"))
-    labelled = relabel(nodes.select("node", "rep", "size"), found)
-    open_ = mixed(labelled).join(low_bytes, "rep")
+    leaves = reps.select("rep", "sig").mapInPandas(lambda it: leaf_batches(it, trees, depth, threshold), "node long, rep long")
+    shared = leaves.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 40)).alias("members")).filter("size > 1")
+    # Of nodes with the same members the first stays.
+    shared = shared.groupBy("size", "members").agg(F.min(F.struct(F.col("node").bitwiseAND(F.lit(TREES)).alias("tree"), "node")).alias("_n")).select("_n.node", "size")
+    nodes = leaves.join(shared, "node").join(reps.select("rep", "sig"), "rep")
+    open_ = nodes.select("node", "rep", F.col("rep").alias("label"), "sig", F.lit(False).alias("deep"), "size")
     flat = None
     for step in range(DEEPER + 1):
         open_ = materialize(open_)
-        ready = (open_ if step == DEEPER else open_.filter(F.col("size") <= LEAF)).select("node", "rep", "label", "sig")
+        ready = (open_ if step == DEEPER else open_.filter(F.col("size") <= LEAF)).drop("size")
         flat = ready if flat is None else flat.union(ready)
-        large = open_.filter(F.col("size") > LEAF)
+        large = open_.filter(F.col("size") > LEAF).drop("size", "deep")
         if step == DEEPER or large.isEmpty():
             break
-        down = materialize(large.select("node", "rep", "label", "sig").mapInPandas(lambda it: deeper_batches(it, threshold), "node long, rep long, label long, sig binary"))
-        open_ = mixed(down.join(down.groupBy("node").agg(F.count("*").alias("size")), "node"))
-    tried = first
+        down = materialize(large.mapInPandas(lambda it: deeper_batches(it, threshold), NODES))
+        open_ = down.join(down.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node")
+
+    tried = links = needed = None
+    found = None
     for rank in [*range(ROUNDS), None]:
         by_node = flat.repartition("node").sortWithinPartitions("node")
-        close = materialize(by_node.mapInPandas(lambda it, rank=rank: compare_batches(it, least, rank), "node long, a long, b long"))
-        new = materialize(close.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-        if not new.isEmpty():
-            tried = tried.union(new)
-            links = links.union(materialize(confirm(new, texts, words, percent)))
+        close = materialize(by_node.mapInPandas(lambda it, rank=rank: compare_batches(it, least, rank, (trees, depth, threshold)), "node long, a long, b long"))
+        new = close.select("a", "b").distinct()
+        new = materialize(new if tried is None else new.join(tried, ["a", "b"], "left_anti"))
+        if needed is None:
+            # The first round proposes a partner for every set that has a close one: no later round needs more texts.
+            ids = new.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+            needed = materialize(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        if tried is None or not new.isEmpty():
+            tried = new if tried is None else tried.union(new)
+            good = materialize(confirm(new, needed, words, percent))
+            links = good if links is None else links.union(good)
             found = components(links)
         if rank is None:
             break
@@ -298,12 +353,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def short_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The low byte of every coordinate."""
-    for pdf in batches:
-        yield pdf.assign(sig=[np.frombuffer(x, np.uint16).astype(np.uint8).tobytes() for x in pdf["sig"]])
-
-
 def relabel(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """nodes with the component of each `rep` as `label`."""
     return nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
@@ -317,9 +366,7 @@ def mixed(nodes: DataFrame) -> DataFrame:
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of doc_ids linked on their full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = materialize(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    left, right = (needed.select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+    left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInPandas(lambda it: confirm_batches(it, words, percent), "a long, b long")
 
 
