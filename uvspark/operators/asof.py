@@ -112,7 +112,7 @@ def _gains(s, d):
 
 def _applied(s, d):
     out = apply_gains(visibilities(s, d), _gains(s, d))
-    return out.groupBy("antenna1", "antenna2", "ddid").agg(F.round(F.sum("amp"), 1).alias("amp"), F.round(F.sum("weight"), 3).alias("weight"), F.sum(F.col("flag").cast("long")).alias("n_flagged"))
+    return out.groupBy("antenna1", "antenna2", "ddid").agg(F.round(F.sum("amp"), 4).alias("amp"), F.round(F.sum("weight"), 6).alias("weight"), F.sum(F.col("flag").cast("long")).alias("n_flagged"))
 
 
 def _scans(s):
@@ -150,7 +150,7 @@ SQL = {
       j AS (SELECT v.*, a.gain AS a, b.gain AS b, c.gain AS c, e.gain AS e FROM vis v LEFT JOIN g1 a ON a.antenna = antenna1 LEFT JOIN g1 b ON b.antenna = antenna2
         LEFT JOIN g2 c ON c.antenna = antenna1 AND c.ddid = v.ddid LEFT JOIN g2 e ON e.antenna = antenna2 AND e.ddid = v.ddid),
       k AS (SELECT *, NOT coalesce(a > 0 AND b > 0 AND c > 0 AND e > 0, false) AS bad FROM j), z AS (SELECT *, CASE WHEN bad THEN 1.0 ELSE a * b * c * e END AS p FROM k)
-      SELECT antenna1, antenna2, ddid, round(sum(amp / p), 1) AS amp, round(sum(weight * p * p), 3) AS weight, CAST(sum((flag OR bad)::INT) AS BIGINT) AS n_flagged FROM z GROUP BY ALL""",
+      SELECT antenna1, antenna2, ddid, round(sum(amp / p), 4) AS amp, round(sum(weight * p * p), 6) AS weight, CAST(sum((flag OR bad)::INT) AS BIGINT) AS n_flagged FROM z GROUP BY ALL""",
     "nearest_references": """WITH f AS (SELECT n_name AS name, n_nationkey * 14.0::DOUBLE AS ra, n_regionkey * 15.0::DOUBLE - 30 + n_nationkey % 4 AS dec FROM nation),
       p AS (SELECT t.name AS target, r.name AS reference, round(degrees(2 * asin(least(1.0, sqrt(sin((radians(r.dec) - radians(t.dec)) / 2) ** 2 + cos(radians(t.dec)) * cos(radians(r.dec)) * sin((radians(r.ra) - radians(t.ra)) / 2) ** 2)))), 6) AS separation FROM f t JOIN f r ON t.name <> r.name),
       n AS (SELECT *, CAST(row_number() OVER (PARTITION BY target ORDER BY separation, reference) AS INT) AS nth FROM p) SELECT * FROM n WHERE nth <= 2""",

@@ -111,7 +111,7 @@ def level_gains(rows: DataFrame, factor: float = 2.0) -> DataFrame:
 def _halves(s, d):
     v = visibilities(s, d).withColumn("_odd", F.col("day") % 2)
     out = concat_epochs(v.filter("_odd = 0"), [v.filter("_odd = 1")], [2.0])
-    return out.groupBy("epoch", "scan").agg(F.count("*").alias("n"), F.round(F.sum("amp"), 1).alias("amp"), F.round(F.sum("weight"), 3).alias("weight"))
+    return out.groupBy("epoch", "scan").agg(F.count("*").alias("n"), F.round(F.sum("amp"), 2).alias("amp"), F.round(F.sum("weight"), 4).alias("weight"))
 
 
 def _matched(s, d):
@@ -151,7 +151,7 @@ QUERIES = {
 SQL = {
     "concat_epochs": f"""WITH {VIS}, a AS (SELECT * FROM vis WHERE day % 2 = 0), b AS (SELECT * FROM vis WHERE day % 2 = 1),
       u AS (SELECT 0 AS epoch, scan, amp, weight FROM a UNION ALL SELECT 1, scan + (SELECT max(scan) + 1 FROM a) - (SELECT min(scan) FROM b), amp * 2.0, weight / 4.0 FROM b)
-      SELECT epoch, scan, count(*) AS n, round(sum(amp), 1) AS amp, round(sum(weight), 3) AS weight FROM u GROUP BY ALL""",
+      SELECT epoch, scan, count(*) AS n, round(sum(amp), 2) AS amp, round(sum(weight), 4) AS weight FROM u GROUP BY ALL""",
     "dim_match_tolerance": """WITH m AS (SELECT c_custkey AS id, max(s_suppkey) AS k FROM customer LEFT JOIN supplier ON c_nationkey = s_nationkey AND abs(c_acctbal - s_acctbal) <= 100.0 GROUP BY c_custkey)
       SELECT id, coalesce(k, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (PARTITION BY k IS NULL ORDER BY id)) AS new_id, k IS NULL AS appended FROM m""",
     "observation_dedup": "SELECT o_orderkey AS id, min(o_orderkey) OVER (PARTITION BY o_custkey, o_orderstatus) AS new_id FROM orders",
