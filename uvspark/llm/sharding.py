@@ -64,14 +64,18 @@ def op10_hash_tree_sharding(spark, sf_dir):
 
 
 OP10_SQL = """
-WITH draws AS (
+WITH tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), crc AS (
+  SELECT doc_id, text, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS INT) + 1]))) AS crc FROM documents, tab
+), draws AS (
   SELECT doc_id, s.shard, (('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':' || s.shard), 1, 13))::BIGINT + 1) AS bits
   FROM documents, (SELECT unnest(range(41))::INT AS shard) s
 ), best AS (
-  SELECT doc_id, arg_max(shard, bits) FILTER (WHERE shard < 40) AS shard, arg_max(shard, bits) AS grown_shard
-  FROM draws GROUP BY doc_id
+  SELECT doc_id, arg_max(shard, bits) FILTER (WHERE shard < 40) AS shard, arg_max(shard, bits) AS grown_shard FROM draws GROUP BY doc_id
 )
-SELECT d.doc_id, CAST(strlen(coalesce(d.text, '')) + 16 AS BIGINT) AS size, c.crc AS text_crc32, 'key' AS law, b.shard,
-  row_number() OVER (PARTITION BY b.shard ORDER BY d.doc_id) - 1 AS slot, b.grown_shard
-FROM documents d JOIN best b USING (doc_id)
+SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
+FROM crc JOIN best USING (doc_id)
 """

@@ -322,3 +322,18 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True
 
 def op3_prefix_doubling(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
+OP3_SQL = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM (SELECT doc_id, h, unnest(range(n - 49)) AS i FROM h WHERE n >= 50)),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM p) WHERE first < doc_id),
+s AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM d),
+k AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS isle FROM s),
+r AS (SELECT doc_id, isle, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY ALL),
+g AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS aa, list(b ORDER BY a) AS bb FROM r GROUP BY doc_id)
+SELECT h.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN aa IS NULL THEN h ELSE array_to_string(list_transform(range(len(aa) + 1), lambda j:
+    substr(h, 2 * (CASE WHEN j = 0 THEN 0 ELSE bb[j] END) + 1, 2 * ((CASE WHEN j = len(aa) THEN n ELSE aa[j + 1] END) - (CASE WHEN j = 0 THEN 0 ELSE bb[j] END)))), '') END)) AS kept_sha256
+FROM h LEFT JOIN g USING (doc_id)
+"""

@@ -182,10 +182,17 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> tuple[np.ndar
     return w[:-1], float(w[-1])
 
 
-def _slices(batches: Iterator[pd.DataFrame], size: int = 256) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 256, chars: int = 1_000_000) -> Iterator[pd.DataFrame]:
+    """Small runs of rows, so that arrays over their bytes stay small."""
     for pdf in batches:
-        for at in range(0, len(pdf), size):
-            yield pdf.iloc[at : at + size]
+        start = size = 0
+        for i, t in enumerate(pdf["text"]):
+            size += len(t or "") + 1
+            if i + 1 - start >= rows or size >= chars:
+                yield pdf.iloc[start : i + 1]
+                start, size = i + 1, 0
+        if start < len(pdf):
+            yield pdf.iloc[start:]
 
 
 def classify(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
