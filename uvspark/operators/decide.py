@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.model import SERIES, VIS, series, table, visibilities
 from .flag_stats import STATIONS, stations
-from .ranks import pinned
+from .ranks import global_rank, pinned
 from .robust import mad_sigma, median_of
 
 
@@ -24,9 +24,9 @@ def rank_sources(snr: DataFrame) -> DataFrame:
 
 
 def rank_by_median(snr: DataFrame, key: str) -> DataFrame:
-    """Rank of each key by its median snr, ties by key. One row per key meets in one task."""
+    """Rank of each key by its median snr, ties by key."""
     g = snr.groupBy(key).agg(F.round(F.median("snr"), 6).alias("score"))
-    return g.withColumn("rank", F.rank().over(Window.orderBy(F.desc("score"), key)))
+    return global_rank(g, [F.desc("score"), F.col(key)], "rank").withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def weak_hands(snr: DataFrame, ratio: float = 5.0, detection: float = 7.0, min_scans: int = 3) -> DataFrame:

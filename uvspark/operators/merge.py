@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.model import SERIES, VIS, series, table, visibilities
+from .ranks import global_rank
 
 
 def concat_epochs(first: DataFrame, others: list[DataFrame], scales: list[float] | None = None) -> DataFrame:
@@ -45,8 +46,8 @@ def match_dimension(known: DataFrame, others: DataFrame, equal: str, position: s
     best = hits.groupBy(F.col("a.id").alias("id")).agg(F.max("b.id").alias("matched"))
     out = others.join(best, "id", "left")
     top = F.broadcast(known.agg(F.max("id").alias("_top")))
-    new = out.filter("matched IS NULL").withColumn("_nth", F.row_number().over(Window.orderBy("id"))).crossJoin(top)
-    new = new.select("id", (F.col("_top") + F.col("_nth")).alias("new_id"), F.lit(True).alias("appended"))
+    new = global_rank(out.filter("matched IS NULL").select("id"), [F.col("id")], "_nth").crossJoin(top)
+    new = new.select("id", (F.col("_top") + F.col("_nth") + 1).alias("new_id"), F.lit(True).alias("appended"))
     return out.filter("matched IS NOT NULL").select("id", F.col("matched").alias("new_id"), F.lit(False).alias("appended")).unionByName(new)
 
 
