@@ -1,15 +1,15 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from .minhash_join import op4_chosen_path_join
+from .minhash_join import OP4_SQL, op4_chosen_path_join
 from .mixing import op6_entropy_balancing
 from .packing import op5_vector_best_fit
 from .rule_ledger import OP8_SQL, op8_rule_ledger
 from .secret_scan import op1_secret_randomness
-from .sharding import op10_hash_tree_sharding
-from .suffix_dedup import op3_prefix_doubling
+from .sharding import OP10_SQL, op10_hash_tree_sharding
+from .suffix_dedup import OP3_SQL, op3_prefix_doubling
 from .syncmers import op2_closed_syncmers
 from .token_counts import op9_transducer_counts
 from .weak_label import op7_weak_label_quality
 
 QUERIES = {f.__name__: f for f in (op1_secret_randomness, op2_closed_syncmers, op3_prefix_doubling, op4_chosen_path_join, op5_vector_best_fit, op6_entropy_balancing, op7_weak_label_quality, op8_rule_ledger, op9_transducer_counts, op10_hash_tree_sharding)}
-SQL = {"op8_rule_ledger": OP8_SQL}
+SQL = {"op3_prefix_doubling": OP3_SQL, "op4_chosen_path_join": OP4_SQL, "op8_rule_ledger": OP8_SQL, "op10_hash_tree_sharding": OP10_SQL}

@@ -6,11 +6,12 @@ coordinate and sometimes a second (1 / threshold on average), and a set goes on
 each. Sets that share a leaf node are compared, and independent trees repeat this until the chance to
 miss a link at the threshold is below `miss`. Links are confirmed on the full sets.
 
-Nodes never emit all their pairs. Members are compared on sketches; in a few rounds each proposes its
-closest partner, then its second closest and so on, links are confirmed and contracted to components,
-and only members of one node that are still in different components go on. At last every close pair
-across components is confirmed, once: in the first node of the first tree where the two meet. A node
-too large for that is branched deeper. Nodes with the same members count as one.
+Nodes never emit all their pairs. A small node is compared exhaustively on sketches and gives a spanning
+forest of its close pairs; a node that is too large is branched deeper. Connected close pairs form
+regions, so every link lies in one region. A region of bounded size is settled exactly, set against
+set, in one task. Larger regions go on by their nodes: in a few rounds each member proposes its closest
+partner, then its second closest, links are confirmed and contracted to components, and at last every
+close pair across components is confirmed, once: in the first node of the first tree where both meet.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ from .common import checkpoint, materialize, table
 COORDS = 128
 #: Largest node compared exhaustively; deepest extra branching; low bits of a node's key that give its tree.
 LEAF, DEEPER, TREES = 4000, 12, 63
+#: Largest region settled in one task: documents and characters. Documents of a task's small regions together.
+REGION, REGION_CHARS, TOGETHER = 5000, 32_000_000, 2000
+#: Most ids that are broadcast to pick texts.
+BROADCAST_IDS = 2_000_000
 #: Similarity of unrelated texts, and how many of them a set may expect to meet in a leaf: these set the trees' depth.
 UNRELATED, CHANCE = 0.04, 0.05
 #: Standard errors that a sketch may fall short of the threshold.
@@ -90,14 +95,25 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return out
 
 
+def slices(texts: list[str | None], most: int = 1_000_000) -> Iterator[slice]:
+    """Runs of texts of about `most` characters, so that arrays over their bytes stay small."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "") + 1
+        if size >= most:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 SETS = "doc_id long, n_shingles long, digest binary, sig binary"
 
 
 def sketch_batches(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     """doc_id, set size, set digest and the minwise values of COORDS coordinates."""
     for pdf in batches:
-        for at in range(0, len(pdf), 512):
-            part = pdf.iloc[at : at + 512]
+        for part in (pdf.iloc[s] for s in slices(pdf["text"].tolist())):
             sets = shingle_sets(part["text"].tolist(), words)
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
@@ -203,10 +219,49 @@ def compare_node(label: np.ndarray, rep: np.ndarray, sigs: np.ndarray, least: in
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
 
 
-def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | None, trees: tuple[int, int, float]) -> Iterator[pd.DataFrame]:
+def forest(sigs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the close pairs of one node."""
+    low = np.ascontiguousarray(sigs.astype(np.uint8))
+    part, left, right = np.arange(len(low)), [], []
+    for i in range(len(low) - 1):
+        hits = i + 1 + np.flatnonzero((low[i + 1 :] == low[i]).sum(axis=1) >= least)
+        hits = hits[part[hits] != part[i]]
+        for k, j in zip(*np.unique(part[hits], return_index=True)):
+            part[part == k] = part[i]
+            left.append(i)
+            right.append(hits[j])
+    return np.array(left, int), np.array(right, int)
+
+
+def settle(pdf: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
+    """Component labels in whole regions, from their full sets."""
+    pdf = pdf.sort_values(["region", "doc_id"], ignore_index=True)
+    texts = pdf["text"].tolist()
+    sets = [x for s in slices(texts) for x in shingle_sets(texts[s], words)]
+    docs, labels = pdf["doc_id"].to_numpy(), pdf["doc_id"].to_numpy().copy()
+    edge = np.flatnonzero(np.diff(pdf["region"].to_numpy(), prepend=-1, append=-1) != 0) if len(pdf) else [0]
+    edge = [0, *[e for e in edge if 0 < e < len(pdf)], len(pdf)]
+    for a, b in zip(edge, edge[1:]):
+        sizes = np.array([len(x) for x in sets[a:b]])
+        start = np.cumsum(sizes) - sizes
+        _, flat = np.unique(np.concatenate(sets[a:b]), return_inverse=True)
+        mark, part = np.zeros(flat.max() + 1, np.int64), np.arange(b - a)
+        for i in range(b - a):
+            mine = flat[start[i] : start[i] + sizes[i]]
+            mark[mine] = 1
+            both = np.add.reduceat(mark[flat], start)
+            mark[mine] = 0
+            hits = (100 * both >= percent * (sizes[i] + sizes - both)) & (part != part[i])
+            for k in np.unique(part[hits]):
+                part[part == max(k, part[i])] = min(k, part[i])
+        labels[a:b] = docs[a + part]
+    return pd.DataFrame({"node": docs, "label": labels})
+
+
+def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | str | None, trees: tuple[int, int, float]) -> Iterator[pd.DataFrame]:
     """Close pairs (node, a, b) in different components of one node; rows come sorted by node.
 
-    With a rank, nodes of more than 8 members give a partner per member; else every pair once over all nodes.
+    With "forest", nodes of more than 8 members give a spanning forest; with a rank, they give a partner per member; else every pair comes once over all nodes.
     """
     rest = None
 
@@ -218,7 +273,7 @@ def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | Non
         found = []
         for k in np.flatnonzero(size > 8):
             s = slice(start[k], start[k] + size[k])
-            a, b = compare_node(label[s], rep[s], sigs[s], least, rank)
+            a, b = forest(sigs[s], least) if rank == "forest" else compare_node(label[s], rep[s], sigs[s], least, rank)
             found.append((a + start[k], b + start[k]))
         small = np.repeat(size <= 8, size)
         for step in range(1, min(8, len(node))):
@@ -324,20 +379,48 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
         down = materialize(large.mapInPandas(lambda it: deeper_batches(it, threshold), NODES))
         open_ = down.join(down.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node")
 
-    tried = links = needed = None
-    found = None
+    by_node = flat.repartition("node").sortWithinPartitions("node")
+    near = by_node.mapInPandas(lambda it: compare_batches(it, least, "forest", (trees, depth, threshold)), PAIRS)
+    near = materialize(near.select("a", "b").distinct())
+    regions = components(near).select(F.col("node").alias("doc_id"), F.col("label").alias("region"))
+    regions = materialize(regions.union(regions.select("region", "region").distinct()).distinct())
+    ids = regions.count()
+    # Broadcast behind a check of the size; else the texts are shuffled.
+    keyed = F.broadcast(regions) if ids <= BROADCAST_IDS else regions
+    needed = materialize(texts.join(keyed, "doc_id").dropDuplicates(["doc_id"]))
+    sizes = needed.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    small = sizes.withColumn("small", (F.col("n") <= REGION) & (F.col("chars") <= REGION_CHARS)).select("region", "small")
+    needed = needed.join(small, "region")
+    tasks = max(1, ids // TOGETHER)
+    bucket = F.pmod(F.xxhash64("region"), F.lit(tasks))
+    found = needed.filter("small").withColumn("bucket", bucket).groupBy("bucket").applyInPandas(lambda pdf: settle(pdf, words, percent), "node long, label long")
+    found = materialize(found)
+    rest = needed.filter("NOT small").select("doc_id", "text")
+    if not rest.isEmpty():
+        rest = materialize(rest)
+        flat = flat.join(rest.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
+        found = found.union(by_nodes(flat, rest, least, (trees, depth, threshold), words, percent))
+
+    rep_of = reps.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("_label"))
+    rows = sets.join(rep_of, "digest", "left")
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("_label", "doc_id")).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+PAIRS = "node long, a long, b long"
+
+
+def by_nodes(flat: DataFrame, texts: DataFrame, least: int, trees: tuple[int, int, float], words: int, percent: int) -> DataFrame:
+    """(node, label) of all links between members of the nodes, in rounds."""
+    tried = links = None
     for rank in [*range(ROUNDS), None]:
         by_node = flat.repartition("node").sortWithinPartitions("node")
-        close = materialize(by_node.mapInPandas(lambda it, rank=rank: compare_batches(it, least, rank, (trees, depth, threshold)), "node long, a long, b long"))
+        close = materialize(by_node.mapInPandas(lambda it, rank=rank: compare_batches(it, least, rank, trees), PAIRS))
         new = close.select("a", "b").distinct()
         new = materialize(new if tried is None else new.join(tried, ["a", "b"], "left_anti"))
-        if needed is None:
-            # The first round proposes a partner for every set that has a close one: no later round needs more texts.
-            ids = new.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-            needed = materialize(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
         if tried is None or not new.isEmpty():
             tried = new if tried is None else tried.union(new)
-            good = materialize(confirm(new, needed, words, percent))
+            good = materialize(confirm(new, texts, words, percent))
             links = good if links is None else links.union(good)
             found = components(links)
         if rank is None:
@@ -346,11 +429,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
         flat = materialize(mixed(relabel(flat.drop("label").join(close.select("node").distinct(), "node"), found)))
         if flat.isEmpty():
             break
-
-    rep_of = reps.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("_label"))
-    rows = sets.join(rep_of, "digest", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("_label", "doc_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return found
 
 
 def relabel(nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -379,3 +458,18 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 def op4_chosen_path_join(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 2 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS s FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pr AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM pr JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 80 * (p.n + q.n - i)),
+l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept FROM c LEFT JOIN n USING (doc_id)
+"""
