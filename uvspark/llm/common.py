@@ -13,6 +13,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+#: Stands for a null doc_id inside Python stages, where pandas would turn the others into floats.
+NO_ID = -(1 << 63)
+
+
+def id_or_none(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID)).alias("doc_id")
+
+
+def with_null_ids(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, materialize, table
+from .common import checkpoint, id_or_none, materialize, table, with_null_ids
 
 COORDS = 128
 #: Largest node compared exhaustively; deepest extra branching; low bits of a node's key that give its tree.
@@ -123,7 +123,7 @@ def sketch_batches(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.D
                 with np.errstate(over="ignore"):
                     for k in range(COORDS):
                         sigs[full, k] = mix(np.minimum.reduceat(flat * _MUL[k] + _ADD[k], starts)).astype(np.uint16)
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").values, "n_shingles": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sig": [s.tobytes() for s in sigs]})
+            yield pd.DataFrame({"doc_id": part["doc_id"].values, "n_shingles": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sig": [s.tobytes() for s in sigs]})
 
 
 def choices(keys: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -353,8 +353,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     doc_id, which counts once in a component); one without doc_id has no links. An empty table gives no rows; other columns are ignored.
     """
     threshold = percent / 100
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialize(texts.mapInPandas(lambda it: sketch_batches(it, words), SETS))
+    texts = docs.select(id_or_none(F.col("doc_id")), "text")
+    sets = with_null_ids(materialize(texts.mapInPandas(lambda it: sketch_batches(it, words), SETS)))
     reps = sets.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"))
     reps = materialize(reps.filter("rep IS NOT NULL"))
     total = max(2, reps.count())

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, table, with_global_rank
+from .common import id_or_none, materialize, table, with_global_rank, with_null_ids
 
 
 @dataclass(frozen=True)
@@ -173,7 +173,7 @@ def cut_batches(batches: Iterator[pd.DataFrame], model_file: str, ranks_file: st
                 ids = np.array([*ids, 0], "<u4")
                 cuts = [0, *range(len(ids) % tokens or tokens, len(ids) + 1, tokens)]
                 rows += [(doc, i, a, b - a, zlib.crc32(ids[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def pack_documents(docs: DataFrame, model_file: str, ranks_file: str | None = None, capacity: Capacity = Capacity()) -> DataFrame:
@@ -185,7 +185,7 @@ def pack_documents(docs: DataFrame, model_file: str, ranks_file: str | None = No
     """
     spark = docs.sparkSession
     tokens = capacity.tokens
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(id_or_none(F.col("doc_id")), F.coalesce("text", F.lit("")).alias("text"))
     pieces = rows.mapInPandas(lambda it: cut_batches(it, model_file, ranks_file, tokens), PIECES)
     pieces = materialize(pieces)  # the texts are read and cut once
     ranked = with_global_rank(pieces, [F.col("length"), F.col("doc_id"), F.col("piece"), F.col("ids_crc32")])
@@ -207,7 +207,7 @@ def pack_documents(docs: DataFrame, model_file: str, ranks_file: str | None = No
             yield pdf.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
     out = ranked.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "rank")
-    return out.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return with_null_ids(out.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"))
 
 
 def op5_vector_best_fit(spark, sf_dir):

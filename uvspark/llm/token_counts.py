@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import id_or_none, table, with_null_ids
 
 SPACE = "▁"
 CHUNK, LOOK_BACK = 256, 24
@@ -223,9 +223,9 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
     gives no rows; other columns are ignored. The model file must be readable on the executors.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("_text"))
+    rows = docs.select(id_or_none(F.col("doc_id")), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("_text"))
     counted = rows.mapInPandas(lambda it: count_batches(it, model_file), "doc_id long, n_bytes long, n_tokens long")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    return with_null_ids(counted).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op9_transducer_counts(spark, sf_dir):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import id_or_none, table, with_null_ids
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 #: Hashed features, and documents (of least hash of doc_id) that train the scorer.
@@ -202,7 +202,7 @@ def classify(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
     rows are judged each, alike. An empty table gives no rows; other columns are ignored. A table whose
     documents all look alike trains no scorer: its scores are the posteriors.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(id_or_none(F.col("doc_id")), "text")
 
     def patterns(batches):
         for pdf in _slices(batches):
@@ -233,9 +233,9 @@ def classify(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
                 result = post
             else:
                 result = 1 / (1 + np.exp(-np.clip(features(texts, v) @ model[0] + model[1], -30, 30)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64").values, "pattern": encode(v), "posterior": post, "score": result})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].values, "pattern": encode(v), "posterior": post, "score": result})
 
-    return rows.mapInPandas(score, "doc_id long, pattern long, posterior double, score double").withColumn("kept", F.col("score") >= 0.5)
+    return with_null_ids(rows.mapInPandas(score, "doc_id long, pattern long, posterior double, score double")).withColumn("kept", F.col("score") >= 0.5)
 
 
 def op7_weak_label_quality(spark, sf_dir):
