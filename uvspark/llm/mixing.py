@@ -15,7 +15,7 @@ from .common import GAP, checkpoint, materialize, table, with_global_rank
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
-NEWTON_STEPS = 14
+NEWTON_STEPS = 12
 CHUNK_ROWS = 256
 
 
@@ -57,7 +57,7 @@ def solve_tilts(hist: DataFrame, targets: DataFrame, cap: int = CAP, steps: int
     state = targets.withColumns({"_lambda": F.lit(0.0), "_lo": F.lit(-700.0), "_hi": F.lit(700.0)})
     scale = hist.groupBy("_source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("_scale"))
     state = checkpoint(state.join(scale, state["_source"].eqNullSafe(scale["_source"])).drop(scale["_source"]))
-    for step in range(steps):
+    for _ in range(steps):
         x = F.col("size") / F.col("_scale")
         r = rate(F.col("_lambda"), x, cap)
         s = F.col("h._source")
@@ -70,8 +70,7 @@ def solve_tilts(hist: DataFrame, targets: DataFrame, cap: int = CAP, steps: int
         newton = F.col("_lambda") - (F.col("_f") - F.col("target")) / F.nullif(F.col("_df"), F.lit(0.0))
         state = state.join(sums, F.col("_source").eqNullSafe(F.col("_key"))).select("_source", "source_size", "target", "_scale", lo.alias("_lo"), hi.alias("_hi"), newton.alias("_try"))
         state = state.withColumn("_lambda", F.when(F.col("_try").between(F.col("_lo"), F.col("_hi")), F.col("_try")).otherwise((F.col("_lo") + F.col("_hi")) / 2)).drop("_try")
-        if step % 5 == 4:
-            state = checkpoint(state)
+        state = checkpoint(state)  # short plans, alike in every step
     return state.select("_source", "source_size", "target", "_scale", "_lambda")
 
 
