@@ -156,3 +156,18 @@ def test_fits_source(spark, tmp_path):
     df = spark.read.format("fits").option("extension", "ROWS").option("rows", "3").load(str(tmp_path / "t.fits"))
     got = [(r.n, r.time, r.name, r.flux) for r in df.orderBy("n").collect()]
     assert got == [(i, i / 2, f"A{i}", [float(i), float(-i)]) for i in range(7)] and df.rdd.getNumPartitions() == 3
+
+
+def test_plan_parts():
+    from uvspark.operators.reference import plan_parts
+
+    parts = plan_parts({"a": 9, "b": 5, "c": 4, "d": 1}, 2)
+    assert sorted(map(sorted, parts)) == [["a"], ["b", "c", "d"]] or sorted(map(sorted, parts)) == [["a", "d"], ["b", "c"]]
+
+
+def test_channel_flags_kept(spark):
+    from uvspark.operators.reference import interpolate_channels
+
+    a = lambda *x: F.array(*[F.lit(v) for v in x])
+    r = spark.range(1).select(interpolate_channels(a(0.0, 1.0, 2.0), a(5.0, 9.0, 7.0), a(False, True, False), a(0.5, 1.1, 3.0), True).alias("o"), interpolate_channels(a(0.0, 1.0), a(5.0, 9.0), a(True, True), a(0.5)).alias("none")).first()
+    assert [(round(c.value, 6), c.flag) for c in r.o] == [(5.5, False), (6.1, True), (7.0, False)] and r.none[0].flag
