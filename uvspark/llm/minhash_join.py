@@ -451,9 +451,13 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document, the least doc_id, of each class; repeated rows of a doc_id become one."""
-    kept = materialize(near_duplicates(docs, words, percent).filter("kept").groupBy("doc_id").agg(F.count("*").alias("n")))
-    out = docs.join(kept.select(F.col("doc_id").alias("__id")), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return out if kept.filter("n > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    rows = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"))
+    gone = rows.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    if gone.count() <= BROADCAST_IDS:  # else the documents are shuffled
+        gone = F.broadcast(gone)
+    out = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    repeated = rows.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    return out if repeated.isEmpty() else out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id IS NULL"))
 
 
 def op4_chosen_path_join(spark, sf_dir):

@@ -17,6 +17,8 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 NEWTON_STEPS = 12
 CHUNK_ROWS = 256
+#: Most rows of copies that are broadcast to the documents.
+BROADCAST_ROWS = 500_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -138,6 +140,8 @@ def copy_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int
     mixed = mix_sizes(materialize(sized.withColumnRenamed("doc_id", "_id")), weights, cap)
     copies = materialize(mixed.groupBy("_id").agg(F.sum("copies").cast("int").alias("__copies"), F.count("*").alias("__rows")).filter("__copies > 0"))
     rows = docs.select(F.struct(*docs.columns).alias("__row"), F.struct(*[v.alias(k) for k, v in key.items()]).alias("__key"))
+    if copies.count() <= BROADCAST_ROWS:  # else the documents are shuffled
+        copies = F.broadcast(copies)
     if not copies.filter("__rows > 1").isEmpty():
         rows = rows.groupBy("__key").agg(F.min("__row").alias("__row"))
     joined = rows.join(copies, F.col("__key").eqNullSafe(F.col("_id")))
