@@ -73,16 +73,22 @@ def interpolate_channels(freqs: Column, values: Column, flags: Column, at: Colum
     nearest table channel is flagged stays flagged. No unflagged channel flags all.
     """
     cells = F.zip_with(F.zip_with(freqs, values, lambda f, v: F.struct(f.alias("f"), v.alias("v"))), flags, lambda c, b: F.struct(c["f"].alias("f"), c["v"].alias("v"), b.alias("bad")))
-    good = F.filter(cells, lambda c: ~c["bad"])
+    once = lambda value, body: F.get(F.transform(F.array(value), body), 0)  # noqa: E731  bound to a variable, so evaluated once per row
 
-    def one(x: Column) -> Column:
+    def one(x: Column, cells: Column, good: Column) -> Column:
         lo, hi = F.try_element_at(F.filter(good, lambda c: c["f"] <= x), F.lit(-1)), F.get(F.filter(good, lambda c: c["f"] >= x), 0)
-        w = F.when(hi["f"] > lo["f"], (x - lo["f"]) / (hi["f"] - lo["f"])).otherwise(0.0)
-        value = F.coalesce(lo["v"] * (1 - w) + hi["v"] * w, lo["v"], hi["v"])
-        closest = F.array_min(F.transform(cells, lambda c: F.struct(F.abs(c["f"] - x).alias("d"), c["f"].alias("f"), c["bad"].alias("bad"))))["bad"]
-        return F.struct(value.alias("value"), (value.isNull() | (closest if keep_flags else F.lit(False))).alias("flag"))
+        ends = F.struct(lo.alias("lo"), hi.alias("hi"))
 
-    return F.transform(at, one)
+        def blend(e: Column) -> Column:
+            low, high = e["lo"], e["hi"]
+            w = F.when(high["f"] > low["f"], (x - low["f"]) / (high["f"] - low["f"])).otherwise(0.0)
+            value = F.coalesce(low["v"] * (1 - w) + high["v"] * w, low["v"], high["v"])
+            closest = F.array_min(F.transform(cells, lambda c: F.struct(F.abs(c["f"] - x).alias("d"), c["f"].alias("f"), c["bad"].alias("bad"))))["bad"]
+            return F.struct(value.alias("value"), (value.isNull() | (closest if keep_flags else F.lit(False))).alias("flag"))
+
+        return once(ends, blend)
+
+    return once(cells, lambda c: once(F.filter(c, lambda x: ~x["bad"]), lambda good: F.transform(at, lambda x: one(x, c, good))))
 
 
 def ionosphere_fringe(stec: Column, fmin: float, fmax: float) -> tuple[Column, Column]:
