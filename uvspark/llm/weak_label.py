@@ -219,7 +219,11 @@ def classify(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
             v = votes(texts)
             yield pd.DataFrame({"p": posterior(v, share, table_), "x": [f.tobytes() for f in features(texts, v)]})
 
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(training_rows)  # a bounded sample to fit on
+    # The bounded sample to fit on: the least hashes. A cut that leaves half as many again goes before the sort.
+    part = 1.5 * training_rows / seen["n"].sum()
+    least = F.xxhash64("doc_id")
+    some = rows if part >= 0.5 else rows.filter(least < -(1 << 63) + int(part * (1 << 64)))
+    chosen = some.orderBy(least, "doc_id").limit(training_rows)
     train = chosen.mapInPandas(sample, "p double, x binary").toPandas()
     x, y = np.frombuffer(b"".join(train["x"]), np.float32).reshape(len(train), -1), train["p"].to_numpy()
     model = fit_scorer(x, y) if y.max() > 0.5 > y.min() else None
