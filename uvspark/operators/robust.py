@@ -39,13 +39,17 @@ def running_median(value: Column, keys: list[str], order: list[str], window: int
 
 def despike(rows: DataFrame, keys: list[str], order: list[str], value: str, threshold: float = 6.0, passes: int = 3, window: int = 5) -> DataFrame:
     """Add despiked: in each pass outliers of the whole current series become the running median of the others."""
+    w = Window.partitionBy(*keys)
+    x = F.col("despiked")
     out = rows.withColumn("despiked", F.col(value))
-    for _ in range(passes):
-        masked = outlier_mask(out, keys, "despiked", threshold)
-        kept = F.when(~F.col("outlier"), F.col("despiked"))
-        smooth = F.round(running_median(kept, keys, order, window), 9)
-        out = masked.withColumn("_smooth", smooth).withColumn("despiked", F.when(F.col("outlier"), F.coalesce("_smooth", "despiked")).otherwise(F.col("despiked"))).drop("outlier", "_smooth")
-    return out
+    for _ in range(passes):  # windows over one partitioning: a single shuffle for all passes
+        out = out.withColumns({"_n": F.count(x).over(w), "_m": F.median(x).over(w)})
+        out = out.withColumn("_s", 1.4826 * F.median(F.abs(x - F.col("_m"))).over(w))
+        beyond = F.round(F.abs(x - F.col("_m")), 6) > F.round(threshold * F.col("_s"), 6)
+        out = out.withColumn("_off", F.coalesce((F.col("_n") >= 3) & (F.col("_s") > 0) & beyond, F.lit(False)))
+        smooth = F.round(running_median(F.when(~F.col("_off"), x), keys, order, window), 9)
+        out = out.withColumn("_smooth", smooth).withColumn("despiked", F.when(F.col("_off"), F.coalesce("_smooth", "despiked")).otherwise(x))
+    return out.drop("_n", "_m", "_s", "_off", "_smooth")
 
 
 def smooth_in_time(rows: DataFrame, keys: list[str], time: str, value: str, window: int, kind: str = "median", min_points: int = 3) -> DataFrame:
