@@ -246,7 +246,8 @@ def settle(pdf: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
         start = np.cumsum(sizes) - sizes
         _, flat = np.unique(np.concatenate(sets[a:b]), return_inverse=True)
         mark, part = np.zeros(flat.max() + 1, np.int64), np.arange(b - a)
-        for i in range(b - a):
+
+        def meet(i: int) -> None:
             mine = flat[start[i] : start[i] + sizes[i]]
             mark[mine] = 1
             both = np.add.reduceat(mark[flat], start)
@@ -254,6 +255,20 @@ def settle(pdf: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
             hits = (100 * both >= percent * (sizes[i] + sizes - both)) & (part != part[i])
             for k in np.unique(part[hits]):
                 part[part == max(k, part[i])] = min(k, part[i])
+
+        # Of two documents in different components one lies outside of the largest: when only members of
+        # the largest haven't met all others, every pair across components has been compared.
+        unmet = list(range(b - a))
+        while True:
+            before, left = len(unmet), []
+            for i in unmet:
+                if part[i] == np.bincount(part).argmax():
+                    left.append(i)
+                else:
+                    meet(i)
+            unmet = left
+            if len(unmet) == before:
+                break
         labels[a:b] = docs[a + part]
     return pd.DataFrame({"node": docs, "label": labels})
 
