@@ -90,6 +90,28 @@ def test_near_duplicates(spark, docs, words, region, monkeypatch):
     assert got == classes(rows, words)
 
 
+def test_partners_not_met_yet_come_in_later_rounds():
+    """Two clusters, close only at one member each, which is not the closest of either at first."""
+    rng = np.random.default_rng(6)
+    c = minhash_join.COORDS
+    base = rng.integers(0, 1 << 16, c).astype(np.uint16)
+
+    def change(of, at):
+        out = of.copy()
+        out[at] ^= 1
+        return out
+
+    # 0..5 one cluster around a, 6..11 another around b; a and b share 90 of 128, the others fewer.
+    a, b = base, change(base, slice(0, 38))
+    sigs = np.stack([a, *[change(a, slice(60 + 6 * i, 66 + 6 * i)) for i in range(5)], b, *[change(b, slice(90 + 6 * i, 96 + 6 * i)) for i in range(5)]])
+    rep, least = np.arange(12), 90
+    first = set(zip(*(x.tolist() for x in minhash_join.compare_node(rep, rep, sigs, least, 0))))
+    assert not {(0, 6), (6, 0)} & first
+    label = np.repeat([0, 6], 6)
+    for rank in range(1, minhash_join.ROUNDS):
+        assert {(0, 6), (6, 0)} & set(zip(*(x.tolist() for x in minhash_join.compare_node(label, rep, sigs, least, rank))))
+
+
 def test_near_duplicates_odd(odd, empty):
     rows = minhash_join.near_duplicates(odd, 2).collect()
     assert len(rows) == odd.count()

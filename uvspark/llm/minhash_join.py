@@ -204,7 +204,11 @@ def deeper_batches(batches: Iterator[pd.DataFrame], threshold: float) -> Iterato
 
 
 def compare_node(label: np.ndarray, rep: np.ndarray, sigs: np.ndarray, least: int, rank: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of one node, in different components, with close sketches: all, or each member's partner of a rank."""
+    """Index pairs of one node, in different components, with close sketches: all, or each member's partners up to a rank.
+
+    Partners that a member met in earlier rounds are first in its order or have joined its component, so one
+    more than the earlier ranks always has the first that it hasn't met. Any rank gives a pair if all pairs do.
+    """
     low = np.ascontiguousarray(sigs.astype(np.uint8))
     left, right = [], []
     values, counts = np.unique(label, return_counts=True)
@@ -213,7 +217,7 @@ def compare_node(label: np.ndarray, rep: np.ndarray, sigs: np.ndarray, least: in
         same = (low == low[i]).sum(axis=1)
         hits = np.flatnonzero((same >= least) & (label != label[i]))
         if rank is not None:
-            hits = hits[np.lexsort((rep[hits], -same[hits]))][rank : rank + 1]
+            hits = hits[np.lexsort((rep[hits], -same[hits]))][: rank + 1]
         left.append(np.full(len(hits), i))
         right.append(hits)
     return (np.concatenate(left), np.concatenate(right)) if left else (np.empty(0, int), np.empty(0, int))
@@ -276,7 +280,7 @@ def settle(pdf: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
 def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | str | None, trees: tuple[int, int, float]) -> Iterator[pd.DataFrame]:
     """Close pairs (node, a, b) in different components of one node; rows come sorted by node.
 
-    With "forest", nodes of more than 8 members give a spanning forest; with a rank, they give a partner per member; else every pair comes once over all nodes.
+    With "forest", nodes of more than 8 members give a spanning forest; with a rank, they give the closest partners per member, up to it; else every pair comes once over all nodes.
     """
     rest = None
 
