@@ -112,6 +112,25 @@ def test_partners_not_met_yet_come_in_later_rounds():
         assert {(0, 6), (6, 0)} & set(zip(*(x.tolist() for x in minhash_join.compare_node(label, rep, sigs, least, rank))))
 
 
+def test_pairs_of_leaves_branched_deeper():
+    """A pair whose first leaf was branched deeper counts in the next leaf that holds both."""
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 1 << 16, minhash_join.COORDS).astype(np.uint16)
+    b = np.where(rng.random(len(a)) < 0.05, a ^ 1, a)
+    rows = pd.DataFrame({"rep": [1, 2], "sig": [a.tobytes(), b.tobytes()]})
+    leaves = pd.concat(minhash_join.leaf_batches([rows], 8, 3, 0.8))
+    both = leaves.groupby("node")["rep"].nunique()
+    both = sorted(both.index[both == 2], key=lambda n: (n & minhash_join.TREES, n))
+    assert len({n & minhash_join.TREES for n in both}) > 2
+
+    def pairs(node, gone):
+        nodes = rows.assign(node=node, label=rows["rep"], deep=False)
+        return len(pd.concat(minhash_join.compare_batches([nodes], 86, None, (8, 3, 0.8, np.array(sorted(gone), np.int64)))))
+
+    for k in range(len(both)):
+        assert [pairs(n, both[:k]) for n in both[k:]] == [1] + [0] * (len(both) - k - 1)
+
+
 def test_near_duplicates_odd(odd, empty):
     rows = minhash_join.near_duplicates(odd, 2).collect()
     assert len(rows) == odd.count()

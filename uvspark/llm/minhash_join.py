@@ -11,7 +11,8 @@ forest of its close pairs; a node that is too large is branched deeper. Connecte
 regions, so every link lies in one region. A region of bounded size is settled exactly, set against
 set, in one task. Larger regions go on by their nodes: in a few rounds each member proposes its closest
 partner, then its second closest, links are confirmed and contracted to components, and at last every
-close pair across components is confirmed, once: in the first node of the first tree where both meet.
+close pair across components is confirmed: in the first node of the first tree where both meet that was not
+branched deeper, and in every deeper node.
 """
 
 from __future__ import annotations
@@ -168,8 +169,8 @@ def leaf_batches(batches: Iterator[pd.DataFrame], trees: int, depth: int, thresh
             yield pd.DataFrame({"node": leaf_key(keys, tree), "rep": reps[lanes]})
 
 
-def first_meeting(a: np.ndarray, b: np.ndarray, trees: int, depth: int, threshold: float) -> np.ndarray:
-    """Key of the first leaf (by tree, then key) that holds both signatures of each row of a and b."""
+def first_meeting(a: np.ndarray, b: np.ndarray, trees: int, depth: int, threshold: float, gone: np.ndarray) -> np.ndarray:
+    """Key of the first leaf (by tree, then key) that holds both signatures of each row of a and b and isn't in `gone` (sorted)."""
     out = np.zeros(len(a), np.int64)
     left = np.arange(len(a))
     same = a == b
@@ -184,9 +185,13 @@ def first_meeting(a: np.ndarray, b: np.ndarray, trees: int, depth: int, threshol
                     np.concatenate([child(keys[first], one[first], a[lanes[first], one[first]]), child(keys[again], two[again], a[lanes[again], two[again]])]),
                     np.concatenate([lanes[first], lanes[again]]),
                 )
+            leaf = leaf_key(keys, tree)
+            if len(gone):
+                there = gone[np.minimum(np.searchsorted(gone, leaf), len(gone) - 1)] != leaf
+                lanes, leaf = lanes[there], leaf[there]
             if len(lanes):
                 low = np.full(len(a), np.iinfo(np.int64).max)
-                np.minimum.at(low, lanes, leaf_key(keys, tree))
+                np.minimum.at(low, lanes, leaf)
                 met = np.unique(lanes)
                 out[met] = low[met]
                 left = np.setdiff1d(left, met, assume_unique=True)
@@ -277,10 +282,10 @@ def settle(pdf: pd.DataFrame, words: int, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"node": docs, "label": labels})
 
 
-def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | str | None, trees: tuple[int, int, float]) -> Iterator[pd.DataFrame]:
+def compare_batches(batches: Iterator[pd.DataFrame], least: int, rank: int | str | None, trees: tuple[int, int, float, np.ndarray] | None) -> Iterator[pd.DataFrame]:
     """Close pairs (node, a, b) in different components of one node; rows come sorted by node.
 
-    With "forest", nodes of more than 8 members give a spanning forest; with a rank, they give the closest partners per member, up to it; else every pair comes once over all nodes.
+    With "forest", nodes of more than 8 members give a spanning forest; with a rank, they give the closest partners per member, up to it; else every pair comes once over all nodes that were not branched deeper, and in each deeper one.
     """
     rest = None
 
@@ -394,12 +399,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
         flat = ready if flat is None else flat.union(ready)
         large = open_.filter(F.col("size") > LEAF).drop("size", "deep")
         if step == DEEPER or large.isEmpty():
+            deeper = step > 0
             break
         down = materialize(large.mapInPandas(lambda it: deeper_batches(it, threshold), NODES))
         open_ = down.join(down.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node")
 
     by_node = flat.repartition("node").sortWithinPartitions("node")
-    near = by_node.mapInPandas(lambda it: compare_batches(it, least, "forest", (trees, depth, threshold)), PAIRS)
+    near = by_node.mapInPandas(lambda it: compare_batches(it, least, "forest", None), PAIRS)
     near = materialize(near.select("a", "b").distinct())
     regions = components(near).select(F.col("node").alias("doc_id"), F.col("label").alias("region"))
     regions = materialize(regions.union(regions.select("region", "region").distinct()).distinct())
@@ -418,7 +424,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     if not rest.isEmpty():
         rest = materialize(rest)
         flat = flat.join(rest.select(F.col("doc_id").alias("rep")), "rep", "left_semi")
-        found = found.union(by_nodes(flat, rest, least, (trees, depth, threshold), words, percent))
+        # Nodes branched deeper hold no pair any more, nor do those that had the same members: at most one for every LEAF rows.
+        deepened = leaves.groupBy("node").agg(F.count("*").alias("size")).filter(F.col("size") > LEAF).select("node").collect() if deeper else []
+        gone = np.array(sorted(r["node"] for r in deepened), np.int64)
+        found = found.union(by_nodes(flat, rest, least, (trees, depth, threshold, gone), words, percent))
 
     rep_of = reps.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("_label"))
     rows = sets.join(rep_of, "digest", "left")
@@ -429,7 +438,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
 PAIRS = "node long, a long, b long"
 
 
-def by_nodes(flat: DataFrame, texts: DataFrame, least: int, trees: tuple[int, int, float], words: int, percent: int) -> DataFrame:
+def by_nodes(flat: DataFrame, texts: DataFrame, least: int, trees: tuple[int, int, float, np.ndarray], words: int, percent: int) -> DataFrame:
     """(node, label) of all links between members of the nodes, in rounds."""
     tried = links = None
     for rank in [*range(ROUNDS), None]:
