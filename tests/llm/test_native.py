@@ -48,6 +48,28 @@ def test_secrets_random_tokens_but_not_prose(spark):
     assert not any(got[100 + i] for i in range(4))
 
 
+def test_secrets_joined_to_names(spark):
+    import random
+
+    rng = random.Random(5)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    frames = [("AWS_SECRET_ACCESS_KEY=", alnum + "+/", ""), ("auth=", alnum, ""), ("https://host.example/a?sig=", alnum, "&v=1"), ("/path_x/", alnum, ""), ("/static/files/", alnum + "-_", " end"), ("id_user-name/", alnum, "=="), ("export MY_VALUE=", alnum + "+/", "=\n")]
+    rows, want = [], {}
+    for i in range(10):
+        for k, (before, chars, after) in enumerate(frames):
+            key = "".join(rng.choice(alnum) for _ in range(2)) + "".join(rng.choice(chars) for _ in range(46)) + "7aZ"
+            rows.append((10 * i + k, f"run {before}{key}{after}"))
+            want[10 * i + k] = (4 + len(before), 4 + len(before) + len(key))
+    plain = ["/usr/share/Documents_of-the/Second2-Internationalization_notes", "see SOME_VERY_LONG_SETTING_NAME=another-long-value-of-words2Here", "a_b/thedingtheringandtheothersofthe2Th"]
+    df = spark.createDataFrame(rows + [(1000 + i, t) for i, t in enumerate(plain)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan(df).collect()}
+    for k in range(len(frames)):
+        assert sum(any(s.start <= want[d][0] and want[d][1] <= s.end for s in got[d]) for d in want if d % 10 == k) >= 9
+    for spans in got.values():
+        assert all(a.end <= b.start for a, b in zip(spans, spans[1:]))
+    assert not any(got[1000 + i] for i in range(len(plain)))
+
+
 def test_secrets_redacted(odd, empty):
     out = secret_scan.redact_documents(odd)
     assert out.columns == odd.columns and out.count() == odd.count()

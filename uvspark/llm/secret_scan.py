@@ -1,11 +1,13 @@
 """Secret scan: three base patterns, and a randomness test battery over token-like strings.
 
-Candidates are maximal runs of at least MIN_TOKEN token characters. Each gets an inferred encoding
+Candidates are maximal runs of at least MIN_TOKEN token characters, and their parts of that length
+between the marks that join a value to its name or path ("=", "/", "_" and "-"). Each gets an inferred encoding
 (the smallest alphabet that holds it), a battery against "uniform over that alphabet" (chi-squared
 cell counts, runs above and below the middle, lag-one serial correlation), and a p-value against
 "written language", from the likelihood ratio of the uniform model to a prose letter model. A
 candidate is a secret if the battery doesn't reject and Benjamini-Hochberg over all candidates of its
-length class (longer ones carry more evidence and are judged among their like) rejects prose.
+length class (longer ones carry more evidence and are judged among their like) rejects prose. Secrets
+that overlap in a run are reported as one.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 MIN_TOKEN = 20
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
+#: Parts of a run: what a mark may join, with the padding at the run's end.
+PARTS = tuple(rf"[^{marks}]{{{MIN_TOKEN},}}(?:=+$)?" for marks in ("=", "=/", "=_-", "=/_-"))
 #: Encodings from small to large: name, alphabet in order, what a token must match.
 LOWER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = (
@@ -70,6 +74,31 @@ def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     return F.when(text.rlike(pattern), out).otherwise(none)
 
 
+def with_parts(rows: DataFrame) -> DataFrame:
+    """Add to the runs in `_found` their parts, each place once, in order."""
+
+    def parts(c):
+        inside = F.concat(*[spans(c["token"], pattern, 3) for pattern in PARTS])
+        moved = F.transform(inside, lambda x: F.struct((c["start"] + x["start"]).alias("start"), (c["start"] + x["end"]).alias("end"), x["kind"].alias("kind"), x["token"].alias("token")))
+        return F.concat(F.array(c), moved)
+
+    rows = rows.withColumn("_found", F.sort_array(F.flatten(F.transform("_found", parts))))
+    return rows.withColumn("_found", F.filter("_found", lambda c, i: (i == 0) | (c["start"] != F.get("_found", i - 1)["start"]) | (c["end"] != F.get("_found", i - 1)["end"])))
+
+
+def united(found: Column) -> Column:
+    """(start, kind, end) of places in order of their start; overlapping ones become one."""
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    place = lambda a: F.struct(a["start"].alias("start"), F.lit(3).alias("kind"), a["end"].alias("end"))
+    out = lambda a: F.when(a["start"] < 0, a["out"]).otherwise(F.concat(a["out"], F.array(place(a))))
+
+    def step(acc, c):
+        new = c["start"] >= acc["end"]
+        return F.struct(F.when(new, out(acc)).otherwise(acc["out"]).alias("out"), F.when(new, c["start"]).otherwise(acc["start"]).alias("start"), F.greatest(acc["end"], c["end"]).alias("end"))
+
+    return F.aggregate(found, F.struct(none.alias("out"), F.lit(-1).alias("start"), F.lit(-1).alias("end")), step, out)
+
+
 def upper_tail(z: Column) -> Column:
     """1 - Phi(z), to 1e-7 (Abramowitz and Stegun 26.2.17)."""
     a = F.abs(z)
@@ -141,6 +170,7 @@ def _base_and_candidates(docs: DataFrame) -> DataFrame:
     counts = [F.size(c).cast("long").alias(f"n{c}") for c in ("_assign", "_access", "_hex")]
     rows = rows.select("doc_id", *counts, F.sort_array(F.transform(F.concat("_assign", "_access", "_hex"), place)).alias("_base"), "_found")
     encode, steps = battery()
+    rows = with_parts(rows)
     rows = rows.withColumn("_found", F.filter(F.transform("_found", encode), lambda c: c["enc"].isNotNull()))
     for step in steps:
         rows = rows.withColumn("_found", F.transform("_found", step))
@@ -177,8 +207,7 @@ def scan(docs: DataFrame) -> DataFrame:
     flagged = F.filter("_found", lambda c: (c["uniform"] >= BATTERY_LEVEL) & (c["bin"] >= F.get(least, c["level"])))
     rows = rows.withColumn("_found", flagged)
     free = F.filter("_found", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    more = F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    return rows.select("doc_id", F.col("n_assign"), F.col("n_access"), F.col("n_hex"), F.col("_base").alias("base"), F.sort_array(F.concat("_base", more)).alias("spans"))
+    return rows.select("doc_id", F.col("n_assign"), F.col("n_access"), F.col("n_hex"), F.col("_base").alias("base"), F.sort_array(F.concat("_base", united(free))).alias("spans"))
 
 
 def joined(places: Column) -> Column:
