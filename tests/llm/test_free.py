@@ -52,6 +52,19 @@ def test_repeats(spark, docs, odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_neighbourhoods_alike_in_low_bits_differ():
+    """Two neighbourhoods of one gram whose names share all but the highest bits aren't repeats; equal ones are."""
+    for high, full in ((1 << 63, 0), (1 << 40, 0), (0, 1)):
+        out = []
+        for doc, around in ((1, 12345), (2, 12345 + high)):
+            box, at = suffix_dedup.Outbox(1), np.array([7])
+            box.add([(doc, doc)], np.array([0]), at, at + 3, at + 5, np.array([99], np.uint64), np.array([around], np.uint64))
+            out += box.blocks()
+        found = suffix_dedup.rank_bucket(pd.concat(out))
+        assert (~found["open"]).sum() == full and found["open"].sum() == (0 if full else 2)
+        assert found["a"].eq(7).all() and found["b"].eq(10).all() and found["p"].eq(12).all()
+
+
 def classes(rows, n, percent=80):
     sets = {}
     for d, t in rows:

@@ -66,7 +66,7 @@ def anchors(codes: np.ndarray, ends: np.ndarray, threshold: int):
         right = low[step:] < low[:-step]
         low, at = np.where(right, low[step:], low[:-step]), np.where(right, at[step:], at[:-step])
         done += step
-    at = at.astype(np.int64)
+    del low, right
     inside = np.ones(n, bool)
     for e in ends[:-1]:
         inside[max(0, e - threshold + 1) : e] = False
@@ -76,16 +76,19 @@ def anchors(codes: np.ndarray, ends: np.ndarray, threshold: int):
     last = np.append(first[1:], n) - 1
     ok = inside[first]
     first, last = first[ok], last[ok]
-    p = at[first]
+    p = at[first].astype(np.int64)
+    name = name[p]
+    del at, new, inside
     powers = np.full(len(codes) + 1, _MUL, _U)
     powers[0] = 1
     np.multiply.accumulate(powers, out=powers)
     sums = np.concatenate([[_U(0)], np.cumsum(_BYTE[codes] * powers[:-1], dtype=_U)])
+    del powers
     back = np.full(len(codes) + 1, _BACK, _U)
     back[0] = 1
     np.multiply.accumulate(back, out=back)
     around = mix((sums[last + threshold] - sums[first]) * back[first] + (p - first).astype(_U) * _MUL + (last - first).astype(_U))
-    return first, last, p, name[p], around
+    return first, last, p, name, around
 
 
 def _pack(cols: list[np.ndarray]) -> bytes:
@@ -118,6 +121,7 @@ class Outbox:
             return
         which, first, last, p, name, around = (np.concatenate(c) for c in zip(*self.parts))
         ids, texts = (np.array(c, np.int64) for c in zip(*self.docs))
+        self.parts, self.docs, self.n = [], [], 0
         # Of equal neighbourhoods in this task only the least document's go on; the others are settled.
         order = np.lexsort((ids[which], around, name))
         n, a, d = name[order], around[order], ids[which][order]
@@ -125,6 +129,7 @@ class Outbox:
         head[1:] = (n[1:] != n[:-1]) | (a[1:] != a[:-1])
         settled = np.zeros(len(order), bool)
         settled[order] = d > d[np.flatnonzero(head)][np.cumsum(head) - 1]
+        del order, n, a, d, head
         rows = []
         s = np.flatnonzero(settled)
         if s.size:
@@ -141,11 +146,11 @@ class Outbox:
         for b in np.unique(bucket).tolist():
             k = g[bucket == b]
             used, w = np.unique(which[k], return_inverse=True)
+            # The gram's name only forms groups and may be cut; the neighbourhood's decides what is removed and goes whole.
             name5, lo = _low5(name[k] // _U(self.buckets)), first[k]
-            cols = [ids[used], texts[used], np.diff(w, prepend=0).astype("<u4"), np.diff(lo, prepend=0).astype("<i4"), (last[k] - lo).astype("u1"), (p[k] - lo).astype("u1"), name5, _low5(around[k])]
+            cols = [ids[used], texts[used], np.diff(w, prepend=0).astype("<u4"), np.diff(lo, prepend=0).astype("<i4"), (last[k] - lo).astype("u1"), (p[k] - lo).astype("u1"), name5, around[k].astype("<u8")]
             rows.append((b, len(used).to_bytes(4, "little") + _pack(cols), len(k)))
         yield pd.DataFrame(rows, columns=["bucket", "block", "n"])
-        self.parts, self.docs, self.n = [], [], 0
 
 
 def anchor_batches(batches: Iterator[pd.DataFrame], threshold: int, buckets: int) -> Iterator[pd.DataFrame]:
@@ -201,9 +206,10 @@ def rank_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         w = np.cumsum(np.frombuffer(raw, "<u4", n, at).astype(np.int64))
         lo = np.cumsum(np.frombuffer(raw, "<i4", n, at + 4 * n).astype(np.int64))
         span, off = np.frombuffer(raw, "u1", 2 * n, at + 8 * n).reshape(2, n)
-        five = np.frombuffer(raw, "u1", 10 * n, at + 10 * n).reshape(2, n, 5)
-        parts.append((i[w], t[w], lo, lo + span, lo + off, _wide(five[0]), _wide(five[1])))
+        five = np.frombuffer(raw, "u1", 5 * n, at + 10 * n).reshape(n, 5)
+        parts.append((i[w], t[w], lo, lo + span, lo + off, _wide(five), np.frombuffer(raw, "<u8", n, at + 15 * n)))
     doc, text_id, a, b, p, name, around = (np.concatenate(c) for c in zip(*parts))
+    del parts
     order = np.lexsort((doc, around, name))
     doc, text_id, a, b, p, name, around = (c[order] for c in (doc, text_id, a, b, p, name, around))
     head = np.ones(len(doc), bool)
