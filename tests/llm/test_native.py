@@ -180,6 +180,22 @@ def test_mixing(name, request):
         assert sorted((r.doc_id, r.copies) for r in rows) == sorted((r.doc_id, r.copies) for r in again)
 
 
+def test_mixing_with_documents_larger_than_chunks(spark):
+    """Few documents that outweigh what the rest of a chunk can make up for, in sources with several targets."""
+    rows = [(f"{s}{i}", s, 20 + i % 7) for s, n in (("a", 6000), ("b", 6000), ("c", 3000)) for i in range(n)]
+    rows += [(f"{s}big{i}", s, 20_000 + 1000 * (i % k)) for s, n, k in (("a", 12, 1), ("b", 20, 1), ("c", 9, 4)) for i in range(n)]
+    sizes = spark.createDataFrame(rows, "_id string, source string, size long")
+    out = mixing.mix_sizes(sizes)
+    assert python_free(out)
+    rows, taken, want = out.collect(), Counter(), {}
+    assert len(rows) == sizes.count() == len({r._id for r in rows})
+    for r in rows:
+        assert 0 <= r.copies <= 3
+        taken[r.source] += r.copies * r.size
+        want[r.source] = r.target
+    assert all(abs(taken[s] - want[s]) <= 0.002 * want[s] + 40 for s in want)
+
+
 def test_mixing_copies(docs, odd, empty):
     out = mixing.copy_documents(docs)
     assert out.columns == docs.columns

@@ -8,7 +8,7 @@ iterations on a compact (source, size) histogram. Rates are then rounded into co
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GAP, checkpoint, materialize, table, with_global_rank
@@ -17,6 +17,8 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 NEWTON_STEPS = 12
 CHUNK_ROWS = 256
+#: A document is rounded in a chunk only if the chunks hold this many times its words on average.
+SPREAD = 8
 #: Most rows of copies that are broadcast to the documents.
 BROADCAST_ROWS = 500_000
 
@@ -76,37 +78,72 @@ def solve_tilts(hist: DataFrame, targets: DataFrame, cap: int = CAP, steps: int
     return state.select("_source", "source_size", "target", "_scale", "_lambda")
 
 
+def size_levels(every: DataFrame) -> tuple[DataFrame, int]:
+    """Per _source of `every` (_source, size, n): _levels, an array of (level, top, rows, words) by size; and the most levels.
+
+    A level ends at the largest size of which its chunks can absorb a document; larger ones make the
+    next level, in fewer chunks, until one chunk holds what is left.
+    """
+    open_, parts, level = every, None, 0
+    w = Window.partitionBy("_source")
+    while True:
+        open_ = open_.withColumn("_chunks", F.ceil(F.sum("n").over(w) / CHUNK_ROWS)).withColumn("_below", F.sum(F.col("size") * F.col("n")).over(w.orderBy("size")))
+        fits = (F.col("_chunks") == 1) | (F.col("_below") >= SPREAD * F.col("size") * F.col("_chunks"))
+        open_ = checkpoint(open_.withColumn("_top", F.max(F.when(fits, F.col("size"))).over(w)))
+        here = F.col("_top").isNull() | (F.col("size") <= F.col("_top"))
+        part = open_.filter(here).groupBy("_source").agg(F.struct(F.lit(level).alias("level"), F.max("size").alias("top"), F.sum("n").alias("rows"), F.sum(F.col("size") * F.col("n")).alias("words")).alias("_l"))
+        parts = part if parts is None else parts.union(part)
+        open_ = open_.filter(~here).select("_source", "size", "n")
+        level += 1
+        if open_.isEmpty():
+            return parts.groupBy("_source").agg(F.sort_array(F.collect_list("_l")).alias("_levels")), level
+
+
 def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """Add source_size, target, rate and copies to rows with columns _id (unique), source, size.
 
     Copies: each source is cut into chunks of about CHUNK_ROWS documents by hash; inside a chunk the
     documents go from large to small, each taking the copies nearest to its own rate's words plus the
-    words still owed, so a chunk's error is at most about its least document.
+    words still owed, so a chunk's error is at most about its least document. Documents too large for
+    the others of a chunk to make up for are rounded before, among themselves; the words they leave owed
+    are spread over the next smaller level.
     """
     sizes = sizes.withColumnRenamed("source", "_source")
     hist = checkpoint(sizes.filter("size > 0").groupBy("_source", "size").agg(F.count("*").alias("n")))
     every = sizes.groupBy("_source", "size").agg(F.count("*").alias("n"))
     targets = source_targets(every, weights, cap)
     tilts = solve_tilts(hist, targets, cap)
-    counts = every.groupBy("_source").agg(F.sum("n").alias("_rows"))
-    per_source = targets.join(counts, targets["_source"].eqNullSafe(counts["_source"])).drop(counts["_source"])
+    levels, n_levels = size_levels(every)
+    per_source = targets.join(levels, targets["_source"].eqNullSafe(levels["_source"])).drop(levels["_source"])
     per_source = per_source.join(tilts.select(F.col("_source").alias("_key"), "_lambda", "_scale"), F.col("_source").eqNullSafe(F.col("_key")), "left").drop("_key")
-    per_source = checkpoint(per_source).alias("p").withColumnRenamed("_source", "_key")
-    rated = sizes.join(per_source, F.col("_source").eqNullSafe(F.col("_key"))).drop("_key")
-    rated = rated.withColumn("rate", F.when(F.col("size") > 0, rate(F.col("_lambda"), F.col("size") / F.col("_scale"), cap)).otherwise(1.0))
-    chunk = F.pmod(F.xxhash64("_id"), F.greatest(F.lit(1), F.ceil(F.col("_rows") / CHUNK_ROWS).cast("long")))
-    row = F.struct("size", "_id", "rate", "source_size", "target")
-    chunks = rated.groupBy("_source", chunk.alias("_chunk")).agg(F.sort_array(F.collect_list(row), asc=False).alias("_docs"))
+    per_source = checkpoint(per_source.withColumnRenamed("_source", "_key").withColumn("_add", F.lit(0.0)))
 
     def take(acc, d):
-        owed = acc["owed"] + d["rate"] * d["size"]
+        owed = acc["owed"] + (d["rate"] + d["add"]) * d["size"]
         n = F.when(d["size"] > 0, F.greatest(F.lit(0), F.least(F.lit(cap), F.round(owed / d["size"])))).otherwise(1).cast("int")
         return F.struct((owed - n * d["size"]).alias("owed"), F.concat(acc["copies"], F.array(n)).alias("copies"))
 
-    copies = F.aggregate("_docs", F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("copies")), take, lambda a: a["copies"])
-    flat = chunks.withColumn("_copies", copies).select("_source", F.explode(F.arrays_zip("_docs", "_copies")).alias("_d"))
+    out = None
+    for level in reversed(range(n_levels)):
+        rated = sizes.join(per_source, F.col("_source").eqNullSafe(F.col("_key"))).drop("_key")
+        rated = rated.withColumn("rate", F.when(F.col("size") > 0, rate(F.col("_lambda"), F.col("size") / F.col("_scale"), cap)).otherwise(1.0))
+        if n_levels > 1:
+            rated = rated.filter(F.size(F.filter("_levels", lambda x: x["top"] < F.col("size"))) == level)
+        chunk = F.pmod(F.xxhash64("_id"), F.greatest(F.lit(1), F.ceil(F.get("_levels", F.lit(level))["rows"] / CHUNK_ROWS).cast("long")))
+        row = F.struct("size", "_id", "rate", "source_size", "target", F.col("_add").alias("add"))
+        chunks = rated.groupBy("_source", chunk.alias("_chunk")).agg(F.sort_array(F.collect_list(row), asc=False).alias("_docs"))
+        taken = F.aggregate("_docs", F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("copies")), take)
+        settled = chunks.withColumn("_taken", taken)
+        if level:
+            settled = materialize(settled)
+            owed = settled.groupBy(F.col("_source").alias("_s")).agg(F.sum("_taken.owed").alias("_owed"))
+            below = F.get("_levels", F.lit(level - 1))["words"]
+            per_source = per_source.join(owed, F.col("_key").eqNullSafe(F.col("_s")), "left").withColumn("_add", F.coalesce(F.col("_owed") / F.nullif(below, F.lit(0)), F.lit(0.0)))
+            per_source = checkpoint(per_source.drop("_s", "_owed"))
+        flat = settled.select("_source", F.explode(F.arrays_zip("_docs", F.col("_taken.copies").alias("_copies"))).alias("_d"))
+        out = flat if out is None else out.union(flat)
     d = F.col("_d._docs")
-    return flat.select(d["_id"].alias("_id"), F.col("_source").alias("source"), d["size"].alias("size"), d["source_size"].alias("source_size"), d["target"].alias("target"), d["rate"].alias("rate"), F.col("_d._copies").alias("copies"))
+    return out.select(d["_id"].alias("_id"), F.col("_source").alias("source"), d["size"].alias("size"), d["source_size"].alias("source_size"), d["target"].alias("target"), d["rate"].alias("rate"), F.col("_d._copies").alias("copies"))
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
