@@ -144,6 +144,32 @@ def test_pairs_of_leaves_branched_deeper():
         assert [pairs(n, both[:k]) for n in both[k:]] == [1] + [0] * (len(both) - k - 1)
 
 
+def test_chance_to_miss_a_link():
+    """At the threshold, sketches and trees together miss as few as promised."""
+    from math import comb
+
+    least = minhash_join.least_equal(0.8, 5e-7)
+    tail = [sum(comb(128, k) * 0.8**k * 0.2 ** (128 - k) for k in range(n)) for n in (least, least + 1)]
+    assert tail[0] <= 5e-7 < tail[1]
+    assert minhash_join.missed(22, 6, 0.8, least) > 1e-5 and minhash_join.missed(33, 6, 0.8, least) <= 1e-6
+    assert minhash_join.missed(33, 6, 0.8, 86) > 2e-4
+
+
+def test_nodes_with_other_members_have_other_digests(spark):
+    from pyspark.sql import functions as F
+
+    # Pairs of ids whose hashes agree in the sum of their lower 40 bits.
+    h = spark.range(8000).select((F.xxhash64("id") % (1 << 40)).alias("h")).toPandas()["h"].to_numpy()
+    n = len(h) // 2
+    sums = (h[:n, None] + h[None, n:]).ravel()
+    order = np.argsort(sums)
+    k = np.flatnonzero(np.diff(sums[order]) == 0)
+    assert len(k)
+    rows = [(int(g), int(i)) for g in {*order[k].tolist(), *order[k + 1].tolist()} for i in (g // n, n + g % n)]
+    got = spark.createDataFrame(rows, "node long, rep long").groupBy("node").agg(*minhash_join.member_digests())
+    assert got.select("members").distinct().count() == got.select("members2").distinct().count() == got.count()
+
+
 def test_near_duplicates_odd(odd, empty):
     rows = minhash_join.near_duplicates(odd, 2).collect()
     assert len(rows) == odd.count()

@@ -24,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpoint, id_or_none, materialize, table, with_null_ids
@@ -38,8 +38,6 @@ REGION, REGION_CHARS, TOGETHER = 5000, 32_000_000, 2000
 BROADCAST_IDS = 2_000_000
 #: Similarity of unrelated texts, and how many of them a set may expect to meet in a leaf: these set the trees' depth.
 UNRELATED, CHANCE = 0.04, 0.05
-#: Standard errors that a sketch may fall short of the threshold.
-SLACK = 3.5
 #: Rounds in which every member meets one more close member of another component before all such pairs do.
 ROUNDS = 3
 
@@ -359,6 +357,11 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
+def member_digests() -> list[Column]:
+    """Two 64-bit digests of the members `rep` of a group."""
+    return [F.bit_xor(F.xxhash64("rep")).alias("members"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("members2")]
+
+
 def _survival(depth: int, p: float, threshold: float) -> float:
     """Chance that a pair sharing each coordinate with chance p meets in a leaf of one tree."""
     lost, more = 0.0, 1 / threshold - 1
@@ -368,6 +371,25 @@ def _survival(depth: int, p: float, threshold: float) -> float:
     return 1 - lost
 
 
+def _equal(n: int, p: float) -> float:
+    """Chance that n of COORDS coordinates are equal."""
+    return math.comb(COORDS, n) * p**n * (1 - p) ** (COORDS - n)
+
+
+def least_equal(threshold: float, miss: float) -> int:
+    """Most equal coordinates that a pair at the threshold falls short of with a chance of at most `miss`."""
+    least, tail = 0, _equal(0, threshold)
+    while tail <= miss:
+        least += 1
+        tail += _equal(least, threshold)
+    return least
+
+
+def missed(trees: int, depth: int, threshold: float, least: int) -> float:
+    """Chance that a pair at the threshold has too few equal coordinates, or meets in no tree by those it has: trees share them."""
+    return sum(_equal(n, threshold) * (1.0 if n < least else (1 - _survival(depth, n / COORDS, threshold)) ** trees) for n in range(COORDS + 1))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -383,13 +405,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     reps = materialize(reps.filter("rep IS NOT NULL"))
     total = max(2, reps.count())
     depth = max(2, math.ceil(math.log(total / CHANCE) / -math.log(UNRELATED)))
-    trees = min(TREES + 1, math.ceil(math.log(miss) / math.log(1 - _survival(depth, threshold, threshold))))
-    least = math.floor(COORDS * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDS)))
+    least = least_equal(threshold, miss / 2)
+    trees = next((n for n in range(1, TREES + 1) if missed(n, depth, threshold, least) <= miss), TREES + 1)
 
     leaves = reps.select("rep", "sig").mapInPandas(lambda it: leaf_batches(it, trees, depth, threshold), "node long, rep long")
-    shared = leaves.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep") % (1 << 40)).alias("members")).filter("size > 1")
+    shared = leaves.groupBy("node").agg(F.count("*").alias("size"), *member_digests()).filter("size > 1")
     # Of nodes with the same members the first stays.
-    shared = shared.groupBy("size", "members").agg(F.min(F.struct(F.col("node").bitwiseAND(F.lit(TREES)).alias("tree"), "node")).alias("_n")).select("_n.node", "size")
+    shared = shared.groupBy("size", "members", "members2").agg(F.min(F.struct(F.col("node").bitwiseAND(F.lit(TREES)).alias("tree"), "node")).alias("_n")).select("_n.node", "size")
     nodes = leaves.join(shared, "node").join(reps.select("rep", "sig"), "rep")
     open_ = nodes.select("node", "rep", F.col("rep").alias("label"), "sig", F.lit(False).alias("deep"), "size")
     flat = None
