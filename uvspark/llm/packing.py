@@ -118,7 +118,8 @@ def encoder(model_file: str, ranks_file: str | None):
     """Function from texts to lists of ids, as the tokenizers file gives them without added specials.
 
     ranks_file holds the same vocabulary for a faster library; it serves texts within Latin and common
-    punctuation, where both cut words alike. Others, and all if it is None, go to tokenizers.
+    punctuation, where both cut words alike. Others, texts that the faster library refuses, and all if it
+    is None, go to tokenizers.
     """
     key = (model_file, ranks_file)
     if key not in _ENCODERS:
@@ -149,7 +150,10 @@ def encoder(model_file: str, ranks_file: str | None):
             rest = []
             for i, t in enumerate(texts):
                 if fast is not None and not odd.search(t):
-                    out[i] = fast.encode(t, allowed_special="all")
+                    try:
+                        out[i] = fast.encode(t, allowed_special="all")
+                    except ValueError:  # its pattern gives up on white space of many thousand characters
+                        rest.append(i)
                 else:
                     rest.append(i)
             for i, e in zip(rest, slow.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
