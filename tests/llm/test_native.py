@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from uvspark.llm import mixing, rule_ledger, secret_scan, sharding, syncmers
 
@@ -79,14 +80,52 @@ def test_secrets_redacted(odd, empty):
     assert secret_scan.redact_documents(empty).count() == 0 and secret_scan.scan(empty).count() == 0
 
 
-def closed_anchors(text):
-    words = WORD.findall(text)
-    if len(words) < syncmers.K:
-        return {tuple(words)} if words else set()
-    return words
+def _hash(*values, seed=42):
+    """Spark's xxhash64 of strings and longs, chained."""
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else (v % 2**64).to_bytes(8, "little"), seed)
+    return seed
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
 
 
-def test_syncmers(odd, docs, empty):
+def closed_anchors(text):
+    """Brute force: (head, [(32-bit hash, word position)]) of a text."""
+    w = [_hash(x) for x in WORD.findall(text)]
+    k, s = syncmers.K, syncmers.S
+    head = f"{len(w)}:{_hash(*w):016x}"
+    if len(w) < k:
+        return head, [(_hash(*w) % 2**32, 0)] if w else []
+    out = []
+    for i in range(len(w) - k + 1):
+        inner = [_signed(_hash(*w[j : j + s])) for j in range(i, i + k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((_hash(inner[0], inner[2], inner[3]) % 2**32, i))
+    return head, out
+
+
+def fingerprint_of(text):
+    head, anchors = closed_anchors(text)
+    gaps = [b - a for (_, a), (_, b) in zip([(0, 0), *anchors], anchors)]
+    assert all(g <= syncmers.K - syncmers.S for g in gaps)
+    return f"{head}:" + "".join(f"{h:08x}{g}" for (h, _), g in zip(anchors, gaps))
+
+
+def likeness_of(a, b):
+    """(near, aligned) from two fingerprint strings alone."""
+    a, b = ([x.rpartition(":")[2][i : i + 9] for i in range(0, len(x.rpartition(":")[2]), 9)] for x in (a, b))
+    jaccard = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
+    links = lambda x: {(p[:8], q) for p, q in zip(x, x[1:])} if len(x) > 1 else set(x)
+    return jaccard({x[:8] for x in a}, {x[:8] for x in b}), jaccard(links(a), links(b))
+
+
+@pytest.mark.parametrize("bytes_", [4 << 20, 3000])
+def test_syncmers(spark, odd, docs, empty, bytes_, monkeypatch):
+    """All columns against brute force, with one range and with many."""
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", bytes_)
+    monkeypatch.setattr(syncmers, "RANGE_ROOT", 0)
     out = syncmers.compare_edited(docs)
     assert python_free(out)
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
@@ -96,16 +135,32 @@ def test_syncmers(odd, docs, empty):
         half = len(text) // 2
         edited = text[: len(text) - half] + nxt[:half]
         assert got[d].n_chars == len(text) and got[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert 0 <= got[d].near_edited <= 1 and 0 <= got[d].near_next <= 1
-        if text == nxt:
-            assert got[d].near_next == 1
-    texts = defaultdict(set)
-    for d, text in rows:
-        texts[text].add(got[d].fingerprint)
-    assert all(len(v) == 1 for v in texts.values())
+        prints = [fingerprint_of(t) for t in (text, edited, nxt)]
+        assert [got[d].fingerprint, got[d].edited_fingerprint] == prints[:2]
+        want = [*likeness_of(prints[0], prints[1]), *likeness_of(prints[0], prints[2])]
+        assert [got[d].near_edited, got[d].aligned_edited, got[d].near_next, got[d].aligned_next] == pytest.approx(want, abs=1e-12)
     assert syncmers.compare_edited(odd).count() == odd.count() and syncmers.compare_edited(empty).count() == 0
 
 
+def test_syncmers_of_texts_that_differ_in_a_word(spark):
+    base = [f"w{i * 7919 % 3001}" for i in range(3000)]
+    df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join([*base[:-1], "other"])), (3, " ".join(["other", *base[1:]]))], "doc_id long, text string")
+    assert syncmers.compare_edited(df).select("fingerprint").distinct().count() == 3
+
+
+def test_next_of_one_repeated_id(spark, monkeypatch):
+    """An id (or none) on most rows is cut by the texts' hashes; every row still gets the next one."""
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", 400)
+    monkeypatch.setattr(syncmers, "RANGE_ROOT", 0)
+    rows = [(7 if i % 3 else None, f"text number {i} of many") for i in range(600)] + [(i, f"own {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = syncmers.with_next(df)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), _signed(_hash(r[1])), r[1]))
+    want = {(a, b[1]) for a, b in zip(order, [*order[1:], order[0]])}
+    assert {((r.doc_id, r.text), r._next.text) for r in out.collect()} == want
+    assert out.groupBy("_range").count().agg({"count": "max"}).first()[0] < 60
+
+
 def test_syncmer_anchors_need_no_context(spark):
     passage = " ".join(f"w{i * 37 % 101}" for i in range(60))
     df = spark.createDataFrame([(1, passage), (2, "other words first " + passage), (3, passage + " then more words after")], "doc_id long, text string")
@@ -205,6 +260,19 @@ def test_mixing_copies(docs, odd, empty):
     assert mixing.copy_documents(odd).columns == odd.columns and mixing.mix_documents(empty).count() == 0
 
 
+def descend(key, tree):
+    """Brute force: the shard of a key, level by level."""
+
+    def draw(path, weights):
+        u = [(int(hashlib.md5(f"{path}:{i}".encode()).hexdigest()[:13], 16) + 1) / 2**52 for i in range(len(weights))]
+        return min((i for i, w in enumerate(weights) if w > 0), key=lambda i: -math.log(u[i]) / weights[i])
+
+    region = draw(key, [sum(map(sum, r)) for r in tree])
+    rack = draw(f"{key}:{region}", [sum(r) for r in tree[region]])
+    shard = draw(f"{key}:{region}:{rack}", tree[region][rack])
+    return sum(len(r) for reg in tree[:region] for r in reg) + sum(len(r) for r in tree[region][:rack]) + shard
+
+
 @pytest.mark.parametrize("name", ["odd", "docs"])
 def test_sharding(name, request):
     docs = request.getfixturevalue(name)
@@ -214,20 +282,35 @@ def test_sharding(name, request):
     want = Counter((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in docs.collect())
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
     slots = defaultdict(list)
+    tree = sharding.built_tree([1.0] * 40)
+    assert [len(r) for r in tree] == [4, 4, 2]
     for r in rows:
         slots[r.shard].append(r.slot)
-        best = min(range(41), key=lambda k: -int(hashlib.md5(f"{'null' if r.doc_id is None else r.doc_id}:{k}".encode()).hexdigest()[:13], 16))
-        assert r.grown_shard == best and r.grown_shard in (r.shard, 40) and 0 <= r.shard < 40
+        key = "null" if r.doc_id is None else r.doc_id
+        assert r.shard == descend(key, tree) and r.grown_shard == descend(key, sharding.grown_tree(tree)) and r.grown_shard in (r.shard, 40)
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
 def test_sharding_weights(spark, empty):
+    """Weights are met; a change of one weight moves nothing between subtrees whose weights stay, nor inside them."""
     from pyspark.sql import functions as F
 
-    keys = spark.range(4000).select(F.col("id").cast("string").alias("k"))
-    weights = [1.0] * 9 + [3.0]
-    one = {r.k: r.s for r in keys.select("k", sharding.tree_shard(F.col("k"), weights).alias("s")).collect()}
-    two = {r.k: r.s for r in keys.select("k", sharding.tree_shard(F.col("k"), [2.0, *weights[1:]]).alias("s")).collect()}
-    assert 800 < sum(s == 9 for s in one.values()) < 1200
-    assert all(two[k] in (one[k], 0) for k in one)
+    keys = spark.range(6000).select(F.col("id").cast("string").alias("k"))
+    weights = [1.0] * 33 + [0.0] + [5.0] * 6
+    place = lambda tree: {r.k: r.s for r in sharding.with_shard(keys, "k", tree, "s").collect()}
+    tree = sharding.built_tree(weights)
+    one = place(tree)
+    assert all(one[k] == descend(k, tree) for k in one)
+    share = Counter(one.values())
+    assert share[33] == 0 and all(abs(share[i] - 6000 * w / sum(weights)) < 6 * math.sqrt(6000 * w / sum(weights)) + 1 for i, w in enumerate(weights))
+    two = place(sharding.built_tree([weights[0] + 2, *weights[1:]]))
+    moved = {k for k in one if one[k] != two[k]}
+    # Region 0 got heavier: rows come into it from outside; inside it they go to rack 0; inside that to shard 0.
+    assert moved and all(two[k] // 16 == 0 for k in moved)
+    assert all(two[k] // 4 == 0 for k in moved if one[k] // 16 == 0) and all(two[k] == 0 for k in moved if one[k] // 4 == 0)
+    grown = place(sharding.grown_tree(tree, 2.0))
+    assert all(grown[k] in (one[k], 40) for k in one) and 6000 * 2 / (sum(weights) + 2) * 0.7 < sum(s == 40 for s in grown.values())
+    # By count: 42 shards are 41 and one more.
+    counts = {n: place(sharding.built_tree([1.0] * n)) for n in (40, 41, 42)}
+    assert all(counts[n + 1][k] in (counts[n][k], n) for n in (40, 41) for k in one)
     assert sharding.shard_documents(empty).count() == 0

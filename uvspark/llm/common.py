@@ -30,10 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: what the session names, else (tests) one of our own."""
+    """The shared folder for intermediate tables: what the session names. Only a local master may go without: it gets one of its own."""
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not shared:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="uvspark-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared)
@@ -66,11 +68,17 @@ def with_global_rank(df: DataFrame, order: list[Column], name: str = "rank") ->
     in all order columns get ranks in no fixed order.
     """
     placed = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()))
-    counts = placed.groupBy(F.shiftright("_mid", 33).alias("_pid")).agg(F.count("*").alias("n")).collect()
-    offsets, total = [], 0
-    for row in sorted(counts, key=lambda r: r["_pid"]):
-        offsets.append((row["_pid"], total))
-        total += row["n"]
-    starts = df.sparkSession.createDataFrame(offsets, "_pid bigint, _start bigint")
-    rank = F.col("_start") + F.col("_mid").bitwiseAND((1 << 33) - 1)
-    return placed.withColumn("_pid", F.shiftright("_mid", 33)).join(F.broadcast(starts), "_pid").withColumn(name, rank).drop("_pid", "_mid", "_start")
+    counts = {r["_pid"]: r["n"] for r in placed.groupBy(F.shiftright("_mid", 33).alias("_pid")).agg(F.count("*").alias("n")).collect()}
+    starts, total = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        starts.append(total)
+        total += counts.get(pid, 0)
+    rank = F.get(long_array(starts), F.shiftright("_mid", 33).cast("int")) + F.col("_mid").bitwiseAND((1 << 33) - 1)
+    return placed.withColumn(name, rank).drop("_mid")
+
+
+def long_array(values: list[int]) -> Column:
+    """A constant array, from one literal: an expression per member would make a large plan."""
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
