@@ -224,7 +224,7 @@ def classify(docs: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
     # The bounded sample to fit on: the least hashes. A cut that leaves half as many again goes before the sort;
     # where many rows are alike it may leave too few, and all rows are sorted.
     total = int(seen["n"].sum())
-    part = 1.5 * training_rows / total
+    part = min(0.5, 1.5 * training_rows / total)
     least = F.xxhash64("doc_id", "text")
     for some in [rows.filter(least < -(1 << 63) + int(part * (1 << 64)))] * (part < 0.5) + [rows]:
         chosen = some.orderBy(least, "doc_id", "text").limit(training_rows)
