@@ -260,6 +260,21 @@ def test_token_counts_of_hard_texts():
     assert machine.counts(texts).tolist() == [len(x) for x in sp.encode(texts)]
 
 
+def test_chunk_maps_compose():
+    """Against a plain loop: maps of a random machine, some made for a wrong entry state."""
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        sizes = rng.integers(1, 12, 5)
+        nth = np.concatenate([np.arange(n) for n in sizes])
+        exit_, count = rng.integers(0, 2, len(nth)), rng.integers(0, 9, len(nth))
+        entry = np.where(rng.random(len(nth)) < 0.8, np.concatenate([[0], exit_[:-1]]), 1 - np.concatenate([[0], exit_[:-1]]))
+        start, total = token_counts.compose(nth, entry, exit_, count)
+        first = 0
+        for i in range(len(nth)):
+            first = first if nth[i] and entry[i] == exit_[i - 1] else i
+            assert start[i] == first and total[i] == count[first : i + 1].sum()
+
+
 def test_quality_on_held_out_labels(spark, docs, sf_dir, odd, empty):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").toPandas()
     out = weak_label.classify(docs).toPandas()

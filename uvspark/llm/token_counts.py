@@ -7,9 +7,10 @@ about the past is bounded: the suffix that may still grow into a token, and the
 relative count) at each place in it. That is a deterministic transducer; its transitions carry the
 change of the emitted-token count. It is compiled as the texts ask for it.
 
-Long texts are cut into chunks that run side by side. A chunk's map sends an entry state to an exit
-state and a count; chunks start from the state that a short look-back gives, and a scan over each
-text's chunks composes the maps, running a chunk again where its entry state was another.
+Long texts are cut into chunks that run side by side. A chunk's map sends entry states to exit states
+and counts; it is made at first for the one entry state that a short look-back gives. A prefix scan
+composes the maps of each text's chunks in a logarithmic number of rounds. Where two maps don't meet,
+the later is made anew for the state that comes in, and the scan is repeated.
 """
 
 from __future__ import annotations
@@ -189,12 +190,32 @@ class Transducer:
         look = np.maximum(begin - LOOK_BACK, first[doc])
         entry, _ = self.run(codes, look, begin, np.zeros(len(doc), np.int32))
         exit_, count = self.run(codes, begin, end, entry)
-        follows = np.flatnonzero(nth > 0)
-        while (wrong := follows[entry[follows] != exit_[follows - 1]]).size:
-            # The first wrong chunk of each text has its true entry state now; others may get theirs too.
+        while True:
+            start, total = compose(nth, entry, exit_, count)
+            wrong = np.unique(start[nth[start] > 0])
+            if not wrong.size:
+                break
             entry[wrong] = exit_[wrong - 1]
             exit_[wrong], count[wrong] = self.run(codes, begin[wrong], end[wrong], entry[wrong])
-        return np.bincount(doc, weights=count, minlength=len(texts)).astype(np.int64) if len(doc) else np.zeros(len(texts), np.int64)
+        out = np.zeros(len(texts), np.int64)
+        last = np.flatnonzero(np.diff(doc, append=-1))
+        out[doc[last]] = total[last]
+        return out
+
+
+def compose(nth: np.ndarray, entry: np.ndarray, exit_: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix scan over chunk maps (nth: place in the text): per chunk, the first chunk and the count of the longest composed map that ends in it.
+
+    Two maps compose if the exit state of the first is the entry state of the second. Each round composes
+    every map with the one that ends before it, so that spans double.
+    """
+    start, total = np.arange(len(nth)), count.copy()
+    open_ = np.zeros(len(nth), bool)  # what ends before composes with it
+    open_[1:] = (nth[1:] > 0) & (entry[1:] == exit_[:-1])
+    while (at := np.flatnonzero(open_)).size:
+        left = start[at] - 1
+        total[at], start[at], open_[at] = total[at] + total[left], start[left], open_[left]
+    return start, total
 
 
 _COMPILED: dict[str, Transducer] = {}
@@ -219,7 +240,7 @@ def count_batches(batches: Iterator[pd.DataFrame], model_file: str) -> Iterator[
 def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit (more than limit tokens).
 
-    Null text counts as empty: no bytes, no tokens. Repeated rows are counted each; an empty table
+    Null text counts as empty: no bytes, no tokens. Long texts are counted whole. Repeated rows are counted each; an empty table
     gives no rows; other columns are ignored. The model file must be readable on the executors.
     """
     text = F.coalesce("text", F.lit(""))
