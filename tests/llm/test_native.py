@@ -314,3 +314,16 @@ def test_sharding_weights(spark, empty):
     counts = {n: place(sharding.built_tree([1.0] * n)) for n in (40, 41, 42)}
     assert all(counts[n + 1][k] in (counts[n][k], n) for n in (40, 41) for k in one)
     assert sharding.shard_documents(empty).count() == 0
+
+
+def test_mixing_without_sources_or_ids(spark):
+    """No source column: one source. Documents without doc_id spread over the chunks by their texts."""
+    df = spark.range(3000).selectExpr("cast(NULL as long) AS doc_id", "concat('row ', id, repeat(' w', cast(id % 50 as int))) AS text")
+    out = mixing.mix_documents(df)
+    rows = out.collect()
+    assert len(rows) == 3000 and {r.source for r in rows} == {None} and abs(sum(r.taken for r in rows) - rows[0].target) < 60
+    assert mixing.copy_documents(df).columns == ["doc_id", "text"]
+    from pyspark.sql import functions as F
+
+    sized = mixing.document_sizes(df).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_salt"), F.lit(12)))
+    assert sized.groupBy("chunk").count().agg({"count": "max"}).first()[0] < 400

@@ -15,7 +15,8 @@ from .common import GAP, checkpoint, materialize, table, with_global_rank
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
-NEWTON_STEPS = 12
+#: Newton ends when every source is this near its target, relatively; beyond so many steps it raises.
+TOLERANCE, NEWTON_STEPS = 1e-7, 100
 CHUNK_ROWS = 256
 #: A document is rounded in a chunk only if the chunks hold this many times its words on average.
 SPREAD = 8
@@ -56,9 +57,10 @@ def solve_tilts(hist: DataFrame, targets: DataFrame, cap: int = CAP, steps: int
     """Add _lambda and _scale per source: damped Newton on the dual, all sources at once.
 
     Each step is one aggregate over the histogram. A bracket kept per source takes over where a Newton
-    step would leave it; targets at zero or at the cap end at the bracket's bound, rate 0 or cap.
+    step would leave it. A source whose target is all it may give has rate cap throughout and takes no part.
     """
-    state = targets.withColumns({"_lambda": F.lit(0.0), "_lo": F.lit(-700.0), "_hi": F.lit(700.0)})
+    full = F.col("target") >= F.col("source_size") * cap * (1 - 1e-12)
+    state = targets.withColumns({"_lambda": F.when(full, 700.0).otherwise(0.0), "_full": full, "_lo": F.lit(-700.0), "_hi": F.lit(700.0)})
     scale = hist.groupBy("_source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("_scale"))
     state = checkpoint(state.join(scale, state["_source"].eqNullSafe(scale["_source"])).drop(scale["_source"]))
     for _ in range(steps):
@@ -70,12 +72,17 @@ def solve_tilts(hist: DataFrame, targets: DataFrame, cap: int = CAP, steps: int
             .agg(F.sum(F.col("n") * F.col("size") * r).alias("_f"), F.sum(F.col("n") * F.col("size") * x * r * (1 - r / cap)).alias("_df"))
         )
         over = F.col("_f") > F.col("target")
+        done = F.col("_full") | (F.abs(F.col("_f") - F.col("target")) <= TOLERANCE * F.col("target"))
         lo, hi = F.when(over, F.col("_lo")).otherwise(F.col("_lambda")), F.when(over, F.col("_lambda")).otherwise(F.col("_hi"))
         newton = F.col("_lambda") - (F.col("_f") - F.col("target")) / F.nullif(F.col("_df"), F.lit(0.0))
-        state = state.join(sums, F.col("_source").eqNullSafe(F.col("_key"))).select("_source", "source_size", "target", "_scale", lo.alias("_lo"), hi.alias("_hi"), newton.alias("_try"))
-        state = state.withColumn("_lambda", F.when(F.col("_try").between(F.col("_lo"), F.col("_hi")), F.col("_try")).otherwise((F.col("_lo") + F.col("_hi")) / 2)).drop("_try")
+        state = state.join(sums, F.col("_source").eqNullSafe(F.col("_key"))).select("_source", "source_size", "target", "_scale", "_full", "_lambda", lo.alias("_lo"), hi.alias("_hi"), newton.alias("_try"), done.alias("_done"))
+        step = F.when(F.col("_try").between(F.col("_lo"), F.col("_hi")), F.col("_try")).otherwise((F.col("_lo") + F.col("_hi")) / 2)
+        state = state.withColumn("_lambda", F.when(F.col("_done"), F.col("_lambda")).otherwise(step)).drop("_try")
         state = checkpoint(state)  # short plans, alike in every step
-    return state.select("_source", "source_size", "target", "_scale", "_lambda")
+        if state.filter("NOT _done").isEmpty():
+            return state.select("_source", "source_size", "target", "_scale", "_lambda")
+        state = state.drop("_done")
+    raise RuntimeError(f"the tilts miss their targets by more than {TOLERANCE} after {steps} steps")
 
 
 def size_levels(every: DataFrame) -> tuple[DataFrame, int]:
@@ -100,7 +107,9 @@ def size_levels(every: DataFrame) -> tuple[DataFrame, int]:
 
 
 def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """Add source_size, target, rate and copies to rows with columns _id (unique), source, size.
+    """Add source_size, target, rate and copies to rows with columns _id, source, size and perhaps _salt.
+
+    _id and _salt together place a row in its chunk; rows alike in both meet in one.
 
     Copies: each source is cut into chunks of about CHUNK_ROWS documents by hash; inside a chunk the
     documents go from large to small, each taking the copies nearest to its own rate's words plus the
@@ -109,6 +118,8 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = C
     are spread over the next smaller level.
     """
     sizes = sizes.withColumnRenamed("source", "_source")
+    if "_salt" not in sizes.columns:
+        sizes = sizes.withColumn("_salt", F.lit(0))
     hist = checkpoint(sizes.filter("size > 0").groupBy("_source", "size").agg(F.count("*").alias("n")))
     every = sizes.groupBy("_source", "size").agg(F.count("*").alias("n"))
     targets = source_targets(every, weights, cap)
@@ -129,7 +140,7 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = C
         rated = rated.withColumn("rate", F.when(F.col("size") > 0, rate(F.col("_lambda"), F.col("size") / F.col("_scale"), cap)).otherwise(1.0))
         if n_levels > 1:
             rated = rated.filter(F.size(F.filter("_levels", lambda x: x["top"] < F.col("size"))) == level)
-        chunk = F.pmod(F.xxhash64("_id"), F.greatest(F.lit(1), F.ceil(F.get("_levels", F.lit(level))["rows"] / CHUNK_ROWS).cast("long")))
+        chunk = F.pmod(F.xxhash64("_id", "_salt"), F.greatest(F.lit(1), F.ceil(F.get("_levels", F.lit(level))["rows"] / CHUNK_ROWS).cast("long")))
         row = F.struct("size", "_id", "rate", "source_size", "target", F.col("_add").alias("add"))
         chunks = rated.groupBy("_source", chunk.alias("_chunk")).agg(F.sort_array(F.collect_list(row), asc=False).alias("_docs"))
         taken = F.aggregate("_docs", F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("copies")), take)
@@ -147,20 +158,21 @@ def mix_sizes(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = C
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size in words; null text has none. `source` may be absent: then null."""
+    """doc_id, source, size in words and a hash of the text; null text has no words. `source` may be absent: then null."""
     text = F.coalesce("text", F.lit(""))
     gaps = F.size(F.split(text, GAP, -1))
     empty_ends = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0) + F.when(text.rlike(r"[\x20\x09-\x0D]\z"), 1).otherwise(0)
     n = F.when(text.rlike(r"[^\x20\x09-\x0D]"), gaps - empty_ends).otherwise(0)
-    return docs.select("doc_id", "source", n.cast("long").alias("size"))
+    source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string").alias("source")
+    return docs.select("doc_id", source, n.cast("long").alias("size"), F.xxhash64(text).alias("_salt"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies, taken.
 
-    Null source is a source of its own, the last. A document without words keeps one copy of nothing.
-    Repeated rows are documents of their own. The same input gives the same copies again. An empty
-    table gives no rows.
+    Null source, or no such column, is a source of its own, the last. A document without words keeps one
+    copy of nothing. Long texts count whole. Repeated rows are documents of their own. The same input gives
+    the same copies again. An empty table gives no rows; other columns are ignored.
     """
     sized = materialize(document_sizes(docs))
     rows = mix_sizes(sized.withColumnRenamed("doc_id", "_id"), weights, cap)
@@ -170,10 +182,12 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int
 def copy_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """docs as the mix takes them: every row as often as its copies say, so perhaps not at all.
 
-    Columns stay. Rows alike in doc_id, source and text share their copies.
+    Columns stay, whatever their names; `source` may be absent. Rows alike in doc_id, source and text share
+    their copies. Null text has no words and keeps one copy; an empty table stays empty.
     """
-    key = {"__id": F.col("doc_id"), "__source": F.col("source"), "__text": F.xxhash64(F.coalesce("text", F.lit("")))}
-    sized = document_sizes(docs.select(F.struct(*[v.alias(k) for k, v in key.items()]).alias("doc_id"), "source", "text"))
+    source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
+    key = {"__id": F.col("doc_id"), "__source": source, "__text": F.xxhash64(F.coalesce("text", F.lit("")))}
+    sized = document_sizes(docs.select(F.struct(*[v.alias(k) for k, v in key.items()]).alias("doc_id"), source.alias("source"), "text")).drop("_salt")
     mixed = mix_sizes(materialize(sized.withColumnRenamed("doc_id", "_id")), weights, cap)
     copies = materialize(mixed.groupBy("_id").agg(F.sum("copies").cast("int").alias("__copies"), F.count("*").alias("__rows")).filter("__copies > 0"))
     rows = docs.select(F.struct(*docs.columns).alias("__row"), F.struct(*[v.alias(k) for k, v in key.items()]).alias("__key"))
