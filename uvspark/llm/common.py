@@ -50,9 +50,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, for small tables of iterative algorithms."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """A written table for a step of an iteration. DataFrame.checkpoint keeps the constraints of the plan it cuts, which grow from step to step."""
+    return materialize(df)
 
 
 def words(text: Column) -> Column:
