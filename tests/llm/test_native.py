@@ -71,6 +71,70 @@ def test_secrets_joined_to_names(spark):
     assert not any(got[1000 + i] for i in range(len(plain)))
 
 
+def battery_of(token):
+    """Brute force: (combined p-value against uniform, number of symbols, likelihood ratio to prose), or None without an encoding."""
+    for _, alphabet, pattern in secret_scan.ENCODINGS:
+        if re.search(pattern, token):
+            break
+    else:
+        return None
+    x = [alphabet.index(c) for c in token.rstrip("=")]
+    n, size = len(x), len(alphabet)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi, df = sum(v * v for v in Counter(x).values()) * size / n - n, size - 1
+    cells = tail((math.cbrt(chi / df) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    high = [2 * v >= size for v in x]
+    n1, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    n0 = n - n1
+    var = 2 * n0 * n1 * (2 * n0 * n1 - n) / (n * n * (n - 1))
+    p_runs = 2 * tail(abs(runs - 2 * n0 * n1 / n - 1) / math.sqrt(var)) if var > 0 else 0.0
+    c = [v - (size - 1) / 2 for v in x]
+    p_serial = 2 * tail(abs(sum(a * b for a, b in zip(c, c[1:]))) / sum(a * a for a in c) * math.sqrt(n))
+    prose = sum(math.log(1 / size) - secret_scan._prose_log(alphabet[v]) for v in x)
+    return min(1.0, 3 * min(cells, p_runs, p_serial)), n, prose
+
+
+def hochberg(ps, rate):
+    """Which p-values Benjamini-Hochberg rejects."""
+    order = sorted(ps)
+    best = max((p for i, p in enumerate(order, 1) if p <= rate * i / len(order)), default=-1)
+    return [p <= best for p in ps]
+
+
+def test_secrets_battery_and_discoveries(spark):
+    """P-values, classes and flags of single tokens against brute force; p-values are compared as the operator rounds them."""
+    import random
+
+    rng = random.Random(12)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = "the of and to in is that it was for on are with as his they at be this from or had by hot but some what there we can out other were all your when up use word how said an each she".split()
+    prose = ["".join(rng.choice(words).capitalize() for _ in range(rng.randint(8, 16))) + str(rng.randint(0, 99)) for _ in range(120)]
+    keys = ["".join(rng.choice(a) for _ in range(rng.randint(20, 80))) for a in (alnum, "0123456789abcdef", alnum + "+/") for _ in range(60)]
+    odd = ["abcd1234" * 5, "0f" * 20, "A1" * 15 + "b", "aaaaaaaaaaaaaaaaaaaaaaaa1"]
+    tokens = [t for t in prose + keys + odd if "/" not in t and len(t) >= secret_scan.MIN_TOKEN]  # whole runs only
+    df = spark.createDataFrame(list(enumerate(f"x {t} y" for t in tokens)), "doc_id long, text string")
+    found = {}
+    for r in secret_scan._base_and_candidates(df).collect():
+        assert len(r._found) == (battery_of(tokens[r.doc_id]) is not None)
+        found[r.doc_id] = r._found[0] if r._found else None
+    known = [i for i in found if found[i] is not None]
+    eighths = lambda x: max(0, min(secret_scan.MOST_BINS, math.floor(8 * x)))
+    rejected = {}
+    for level in range(3):
+        mine = [i for i in known if sum(battery_of(tokens[i])[1] >= n for n in secret_scan.LENGTHS[1:]) == level]
+        for i in mine:
+            p, _, ratio = battery_of(tokens[i])
+            assert found[i].level == level and found[i].uniform == pytest.approx(p, abs=1e-6) and abs(found[i].prose - eighths(ratio)) <= 1
+        for test in ("battery", "prose"):
+            flags = hochberg([math.exp(-found[i][test] / 8) for i in mine], secret_scan.FDR)
+            rejected |= {(test, i): f for i, f in zip(mine, flags)}
+    for r in secret_scan.scan(df).collect():
+        random_ = r.doc_id in known and not rejected["battery", r.doc_id] and rejected["prose", r.doc_id]
+        assert [(s.start, s.end) for s in r.random] == [(2, 2 + len(tokens[r.doc_id]))] * random_
+    share = lambda part: sum(bool(found[tokens.index(t)]) and not rejected["battery", tokens.index(t)] and rejected["prose", tokens.index(t)] for t in part if t in tokens) / len(part)
+    assert share(prose) < 0.03 and share([k for k in keys if k in tokens]) > 0.95 and share(odd) == 0
+
+
 def test_secrets_redacted(odd, empty):
     out = secret_scan.redact_documents(odd)
     assert out.columns == odd.columns and out.count() == odd.count()

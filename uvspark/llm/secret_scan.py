@@ -2,12 +2,13 @@
 
 Candidates are maximal runs of at least MIN_TOKEN token characters, and their parts of that length
 between the marks that join a value to its name or path ("=", "/", "_" and "-"). Each gets an inferred encoding
-(the smallest alphabet that holds it), a battery against "uniform over that alphabet" (chi-squared
-cell counts, runs above and below the middle, lag-one serial correlation), and a p-value against
-"written language", from the likelihood ratio of the uniform model to a prose letter model. A
-candidate is a secret if the battery doesn't reject and Benjamini-Hochberg over all candidates of its
-length class (longer ones carry more evidence and are judged among their like) rejects prose. Secrets
-that overlap in a run are reported as one.
+(the smallest alphabet that holds it) and a battery against "uniform over that alphabet": chi-squared
+cell counts, runs above and below the middle, lag-one serial correlation, combined into one p-value by
+Bonferroni. Benjamini-Hochberg over the combined p-values of all candidates of a length class (short
+ones carry less evidence and are judged among their like) finds those with structure: these are no secrets, and
+at most the rate FDR of them are random after all. Short prose can pass the battery, so a second
+Benjamini-Hochberg over p-values against "written language" (from the likelihood ratio of the uniform
+model to a prose letter model) must reject prose too. Secrets that overlap in a run are reported as one.
 """
 
 from __future__ import annotations
@@ -46,9 +47,9 @@ LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60,
 CLASSES = (0.90, 0.08, 0.02)
 #: Share of capitals among the letters of prose.
 CAPITALS = 0.05
-#: Length classes by least length, false-discovery rate, and level of the battery.
+#: Length classes by least length, and the false-discovery rate.
 LENGTHS = (20, 32, 64)
-FDR, BATTERY_LEVEL = 0.01, 0.001
+FDR = 0.01
 #: P-values are compared as whole eighths of -ln p, up to this many.
 MOST_BINS = 4096
 
@@ -154,8 +155,9 @@ def battery() -> tuple:
         p_serial = F.when(c["s"]["xx"] > 0, 2 * upper_tail(F.abs(c["s"]["xy"]) / c["s"]["xx"] * F.sqrt(n))).otherwise(0.0)
         uniform = F.least(F.lit(1.0), 3 * F.least(p_cells, p_runs, p_serial))
         level = sum((n >= least).cast("int") for least in LENGTHS[1:]) if len(LENGTHS) > 1 else F.lit(0)
-        bins = F.greatest(F.lit(0), F.least(F.lit(MOST_BINS), F.floor(c["ratio"] * 8).cast("int")))
-        return F.struct(*cols(c, "start", "end", "kind"), uniform.alias("uniform"), level.alias("level"), bins.alias("bin"))
+        whole = lambda x: F.greatest(F.lit(0), F.least(F.lit(MOST_BINS), F.floor(x * 8).cast("int")))
+        battery_bin = whole(-F.log(F.greatest(uniform, F.lit(1e-300))))
+        return F.struct(*cols(c, "start", "end", "kind"), uniform.alias("uniform"), level.alias("level"), battery_bin.alias("battery"), whole(c["ratio"]).alias("prose"))
 
     return encode, (codes, count, judge)
 
@@ -177,37 +179,45 @@ def _base_and_candidates(docs: DataFrame) -> DataFrame:
     return rows
 
 
-def thresholds(rows: DataFrame) -> list[int]:
-    """Least bin of -ln p to flag, per length class, by Benjamini-Hochberg over all candidates.
+def rejects_from(counts: dict[int, int]) -> int:
+    """Benjamini-Hochberg on p-values counted in whole eighths of -ln p: least bin that is rejected; MOST_BINS + 1 if none."""
+    total, above, best = sum(counts.values()), 0, MOST_BINS + 1
+    for at in sorted(counts, reverse=True):
+        above += counts[at]
+        if at >= 8 * math.log(total / (FDR * above)):
+            best = at
+    return best
 
-    What comes to the driver is one count per class and bin, at most len(LENGTHS) * MOST_BINS rows.
+
+def thresholds(rows: DataFrame) -> tuple[list[int], list[int]]:
+    """Per length class, over all candidates: least bin at which the battery finds structure, and at which prose is rejected.
+
+    What comes to the driver is one count per class, test and bin, at most 2 * len(LENGTHS) * (MOST_BINS + 1) rows.
     """
-    hits = rows.select(F.explode("_found").alias("c")).groupBy("c.level", "c.bin").agg(F.count("*").alias("n")).collect()
-    least = []
-    for level in range(len(LENGTHS)):
-        mine = sorted(((r["bin"], r["n"]) for r in hits if r["level"] == level), reverse=True)
-        total, above, best = sum(n for _, n in mine), 0, MOST_BINS + 1
-        for at, n in mine:
-            above += n
-            if at >= 8 * math.log(total / (FDR * above)):
-                best = at
-        least.append(best)
-    return least
+    both = lambda c: F.array(*[F.struct(c["level"].alias("level"), F.lit(t).alias("test"), c[t].alias("bin")) for t in ("battery", "prose")])
+    bins = rows.select(F.explode("_found").alias("c")).select(F.explode(both(F.col("c"))).alias("b"))
+    hits = bins.groupBy("b.level", "b.test", "b.bin").agg(F.count("*").alias("n")).collect()
+    least = lambda test, level: rejects_from({r["bin"]: r["n"] for r in hits if r["test"] == test and r["level"] == level})
+    return tuple([least(t, k) for k in range(len(LENGTHS))] for t in ("battery", "prose"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base and spans.
+    """One row per document: doc_id, n_assign, n_access, n_hex, base, spans, random and n_candidates.
 
-    base and spans are arrays of (start, kind, end), in order, kind an index into KINDS; spans has all
-    of base and the random tokens that overlap none of it. Null text counts as empty: no spans.
-    Repeated rows are scanned on their own; an empty table gives no rows; other columns are ignored.
+    base, spans and random are arrays of (start, kind, end), in order, kind an index into KINDS; random has
+    the random tokens, spans all of base and the random tokens that overlap none of it. Null text counts
+    as empty: no spans. Long texts are scanned whole. Repeated rows are scanned on their own; an empty
+    table gives no rows; other columns are ignored.
     """
     rows = materialize(_base_and_candidates(docs))
-    least = F.array(*map(F.lit, thresholds(rows)))
-    flagged = F.filter("_found", lambda c: (c["uniform"] >= BATTERY_LEVEL) & (c["bin"] >= F.get(least, c["level"])))
-    rows = rows.withColumn("_found", flagged)
+    structure, prose = (F.array(*map(F.lit, x)) for x in thresholds(rows))
+    flagged = F.filter("_found", lambda c: (c["battery"] < F.get(structure, c["level"])) & (c["prose"] >= F.get(prose, c["level"])))
+    rows = rows.withColumn("_n", F.size("_found").cast("long")).withColumn("_found", flagged)
     free = F.filter("_found", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return rows.select("doc_id", F.col("n_assign"), F.col("n_access"), F.col("n_hex"), F.col("_base").alias("base"), F.sort_array(F.concat("_base", united(free))).alias("spans"))
+    return rows.select(
+        "doc_id", F.col("n_assign"), F.col("n_access"), F.col("n_hex"), F.col("_base").alias("base"), F.sort_array(F.concat("_base", united(free))).alias("spans"),
+        united(F.col("_found")).alias("random"), F.col("_n").alias("n_candidates"),
+    )
 
 
 def joined(places: Column) -> Column:
@@ -242,4 +252,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
 
 def op1_secret_randomness(spark, sf_dir):
     rows = scan(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return rows.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        "n_candidates", F.size("random").cast("long").alias("n_random"), joined(F.col("random")).alias("random_spans"),
+    )
