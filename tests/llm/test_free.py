@@ -103,6 +103,45 @@ def test_near_duplicates(spark, docs, words, region, monkeypatch):
     assert got == classes(rows, words)
 
 
+def pairs_at_threshold(n, words=100, shared=0):
+    """2 n texts: pairs of similarity exactly 0.8 in 2-word shingles; all texts begin with `shared` common words."""
+    common = [f"c{j}" for j in range(shared)]
+    rows = []
+    for i in range(n):
+        own = [f"p{i}w{j}" for j in range(words - shared)]
+        keep = words - shared - 11 * words // 100
+        rows += [(2 * i, " ".join(common + own)), (2 * i + 1, " ".join(common + own[:keep] + [f"q{i}w{j}" for j in range(words - shared - keep)]))]
+    return rows
+
+
+@pytest.mark.parametrize("shared,leaf,recall", [(0, 4000, 1.0), (60, 4000, 1.0), (60, 40, 0.99)])
+def test_recall_at_the_threshold(spark, shared, leaf, recall, monkeypatch):
+    """Measured: pairs of similarity 0.8 that are linked; with leaves so small that all are branched deeper, too."""
+    monkeypatch.setattr(minhash_join, "LEAF", leaf)
+    rows = pairs_at_threshold(1500, shared=shared)
+    out = minhash_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2)
+    got = {r.doc_id: r.component_id for r in out.collect()}
+    assert all(got[2 * i] == 2 * i and got[2 * i + 1] in (2 * i, 2 * i + 1) for i in range(1500))
+    found = sum(got[2 * i + 1] == 2 * i for i in range(1500)) / 1500
+    print("recall", shared, leaf, found)
+    assert found >= recall
+
+
+def test_components_with_hot_nodes(spark, monkeypatch):
+    """A star, a chain and random trees, with nearly every node broadcast and with none."""
+    import random
+
+    rng = random.Random(1)
+    edges = [(0, i) for i in range(1, 3000)] + [(5000 + i, 5001 + i) for i in range(60)] + [(7000 + rng.randrange(max(1, i)), 7000 + i) for i in range(1, 400)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {n: min(0 if n < 5000 else 5000 if n < 7000 else 7000, n) for e in edges for n in e if n not in (0, 5000, 7000)}
+    for hot in (10**9, 20):
+        monkeypatch.setattr(minhash_join, "HOT", hot)
+        got = {r.node: r.label for r in minhash_join.components(df).collect()}
+        assert got == want
+
+
 def test_partners_not_met_yet_come_in_later_rounds():
     """Two clusters, close only at one member each, which is not the closest of either at first."""
     rng = np.random.default_rng(6)

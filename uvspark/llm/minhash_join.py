@@ -32,8 +32,10 @@ from .common import checkpoint, id_or_none, materialize, table, with_null_ids
 COORDS = 128
 #: Largest node compared exhaustively; deepest extra branching; low bits of a node's key that give its tree.
 LEAF, DEEPER, TREES = 4000, 12, 63
-#: Largest region settled in one task: documents and characters. Documents of a task's small regions together.
-REGION, REGION_CHARS, TOGETHER = 5000, 32_000_000, 2000
+#: Largest region settled in one task: documents and characters. Documents and characters of small regions that share a task, on average.
+REGION, REGION_CHARS, TOGETHER, TOGETHER_CHARS = 5000, 32_000_000, 2000, 8_000_000
+#: Most nodes of a graph that are broadcast for their many edges.
+HOT = 2000
 #: Most ids that are broadcast to pick texts.
 BROADCAST_IDS = 2_000_000
 #: Similarity of unrelated texts, and how many of them a set may expect to meet in a leaf: these set the trees' depth.
@@ -340,16 +342,31 @@ def confirm_batches(batches: Iterator[pd.DataFrame], words: int, percent: int) -
         yield pdf.loc[keep, ["a", "b"]]
 
 
+def join_least(edges: DataFrame, low: DataFrame, rows: int) -> DataFrame:
+    """edges (u, v) with m of low (u, n: edges of u, m). A node of very many edges doesn't go to one task.
+
+    Nodes of more than a HOT-th of all `rows` edges (at least 64) are at most HOT; they are broadcast, and
+    their edges stay where they are. The others are joined by key.
+    """
+    most = max(64, rows // HOT)
+    hot = F.broadcast(low.filter(F.col("n") > most).select(F.col("u").alias("_hot"), "m"))
+    marked = edges.join(hot, F.col("u") == F.col("_hot"), "left")
+    cold = marked.filter("_hot IS NULL").select("u", "v").join(low.filter(F.col("n") <= most).select("u", "m"), "u")
+    return marked.filter("_hot IS NOT NULL").select("u", "v", "m").unionByName(cold.select("u", "v", "m"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of links (a, b): label is the least node reachable. Large-star, small-star."""
     edges = checkpoint(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    seen = None
+    state = seen = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_least(both.filter("v > u"), low, 2 * state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = checkpoint(large)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_least(large, low, state[0])
+        small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v").distinct()
         edges = checkpoint(small)
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == seen:
@@ -436,10 +453,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     keyed = F.broadcast(regions) if ids <= BROADCAST_IDS else regions
     needed = materialize(texts.join(keyed, "doc_id").dropDuplicates(["doc_id"]))
     sizes = needed.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-    small = sizes.withColumn("small", (F.col("n") <= REGION) & (F.col("chars") <= REGION_CHARS)).select("region", "small")
+    small = sizes.select("region", ((F.col("n") <= REGION) & (F.col("chars") <= REGION_CHARS)).alias("small"), (F.col("chars") > TOGETHER_CHARS).alias("alone"))
     needed = needed.join(small, "region")
-    tasks = max(1, ids // TOGETHER)
-    bucket = F.pmod(F.xxhash64("region"), F.lit(tasks))
+    chars = sizes.agg(F.sum(F.when(F.col("chars") <= TOGETHER_CHARS, F.col("chars")))).first()[0] or 0
+    tasks = max(1, ids // TOGETHER, chars // TOGETHER_CHARS)
+    # Regions of many characters have a task's group to themselves; the others share by hash.
+    bucket = F.when(F.col("alone"), -1 - F.col("region")).otherwise(F.pmod(F.xxhash64("region"), F.lit(tasks)))
     found = needed.filter("small").withColumn("bucket", bucket).groupBy("bucket").applyInPandas(lambda pdf: settle(pdf, words, percent), "node long, label long")
     found = materialize(found)
     rest = needed.filter("NOT small").select("doc_id", "text")
