@@ -1,5 +1,6 @@
 """Edge rules of parsers, windows, lookups and sources."""
 
+import math
 import struct
 
 import pytest
@@ -171,3 +172,53 @@ def test_channel_flags_kept(spark):
     a = lambda *x: F.array(*[F.lit(v) for v in x])
     r = spark.range(1).select(interpolate_channels(a(0.0, 1.0, 2.0), a(5.0, 9.0, 7.0), a(False, True, False), a(0.5, 1.1, 3.0), True).alias("o"), interpolate_channels(a(0.0, 1.0), a(5.0, 9.0), a(True, True), a(0.5)).alias("none")).first()
     assert [(round(c.value, 6), c.flag) for c in r.o] == [(5.5, False), (6.1, True), (7.0, False)] and r.none[0].flag
+
+
+def test_selections_refuse_what_is_not_there():
+    assert selection.parse_spw("0:1~3;5,2", 4, 8) == {0: [(1, 3), (5, 5)], 2: [(0, 7)]}
+    for text in ("9:1~3", "2~5", "4"):
+        with pytest.raises(ValueError):
+            selection.parse_spw(text, 4, 8)
+    assert selection.parse_antenna("ef;JB&mc", ["Ef", "Jb", "Mc"]) == ({0}, {(1, 2)})
+    with pytest.raises(ValueError):
+        selection.parse_antenna("XX", ["Ef"])
+
+
+def test_roles():
+    from uvspark.operators.decide import roles_of
+
+    cycle = [("c", 60), ("t", 180)] * 8 + [("c", 60)]
+    near = {"c": (10.0, 50.0), "t": (12.0, 51.0), "f": (200.0, 10.0), "u": (100.0, 0.0)}
+    scans = [("f", 300), *cycle, ("f", 300)]
+    assert roles_of(scans, {}, near) == {"f": ("finder", None), "c": ("calibrator", None), "t": ("target", "c")}
+    assert roles_of(scans, {"f": 0.0, "c": 9.0, "t": 50.0}, near)["f"] == ("other", None)
+    assert roles_of(scans, {"t": 50.0}, near)["c"] == ("calibrator", None)  # brightness has no vote
+    assert roles_of(scans, {}, near, {"c": "target"})["t"] == ("calibrator", None)
+    far = near | {"t": (40.0, 51.0)}
+    assert {r for r, _ in (roles_of(scans, {}, far)[x] for x in "ct")} == {"target"}
+    blocks = [("c", 60)] * 8 + [("t", 60)] * 8
+    assert {r for r, _ in roles_of(blocks, {}, near).values()} == {"target"}
+    assert roles_of([("a", 1)], {}, {}) == {"a": ("target", None)}
+    assert roles_of([("a", 1), ("b", 1)], {"b": 3.0}, {}) == {"b": ("finder", None), "a": ("target", None)}
+
+
+def test_ionosphere_follows_the_sun(spark):
+    """A map that only depends on the longitude under the Sun gives the same value all day."""
+    from uvspark.functions.sky import vertical_tec
+
+    maps = [(h * 7200.0, float(la), float(lo), 10 + 5 * math.cos(math.radians(lo + 360 * h / 12))) for h in range(13) for la in (-30, 0, 30) for lo in range(-180, 181, 30)]
+    maps = spark.createDataFrame(maps, "t double, lat double, lon double, tec double")
+    probes = spark.createDataFrame([(i, 1800.0 * i, 80.0 if i % 2 else 10.0, (-360 * 1800.0 * i / 86400) % 360 - 180) for i in range(40)], "id long, t double, lat_deg double, lon_deg double")
+    tec = [r.tec for r in vertical_tec(probes, maps, 30.0).collect()]
+    assert max(tec) - min(tec) < 1e-9 and abs(tec[0] - 5) < 1e-9
+    assert vertical_tec(probes, maps, 30.0, rotation=0.0).selectExpr("max(tec) - min(tec)").first()[0] > 0.3
+    assert vertical_tec(probes.selectExpr("id", "t + 1e6 AS t", "lat_deg", "lon_deg"), maps, 30.0).filter("tec IS NOT NULL").isEmpty()
+
+
+def test_points_choose_ranges_once(spark):
+    from uvspark.operators.measure import match_ranges
+
+    points = spark.createDataFrame([("a", i, x) for i, x in enumerate([5.0, 6.0, 15.0, 99.0])] + [("b", 0, 5.0)], "k string, name long, x double")
+    ranges = spark.createDataFrame([("a", 0, 0.0, 10.0), ("a", 1, 4.0, 16.0)], "k string, id int, lo double, hi double")
+    got = {(r.k, r.name): r.matched for r in match_ranges(points, ranges, ["k"]).collect()}
+    assert got == {("a", 0): 0, ("a", 1): 1, ("a", 2): None, ("a", 3): None, ("b", 0): None}

@@ -41,6 +41,28 @@ def test_gains_flag_an_antenna_with_too_few_baselines():
     assert solve.connected_groups(w * (np.arange(5)[:, None] < 4) * (np.arange(5) < 4)).tolist() == [0, 0, 0, 0, 4]
 
 
+def test_gains_of_two_groups_without_a_common_baseline():
+    w = np.zeros((9, 9))
+    w[:5, :5] = w[5:, 5:] = 1
+    np.fill_diagonal(w, 0)
+    truth = np.array([2.0] * 5 + [1.0] * 4)
+    got, flagged = solve.antenna_gains((w * np.outer(truth, truth)).astype(complex), w, least=3)
+    assert not flagged.any() and np.allclose(np.abs(got), truth, atol=1e-6)
+
+
+def test_terms_take_a_clipped_baseline_back():
+    """Every round judges all baselines; a prior keeps an antenna of one noisy baseline near 0."""
+    rng = np.random.default_rng(5)
+    a, b = pairs(6)
+    truth = rng.normal(0, 0.3, 6)
+    value = truth[a] + truth[b] + rng.normal(0, 0.01, len(a))
+    value[[0, 7]] += [3.0, 0.05]
+    g, _, _ = solve.antenna_terms(value, np.full(len(a), 1e4), a, b, 6)
+    assert np.abs(g - truth).max() < 0.05
+    held, _, _ = solve.antenna_terms(np.append(value[:3], 9.0), np.append(np.full(3, 1e4), 1e-4), np.append(a[:3], 4), np.append(b[:3], 5), 6, prior=1.0)
+    assert abs(held[5]) < 0.1
+
+
 def test_fringe_peak():
     rng = np.random.default_rng(3)
     t, f = np.arange(40) * 2.0, np.arange(32) * 1e6

@@ -86,29 +86,39 @@ def sexagesimal(deg: Column) -> Column:
     return F.concat(F.when(deg < 0, "-").otherwise("+"), F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60))
 
 
-def vertical_tec(probes: DataFrame, maps: DataFrame, step: float) -> DataFrame:
-    """Add tec to probes (t, lat_deg, lon_deg): bilinear in the grid of each of the two maps around the time, then linear in time; outside null.
-
-    maps: epoch t, lat, lon on a grid of `step` degrees, tec. Cells join by equality.
+def vertical_tec(probes: DataFrame, maps: DataFrame, step: float, rotation: float = 1.0) -> DataFrame:
+    """Add tec to probes (t in seconds, lat_deg, lon_deg): linear in time between the two maps around, each bilinear where the ionosphere above the point stood at its epoch.
+
+    The ionosphere follows the Sun by `rotation` of a full turn a day: the earlier map is read that much
+    further east, the later one further west; 0 leaves the maps fixed to the Earth. maps: epoch t, lat, lon on a
+    grid of `step` degrees, tec. Latitudes beyond the grid take its edge; a grid of 360 degrees wraps in
+    longitude, a smaller one gives null outside, as do times outside. Each grid cell carries its four
+    corners, so a probe meets a map in one equality join.
     """
-    epochs = F.broadcast(maps.select(F.col("t").alias("_e")).distinct().agg(F.sort_array(F.collect_list("_e")).alias("_epochs")))  # epochs of one track
-    p = probes.crossJoin(epochs)
-    before = F.filter("_epochs", lambda e: e <= F.col("t"))
-    after = F.filter("_epochs", lambda e: e >= F.col("t"))
-    p = p.withColumns({"_t0": F.array_max(before), "_t1": F.array_min(after)}).drop("_epochs")
-    la, lo = F.floor(F.col("lat_deg") / step) * step, F.floor(F.col("lon_deg") / step) * step
-    p = p.withColumns({"_la": la, "_lo": lo, "_fa": (F.col("lat_deg") - la) / step, "_fo": (F.col("lon_deg") - lo) / step})
-    values = {}
-    for when in ("_t0", "_t1"):
-        for i in (0, 1):
-            for j in (0, 1):
-                name = f"{when}{i}{j}"
-                m = maps.select(F.col("t").alias("_mt"), F.col("lat").alias("_ma"), F.col("lon").alias("_mo"), F.col("tec").alias(name))
-                p = p.join(m, (F.col(when) == F.col("_mt")) & (F.col("_la") + i * step == F.col("_ma")) & (F.col("_lo") + j * step == F.col("_mo")), "left").drop("_mt", "_ma", "_mo")
-        fa, fo = F.col("_fa"), F.col("_fo")
-        values[when] = F.col(f"{when}00") * (1 - fa) * (1 - fo) + F.col(f"{when}10") * fa * (1 - fo) + F.col(f"{when}01") * (1 - fa) * fo + F.col(f"{when}11") * fa * fo
+    la0, la1, lo0, lo1 = maps.agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first()
+    rows_, cols_ = round((la1 - la0) / step), round((lo1 - lo0) / step)
+    wraps = abs(lo1 - lo0 - 360) < 1e-6
+    j, i = F.round((F.col("lat") - la0) / step).cast("int"), F.round((F.col("lon") - lo0) / step).cast("int")
+    corners = F.array(*[F.struct((j - a).alias("j"), (i - b).alias("i"), F.lit(2 * a + b).alias("k")) for a in (0, 1) for b in (0, 1)])
+    cells = maps.select("t", "tec", F.explode(corners).alias("_c")).groupBy("t", "_c.j", "_c.i")
+    cells = cells.agg(*[F.max(F.when(F.col("_c.k") == k, F.col("tec"))).alias(f"c{k}") for k in range(4)]).dropna(subset=["c0", "c1", "c2", "c3"])
+    epochs = F.broadcast(maps.select("t").distinct().agg(F.sort_array(F.collect_list("t")).alias("_epochs")))  # one array: the epochs of one track
+    p = probes.join(epochs)
+    p = p.withColumns({"_t0": F.array_max(F.filter("_epochs", lambda e: e <= F.col("t"))), "_t1": F.array_min(F.filter("_epochs", lambda e: e >= F.col("t")))}).drop("_epochs")
+    y = F.least(F.lit(float(rows_)), F.greatest(F.lit(0.0), (F.col("lat_deg") - la0) / step))
+    p = p.withColumn("_y", y).withColumn("_j", F.least(F.floor("_y").cast("int"), F.lit(rows_ - 1)))
+    values = []
+    for n in (0, 1):
+        x = (F.col("lon_deg") + 360.0 * rotation * (F.col("t") - F.col(f"_t{n}")) / 86400.0 - lo0) / step
+        p = p.withColumn("_x", F.pmod(x, F.lit(float(cols_))) if wraps else F.when((x >= 0) & (x <= cols_), x))
+        p = p.withColumn("_i", F.least(F.floor("_x").cast("int"), F.lit(cols_ - 1)))
+        m = cells.select(F.col("t").alias(f"_t{n}"), F.col("j").alias("_j"), F.col("i").alias("_i"), *[F.col(f"c{k}").alias(f"_c{k}") for k in range(4)])
+        p = p.join(m, [f"_t{n}", "_j", "_i"], "left")
+        wy, wx = F.col("_y") - F.col("_j"), F.col("_x") - F.col("_i")
+        p = p.withColumn(f"_v{n}", F.col("_c0") * (1 - wy) * (1 - wx) + F.col("_c1") * (1 - wy) * wx + F.col("_c2") * wy * (1 - wx) + F.col("_c3") * wy * wx).drop("_x", "_i", "_c0", "_c1", "_c2", "_c3")
+        values.append(F.col(f"_v{n}"))
     w = F.when(F.col("_t1") > F.col("_t0"), (F.col("t") - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))).otherwise(0.0)
-    return p.withColumn("tec", values["_t0"] * (1 - w) + values["_t1"] * w).select(*probes.columns, "tec")
+    return p.withColumn("tec", F.when(F.col("_t1") == F.col("_t0"), values[0]).otherwise(values[0] * (1 - w) + values[1] * w)).select(*probes.columns, "tec")
 
 
 def unwrap_in_time(rows: DataFrame, keys: list[str], order: list[str], time: str, angle: str, max_gap: float) -> DataFrame:
@@ -157,13 +167,37 @@ def _curve(s, d):
     return series(s, d).select("event_id", F.round(F.sqrt(C.horner(c, F.col("value") % 80)), 8).alias("gain"))
 
 
+def _maps(s, days, cols):
+    k, lo = F.col("id"), F.col("id") % cols
+    return s.range(days * 9 * cols).select((F.floor(k / (9 * cols)) * 86400.0).alias("t"), (F.floor(k / cols) % 9 * 10.0).alias("lat"), (lo * 10.0).alias("lon"), ((F.floor(k / cols) * 37 + lo % 36 * 53) % 101 / 4.0).alias("tec"))
+
+
+def _probes(s, d):
+    return series(s, d).select("event_id", "t", (F.col("value") % 100 - 5).alias("lat_deg"), (F.col("user_id") * 7 % 360 - 170.5).alias("lon_deg"))
+
+
 def _tec(s, d):
-    maps = s.range(31 * 9 * 9).select((F.floor(F.col("id") / 81) * 86400.0).alias("t"), (F.floor(F.col("id") / 9) % 9 * 10.0).alias("lat"), (F.col("id") % 9 * 10.0).alias("lon"), ((F.col("id") * 37 % 101) / 4.0).alias("tec"))
-    probes = series(s, d).select("event_id", "t", (F.col("value") % 85).alias("lat_deg"), (F.col("user_id") % 75 + 0.5).alias("lon_deg"))
-    return vertical_tec(probes, maps, 10.0).select("event_id", F.round("tec", 6).alias("tec"))
+    return vertical_tec(_probes(s, d), _maps(s, 31, 37), 10.0).select("event_id", F.round("tec", 6).alias("tec"))
+
+
+def _tec_fixed(s, d):
+    """A regional grid, fixed to the Earth."""
+    return vertical_tec(_probes(s, d), _maps(s, 31, 9), 10.0, rotation=0.0).select("event_id", F.round("tec", 6).alias("tec"))
+
+
+def _tec_sql(cols: int, rotation: float) -> str:
+    x = f"(lo + 360.0::DOUBLE * {rotation} * (t - t{{n}}) / 86400.0) / 10"
+    x = f"{x} - 36 * floor(({x}) / 36)" if cols == 37 else x
+    q = ", ".join(f"{x.format(n=n)} AS x{n}" for n in (0, 1))
+    value = lambda n: f"""(SELECT sum(m.tec * (CASE WHEN m.j = least(floor(y), 7) THEN 1 - (y - least(floor(y), 7)) ELSE y - least(floor(y), 7) END) * (CASE WHEN m.i = least(floor(x{n}), {cols - 2}) THEN 1 - (x{n} - least(floor(x{n}), {cols - 2})) ELSE x{n} - least(floor(x{n}), {cols - 2}) END))
+        FROM m WHERE m.t = t{n} AND m.j IN (least(floor(y), 7), least(floor(y), 7) + 1) AND m.i IN (least(floor(x{n}), {cols - 2}), least(floor(x{n}), {cols - 2}) + 1) AND x{n} BETWEEN 0 AND {cols - 1} HAVING count(*) = 4) AS v{n}"""
+    return f"""WITH {SERIES}, m AS (SELECT id // {9 * cols} * 86400.0::DOUBLE AS t, (id // {cols} % 9)::DOUBLE AS j, (id % {cols})::DOUBLE AS i, (id // {cols} * 37 + id % {cols} % 36 * 53) % 101 / 4.0::DOUBLE AS tec FROM range({31 * 9 * cols}) r(id)),
+      p AS (SELECT event_id, t, floor(t / 86400) * 86400 AS t0, CASE WHEN ceil(t / 86400) <= 30 THEN ceil(t / 86400) * 86400 END AS t1, least(8.0, greatest(0.0, (value % 100 - 5) / 10)) AS y, user_id * 7 % 360 - 170.5::DOUBLE AS lo FROM ev),
+      q AS (SELECT *, {q} FROM p), g AS (SELECT event_id, t, t0, t1, {value(0)}, {value(1)} FROM q)
+      SELECT event_id, round(CASE WHEN t1 = t0 THEN v0 ELSE v0 * (1 - (t - t0) / (t1 - t0)) + v1 * (t - t0) / (t1 - t0) END, 6) AS tec FROM g"""
 
 
-QUERIES = {"sky_angles": _sky, "complex_correct": _corrected, "text_formats": _formats, "unwrap_in_time": _unwrapped, "gain_curve": _curve, "vertical_tec": _tec}
+QUERIES = {"sky_angles": _sky, "complex_correct": _corrected, "text_formats": _formats, "unwrap_in_time": _unwrapped, "gain_curve": _curve, "vertical_tec": _tec, "vertical_tec_fixed": _tec_fixed}
 _PI2 = "(2 * pi())"
 SQL = {
     "sky_angles": f"""WITH {SERIES}, a AS (SELECT event_id, 60310.0::DOUBLE * 86400 + t AS m, radians((user_id % 60) - 10.0) AS dec, radians((user_id * 7 % 360)::DOUBLE) AS ra, radians(52.5) AS lat, radians(6.6) AS lon FROM ev),
@@ -181,10 +215,6 @@ SQL = {
       p AS (SELECT *, CASE WHEN new = 1 THEN 0.0 ELSE -round(d / {_PI2}) END AS turn, sum(new) OVER (PARTITION BY user_id ORDER BY us, event_id) AS part FROM n)
       SELECT event_id, round(angle + {_PI2} * sum(turn) OVER (PARTITION BY user_id, part ORDER BY us, event_id), 5) AS unwrapped FROM p""",
     "gain_curve": f"WITH {SERIES}, x AS (SELECT event_id, value % 80 AS x FROM ev) SELECT event_id, round(sqrt((-0.00006::DOUBLE * x + 0.004::DOUBLE) * x + 0.9::DOUBLE), 8) AS gain FROM x",
-    "vertical_tec": f"""WITH {SERIES}, m AS (SELECT id // 81 * 86400.0::DOUBLE AS t, id // 9 % 9 * 10.0::DOUBLE AS lat, id % 9 * 10.0::DOUBLE AS lon, (id * 37 % 101) / 4.0::DOUBLE AS tec FROM range(2511) r(id)),
-      p AS (SELECT event_id, t, floor(t / 86400) * 86400 AS t0, least(ceil(t / 86400), 31) * 86400 AS t1, value % 85 AS la, user_id % 75 + 0.5::DOUBLE AS lo FROM ev),
-      q AS (SELECT *, floor(la / 10) * 10 AS a, floor(lo / 10) * 10 AS o FROM p),
-      g AS (SELECT event_id, q.t, t0, t1, (SELECT sum(m.tec * (CASE WHEN m.lat = a THEN 1 - (la - a) / 10 ELSE (la - a) / 10 END) * (CASE WHEN m.lon = o THEN 1 - (lo - o) / 10 ELSE (lo - o) / 10 END)) FROM m WHERE m.t = t0 AND m.lat IN (a, a + 10) AND m.lon IN (o, o + 10) HAVING count(*) = 4) AS v0,
-        (SELECT sum(m.tec * (CASE WHEN m.lat = a THEN 1 - (la - a) / 10 ELSE (la - a) / 10 END) * (CASE WHEN m.lon = o THEN 1 - (lo - o) / 10 ELSE (lo - o) / 10 END)) FROM m WHERE m.t = t1 AND m.lat IN (a, a + 10) AND m.lon IN (o, o + 10) HAVING count(*) = 4) AS v1 FROM q)
-      SELECT event_id, round(v0 * (1 - CASE WHEN t1 > t0 THEN (t - t0) / (t1 - t0) ELSE 0 END) + v1 * CASE WHEN t1 > t0 THEN (t - t0) / (t1 - t0) ELSE 0 END, 6) AS tec FROM g""",
+    "vertical_tec": _tec_sql(37, 1.0),
+    "vertical_tec_fixed": _tec_sql(9, 0.0),
 }

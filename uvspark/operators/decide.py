@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+from statistics import median
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,18 +60,79 @@ def alternation(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
     return steps.groupBy(key).agg(F.round(F.avg("_s"), 6).alias("alternation"), F.count("*").alias("n"))
 
 
+# Visits (and share of the scans) up to which a source is a snapshot; separation and alternation of a pair, and scans to tell it.
+FINDER_SCANS, FINDER_SHARE = 3, 0.1
+PAIR_DEG, PAIR_ALTERNATION, PAIR_SCANS = 10.0, 0.6, 4
+
+
+def _is_pair(scans: list, a, b, place: dict) -> bool:
+    seen = [s for s, _ in scans if s in (a, b)]
+    if len(seen) < PAIR_SCANS or sum(x != y for x, y in zip(seen, seen[1:])) / (len(seen) - 1) < PAIR_ALTERNATION:
+        return False
+    if None in (*place[a], *place[b]):
+        return True
+    (r1, d1), (r2, d2) = (map(math.radians, place[x]) for x in (a, b))
+    h = math.sin((d2 - d1) / 2) ** 2 + math.cos(d1) * math.cos(d2) * math.sin((r2 - r1) / 2) ** 2
+    return math.degrees(2 * math.asin(min(1.0, math.sqrt(h)))) <= PAIR_DEG
+
+
+def roles_of(scans: list, snr: dict, place: dict, declared: dict | None = None) -> dict:
+    """Role and, for targets, calibrator of every source: {source: (role, calibrator)}.
+
+    scans: (source, duration) in order of time; snr: of the array, per source (empty: no survey). Sources
+    seldom visited are finders (other, if undetected) where some are visited often; of those, interleaved
+    and close ones are pairs, whose calibrator opens the cycle, has as many scans and shorter ones (two of
+    three); the rest are targets. Without any visited often the best is the finder, one alone the target.
+    Declared roles stay and decide their pairs.
+    """
+    declared = declared or {}
+    count, first, times = Counter(s for s, _ in scans), {}, {}
+    for i, (s, t) in enumerate(scans):
+        first.setdefault(s, i)
+        times.setdefault(s, []).append(t)
+    limit = max(FINDER_SCANS, int(FINDER_SHARE * len(scans)))
+    order = sorted(sorted(count), key=lambda s: (-snr.get(s, 0.0), -count[s]))
+    waiting, out = [s for s in order if count[s] > limit], {}
+    if not waiting:
+        return {s: (declared.get(s) or ("target" if i or len(order) == 1 else "finder"), None) for i, s in enumerate(order)}
+    for s in order:
+        if count[s] <= limit:
+            out[s] = ("other" if snr.get(s) == 0.0 else "finder", None)
+    while waiting:
+        a = waiting.pop(0)
+        b = next((x for x in waiting if _is_pair(scans, a, x, place)), None)
+        if b is None:
+            out[a] = ("target", None)
+            continue
+        waiting.remove(b)
+        votes = (first[a] < first[b]) + (count[a] >= count[b]) + (median(times[a]) < median(times[b]))
+        calibrator, target = (a, b) if votes >= 2 else (b, a)
+        if "target" in (declared.get(calibrator), declared.get(target)) or "calibrator" in (declared.get(calibrator), declared.get(target)):
+            if declared.get(calibrator) == "target" or declared.get(target) == "calibrator":
+                calibrator, target = target, calibrator
+        out[calibrator], out[target] = ("calibrator", None), ("target", calibrator)
+    return {s: (declared.get(s, role), c) for s, (role, c) in out.items()}
+
+
 def infer_roles(scans: DataFrame, group: str) -> DataFrame:
-    """Role per source of each group from (source, n_scans, duration) rows.
+    """Role of every source of each group from its scans (source, t, duration, ra, dec, snr, and perhaps declared), of all sources.
 
-    At most max(3, 10 % of the scans) makes a finder if some source has more; one source alone is the
-    target; with no source visited more often than that the best is the finder; others are targets.
+    A group is one observation: some hundred scans, judged in one go.
     """
-    w = Window.partitionBy(group)
-    few = F.greatest(F.lit(3.0), 0.1 * F.sum("n_scans").over(w))
-    most, n = F.max("n_scans").over(w), F.count("*").over(w)
-    first = F.row_number().over(w.orderBy(F.desc("n_scans"), F.desc("duration"), "source"))
-    role = F.when(n == 1, "target").when(most <= few, F.when(first == 1, "finder").otherwise("target")).when(F.col("n_scans") <= few, "finder").otherwise("target")
-    return scans.withColumn("role", role)
+    source = dict(scans.dtypes)["source"]
+
+    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "source"])
+        known = pdf.drop_duplicates("source").set_index("source")
+        none = lambda x: None if pd.isna(x) else float(x)
+        place = {s: (none(r.ra), none(r.dec)) for s, r in known.iterrows()}
+        snr = {s: float(x) for s, x in known["snr"].items() if not pd.isna(x)}
+        declared = {s: x for s, x in known["declared"].items() if x is not None and not pd.isna(x)} if "declared" in pdf else {}
+        roles = roles_of(list(zip(pdf["source"], pdf["duration"])), snr, place, declared)
+        n = pdf["source"].value_counts()
+        return pd.DataFrame([(pdf[group].iloc[0], s, int(n[s]), role, c) for s, (role, c) in roles.items()], columns=[group, "source", "n_scans", "role", "calibrator"])
+
+    return scans.groupBy(group).applyInPandas(judge, f"{group} {dict(scans.dtypes)[group]}, source {source}, n_scans long, role string, calibrator {source}")
 
 
 def assess_series(rows: DataFrame, keys: list[str], order: list[str], value: str, partner: list[str]) -> DataFrame:
@@ -97,43 +162,45 @@ def assess_series(rows: DataFrame, keys: list[str], order: list[str], value: str
     return s.withColumn("labels", F.array_join(labels, ",")).drop("_nominal", "unphysical")
 
 
-#: Rules by stage: name, condition over a finding's columns, action. All that fire are reported.
+# Ids, conditions and thresholds of the rule base, by stage, with the action advised. All that fire are reported.
 RULES = {
     "tsys": [
-        ("nominal", "label_nominal", "rely on amplitude self-calibration"),
-        ("noisy_hand", "label_noisy_hand AND NOT coalesce(fast_slope > 0.5, false)", "substitute the other hand"),
-        ("unreal_variation", "fast_rms > 0.005 AND abs(fast_slope) < 0.3", "smooth over long times"),
-        ("real_variation", "slope > 0.7 AND slope <= 1.2 AND corr > 0.9", "keep the resolution"),
-        ("undercorrects", "slope > 1.2 AND slope < 3 AND corr > 0.9", "apply an opacity exponent"),
-        ("high_subband_unreal", "label_high_subband AND NOT tsys_real", "rescale the subband"),
-        ("high_subband_real", "label_high_subband AND tsys_real", "keep the subband"),
-        ("unphysical", "unphysical > 0 AND n > 0", "flag the samples"),
+        ("tsys.nominal", "label_nominal", "rely on amplitude self-calibration"),
+        ("tsys.noisy_hand", "label_noisy_hand AND NOT coalesce(fast_slope > 0.5, false)", "substitute the other hand"),
+        ("tsys.unreal_tsys_variation", "fast_rms > 0.005 AND abs(fast_slope) < 0.3", "smooth over long times"),
+        ("tsys.real_variation", "slope > 0.7 AND slope <= 1.2 AND corr > 0.9", "keep the resolution"),
+        ("tsys.undercorrects", "slope > 1.2 AND slope < 3 AND corr > 0.9", "apply an opacity exponent"),
+        ("tsys.high_subband_unreal", "label_high_subband AND NOT tsys_real", "rescale the subband"),
+        ("tsys.high_subband_real", "label_high_subband AND tsys_real", "keep the subband"),
+        ("tsys.unphysical", "unphysical > 0 AND n > 0", "flag the samples"),
     ],
     "prediagnostic": [
-        ("gain_scatter", "scan_scatter > 3 * greatest(array_scatter, 0.005)", "self-calibrate amplitudes per scan"),
-        ("gain_trend_tsys", "abs(trend) > 0.1 AND abs(residual) <= 0.1", "apply system temperatures"),
-        ("gain_trend", "abs(trend) > 0.1 AND fields >= 1 AND NOT coalesce(abs(residual) <= 0.1, false)", "self-calibrate slowly"),
-        ("low_subband", "offset < -0.1 AND NOT coalesce(explained, false)", "solve a scalar bandpass"),
+        ("raw.gain_scatter", "scan_scatter > 3 * greatest(coalesce(array_scatter, 0.01), 0.005)", "self-calibrate amplitudes per scan"),
+        ("raw.gain_trend_tsys", "abs(trend) > 0.1 AND abs(residual) <= 0.1", "apply system temperatures"),
+        ("raw.gain_trend", "abs(trend) > 0.1 AND fields >= 1 AND NOT coalesce(abs(residual) <= 0.1, false)", "self-calibrate slowly"),
+        ("raw.low_subband", "offset < -0.1 AND NOT coalesce(explained, false)", "solve a scalar bandpass"),
     ],
     "calibration": [
-        ("hand_offset", "abs(hand_ratio) > 0.03", "solve the ratio of the hands"),
-        ("introduced_variation", "calibrated_scatter > 1.5 * greatest(raw_scatter, 0.005)", "bisect the chain"),
-        ("time_amplitude_transfer", "chi2r_with > 1.05 * chi2r_without", "keep it on the calibrator"),
+        ("cal.hand_offset", "abs(hand_ratio) > 0.03", "solve the ratio of the hands"),
+        ("cal.introduced_variation", "calibrated_scatter > 1.5 * greatest(coalesce(raw_scatter, 0.0), 0.005)", "bisect the chain"),
+        ("cal.time_amplitude_transfer", "chi2r_with > 1.05 * chi2r_without", "keep it on the calibrator"),
     ],
     "calibrated": [
-        ("outlier_bin", "z2 > -ln(1e-7D)", "flag the bin"),
-        ("excess_scatter", "chi2r > 2 AND n >= 4", "flag the scan"),
-        ("subband_departure", "abs(ratio - 1) > 0.15 AND abs(nsigma) > 6", "flag the subband in the scan"),
-        ("amplitude_departure", "abs(ratio - 1) > 0.2 AND abs(nsigma) > 5", "flag the baseline in the scan"),
+        ("vis.outlier_bin", "z2 > -ln(1e-7D)", "flag the bin"),
+        ("vis.excess_scatter", "chi2r > 2 AND n >= 4", "flag the scan"),
+        ("vis.subband_departure", "abs(ratio - 1) > 0.15 AND abs(nsigma) > 6", "flag the subband in the scan"),
+        ("vis.amplitude_departure", "abs(ratio - 1) > 0.2 AND abs(nsigma) > 5", "flag the baseline in the scan"),
     ],
 }
 
 
 def apply_rules(findings: DataFrame, stage: str) -> DataFrame:
-    """Add rules: names of the stage's rules that fire. A rule whose columns are absent or null doesn't fire."""
+    """Add rules: ids of the stage's rules that fire. A column that is absent is null; what a null means is in the condition."""
     needs = lambda cond: set(re.findall(r"\b[a-z]\w*\b(?!\s*\()", cond)) - {"true", "false"}
-    fired = [F.when(F.expr(cond), F.lit(name)) for name, cond, _ in RULES[stage] if needs(cond) <= set(findings.columns)]
-    return findings.withColumn("rules", F.array_compact(F.array(*fired)) if fired else F.array().cast("array<string>"))
+    absent = sorted(set().union(*(needs(cond) for _, cond, _ in RULES[stage])) - set(findings.columns))
+    kind = lambda c: "boolean" if c.startswith("label_") or c in ("tsys_real", "explained") else "double"
+    full = findings.withColumns({c: F.lit(None).cast(kind(c)) for c in absent})
+    return full.withColumn("rules", F.array_compact(F.array(*[F.when(F.expr(cond), F.lit(name)) for name, cond, _ in RULES[stage]]))).drop(*absent)
 
 
 def regress_origin(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
@@ -196,9 +263,13 @@ def _hands(s, d):
 
 
 def _roles(s, d):
-    o = table(s, d, "orders").join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    scans = o.groupBy(F.col("c_nationkey").alias("project"), F.col("c_custkey").alias("source")).agg(F.count("*").alias("n_scans"), F.round(F.median("o_totalprice"), 2).alias("duration"))
-    return infer_roles(scans.filter("source % 7 = 0"), "project").select("project", "source", "n_scans", "role")
+    """Observations are customers, scans their orders, in turn on four sources."""
+    k = (F.col("o_orderkey") % 4).cast("int")
+    at = lambda *x: F.get(F.array(*[F.lit(float(v)) for v in x]), k)
+    snr = F.when(k == 3, 0.0).otherwise((F.col("o_custkey") * 7 + k * 13) % 50 + 1.0)
+    scans = table(s, d, "orders").select(F.col("o_custkey").alias("project"), k.alias("source"), F.struct("o_orderdate", "o_orderkey").alias("_t"), F.col("o_totalprice").alias("duration"), at(0, 6, 14, 3).alias("ra"), at(0, 2, 0, -4).alias("dec"), snr.alias("snr"))
+    scans = scans.withColumn("t", F.row_number().over(Window.partitionBy("project").orderBy("_t"))).drop("_t")
+    return infer_roles(scans, "project").select("project", "source", "n_scans", "role", F.coalesce("calibrator", F.lit(-1)).alias("calibrator"))
 
 
 def _scored(s, d):
@@ -212,6 +283,21 @@ def _ruled(s, d):
     return apply_rules(f, "tsys").select("user_id", "event_type", F.array_join("rules", ",").alias("rules"))
 
 
+def _findings(s, d):
+    """Numbers of a finding from events, some of them missing."""
+    e, v, k = series(s, d), F.col("value"), F.col("event_id")
+    some = lambda x, n: F.when(k % n != 0, x)
+    return e.select(
+        "event_id", (v / 1000).alias("scan_scatter"), some(v / 4000, 3).alias("array_scatter"), (v / 500 - 0.1).alias("trend"), some(v / 700 - 0.1, 4).alias("residual"), (k % 3).alias("fields"),
+        (0.1 - v / 300).alias("offset"), some(k % 2 == 0, 5).alias("explained"), (v / 800 - 0.05).alias("hand_ratio"), (v / 2000).alias("calibrated_scatter"), some(v / 2500, 2).alias("raw_scatter"),
+        (v / 50).alias("chi2r_with"), some(v / 60 + 0.3, 7).alias("chi2r_without"), (v / 4).alias("z2"), (v / 30).alias("chi2r"), (k % 9).alias("n"), (v / 100 + 0.5).alias("ratio"), (v / 8 - 9).alias("nsigma"),
+    )
+
+
+def _fired(stage, absent=()):
+    return lambda s, d: apply_rules(_findings(s, d).drop(*absent), stage).select("event_id", F.array_join("rules", ",").alias("rules"))
+
+
 def _ks(s, d):
     e = series(s, d)
     mean = e.groupBy("event_type").agg(F.avg("value").alias("m"))
@@ -230,6 +316,16 @@ _ASSESS = f"""{SERIES}, o AS (SELECT user_id, event_type, value AS x, value - la
   a AS (SELECT *, CASE WHEN nd >= 4 THEN ds / sqrt(2) / med END AS sc, med / median(med) OVER (PARTITION BY user_id) AS lv FROM g),
   assess AS (SELECT user_id, event_type, n, round(med, 4) AS median, round(sc, 4) AS scatter, round(tr, 4) AS trend, round(lv, 4) AS level, sd / med < 1e-4 AS nominal, un FROM a)"""
 
+_FIND = """fi AS (SELECT event_id, value / 1000 AS ss, CASE WHEN event_id % 3 <> 0 THEN value / 4000 END AS a, value / 500 - 0.1 AS trend, CASE WHEN event_id % 4 <> 0 THEN value / 700 - 0.1 END AS res, event_id % 3 AS fields,
+  0.1 - value / 300 AS offs, CASE WHEN event_id % 5 <> 0 THEN event_id % 2 = 0 END AS ex, value / 800 - 0.05 AS hr, value / 2000 AS cs, CASE WHEN event_id % 2 <> 0 THEN value / 2500 END AS rs, value / 50 AS cw, CASE WHEN event_id % 7 <> 0 THEN value / 60 + 0.3 END AS co,
+  value / 4 AS z2, value / 30 AS c, event_id % 9 AS n, value / 100 + 0.5 AS ratio, value / 8 - 9 AS ns FROM events)"""
+
+
+def _calibration_sql(raw: str) -> str:
+    return f"""WITH {_FIND} SELECT event_id, concat_ws(',', CASE WHEN abs(hr) > 0.03 THEN 'cal.hand_offset' END, CASE WHEN cs > 1.5 * greatest(coalesce({raw}, 0), 0.005) THEN 'cal.introduced_variation' END,
+      CASE WHEN cw > 1.05 * co THEN 'cal.time_amplitude_transfer' END) AS rules FROM fi"""
+
+
 QUERIES = {
     "rank_sources": lambda s, d: rank_sources(snr_table(s, d).filter("snr > 20")),
     "rank_antennas": lambda s, d: rank_by_median(snr_table(s, d), "antenna"),
@@ -240,6 +336,10 @@ QUERIES = {
     "infer_roles": _roles,
     "tsys_assess": lambda s, d: assess_series(series(s, d), ["user_id", "event_type"], ["us", "event_id"], "value", ["user_id"]),
     "rule_labels": _ruled,
+    "rule_prediagnostic": _fired("prediagnostic"),
+    "rule_calibration": _fired("calibration"),
+    "rule_calibration_without_raw": _fired("calibration", ("raw_scatter",)),
+    "rule_calibrated": _fired("calibrated"),
     "regress_origin": lambda s, d: regress_origin(visibilities(s, d), ["ddid"], "weight", "amp"),
     "ks_exponential": _ks,
     "classifier_scores": _scored,
@@ -256,13 +356,30 @@ SQL = {
       SELECT antenna, hand, count(*) AS n_scans, round(median(x), 4) AS ratio, round(median(x), 4) >= 5 AS weak FROM b GROUP BY ALL HAVING count(*) >= 3""",
     "dead_antennas": f"WITH {_SNR}, m AS (SELECT antenna, median(snr) AS m FROM snr WHERE antenna <> 9 GROUP BY antenna) SELECT a.antenna, round(m, 6) AS median_snr FROM range(12) a(antenna) LEFT JOIN m USING (antenna) WHERE m IS NULL OR round(m, 6) < 3.5",
     "alternation": "WITH l AS (SELECT conv_id, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) SELECT conv_id, round(avg(CASE WHEN p IS NOT NULL THEN (p <> role)::INT::DOUBLE END), 6) AS alternation, count(*) AS n FROM l GROUP BY conv_id",
-    "infer_roles": """WITH s AS (SELECT c_nationkey AS project, c_custkey AS source, count(*) AS n_scans, round(median(o_totalprice), 2) AS duration FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 7 = 0 GROUP BY ALL),
-      w AS (SELECT *, greatest(3.0, 0.1 * sum(n_scans) OVER p) AS few, max(n_scans) OVER p AS most, count(*) OVER p AS n, row_number() OVER (PARTITION BY project ORDER BY n_scans DESC, duration DESC, source) AS first FROM s WINDOW p AS (PARTITION BY project))
-      SELECT project, source, n_scans, CASE WHEN n = 1 THEN 'target' WHEN most <= few THEN CASE WHEN first = 1 THEN 'finder' ELSE 'target' END WHEN n_scans <= few THEN 'finder' ELSE 'target' END AS role FROM w""",
+    "infer_roles": """WITH RECURSIVE sc AS (SELECT o_custkey AS project, CAST(o_orderkey % 4 AS INT) AS source, o_totalprice AS dur, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders),
+      so AS (SELECT project, source, count(*) AS n, min(k) AS first, median(dur) AS med, CASE WHEN source = 3 THEN 0.0 ELSE (project * 7 + source * 13) % 50 + 1.0 END AS snr FROM sc GROUP BY project, source),
+      ls AS (SELECT *, greatest(3, floor(0.1 * sum(n) OVER p)) AS lim, count(*) OVER p AS k, max(n) OVER p AS most, row_number() OVER (PARTITION BY project ORDER BY snr DESC, n DESC, source) AS rank FROM so WINDOW p AS (PARTITION BY project)),
+      pos AS (SELECT unnest([0, 1, 2, 3]) AS source, radians(unnest([0.0, 6.0, 14.0, 3.0])::DOUBLE) AS ra, radians(unnest([0.0, 2.0, 0.0, -4.0])::DOUBLE) AS dec),
+      near AS (SELECT a.source AS x, b.source AS y FROM pos a JOIN pos b ON a.source <> b.source WHERE degrees(2 * asin(sqrt(sin((b.dec - a.dec) / 2) ** 2 + cos(a.dec) * cos(b.dec) * sin((b.ra - a.ra) / 2) ** 2))) <= 10),
+      seq AS (SELECT s.project, x, y, s.source, lag(s.source) OVER (PARTITION BY s.project, x, y ORDER BY s.k) AS prev FROM near JOIN sc s ON s.source IN (x, y)),
+      pair AS (SELECT project, list(x * 10 + y) AS ok FROM (SELECT project, x, y FROM seq GROUP BY ALL HAVING count(*) >= 4 AND sum((prev <> source)::INT)::DOUBLE / (count(*) - 1) >= 0.6) GROUP BY project),
+      start AS (SELECT project, list(source ORDER BY rank) AS waiting, coalesce(any_value(ok), []) AS ok FROM ls LEFT JOIN pair USING (project) WHERE n > lim GROUP BY project),
+      w AS (SELECT project, waiting, ok, NULL::INT AS a, NULL::INT AS b FROM start
+        UNION ALL SELECT project, list_filter(waiting[2:], lambda z: p IS NULL OR z <> p), ok, waiting[1], p FROM (SELECT *, list_filter(waiting[2:], lambda z: list_contains(ok, waiting[1] * 10 + z))[1] AS p FROM w WHERE len(waiting) > 0)),
+      v AS (SELECT w.project, w.a, w.b, (s.first < t.first)::INT + (s.n >= t.n)::INT + (s.med < t.med)::INT >= 2 AS yes FROM w JOIN so s ON s.project = w.project AND s.source = w.a JOIN so t ON t.project = w.project AND t.source = w.b),
+      r AS (SELECT project, CASE WHEN yes THEN a ELSE b END AS cal, CASE WHEN yes THEN b ELSE a END AS target FROM v)
+      SELECT ls.project, ls.source, ls.n AS n_scans, CASE WHEN most > lim AND n <= lim THEN CASE WHEN snr = 0 THEN 'other' ELSE 'finder' END WHEN most > lim THEN CASE WHEN c.cal IS NOT NULL THEN 'calibrator' ELSE 'target' END
+        WHEN k = 1 OR rank > 1 THEN 'target' ELSE 'finder' END AS role, coalesce(t.cal, -1)::INT AS calibrator FROM ls LEFT JOIN r c ON c.project = ls.project AND c.cal = ls.source LEFT JOIN r t ON t.project = ls.project AND t.target = ls.source""",
     "tsys_assess": f"""WITH {_ASSESS} SELECT user_id, event_type, n, median, scatter, trend, level, concat_ws(',', CASE WHEN nominal THEN 'nominal' END, CASE WHEN scatter > 0.5 THEN 'noisy' END, CASE WHEN level > 1.3 THEN 'high_subband' END,
       CASE WHEN abs(trend) > 0.15 THEN 'trend' END, CASE WHEN un > 0 THEN 'unphysical' END) AS labels FROM assess""",
-    "rule_labels": f"""WITH {_ASSESS} SELECT user_id, event_type, concat_ws(',', CASE WHEN scatter > 0.005 AND abs(trend) < 0.3 THEN 'unreal_variation' END, CASE WHEN level > 0.7 AND level <= 1.2 THEN 'real_variation' END,
-      CASE WHEN level > 1.2 AND level < 3 THEN 'undercorrects' END, CASE WHEN level > 1.3 AND NOT trend > 0 THEN 'high_subband_unreal' END, CASE WHEN level > 1.3 AND trend > 0 THEN 'high_subband_real' END) AS rules FROM assess""",
+    "rule_labels": f"""WITH {_ASSESS} SELECT user_id, event_type, concat_ws(',', CASE WHEN scatter > 0.005 AND abs(trend) < 0.3 THEN 'tsys.unreal_tsys_variation' END, CASE WHEN level > 0.7 AND level <= 1.2 THEN 'tsys.real_variation' END,
+      CASE WHEN level > 1.2 AND level < 3 THEN 'tsys.undercorrects' END, CASE WHEN level > 1.3 AND NOT trend > 0 THEN 'tsys.high_subband_unreal' END, CASE WHEN level > 1.3 AND trend > 0 THEN 'tsys.high_subband_real' END) AS rules FROM assess""",
+    "rule_prediagnostic": f"""WITH {_FIND} SELECT event_id, concat_ws(',', CASE WHEN ss > 3 * greatest(coalesce(a, 0.01), 0.005) THEN 'raw.gain_scatter' END, CASE WHEN abs(trend) > 0.1 AND abs(res) <= 0.1 THEN 'raw.gain_trend_tsys' END,
+      CASE WHEN abs(trend) > 0.1 AND fields >= 1 AND NOT coalesce(abs(res) <= 0.1, false) THEN 'raw.gain_trend' END, CASE WHEN offs < -0.1 AND NOT coalesce(ex, false) THEN 'raw.low_subband' END) AS rules FROM fi""",
+    "rule_calibration": _calibration_sql("rs"),
+    "rule_calibration_without_raw": _calibration_sql("NULL"),
+    "rule_calibrated": f"""WITH {_FIND} SELECT event_id, concat_ws(',', CASE WHEN z2 > -ln(1e-7) THEN 'vis.outlier_bin' END, CASE WHEN c > 2 AND n >= 4 THEN 'vis.excess_scatter' END,
+      CASE WHEN abs(ratio - 1) > 0.15 AND abs(ns) > 6 THEN 'vis.subband_departure' END, CASE WHEN abs(ratio - 1) > 0.2 AND abs(ns) > 5 THEN 'vis.amplitude_departure' END) AS rules FROM fi""",
     "regress_origin": f"WITH {VIS} SELECT ddid, round(sum(weight * amp) / nullif(sum(weight * weight), 0), 6) AS slope, round(corr(weight, amp), 6) AS corr, count(*) AS n FROM vis GROUP BY ddid",
     "ks_exponential": f"""WITH {SERIES}, z AS (SELECT event_type, event_id, round(value / avg(value) OVER (PARTITION BY event_type), 9) AS z2 FROM ev),
       r AS (SELECT event_type, abs(row_number() OVER (PARTITION BY event_type ORDER BY z2, event_id)::DOUBLE / count(*) OVER (PARTITION BY event_type) - (1 - exp(-z2))) AS d FROM z)

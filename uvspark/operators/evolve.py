@@ -158,7 +158,7 @@ def _residuals(s, d):
 
 
 def _departed(s, d):
-    return subband_departures(visibilities(s, d).filter("antenna1 <> antenna2 AND NOT flag"), ["antenna1", "antenna2", "scan"], "ddid", "amp", F.lit(1300.0))
+    return subband_departures(visibilities(s, d).filter("antenna1 <> antenna2 AND NOT flag"), ["antenna1", "antenna2", "scan"], "ddid", "amp", F.lit(1301.0))
 
 
 QUERIES = {
@@ -197,7 +197,7 @@ SQL = {
       SELECT user_id, n, CASE WHEN n >= 7 THEN round(sc, 6) END AS scan_scatter, CASE WHEN n >= 3 THEN round(t, 6) END AS trend, CASE WHEN n >= 3 THEN round(lo - l, 6) END AS max_drop, CASE WHEN n >= 3 THEN round(hi - l, 6) END AS max_rise, CASE WHEN n >= 3 THEN round(hi - lo, 6) END AS "range" FROM g""",
     "complex_residuals": f"WITH {_RES} SELECT event_id, used, round(mr, 6) AS model_re, round(z2, 5) AS z2, coalesce(z2 > -ln(1e-7) AND (sqrt(off / nullif(m2, 0)) > 0.1 OR sqrt(m2) < 20), false) AS outlier FROM y",
     "excess_scatter": f"WITH {_RES}, g AS (SELECT user_id, event_type, avg(z2) AS c, count(*) AS n FROM y WHERE z2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 4) SELECT user_id, event_type, round(c, 6) AS chi2r, n, c > 1 + 6 / sqrt(n) AND c > 2 AS bad FROM g",
-    "subband_departures": f"""WITH {VIS}, m AS (SELECT antenna1, antenna2, scan, ddid, avg(amp) AS m, 1300 / sqrt(count(*)) AS e FROM vis WHERE antenna1 <> antenna2 AND NOT flag GROUP BY ALL),
+    "subband_departures": f"""WITH {VIS}, m AS (SELECT antenna1, antenna2, scan, ddid, avg(amp) AS m, 1301 / sqrt(count(*)) AS e FROM vis WHERE antenna1 <> antenna2 AND NOT flag GROUP BY ALL),
       l AS (SELECT antenna1, antenna2, scan, median(m) AS l FROM m GROUP BY ALL HAVING count(*) >= 3 AND median(m) > 0), r AS (SELECT antenna1, antenna2, scan, ddid, round(m / l, 6) AS ratio, round((m - l) / e, 4) AS nsigma FROM m JOIN l USING (antenna1, antenna2, scan))
       SELECT * FROM r WHERE abs(nsigma) > 6 AND abs(ratio - 1) > 0.15""",
     "image_statistics": "WITH c AS (SELECT label, unnest(embedding)::DOUBLE AS p FROM embeddings) SELECT label, round(max(p), 6) AS peak, round(1.4826 * mad(p), 6) AS noise, count(*) AS n FROM c GROUP BY label",

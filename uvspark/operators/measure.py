@@ -100,12 +100,22 @@ def antenna_states(snr: DataFrame, scans: DataFrame, antennas: DataFrame) -> Dat
     return grid.join(best, ["scan", "antenna"], "left").select("scan", "antenna", F.when(F.col("_s").isNull(), "absent").otherwise(snr_class(F.col("_s"))).alias("state"))
 
 
-def match_ranges(points: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Range (id, lo, hi) that holds each point (name, x): the one of nearest centre, then least id; ranges are few."""
-    centre = (F.col("lo") + F.col("hi")) / 2
-    hits = points.join(F.broadcast(ranges), F.col("x").between(F.col("lo"), F.col("hi")))
-    best = hits.withColumn("_n", F.row_number().over(Window.partitionBy("name").orderBy(F.abs(F.col("x") - centre), "id")))
-    return points.join(best.filter("_n = 1").select("name", F.col("id").alias("matched")), "name", "left").select("name", "matched")
+def match_ranges(points: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Range (id, lo, hi) that holds each point (name, x) of a setup (keys): the one of nearest centre, then least id, each used once.
+
+    Points choose in order of name. A setup has a few dozen of each; setups are independent groups.
+    """
+    lists = ranges.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("id", "lo", "hi"))).alias("_ranges"))
+    grouped = points.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("name", "x"))).alias("_points")).join(lists, keys, "left")
+
+    def take(acc, p):
+        free = F.filter(F.col("_ranges"), lambda r: p["x"].between(r["lo"], r["hi"]) & ~F.exists(acc, lambda m: F.coalesce(m["matched"] == r["id"], F.lit(False))))
+        best = F.array_min(F.transform(free, lambda r: F.struct(F.abs(p["x"] - (r["lo"] + r["hi"]) / 2).alias("d"), r["id"].alias("id"))))
+        return F.concat(acc, F.array(F.struct(p["name"].alias("name"), best["id"].alias("matched"))))
+
+    id_, name = dict(ranges.dtypes)["id"], dict(points.dtypes)["name"]
+    none = F.array().cast(f"array<struct<name:{name},matched:{id_}>>")
+    return grouped.select(*keys, F.explode(F.aggregate("_points", none, take)).alias("_m")).select(*keys, "_m.*")
 
 
 def hand_ratios(rows: DataFrame, keys: list[str], hand: str, value: str, first: str, second: str) -> DataFrame:
@@ -155,8 +165,13 @@ def _normal(s, d):
 
 
 def _ranges(s, d):
-    r = s.range(40).select(F.col("id").cast("int").alias("id"), (F.col("id") * 10.0).alias("lo"), (F.col("id") * 10.0 + 14).alias("hi"))
-    return match_ranges(series(s, d).select(F.col("event_id").alias("name"), F.col("value").alias("x")), r).select("name", F.coalesce("matched", F.lit(-1)).alias("matched"))
+    """Setups are days; points the first six events of each, ranges eight that overlap."""
+    nth = F.row_number().over(Window.partitionBy("day").orderBy("us", "event_id"))
+    points = series(s, d).withColumn("_n", nth).filter("_n <= 6").select("day", F.col("event_id").alias("name"), (F.col("value") % 80).alias("x"))
+    k = F.col("id").cast("int")
+    ranges = points.select("day").distinct().join(F.broadcast(s.range(8).select(k.alias("id"), (k * 10.0).alias("lo"), (k * 10.0 + 24).alias("hi"))))
+    return match_ranges(points, ranges, ["day"]).select("day", "name", F.coalesce("matched", F.lit(-1)).alias("matched"))
+
 
 
 QUERIES = {
@@ -197,8 +212,12 @@ SQL = {
     "sample_times": f"""WITH RECURSIVE {SERIES}, r AS (SELECT user_id, min(us) AS us FROM ev GROUP BY user_id UNION ALL SELECT user_id, us FROM (SELECT r.user_id, (SELECT min(us) FROM ev WHERE ev.user_id = r.user_id AND ev.us - r.us > {12 * HOUR_US}) AS us FROM r) WHERE us IS NOT NULL) SELECT user_id, us FROM r""",
     "antenna_states": f"""WITH {SERIES}, b AS (SELECT day AS scan, user_id % 40 AS antenna, max(value / 10) AS s FROM ev GROUP BY ALL)
       SELECT k::INT AS scan, a AS antenna, CASE WHEN s IS NULL THEN 'absent' WHEN s < 3 THEN 'lost' WHEN s < 7 THEN 'weak' WHEN s < 30 THEN 'good' ELSE 'strong' END AS state FROM range(30) x(k) CROSS JOIN range(42) y(a) LEFT JOIN b ON b.scan = k AND b.antenna = a""",
-    "match_subbands": """WITH r AS (SELECT id::INT AS id, id * 10.0::DOUBLE AS lo, id * 10.0::DOUBLE + 14 AS hi FROM range(40) t(id)), h AS (SELECT event_id AS name, id, row_number() OVER (PARTITION BY event_id ORDER BY abs(value - (lo + hi) / 2), id) AS n FROM events JOIN r ON value BETWEEN lo AND hi)
-      SELECT event_id AS name, coalesce(h.id, -1) AS matched FROM events LEFT JOIN h ON h.name = event_id AND n = 1""",
+    "match_subbands": f"""WITH RECURSIVE {SERIES}, p AS (SELECT * FROM (SELECT day, event_id AS name, value % 80 AS x, CAST(row_number() OVER (PARTITION BY day ORDER BY us, event_id) AS INT) AS k FROM ev) WHERE k <= 6),
+      q AS (SELECT day, name, x, CAST(row_number() OVER (PARTITION BY day ORDER BY name) AS INT) AS n FROM p), r AS (SELECT id::INT AS id, id * 10.0::DOUBLE AS lo, id * 10.0::DOUBLE + 24 AS hi FROM range(8) t(id)),
+      cand AS (SELECT day, name, n, list({{'d': abs(x - (lo + hi) / 2), 'id': id}}) FILTER (x BETWEEN lo AND hi) AS c FROM q, r GROUP BY ALL),
+      g AS (SELECT DISTINCT day, 0 AS n, NULL::BIGINT AS name, []::INT[] AS used, NULL::INT AS matched FROM q
+        UNION ALL SELECT day, n, name, CASE WHEN m IS NULL THEN used ELSE list_append(used, m) END, m FROM (SELECT c.day, c.n, c.name, g.used, list_sort(list_filter(c.c, lambda z: NOT list_contains(g.used, z.id)))[1].id AS m FROM g JOIN cand c ON c.day = g.day AND c.n = g.n + 1))
+      SELECT day, name, coalesce(matched, -1)::INT AS matched FROM g WHERE n > 0""",
     "hand_ratios": "WITH g AS (SELECT user_id, median(value) FILTER (event_type = 'click') AS a, median(value) FILTER (event_type = 'view') AS b, count(*) FILTER (event_type = 'click') AS na, count(*) FILTER (event_type = 'view') AS nb FROM events GROUP BY user_id) SELECT user_id, round(ln(a / b), 6) AS log_ratio FROM g WHERE na >= 3 AND nb >= 3",
     "amplitude_limit": "SELECT event_type, round(quantile_cont(value, 0.999), 6) AS \"limit\" FROM events GROUP BY event_type",
     "chain_factor": f"WITH {SERIES} SELECT user_id % 30 AS antenna, day, round(exp(sum(ln(value / 40))), 6) AS factor, count(*) AS n_tables FROM ev WHERE value > 0 GROUP BY ALL",

@@ -61,7 +61,7 @@ def parse_numbers(text: str, upper: int) -> list[int]:
 
 
 def parse_spw(text: str, nspw: int, nchan: int) -> dict[int, list[tuple[int, int]]]:
-    """'0:1~3;5,2' as channel ranges per subband; '*:0~3' for each of them."""
+    """'0:1~3;5,2' as channel ranges per subband; '*:0~3' for each of them. A subband that isn't there raises ValueError."""
     out: dict[int, list[tuple[int, int]]] = {}
     for part in filter(None, (p.strip() for p in (text or "*").split(","))):
         spws, _, chans = part.partition(":")
@@ -69,17 +69,22 @@ def parse_spw(text: str, nspw: int, nchan: int) -> dict[int, list[tuple[int, int
         for piece in filter(None, chans.split(";")):
             a, _, b = piece.partition("~")
             ranges.append((int(a), min(int(b or a), nchan - 1)))
-        for spw in parse_numbers(spws, nspw):
+        known = parse_numbers(spws, nspw)
+        if spws.strip() not in ("", "*") and len(known) < len(parse_numbers(spws, 1 << 20)):
+            raise ValueError(f"{spws!r} names subbands beyond the {nspw} there are")
+        for spw in known:
             out.setdefault(spw, []).extend(ranges or [(0, nchan - 1)])
     return out
 
 
 def parse_antenna(text: str, names: list[str]) -> tuple[set[int], set[tuple[int, int]]]:
-    """'A;B&C' as antenna ids and baselines; 'A&' or 'A&*' are all of A's baselines; autocorrelations excluded."""
-    index = {n: i for i, n in enumerate(names)}
+    """'A;B&C' as antenna ids and baselines; 'A&' or 'A&*' are all of A's baselines; autocorrelations excluded. Case doesn't matter."""
+    index = {n.lower(): i for i, n in enumerate(names)}
     ids, pairs = set(), set()
     for part in filter(None, (p.strip() for p in re.split("[;,]", text))):
-        a, amp, b = part.partition("&")
+        a, amp, b = (x.strip().lower() for x in part.partition("&"))
+        if unknown := {a, b} - {"", "*", *index}:
+            raise ValueError(f"unknown antenna {', '.join(sorted(unknown))}")
         if not amp:
             ids.add(index[a])
         else:

@@ -12,9 +12,14 @@ from ..plans.model import series, table, visibilities
 REFERENCE_SNR = 999.0
 
 
-def antenna_terms(value: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, clip: float = 4.0, iterations: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
-    """Terms g with value ~ g[a] + g[b]: reweighted fits, then clipping of the worst; terms, errors and reduced chi-squared. Unseen antennas: NaN."""
-    keep = np.isfinite(value) & (weight > 0)
+def antenna_terms(value: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, clip: float = 4.0, iterations: int = 5, prior: float = 0.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """Terms g with value ~ g[a] + g[b]: reweighted fits, then clipping; terms, errors and reduced chi-squared. Unseen antennas: NaN.
+
+    Each round of clipping judges all baselines anew, so one that was left out can return. prior (1 /
+    variance) pulls all terms to 0. Under three usable baselines nothing is solved.
+    """
+    usable = np.isfinite(value) & np.isfinite(weight) & (weight > 0)
+    value, weight, keep = np.where(usable, value, 0.0), np.where(usable, weight, 0.0), usable.copy()
     seen = np.zeros(n, bool)
 
     def fit(use: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -24,27 +29,30 @@ def antenna_terms(value: np.ndarray, weight: np.ndarray, a: np.ndarray, b: np.nd
         np.add.at(design, (rows, b[use]), 1.0)
         seen[:] = design.any(axis=0)
         root = np.sqrt(w[use])[:, None]
-        inverse = np.linalg.pinv((design * root).T @ (design * root))
-        return inverse @ (design.T @ (w[use] * value[use])), np.sqrt(np.diag(inverse))
+        inverse = np.linalg.pinv((design * root).T @ (design * root) + prior * np.diag(seen.astype(float)))
+        return inverse @ (design.T @ (w[use] * value[use])), np.sqrt(np.clip(np.diag(inverse), 0, None))
 
-    if not keep.any():
+    if usable.sum() < 3:
         return np.full(n, np.nan), np.full(n, np.nan), np.nan
     robust = weight.copy()
     for _ in range(iterations):
-        g, _ = fit(keep, robust)
+        g, err = fit(usable, robust)
         robust = weight / np.maximum(np.abs((value - g[a] - g[b]) * np.sqrt(weight)), 1e-3)
-    for _ in range(5):
-        r = (value - g[a] - g[b]) * np.sqrt(weight)
-        worst = keep & (np.abs(r) > clip * max(1.4826 * np.median(np.abs(r[keep])), 1.0))
-        if not worst.any() or (keep & ~worst).sum() < seen.sum():
+    known = seen.copy()
+    for _ in range(iterations):
+        r = np.abs((value - g[a] - g[b]) * np.sqrt(weight))
+        scale = max(1.4826 * np.median(r[usable]), 1.0) if usable.sum() > known.sum() else 1.0
+        new = usable & (r <= clip * scale)
+        if new.sum() <= known.sum():
+            new = usable.copy()
+        g, err = fit(new, weight)
+        if (new == keep).all():
             break
-        keep &= ~worst
-        g, err = fit(keep, weight)
-    g, err = fit(keep, weight)
+        keep = new
     r = (value - g[a] - g[b]) * np.sqrt(weight)
-    chi2 = float((r[keep] ** 2).sum() / max(1, keep.sum() - seen.sum()))
+    chi2 = float((r[keep] ** 2).sum() / max(1, usable.sum() - known.sum()))
     err = err * np.sqrt(max(chi2, 1.0))
-    return np.where(seen, g, np.nan), np.where(seen, err, np.nan), chi2
+    return np.where(known, g, np.nan), np.where(known, err, np.nan), chi2
 
 
 def on_source_fraction(ratio: np.ndarray, usable: np.ndarray, iterations: int = 30, prior: float = 0.05) -> np.ndarray:
@@ -70,8 +78,9 @@ def connected_groups(weight: np.ndarray) -> np.ndarray:
 def antenna_gains(cross: np.ndarray, weight: np.ndarray, iterations: int = 100, tolerance: float = 1e-8, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Gains with cross[i, j] / weight[i, j] ~ g[i] conj(g[j]), and which are flagged (under `least` baselines).
 
-    cross sums weight * visibility and is Hermitian. Starts at the leading eigenvector, then alternates
-    least squares per antenna with averaged iterates.
+    cross sums weight * visibility and is Hermitian. Starts at the leading eigenvector of each connected
+    group, then alternates least squares per antenna, averaging every second iterate. Each group has a
+    phase origin of its own.
     """
     weight = weight.copy()
     while True:
@@ -84,16 +93,22 @@ def antenna_gains(cross: np.ndarray, weight: np.ndarray, iterations: int = 100,
     flagged = ~(weight > 0).any(axis=1)
     cross = np.where(weight > 0, cross, 0)
     mean = np.where(weight > 0, cross / np.where(weight > 0, weight, 1), 0)
-    values, vectors = np.linalg.eigh(mean)
-    g = vectors[:, -1] * np.sqrt(max(values[-1], 1e-12))
-    for _ in range(iterations):
+    g = np.ones(len(weight), complex)
+    label = connected_groups(weight)
+    for k in np.unique(label[~flagged]):
+        # A group without a baseline to another is a problem of its own: the leading vector of all would leave it near zero.
+        own = np.flatnonzero((label == k) & ~flagged)
+        values, vectors = np.linalg.eigh(mean[np.ix_(own, own)])
+        links = np.maximum((weight[np.ix_(own, own)] > 0).sum(axis=1), 1)
+        g[own] = vectors[:, -1] * np.sqrt(max(values[-1], 1e-12)) * np.sqrt(len(own) / links)
+    for i in range(2 * iterations):
         den = weight @ np.abs(g) ** 2
-        new = np.where(den > 0, cross @ g / np.where(den > 0, den, 1), 0)
-        new = (g + new) / 2
-        if np.abs(new - g).max() < tolerance:
-            g = new
+        new = np.where(den > 0, cross @ g / np.where(den > 0, den, 1), 1)
+        if i % 2:
+            new = (g + new) / 2
+        change, g = np.abs(new - g)[~flagged].max(initial=0.0), new
+        if i % 2 and change < tolerance:
             break
-        g = new
     return np.where(flagged, np.nan, g), flagged
 
 
@@ -291,8 +306,11 @@ def crop_rows(rows: DataFrame) -> DataFrame:
     return cells.groupBy("label", "chunk").applyInPandas(solve, "vec_id long, n_flagged long")
 
 
-def forest_predictions(docs: DataFrame, labels: DataFrame, trees: int = 20, depth: int = 4, seed: int = 11) -> DataFrame:
-    """Random-forest predictions of quality from simple text features, nulls imputed by medians."""
+def forest_predictions(docs: DataFrame, labels: DataFrame, trees: int = 20, depth: int = 4, seed: int = 11, folds: int = 5) -> DataFrame:
+    """Random-forest predictions of quality from simple text features, nulls imputed by medians of the training rows.
+
+    A labelled document is predicted by the forest of the other folds (by hash of its id), an unlabelled one by fold 0's.
+    """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import Imputer, VectorAssembler
 
@@ -300,14 +318,21 @@ def forest_predictions(docs: DataFrame, labels: DataFrame, trees: int = 20, dept
     names = ["n_chars", "symbols", "capitals", "words"]
     x = docs.select(
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
-        (F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")) / F.length(text)).alias("symbols"),
-        (F.length(F.regexp_replace(text, "[^A-Z]", "")) / F.length(text)).alias("capitals"),
+        (F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")) / F.nullif(F.length(text), F.lit(0))).alias("symbols"),
+        (F.length(F.regexp_replace(text, "[^A-Z]", "")) / F.nullif(F.length(text), F.lit(0))).alias("capitals"),
         F.size(F.split(text, r"\s+")).cast("double").alias("words"),
     )
-    x = Imputer(strategy="median", inputCols=names, outputCols=names).fit(x).transform(x)
-    x = VectorAssembler(inputCols=names, outputCol="features").transform(x)
-    model = RandomForestClassifier(labelCol="quality", numTrees=trees, maxDepth=depth, seed=seed).fit(x.join(labels.select("doc_id", "quality"), "doc_id"))
-    return model.transform(x).select("doc_id", F.col("prediction").cast("int").alias("predicted"))
+    x = x.join(labels.select("doc_id", "quality"), "doc_id", "left")
+    x = x.withColumn("fold", F.when(F.col("quality").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(folds)).cast("int"))).cache()
+    out = None
+    for k in range(folds):
+        train = x.filter((F.col("fold") != k) & F.col("quality").isNotNull())
+        imputer = Imputer(strategy="median", inputCols=names, outputCols=names).fit(train)
+        assemble = VectorAssembler(inputCols=names, outputCol="features").transform
+        model = RandomForestClassifier(labelCol="quality", numTrees=trees, maxDepth=depth, seed=seed).fit(assemble(imputer.transform(train)))
+        part = model.transform(assemble(imputer.transform(x.filter(F.col("fold") == k)))).select("doc_id", F.col("prediction").cast("int").alias("predicted"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def stage_plan(snr: DataFrame, min_snr: float) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ranks import pinned
+from ..operators.ranks import shared_folder
 from ..plans.model import VIS, visibilities
 
 ARRAY = T.ArrayType(T.FloatType())
@@ -142,8 +142,7 @@ class FlagVersions:
 
 
 def scratch(spark: SparkSession) -> str:
-    pinned(spark.range(1))
-    return f"{spark.sparkContext.getCheckpointDir()}/uvspark-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/uvspark-{uuid.uuid4().hex}"
 
 
 def _versioned(s, d):

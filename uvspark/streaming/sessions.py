@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranks import pinned  # noqa: F401  sets the checkpoint folder where none is named
+from ..operators.ranks import shared_folder
 from ..plans.model import SERIES
 
 
@@ -49,8 +48,7 @@ def last_values(events: DataFrame, n: int = 3) -> DataFrame:
 def drain(stream: DataFrame, mode: str = "complete") -> DataFrame:
     """Run a stream over all input there is now; its result as a table of files in the shared folder."""
     spark = stream.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="uvspark-")
-    path = f"{root}/uvspark-stream-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/uvspark-stream-{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, batch_id: int) -> None:
         # Whole batches replace what a failed attempt at the same batch left.
