@@ -52,6 +52,25 @@ def test_repeats(spark, docs, odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("least", [4, 10**9])
+def test_repeats_of_a_gram_in_all_documents(spark, least, monkeypatch):
+    """One gram in every document, with surroundings that differ, or agree on one side, or on both; with hot grams and without."""
+    import random
+
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHORS", least)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    gram, left, right = " 0000000000000000 ", [word(40) for _ in range(6)], [word(40) for _ in range(6)]
+    passage = word(70)
+    made = [(i, word(rng.randint(0, 60)) + rng.choice([*left, word(40)]) + gram + rng.choice([*right, word(40)]) + word(30) + passage * (i % 3 == 0) + word(50)) for i in range(400)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(6)
+    if least == 4:
+        rows = df.selectExpr("doc_id AS doc", "text")
+        assert len(suffix_dedup.hot_grams(rows, 50, sum(len(t) for _, t in made), 1.0)) > 3
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, with_bytes=False).collect())
+    assert got == repeats(made)
+
+
 def test_neighbourhoods_alike_in_low_bits_differ():
     """Two neighbourhoods of one gram whose names share all but the highest bits aren't repeats; equal ones are."""
     for high, full in ((1 << 63, 0), (1 << 40, 0), (0, 1)):

@@ -12,6 +12,10 @@ least (its anchor). Rounds:
    that occurs in a smaller document, all those strings do.
 3. What is left (neighbourhoods that differ somewhere) is ranked by the full names of `threshold`
    bytes, doubled again from the bytes.
+
+A gram that stands in very many documents with differing surroundings would fill one bucket. A sample of
+the documents finds such grams beforehand; it only decides where anchors go, not what is removed. Anchors of
+hot grams are dealt by their neighbourhood, and in round 3 string by string, in Spark's own aggregates.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ GRAM = 16
 #: Bytes of text named at once; anchors sent on at once; anchors, and neighbourhoods, of one bucket.
 TEXT_STEP, SEND, PER_BUCKET, PER_BUCKET_3 = 2_000_000, 1_000_000, 400_000, 40_000
 
+#: Bytes of the sample that finds hot grams, anchors from which on one is hot, and most hot grams.
+SAMPLE_BYTES, HOT_ANCHORS, MOST_HOT = 32_000_000, 50_000, 20_000
+
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15)
 _BACK = _U(pow(int(_MUL), -1, 1 << 64))
@@ -106,10 +113,10 @@ def _wide(x: np.ndarray) -> np.ndarray:
 
 
 class Outbox:
-    """Anchors of many texts, sent as compressed blocks per bucket."""
+    """Anchors of many texts, sent as compressed blocks per bucket; those of hot grams to as many further buckets, by their neighbourhood."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.parts, self.docs, self.n = buckets, [], [], 0
+    def __init__(self, buckets: int, hot: np.ndarray = np.empty(0, _U)):
+        self.buckets, self.hot, self.parts, self.docs, self.n = buckets, hot, [], [], 0
 
     def add(self, docs: list[tuple[int, int]], which, first, last, p, name, around) -> None:
         self.parts.append((which + len(self.docs), first, last, p, name, around))
@@ -143,6 +150,11 @@ class Outbox:
             rows.append((-1 - spread, _pack([ids[w], texts[w], f.astype("<u4"), l.astype("<u4")]), len(w)))
         g = np.flatnonzero(~settled)
         bucket = (name[g] % _U(self.buckets)).astype(np.int64)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, name[g]), len(self.hot) - 1)
+            h = np.flatnonzero(self.hot[at] == name[g])
+            bucket[h] = self.buckets + (mix(name[g][h] ^ (around[g][h] * _MUL)) % _U(self.buckets)).astype(np.int64)
+            name[g[h]] = at[h].astype(_U) * _U(self.buckets)  # its number among the hot ones
         for b in np.unique(bucket).tolist():
             k = g[bucket == b]
             used, w = np.unique(which[k], return_inverse=True)
@@ -153,8 +165,31 @@ class Outbox:
         yield pd.DataFrame(rows, columns=["bucket", "block", "n"])
 
 
-def anchor_batches(batches: Iterator[pd.DataFrame], threshold: int, buckets: int) -> Iterator[pd.DataFrame]:
-    box = Outbox(buckets)
+def sampled_grams(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
+    """(name, n) of the anchors' grams that occur twice or more in a batch."""
+    with np.errstate(over="ignore"):
+        for pdf in batches:
+            raw = [t.encode() for t in pdf["text"]]
+            for at in range(0, len(raw), 256):
+                part = [r for r in raw[at : at + 256] if len(r) >= threshold]
+                if part:
+                    names = anchors(np.frombuffer(b"".join(part), np.uint8), np.cumsum([len(r) for r in part]), threshold)[3]
+                    name, n = np.unique(names, return_counts=True)
+                    yield pd.DataFrame({"name": name[n > 1].view(np.int64), "n": n[n > 1]})
+
+
+def hot_grams(rows: DataFrame, threshold: int, total: int, expected: float) -> np.ndarray:
+    """Names of grams that a sample of whole documents expects at HOT_ANCHORS anchors or more; at most MOST_HOT."""
+    share = min(1.0, SAMPLE_BYTES / max(1, total))
+    most = max(HOT_ANCHORS, expected / MOST_HOT)
+    some = rows if share == 1 else rows.filter(F.xxhash64("doc") < -(1 << 63) + int(share * (1 << 64)))
+    seen = some.mapInPandas(lambda it: sampled_grams(it, threshold), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    found = seen.filter(F.col("n") >= most * share).orderBy(F.desc("n"), "name").limit(MOST_HOT).collect()
+    return np.sort(np.array([r["name"] for r in found], np.int64).view(_U))
+
+
+def anchor_batches(batches: Iterator[pd.DataFrame], threshold: int, buckets: int, hot: np.ndarray) -> Iterator[pd.DataFrame]:
+    box = Outbox(buckets, hot)
 
     def name(docs: list, raw: list[bytes]) -> None:
         codes = np.frombuffer(b"".join(raw), np.uint8)
@@ -185,11 +220,16 @@ def anchor_batches(batches: Iterator[pd.DataFrame], threshold: int, buckets: int
         yield from box.blocks()
 
 
-FOUND = "doc long, text_id long, open boolean, a int, b int, p int, name long"
+FOUND = "doc long, text_id long, open boolean, a int, b int, p int, name long, hot boolean"
 
 
-def rank_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rounds 1 and 2 in one bucket: settled runs of starts, and open neighbourhoods."""
+def rank_bucket(pdf: pd.DataFrame, buckets: int = 1 << 62) -> pd.DataFrame:
+    """Rounds 1 and 2 in one bucket: settled runs of starts, and open neighbourhoods. Buckets from `buckets` on hold hot grams."""
+    out = _rank_bucket(pdf, hot := bool(pdf["bucket"].iloc[0] >= buckets))
+    return out.assign(hot=hot)
+
+
+def _rank_bucket(pdf: pd.DataFrame, hot: bool) -> pd.DataFrame:
     if pdf["bucket"].iloc[0] < 0:
         out = []
         for block, n in zip(pdf["block"], pdf["n"]):
@@ -222,7 +262,8 @@ def rank_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     # A group of several neighbourhoods and several documents stays open.
     kinds = np.bincount(group[lead])
     low, high = np.minimum.reduceat(doc, np.flatnonzero(head)), np.maximum.reduceat(doc, np.flatnonzero(head))
-    open_ = ~full & ((kinds > 1) & (low < high))[group]
+    # A hot gram's other neighbourhoods are in other buckets: it has several.
+    open_ = ~full if hot else ~full & ((kinds > 1) & (low < high))[group]
     keep = np.flatnonzero(full | open_)
     return pd.DataFrame({"doc": doc[keep], "text_id": text_id[keep], "open": open_[keep], "a": a[keep].astype(np.int32), "b": b[keep].astype(np.int32), "p": p[keep].astype(np.int32), "name": name[keep].view(np.int64)})
 
@@ -237,6 +278,33 @@ def context_batches(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator
         yield pd.DataFrame(rows, columns=["bucket", "doc", "text_id", "a", "raw"])
 
 
+STRINGS = "name long, doc long, text_id long, a int"
+
+
+def string_batches(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
+    """Names of all strings of `threshold` bytes in the open neighbourhoods of hot grams."""
+    with np.errstate(over="ignore"):
+        for pdf in batches:
+            for d, t, text, places in zip(pdf["doc"].tolist(), pdf["text_id"].tolist(), pdf["text"].tolist(), pdf["places"].tolist()):
+                raw = np.frombuffer(text.encode(), np.uint8)
+                found = [(double_names(raw[x["a"] : x["b"] + threshold], threshold), x["a"]) for x in places]
+                names = np.concatenate([n for n, _ in found])
+                at = np.concatenate([a + np.arange(len(n)) for n, a in found])
+                yield pd.DataFrame({"name": names.view(np.int64), "doc": d, "text_id": t, "a": at.astype(np.int32)})
+
+
+def repeated_strings(strings: DataFrame) -> DataFrame:
+    """Starts (as runs) of strings that also start in a smaller document. A string of very many rows is met by broadcast; there are few."""
+    strings = materialize(strings)
+    low = materialize(strings.groupBy("name").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n")).filter("low < high"))
+    most = max(1000, strings.count() // 2000)
+    common, rest = (low.filter(c).select("name", "low") for c in (F.col("n") > most, F.col("n") <= most))
+    marked = strings.join(F.broadcast(common.withColumnRenamed("low", "_low")), "name", "left")
+    one = marked.filter(F.col("doc") > F.col("_low"))
+    two = marked.filter("_low IS NULL").join(rest, "name").filter(F.col("doc") > F.col("low"))
+    return one.select("doc", "text_id", "a", F.col("a").alias("b")).union(two.select("doc", "text_id", "a", F.col("a").alias("b")))
+
+
 RUNS = "doc long, text_id long, a int, b int"
 
 
@@ -302,8 +370,8 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True
 
     Every byte covered by a string of `threshold` (at least 2 * GRAM, at most 255) bytes that also
     starts in a document with a smaller doc_id is removed; null doc_id counts as the largest. Null text
-    counts as empty. Repeated rows have one doc_id and don't remove from each other. An empty table
-    gives no rows; other columns are ignored.
+    counts as empty; long texts are searched whole. Repeated rows have one doc_id and don't remove from
+    each other. An empty table gives no rows; other columns are ignored.
     """
     if not 2 * GRAM <= threshold <= 255:
         raise ValueError("threshold out of range")
@@ -312,15 +380,19 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = 2 * total / (threshold - GRAM + 2)
     buckets = max(1, round(expected / PER_BUCKET))
-    blocks = rows.mapInPandas(lambda it: anchor_batches(it, threshold, buckets), "bucket long, block binary, n long")
-    found = materialize(blocks.groupBy("bucket").applyInPandas(rank_bucket, FOUND))
-    open_ = found.filter("open")
+    hot = hot_grams(rows, threshold, total, expected)
+    blocks = rows.mapInPandas(lambda it: anchor_batches(it, threshold, buckets, hot), "bucket long, block binary, n long")
+    found = materialize(blocks.groupBy("bucket").applyInPandas(lambda pdf: rank_bucket(pdf, buckets), FOUND))
+    open_ = found.filter("open AND NOT hot")
     n3 = max(1, round(open_.count() / PER_BUCKET_3))
     place = F.struct(F.pmod(F.col("name"), F.lit(n3)).alias("bucket"), "a", "b")
     places = open_.groupBy("doc", "text_id").agg(F.collect_list(place).alias("places"))
     contexts = rows.join(places, ["doc", "text_id"]).mapInPandas(lambda it: context_batches(it, threshold), "bucket long, doc long, text_id long, a int, raw binary")
     late = contexts.groupBy("bucket").applyInPandas(lambda pdf: compare_contexts(pdf, threshold), RUNS)
     runs = found.filter("NOT open").select("doc", "text_id", "a", "b").union(late)
+    if len(hot):
+        few = found.filter("open AND hot").groupBy("doc", "text_id").agg(F.collect_list(F.struct("a", "b")).alias("places"))
+        runs = runs.union(repeated_strings(rows.join(few, ["doc", "text_id"]).mapInPandas(lambda it: string_batches(it, threshold), STRINGS)))
     runs = runs.groupBy("doc", "text_id").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     out = rows.join(runs, ["doc", "text_id"], "left").mapInPandas(lambda it: (p if with_bytes else p.drop(columns="kept") for p in cut_batches(it, threshold)), RESULT if with_bytes else RESULT.removesuffix(", kept binary"))
     return out.withColumn("doc", F.nullif("doc", F.lit((1 << 63) - 1))).withColumnRenamed("doc", "doc_id")
