@@ -52,12 +52,13 @@ def test_repeats(spark, docs, odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
-@pytest.mark.parametrize("least", [4, 10**9])
-def test_repeats_of_a_gram_in_all_documents(spark, least, monkeypatch):
+@pytest.mark.parametrize("least,broadcast", [(4, 10**6), (4, 0), (10**9, 0)])
+def test_repeats_of_a_gram_in_all_documents(spark, least, broadcast, monkeypatch):
     """One gram in every document, with surroundings that differ, or agree on one side, or on both; with hot grams and without."""
     import random
 
     monkeypatch.setattr(suffix_dedup, "HOT_ANCHORS", least)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_STRINGS", broadcast)
     rng = random.Random(9)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
     gram, left, right = " 0000000000000000 ", [word(40) for _ in range(6)], [word(40) for _ in range(6)]

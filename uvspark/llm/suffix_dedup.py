@@ -35,8 +35,10 @@ GRAM = 16
 #: Bytes of text named at once; anchors sent on at once; anchors, and neighbourhoods, of one bucket.
 TEXT_STEP, SEND, PER_BUCKET, PER_BUCKET_3 = 2_000_000, 1_000_000, 400_000, 40_000
 
-#: Bytes of the sample that finds hot grams, anchors from which on one is hot, and most hot grams.
-SAMPLE_BYTES, HOT_ANCHORS, MOST_HOT = 32_000_000, 50_000, 20_000
+#: Bytes of the sample that finds hot grams, anchors from which on one is hot (it would fill a bucket by itself), and most hot grams.
+SAMPLE_BYTES, HOT_ANCHORS, MOST_HOT = 32_000_000, PER_BUCKET, 20_000
+#: Most repeated strings of hot grams that are broadcast.
+BROADCAST_STRINGS = 1_000_000
 
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15)
@@ -282,27 +284,36 @@ STRINGS = "name long, doc long, text_id long, a int"
 
 
 def string_batches(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
-    """Names of all strings of `threshold` bytes in the open neighbourhoods of hot grams."""
+    """Names of all strings of `threshold` bytes in contexts."""
     with np.errstate(over="ignore"):
         for pdf in batches:
-            for d, t, text, places in zip(pdf["doc"].tolist(), pdf["text_id"].tolist(), pdf["text"].tolist(), pdf["places"].tolist()):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                found = [(double_names(raw[x["a"] : x["b"] + threshold], threshold), x["a"]) for x in places]
-                names = np.concatenate([n for n, _ in found])
-                at = np.concatenate([a + np.arange(len(n)) for n, a in found])
-                yield pd.DataFrame({"name": names.view(np.int64), "doc": d, "text_id": t, "a": at.astype(np.int32)})
+            sizes = pdf["raw"].str.len().to_numpy()
+            for size in np.unique(sizes):
+                rows = pdf[sizes == size]
+                names = double_names(np.frombuffer(b"".join(rows["raw"]), np.uint8).reshape(len(rows), size), threshold)
+                each = names.shape[1]
+                at = (rows["a"].to_numpy()[:, None] + np.arange(each)).ravel().astype(np.int32)
+                yield pd.DataFrame({"name": names.ravel().view(np.int64), "doc": np.repeat(rows["doc"].to_numpy(), each), "text_id": np.repeat(rows["text_id"].to_numpy(), each), "a": at})
 
 
-def repeated_strings(strings: DataFrame) -> DataFrame:
-    """Starts (as runs) of strings that also start in a smaller document. A string of very many rows is met by broadcast; there are few."""
-    strings = materialize(strings)
+def repeated_strings(contexts: DataFrame, threshold: int) -> DataFrame:
+    """Starts (as runs) of strings in contexts that also start in a smaller document.
+
+    Only the least document of each repeated string is needed: one partial aggregate, whatever the string's
+    number of rows. It is broadcast behind a check of its size; else strings of very many rows are, which are few.
+    """
+    contexts = materialize(contexts)
+    strings = contexts.mapInPandas(lambda it: string_batches(it, threshold), STRINGS)
     low = materialize(strings.groupBy("name").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n")).filter("low < high"))
-    most = max(1000, strings.count() // 2000)
+    total, repeated = low.agg(F.sum("n"), F.count("*")).first()
+    most = 0 if repeated <= BROADCAST_STRINGS else max(1000, total // 2000)
     common, rest = (low.filter(c).select("name", "low") for c in (F.col("n") > most, F.col("n") <= most))
-    marked = strings.join(F.broadcast(common.withColumnRenamed("low", "_low")), "name", "left")
-    one = marked.filter(F.col("doc") > F.col("_low"))
-    two = marked.filter("_low IS NULL").join(rest, "name").filter(F.col("doc") > F.col("low"))
-    return one.select("doc", "text_id", "a", F.col("a").alias("b")).union(two.select("doc", "text_id", "a", F.col("a").alias("b")))
+    marked = strings.join(F.broadcast(common), "name", "left")
+    if most == 0:
+        found = marked.filter(F.col("doc") > F.col("low"))
+    else:
+        found = marked.filter(F.col("doc") > F.col("low")).unionByName(marked.filter("low IS NULL").drop("low").join(rest, "name").filter(F.col("doc") > F.col("low")))
+    return found.select("doc", "text_id", "a", F.col("a").alias("b"))
 
 
 RUNS = "doc long, text_id long, a int, b int"
@@ -391,8 +402,9 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True
     late = contexts.groupBy("bucket").applyInPandas(lambda pdf: compare_contexts(pdf, threshold), RUNS)
     runs = found.filter("NOT open").select("doc", "text_id", "a", "b").union(late)
     if len(hot):
-        few = found.filter("open AND hot").groupBy("doc", "text_id").agg(F.collect_list(F.struct("a", "b")).alias("places"))
-        runs = runs.union(repeated_strings(rows.join(few, ["doc", "text_id"]).mapInPandas(lambda it: string_batches(it, threshold), STRINGS)))
+        few = found.filter("open AND hot").groupBy("doc", "text_id").agg(F.collect_list(F.struct(F.lit(0).cast("long").alias("bucket"), "a", "b")).alias("places"))
+        hot_contexts = rows.join(few, ["doc", "text_id"]).mapInPandas(lambda it: context_batches(it, threshold), "bucket long, doc long, text_id long, a int, raw binary")
+        runs = runs.union(repeated_strings(hot_contexts, threshold))
     runs = runs.groupBy("doc", "text_id").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     out = rows.join(runs, ["doc", "text_id"], "left").mapInPandas(lambda it: (p if with_bytes else p.drop(columns="kept") for p in cut_batches(it, threshold)), RESULT if with_bytes else RESULT.removesuffix(", kept binary"))
     return out.withColumn("doc", F.nullif("doc", F.lit((1 << 63) - 1))).withColumnRenamed("doc", "doc_id")
