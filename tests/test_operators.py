@@ -222,3 +222,16 @@ def test_points_choose_ranges_once(spark):
     ranges = spark.createDataFrame([("a", 0, 0.0, 10.0), ("a", 1, 4.0, 16.0)], "k string, id int, lo double, hi double")
     got = {(r.k, r.name): r.matched for r in match_ranges(points, ranges, ["k"]).collect()}
     assert got == {("a", 0): 0, ("a", 1): 1, ("a", 2): None, ("a", 3): None, ("b", 0): None}
+
+
+def test_brackets_by_broadcast_and_by_shuffle(spark):
+    import random
+
+    rng = random.Random(4)
+    solutions = spark.createDataFrame([(k, t, float(t * 10 + k)) for k in range(3) for t in sorted(rng.sample(range(100), 9))] + [(7, 50, 1.0)], "k int, t long, v double")
+    probes = spark.createDataFrame([(i, rng.choice([0, 1, 2, 7, 9]), rng.randrange(-5, 110)) for i in range(400)], "id long, k int, t long")
+    one, two = (f(probes, solutions, ["k"], "t", "v").collect() for f in (asof.brackets, asof.shuffled_brackets))
+    key = lambda rows: [(r.id, r.t0, r.v0, r.t1, r.v1) for r in rows]
+    assert key(sorted(one, key=lambda r: r.id)) == key(sorted(two, key=lambda r: r.id)) and len(one) == 400
+    plan = asof.brackets(probes, solutions, ["k"], "t", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Window" not in plan

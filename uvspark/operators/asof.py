@@ -10,12 +10,30 @@ from ..plans.model import SERIES, VIS, series, table, visibilities
 HOUR_US = 3600 * 1000000
 
 
+#: Most solutions whose sorted lists are broadcast to the probes; beyond, both tables are shuffled.
+BROADCAST_SOLUTIONS = 1_000_000
+
+
 def brackets(probes: DataFrame, solutions: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
     """Add t0, v0 (last solution at or before) and t1, v1 (first at or after) to the probes.
 
-    One shuffle on the keys: both tables are stacked and each probe looks back and ahead in its
-    window. Flagged solutions are the caller's to drop.
+    Solutions are few next to the probes: behind a check of their number, a sorted list per key is
+    broadcast and searched in each row, so the probes aren't moved. Flagged solutions are the caller's to drop.
     """
+    if solutions.count() > BROADCAST_SOLUTIONS:
+        return shuffled_brackets(probes, solutions, keys, time, value)
+    entry = F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v"))
+    lists = solutions.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_list"))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(BROADCAST_SOLUTIONS.bit_length()))])
+    until = F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(F.get("_list", n + step - 1)["t"] <= F.col(time), step).otherwise(0))
+    found = probes.join(F.broadcast(lists), keys, "left").withColumn("_n", until)
+    found = found.withColumns({"_lo": F.get("_list", F.col("_n") - 1), "_hi": F.get("_list", F.col("_n"))}).drop("_list", "_n")
+    found = found.withColumn("_hi", F.when(F.col("_lo.t") == F.col(time), F.col("_lo")).otherwise(F.col("_hi")))
+    return found.select(*probes.columns, F.col("_lo.t").alias("t0"), F.col("_lo.v").alias("v0"), F.col("_hi.t").alias("t1"), F.col("_hi.v").alias("v1"))
+
+
+def shuffled_brackets(probes: DataFrame, solutions: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
+    """brackets for many solutions: one shuffle on the keys. Both tables are stacked and each probe looks back and ahead in its window."""
     cols = probes.columns
     a = probes.select(F.struct(*cols).alias("_p"), *keys, F.col(time).alias("_t"), F.lit(None).cast("double").alias("_v"), F.lit(1).alias("_probe"))
     b = solutions.select(F.lit(None).cast(a.schema["_p"].dataType).alias("_p"), *keys, F.col(time).alias("_t"), F.col(value).cast("double").alias("_v"), F.lit(0).alias("_probe"))

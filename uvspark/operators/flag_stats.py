@@ -18,6 +18,17 @@ def _counts() -> list:
     return [seen.alias("n_observable"), lost.alias("n_flagged"), F.round(lost / F.nullif(seen, F.lit(0)), 6).alias("fraction")]
 
 
+def baseline_counts(vis: DataFrame) -> DataFrame:
+    """Counts per baseline and subband: the fact table is read once, and all levels are rolled up from these few rows."""
+    seen, lost, _ = _counts()
+    return cross(vis).groupBy("antenna1", "antenna2", "ddid").agg(seen, lost)
+
+
+def _rolled() -> list:
+    seen, lost = F.sum("n_observable"), F.sum("n_flagged")
+    return [seen.alias("n_observable"), lost.alias("n_flagged"), F.round(lost / F.nullif(seen, F.lit(0)), 6).alias("fraction")]
+
+
 def flag_counts(vis: DataFrame, *by: str) -> DataFrame:
     """Observable and flagged counts and fraction, per group or over all."""
     return cross(vis).groupBy(*by).agg(*_counts())
@@ -29,14 +40,15 @@ def endpoints(vis: DataFrame) -> DataFrame:
 
 
 def flag_counts_by_antenna(vis: DataFrame) -> DataFrame:
-    return endpoints(cross(vis)).groupBy("antenna").agg(*_counts())
+    return endpoints(baseline_counts(vis)).groupBy("antenna").agg(*_rolled())
 
 
 def flag_summary(vis: DataFrame) -> DataFrame:
     """Total and subband levels from grouping sets, antenna level from the exploded endpoints."""
-    flat = cross(vis).groupingSets([[], ["ddid"]], "ddid").agg(*_counts())
+    counts = baseline_counts(vis)
+    flat = counts.groupingSets([[], ["ddid"]], "ddid").agg(*_rolled())
     flat = flat.select(F.when(F.col("ddid").isNull(), "total").otherwise("ddid").alias("level"), F.coalesce("ddid", F.lit(-1)).cast("int").alias("key"), "n_observable", "n_flagged", "fraction")
-    ants = flag_counts_by_antenna(vis).select(F.lit("antenna").alias("level"), F.col("antenna").alias("key"), "n_observable", "n_flagged", "fraction")
+    ants = endpoints(counts).groupBy("antenna").agg(*_rolled()).select(F.lit("antenna").alias("level"), F.col("antenna").alias("key"), "n_observable", "n_flagged", "fraction")
     return flat.unionByName(ants)
 
 
@@ -47,11 +59,10 @@ def dead_antennas(vis: DataFrame) -> DataFrame:
 
 def flag_counts_without_dead(vis: DataFrame) -> DataFrame:
     """Totals over baselines between antennas that aren't fully flagged."""
-    dead = dead_antennas(vis)
-    alive = vis
+    alive, dead = baseline_counts(vis), dead_antennas(vis)
     for end in ("antenna1", "antenna2"):
-        alive = alive.join(F.broadcast(dead.withColumnRenamed("antenna", end)), end, "left_anti")
-    return flag_counts(alive)
+        alive = alive.join(dead.withColumnRenamed("antenna", end), end, "left_anti")
+    return alive.agg(*_rolled())
 
 
 def participation(vis: DataFrame) -> DataFrame:
@@ -66,9 +77,8 @@ def usable_subbands(vis: DataFrame, least: int = 2) -> DataFrame:
 
 def scan_summary(vis: DataFrame) -> DataFrame:
     """Per scan: time range, rows, antennas, subbands."""
-    ants = endpoints(vis).groupBy("scan").agg(F.countDistinct("antenna").alias("n_antennas"))
-    rows = vis.groupBy("scan").agg(F.min("time").alias("first"), F.max("time").alias("last"), F.count("*").alias("n_rows"), F.countDistinct("ddid").alias("n_subbands"))
-    return rows.join(ants, "scan")
+    ants = F.size(F.array_distinct(F.flatten(F.collect_set(F.array("antenna1", "antenna2"))))).cast("long")  # at most all baselines
+    return vis.groupBy("scan").agg(F.min("time").alias("first"), F.max("time").alias("last"), F.count("*").alias("n_rows"), F.countDistinct("ddid").alias("n_subbands"), ants.alias("n_antennas"))
 
 
 def baseline_pairs(antennas: DataFrame) -> DataFrame:

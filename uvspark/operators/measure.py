@@ -46,8 +46,8 @@ def solution_interval(time_us: Column, first_us: Column, seconds: float) -> Colu
 
 def accumulate(rows: DataFrame, keys: list[str], scan: str, time_us: str, seconds: float, value: str, weight: str) -> DataFrame:
     """Sums of weight * value and of weight per key and solution interval, intervals starting anew in each scan."""
-    first = F.min(time_us).over(Window.partitionBy(scan))
-    r = rows.withColumn("interval", solution_interval(F.col(time_us), first, seconds))
+    first = rows.groupBy(scan).agg(F.min(time_us).alias("_first"))  # one row per scan
+    r = rows.join(first, scan).withColumn("interval", solution_interval(F.col(time_us), F.col("_first"), seconds)).drop("_first")
     return r.groupBy(*keys, scan, "interval").agg(F.round(F.sum(F.col(weight) * F.col(value)), 4).alias("sum_wv"), F.round(F.sum(weight), 4).alias("sum_w"))
 
 
