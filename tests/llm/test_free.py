@@ -293,6 +293,39 @@ def test_packing_plan(capacity, longest):
     assert all(sorted(seen[k]) == list(range(n)) for k, n in counts.items())
 
 
+def plain_best_fit(lengths, cap):
+    """Vector best-fit piece by piece, long ones first: how many bins."""
+    limits, bins = cap.limits(), []
+
+    def score(r, need):
+        if cap.score == "dot":
+            return -sum(w * a / c * n / c for w, a, n, c in zip(cap.weights, r, need, limits))
+        return sum(w * ((a - n) / c) ** 2 for w, a, n, c in zip(cap.weights, r, need, limits))
+
+    for length in sorted(lengths, reverse=True):
+        need = packing.demand(length)
+        fits = [i for i, r in enumerate(bins) if all(a >= n for a, n in zip(r, need))]
+        if not fits:
+            bins.append(limits)
+            fits = [len(bins) - 1]
+        best = min(fits, key=lambda i: (score(bins[i], need), bins[i]))
+        bins[best] = tuple(a - n for a, n in zip(bins[best], need))
+    return len(bins)
+
+
+@pytest.mark.parametrize("score", ["residual", "dot"])
+@pytest.mark.parametrize("capacity", [{}, {"documents": 4}, {"attention": 3500}, {"documents": 5, "attention": 4000}])
+def test_packing_plan_against_plain_best_fit(capacity, score):
+    """Each capacity binds in turn; the plan over classes of bins needs no more bins than piece by piece, but for a few."""
+    rng = np.random.default_rng(8)
+    lengths = np.minimum(59, 1 + rng.exponential(18, 1500).astype(int)).tolist()
+    for weights in ((1, 0, 0), (1, 0.2, 0.2), (1, 1, 1)):
+        cap = packing.Capacity(tokens=100, weights=weights, score=score, **capacity)
+        got, want = sum(b.n for b in packing.plan(Counter(lengths), cap)), plain_best_fit(lengths, cap)
+        least = max(-(-sum(lengths) // 100), -(-len(lengths) // cap.limits()[1]), -(-sum(x * x for x in lengths) // cap.limits()[2]))
+        assert least <= got <= max(want * 1.02 + 2, least * 1.02 + 2)
+
+
 def test_token_counts(odd, docs, empty):
     import sentencepiece
 

@@ -26,12 +26,16 @@ from .common import id_or_none, materialize, table, with_global_rank, with_null_
 
 @dataclass(frozen=True)
 class Capacity:
-    """Of one bin. The defaults leave only the tokens binding; weights are for the score."""
+    """Of one bin. Weights are for the score, over tokens, documents and attention cost.
+
+    By default only the tokens bind, so that there are as few sequences as can be: a full piece takes all
+    of the attention cost that a sequence may have, and a limit of documents would leave tokens unused.
+    """
 
     tokens: int = 2048
     documents: int | None = None
     attention: int | None = None
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 0.2, 0.2)
     score: str = "residual"  # or "dot"
 
     def limits(self) -> tuple[int, int, int]:
