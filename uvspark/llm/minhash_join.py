@@ -423,7 +423,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     total = max(2, reps.count())
     depth = max(2, math.ceil(math.log(total / CHANCE) / -math.log(UNRELATED)))
     least = least_equal(threshold, miss / 2)
-    trees = next((n for n in range(1, TREES + 1) if missed(n, depth, threshold, least) <= miss), TREES + 1)
+    trees = next((n for n in range(1, TREES + 2) if missed(n, depth, threshold, least) <= miss), 0)
+    if not trees:
+        raise ValueError(f"{TREES + 1} trees miss more than {miss} of the pairs at {percent} %")
 
     leaves = reps.select("rep", "sig").mapInPandas(lambda it: leaf_batches(it, trees, depth, threshold), "node long, rep long")
     shared = leaves.groupBy("node").agg(F.count("*").alias("size"), *member_digests()).filter("size > 1")
@@ -519,14 +521,22 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document, the least doc_id, of each class; repeated rows of a doc_id become one."""
+    """docs with one document, the least doc_id, of each class, all columns as they are.
+
+    Rows that repeat a doc_id become one: the least by text and then the other columns. Rows without doc_id
+    all stay, as do null, empty and blank texts. An empty table stays empty.
+    """
     rows = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"))
     gone = rows.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
     if gone.count() <= BROADCAST_IDS:  # else the documents are shuffled
         gone = F.broadcast(gone)
     out = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
     repeated = rows.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    return out if repeated.isEmpty() else out.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id IS NULL"))
+    if repeated.isEmpty():
+        return out
+    row = F.struct("text", *[F.col(c) for c in docs.columns if c != "text"])
+    one = out.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(row).alias("__row")).select("__row.*").select(*docs.columns)
+    return one.unionByName(out.filter("doc_id IS NULL"))
 
 
 def op4_chosen_path_join(spark, sf_dir):
