@@ -241,6 +241,18 @@ def test_near_duplicates_odd(odd, empty):
     assert minhash_join.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """A doc_id that stands for many texts: each is a document of its own, copies and links across ids hold."""
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows = [(3, text(i)) for i in range(300)] + [(3, text(0)), (7, text(1)), (8, text(1) + " end"), (9, text(500)), (None, text(2)), (3, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_join.near_duplicates(df, 2).collect())
+    want = Counter({(3, 39, 3, True): 301, (7, 39, 3, False): 1, (8, 40, 3, False): 1, (9, 39, 9, True): 1, (None, 39, 3, True): 1, (3, 0, 3, True): 1, (5, 0, 5, True): 1})
+    assert got == want
+    kept = Counter((r.doc_id, r.text) for r in minhash_join.keep_one(df, 2).collect())
+    assert kept == Counter([(3, text(i)) for i in range(300)] + [(9, text(500)), (None, text(2)), (3, None), (5, "")])
+
+
 def packed(df, **capacity):
     return packing.pack_documents(df, P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), packing.Capacity(**capacity)).toPandas()
 

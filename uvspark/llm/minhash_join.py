@@ -108,11 +108,11 @@ def slices(texts: list[str | None], most: int = 1_000_000) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-SETS = "doc_id long, n_shingles long, digest binary, sig binary"
+SETS = "doc_id long, text_id long, n_shingles long, digest binary, sig binary"
 
 
 def sketch_batches(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
-    """doc_id, set size, set digest and the minwise values of COORDS coordinates."""
+    """doc_id, a hash of the text, set size, set digest and the minwise values of COORDS coordinates."""
     for pdf in batches:
         for part in (pdf.iloc[s] for s in slices(pdf["text"].tolist())):
             sets = shingle_sets(part["text"].tolist(), words)
@@ -124,7 +124,7 @@ def sketch_batches(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.D
                 with np.errstate(over="ignore"):
                     for k in range(COORDS):
                         sigs[full, k] = mix(np.minimum.reduceat(flat * _MUL[k] + _ADD[k], starts)).astype(np.uint16)
-            yield pd.DataFrame({"doc_id": part["doc_id"].values, "n_shingles": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sig": [s.tobytes() for s in sigs]})
+            yield pd.DataFrame({"doc_id": part["doc_id"].values, "text_id": part["text_id"].values, "n_shingles": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "sig": [s.tobytes() for s in sigs]})
 
 
 def choices(keys: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -412,14 +412,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
 
     Documents whose shingle sets have a Jaccard similarity of percent / 100 or more are linked;
     component_id is the least doc_id reachable, kept whether that is the document itself. Null, empty or
-    blank text has an empty set and no links. Repeated rows are copies of each other (of their
-    doc_id, which counts once in a component); one without doc_id has no links. An empty table gives no rows; other columns are ignored.
+    blank text has an empty set and no links; long texts count whole. Repeated rows are copies of each other;
+    rows of one doc_id with different texts are documents of their own. One without doc_id has no links
+    (but the class of its exact copies). An empty table gives no rows; other columns are ignored.
     """
+    return classes(docs, words, percent, miss).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def by_texts(docs: DataFrame, sets: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
+    """classes where a doc_id stands for several texts: the texts are joined, each once, and the classes found are named by their least doc_id."""
+    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").groupBy(F.xxhash64("text").alias("doc_id")).agg(F.min("text").alias("text"))
+    found = classes(materialize(texts), words, percent, miss).select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("class"))
+    rows = materialize(sets.select("doc_id", "text_id", "n_shingles").join(found, "text_id", "left"))
+    least = rows.groupBy("class").agg(F.min("doc_id").alias("_least"))
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("_least", "doc_id")).otherwise(F.col("doc_id"))
+    rows = rows.join(least, "class", "left").withColumn("component_id", component)
+    return rows.select("doc_id", "text_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"), "class")
+
+
+def classes(docs: DataFrame, words: int, percent: int, miss: float = 1e-6) -> DataFrame:
+    """near_duplicates with text_id (a hash of the text) and class (equal for documents of one class) beside."""
     threshold = percent / 100
-    texts = docs.select(id_or_none(F.col("doc_id")), "text")
+    texts = docs.select(id_or_none(F.col("doc_id")), "text", F.xxhash64("text").alias("text_id"))
     sets = with_null_ids(materialize(texts.mapInPandas(lambda it: sketch_batches(it, words), SETS)))
     reps = sets.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"))
     reps = materialize(reps.filter("rep IS NOT NULL"))
+    if not reps.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return by_texts(docs, sets, words, percent, miss)
     total = max(2, reps.count())
     depth = max(2, math.ceil(math.log(total / CHANCE) / -math.log(UNRELATED)))
     least = least_equal(threshold, miss / 2)
@@ -453,7 +472,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     ids = regions.count()
     # Broadcast behind a check of the size; else the texts are shuffled.
     keyed = F.broadcast(regions) if ids <= BROADCAST_IDS else regions
-    needed = materialize(texts.join(keyed, "doc_id").dropDuplicates(["doc_id"]))
+    needed = materialize(texts.drop("text_id").join(keyed, "doc_id").dropDuplicates(["doc_id"]))
     sizes = needed.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
     small = sizes.select("region", ((F.col("n") <= REGION) & (F.col("chars") <= REGION_CHARS)).alias("small"), (F.col("chars") > TOGETHER_CHARS).alias("alone"))
     needed = needed.join(small, "region")
@@ -475,7 +494,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     rep_of = reps.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("_label"))
     rows = sets.join(rep_of, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("_label", "doc_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return rows.select("doc_id", "text_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), component.alias("class"))
 
 
 PAIRS = "node long, a long, b long"
@@ -523,19 +542,20 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document, the least doc_id, of each class, all columns as they are.
 
-    Rows that repeat a doc_id become one: the least by text and then the other columns. Rows without doc_id
-    all stay, as do null, empty and blank texts. An empty table stays empty.
+    Rows of a class that repeat its least doc_id become one: the least by text and then the other columns.
+    Rows without doc_id all stay, as do null, empty and blank texts. An empty table stays empty.
     """
-    rows = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"))
-    gone = rows.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    rows = materialize(classes(docs, words, percent).select("doc_id", "text_id", "kept", "class"))
+    gone = rows.filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("text_id").alias("__text")).distinct()
     if gone.count() <= BROADCAST_IDS:  # else the documents are shuffled
         gone = F.broadcast(gone)
-    out = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
-    repeated = rows.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    if repeated.isEmpty():
+    out = docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__text")), "left_anti")
+    known = rows.filter("kept AND doc_id IS NOT NULL")
+    if known.groupBy("doc_id", "class").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         return out
     row = F.struct("text", *[F.col(c) for c in docs.columns if c != "text"])
-    one = out.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(row).alias("__row")).select("__row.*").select(*docs.columns)
+    of = known.select(F.col("doc_id").alias("__id"), F.col("text_id").alias("__text"), F.col("class").alias("__class")).distinct()
+    one = out.join(of, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__text"))).groupBy("__id", "__class").agg(F.min(row).alias("__row")).select("__row.*").select(*docs.columns)
     return one.unionByName(out.filter("doc_id IS NULL"))
 
 
