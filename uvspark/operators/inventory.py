@@ -221,7 +221,7 @@ QUERIES = {
     "has_source": _has,
     "feature_rows": _features,
     "report_remarks": _remarks,
-    "cube_round_trip": lambda s, d: cube_round_trip(visibilities(s, d).groupBy("scan", "ddid").agg(F.count("*").alias("n"), F.round(F.avg("amp"), 4).alias("mean"))),
+    "cube_round_trip": lambda s, d: cube_round_trip(visibilities(s, d).groupBy("scan", "ddid").agg(F.count("*").alias("n"), F.round(F.sum("amp"), 2).alias("total"))),
 }
 _SO = "so AS (SELECT n_name AS name, n_nationkey AS k, CASE WHEN n_nationkey % 5 = 0 THEN 'finder' WHEN n_nationkey % 5 < 3 THEN 'calibrator' ELSE 'target' END AS role FROM nation)"
 _SURVEY = f"{SERIES}, su AS (SELECT day AS scan, event_type AS source, CAST(user_id % 10 AS VARCHAR) AS antenna, CASE WHEN event_id % 2 = 0 THEN 'r' ELSE 'l' END AS hand, round(max(value) / 10, 6) AS snr FROM ev GROUP BY ALL)"
@@ -249,5 +249,5 @@ SQL = {
     "report_remarks": f"""WITH {VIS}, g AS (SELECT scan, count(*) AS n_rows, count(DISTINCT antenna1) AS n_antennas, avg(flag::INT::DOUBLE) AS flagged FROM vis GROUP BY scan)
       SELECT scan, 0 AS nth, 'flagged' AS remark, CAST(round(flagged * 100) AS INT) || ' % of the data are flagged' AS text FROM g WHERE flagged > 0.3
       UNION ALL SELECT scan, 1, 'few_antennas', 'only ' || n_antennas || ' antennas have data' FROM g WHERE n_antennas < 4 UNION ALL SELECT scan, 2, 'few_rows', 'only ' || n_rows || ' rows' FROM g WHERE n_rows < 30""",
-    "cube_round_trip": f"WITH {VIS} SELECT scan, ddid, count(*) AS n, round(avg(amp), 4) AS mean FROM vis GROUP BY ALL",
+    "cube_round_trip": f"WITH {VIS} SELECT scan, ddid, count(*) AS n, round(sum(amp), 2) AS total FROM vis GROUP BY ALL",
 }
