@@ -144,6 +144,28 @@ def test_secrets_redacted(odd, empty):
     assert secret_scan.redact_documents(empty).count() == 0 and secret_scan.scan(empty).count() == 0
 
 
+def test_secrets_by_the_thousand_in_one_text(spark):
+    import random
+
+    rng = random.Random(6)
+    kinds = [lambda: "%032x" % rng.getrandbits(128), lambda: "Token = %032x" % rng.getrandbits(128), lambda: "".join(rng.choices("ABCDEFabcdefghXYZxyz0123456789+/", k=40)), lambda: "wörd", lambda: "AKIA" + "Q7" * 10]
+    text = " ".join(rng.choice(kinds)() for _ in range(3000))
+    df = spark.createDataFrame([(1, text), (2, text[: len(text) // 2]), (3, "plain")], "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in df.collect()}
+    redacted = {r.doc_id: r.text for r in secret_scan.redact_documents(df).collect()}
+    for r in secret_scan.scan(df).collect():
+        base = base_spans(texts[r.doc_id])
+        assert [(s.start, s.kind, s.end) for s in r.base] == base
+        apart = [s for s in r.random if not any(a < s.end and s.start < b for a, _, b in base)]
+        assert [tuple(s) for s in r.spans] == sorted(base + [(s.start, s.kind, s.end) for s in apart]) and (r.doc_id != 1 or len(apart) > secret_scan.BLOCK)
+        out, at = "", 0
+        for s in r.spans:
+            if s.start >= at:
+                out += texts[r.doc_id][at : s.start] + "[secret]"
+            at = max(at, s.end)
+        assert redacted[r.doc_id] == out + texts[r.doc_id][at:]
+
+
 def _hash(*values, seed=42):
     """Spark's xxhash64 of strings and longs, chained."""
     for v in values:

@@ -52,6 +52,8 @@ LENGTHS = (20, 32, 64)
 FDR = 0.01
 #: P-values are compared as whole eighths of -ln p, up to this many.
 MOST_BINS = 4096
+#: Items that one fold appends.
+BLOCK = 256
 
 
 def _prose_log(ch: str) -> float:
@@ -60,6 +62,35 @@ def _prose_log(ch: str) -> float:
     return math.log(CLASSES[1] / 10 if ch.isdigit() else CLASSES[2] / 4)
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value evaluated once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def scan_blocks(items: Column, start: dict[str, Column], none: Column, step) -> Column:
+    """One struct (start's names, out) per block of BLOCK items: a fold that carries start's values over all items and collects into `out`.
+
+    Each append copies what it appends to, so one fold over all items would take the square of their number.
+    """
+
+    def block(done, part):
+        last = F.element_at(done, F.size(done))
+        first = F.struct(*[F.when(F.size(done) > 0, last[n]).otherwise(v).alias(n) for n, v in start.items()], none.alias("out"))
+        return F.concat(done, F.array(F.aggregate(part, first, step)))
+
+    kinds = F.filter(F.array(F.struct(*[v.alias(n) for n, v in start.items()], none.alias("out"))), lambda _: F.lit(False))
+    return F.aggregate(blocks(items), kinds, block)
+
+
+def blocks(items: Column) -> Column:
+    """items in arrays of BLOCK; one empty array if there are none."""
+    return let(items, lambda a: F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(a) - 1) / BLOCK).cast("int"))), lambda b: F.slice(a, b * BLOCK + 1, BLOCK)))
+
+
+def collected(done: Column) -> Column:
+    return F.flatten(F.transform(done, lambda x: x["out"]))
+
+
 def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """array<struct<start, end, kind, token>> of leftmost non-overlapping matches, in code points, end exclusive."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
@@ -69,7 +100,7 @@ def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     )
     none = F.array().cast("array<struct<start:int,end:int,kind:int,token:string>>")
     zipped = F.zip_with(gaps, found, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    out = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
+    out = collected(scan_blocks(zipped, {"at": F.lit(0)}, none, step))
     if keep is not None:
         out = F.filter(out, keep)
     return F.when(text.rlike(pattern), out).otherwise(none)
@@ -90,14 +121,28 @@ def with_parts(rows: DataFrame) -> DataFrame:
 def united(found: Column) -> Column:
     """(start, kind, end) of places in order of their start; overlapping ones become one."""
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    place = lambda a: F.struct(a["start"].alias("start"), F.lit(3).alias("kind"), a["end"].alias("end"))
-    out = lambda a: F.when(a["start"] < 0, a["out"]).otherwise(F.concat(a["out"], F.array(place(a))))
+    place = lambda a: F.array(F.struct(a["start"].alias("start"), F.lit(3).alias("kind"), a["end"].alias("end")))
+    whole = lambda a: F.when(a["start"] < 0, none).otherwise(place(a))
 
     def step(acc, c):
         new = c["start"] >= acc["end"]
-        return F.struct(F.when(new, out(acc)).otherwise(acc["out"]).alias("out"), F.when(new, c["start"]).otherwise(acc["start"]).alias("start"), F.greatest(acc["end"], c["end"]).alias("end"))
+        return F.struct(F.when(new, c["start"]).otherwise(acc["start"]).alias("start"), F.greatest(acc["end"], c["end"]).alias("end"), F.when(new, F.concat(acc["out"], whole(acc))).otherwise(acc["out"]).alias("out"))
+
+    return let(scan_blocks(found, {"start": F.lit(-1), "end": F.lit(-1)}, none, step), lambda done: F.concat(collected(done), whole(F.element_at(done, F.size(done)))))
+
+
+def touches(apart: Column, c: Column) -> Column:
+    """Whether c overlaps one of the places in `apart`, which are in order and don't overlap: only the last that starts before c's end can."""
+    size = F.size(apart)
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2((size + 1).cast("double"))).cast("int"))
+
+    def halve(r, _):
+        mid = F.shiftright(r["lo"] + r["hi"], 1)
+        before = F.get(apart, mid)["start"] < c["end"]
+        return F.struct(F.when((r["lo"] < r["hi"]) & before, mid + 1).otherwise(r["lo"]).alias("lo"), F.when((r["lo"] < r["hi"]) & ~before, mid).otherwise(r["hi"]).alias("hi"))
 
-    return F.aggregate(found, F.struct(none.alias("out"), F.lit(-1).alias("start"), F.lit(-1).alias("end")), step, out)
+    starts_before = F.aggregate(rounds, F.struct(F.lit(0).alias("lo"), size.alias("hi")), halve, lambda r: r["lo"])
+    return F.coalesce(F.get(apart, starts_before - 1)["end"] > c["start"], F.lit(False))
 
 
 def upper_tail(z: Column) -> Column:
@@ -213,7 +258,8 @@ def scan(docs: DataFrame) -> DataFrame:
     structure, prose = (F.array(*map(F.lit, x)) for x in thresholds(rows))
     flagged = F.filter("_found", lambda c: (c["battery"] < F.get(structure, c["level"])) & (c["prose"] >= F.get(prose, c["level"])))
     rows = rows.withColumn("_n", F.size("_found").cast("long")).withColumn("_found", flagged)
-    free = F.filter("_found", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    rows = rows.withColumn("_apart", united(F.col("_base")))
+    free = F.filter("_found", lambda c: ~touches(F.col("_apart"), c))
     return rows.select(
         "doc_id", F.col("n_assign"), F.col("n_access"), F.col("n_hex"), F.col("_base").alias("base"), F.sort_array(F.concat("_base", united(free))).alias("spans"),
         united(F.col("_found")).alias("random"), F.col("_n").alias("n_candidates"),
@@ -227,15 +273,27 @@ def joined(places: Column) -> Column:
 
 
 def redact(text: Column, places: Column, mark: str = "[secret]") -> Column:
-    """text with every place replaced by a mark; overlapping places become one."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    """text with every place replaced by a mark; overlapping places become one.
+
+    The text is cut at blocks of places first: to cut it at a place takes time up to that place.
+    """
+
+    def cut(block, begin):
+        end = F.element_at(block, F.size(block))["end"]
+        start = F.struct(F.lit("").alias("out"), begin.alias("at"))
+
+        def replaced(part):
+            piece = lambda acc, p: F.concat(acc["out"], F.substring(part, acc["at"] - begin + 1, p["start"] - acc["at"]), F.lit(mark))
+            return F.aggregate(block, start, lambda acc, p: F.struct(piece(acc, p).alias("out"), p["end"].alias("at")), lambda acc: acc["out"])
+
+        return let(F.substring(text, begin + 1, end - begin), replaced)
 
-    def step(acc, p):
-        new = p["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, p["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.when(new, piece).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], p["end"]).alias("at"))
+    def whole(parts):
+        begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.element_at(F.get(parts, i - 1), F.lit(-1))["end"])
+        end = F.element_at(F.get(parts, F.size(parts) - 1), F.lit(-1))["end"]
+        return F.concat(F.array_join(F.transform(parts, lambda block, i: let(begin(i), lambda b: cut(block, b))), ""), F.substring(text, end + 1, F.length(text)))
 
-    return F.aggregate(places, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    return F.when(F.size(places) > 0, let(blocks(united(places)), whole)).otherwise(text)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
