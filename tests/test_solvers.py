@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 
-from uvspark.operators import solve
+from uvspark.operators import fringefit, solve
 
 
 def pairs(n):
@@ -108,3 +108,47 @@ def test_cover_plan():
     stages = solve.cover_plan(pd.DataFrame(rows, columns=["scan", "source_rank", "antenna", "hand", "snr"]), {"A": 0}, 7.0)
     assert [s["scan"] for s in stages] == [1, 2, 4] and stages[1]["reference"] == "C"
     assert stages[0]["reference"] == "A" and {a for s in stages for a, _ in s["gained"]} == set("ABCDEF")
+
+
+def planted_rows(spark, intervals, broken=None, noise=0.3, seed=3):
+    """Five antennas, 8 channels of 1 MHz, 16 integrations of 2 s per interval; in the broken (interval, antenna) a false fringe outshines the true one."""
+    rng = np.random.default_rng(seed)
+    delay, rate = np.array([0, 40, -60, 25, 80]) * 1e-9, np.array([0, 2, -3, 1, 4]) * 1e-3
+    f, rows = np.arange(8) * 1e6, []
+    for k in range(intervals):
+        for t in k * 100 + np.arange(16) * 2.0:
+            for a, b in pairs(5).T:
+                z = np.exp(2j * np.pi * ((delay[a] - delay[b]) * f + (rate[a] - rate[b]) * t))
+                if broken and broken[0] == k and broken[1] in (a, b):
+                    sign = 1 if a == broken[1] else -1
+                    z = 0.3 * z + np.exp(sign * 2j * np.pi * (300e-9 * f + 0.09 * t))
+                z = z + noise * (rng.normal(size=8) + 1j * rng.normal(size=8))
+                rows.append((1, float(t), int(a), int(b), z.real.tolist(), z.imag.tolist(), 1.0, [False] * 8))
+    rows += [(1, 0.0, 0, 0, [9.0] * 8, [0.0] * 8, 1.0, [False] * 8), (1, 2.0, 0, 1, [float("nan")] * 8, [0.0] * 8, 1.0, [False] * 8), (None, 0.0, 0, 1, [1.0] * 8, [0.0] * 8, 1.0, [True] * 8)]
+    return spark.createDataFrame(rows, "scan int, time double, antenna1 int, antenna2 int, re array<double>, im array<double>, weight double, flag array<boolean>"), delay, rate
+
+
+def test_fringefit_finds_planted_delays(spark):
+    df, delay, rate = planted_rows(spark, 2)
+    got = fringefit.fringefit(df, ["scan"], 6, [2, 0], 1e6, 100.0, 8).toPandas()
+    assert len(got) == 10 and (got.reference == 2).all() and not got.flag.any() and set(got.scan) == {1}
+    # Least errors of phases of 0.3 rad in 128 cells, fitted over five antennas' baselines; within four of them.
+    share = 0.3 / (2 * np.pi * np.sqrt(128)) * np.sqrt(2 / 5)
+    spread_f, spread_t = np.std(np.arange(8) * 1e6), np.std(np.arange(16) * 2.0)
+    assert np.abs(got.delay - (delay[got.antenna] - delay[2])).max() < 4 * share / spread_f and np.abs(got.rate - (rate[got.antenna] - rate[2])).max() < 4 * share / spread_t
+    # Phases are those of the middle of the band at the mid-time.
+    want = 2 * np.pi * ((delay[got.antenna] - delay[2]) * 3.5e6 + (rate[got.antenna] - rate[2]) * got.time)
+    assert np.abs(np.angle(np.exp(1j * (got.phase - want)))).max() < 0.1
+    assert fringefit.fringefit(df, ["scan"], 6, [5], 1e6, 100.0, 8).count() == 0
+    assert fringefit.fringefit(df.limit(0), ["scan"], 6, [0], 1e6, 100.0, 8).count() == 0
+    assert set(fringefit.fringefit(df, ["scan"], 6, [0], 1e6, None, 8).toPandas().interval) == {0}
+
+
+def test_fringefit_searches_again_about_predictions(spark):
+    df, delay, rate = planted_rows(spark, 5, broken=(4, 3))
+    wide = (10e-9, 2e-3)
+    first = fringefit.fringefit(df, ["scan"], 5, [0], 1e6, 100.0, 8).toPandas().set_index(["interval", "antenna"])
+    assert abs(first.delay[4, 3] - delay[3]) > 50e-9
+    got = fringefit.fringefit_around(df, ["scan"], ["scan"], 5, [0], 1e6, 100.0, 8, window=wide).toPandas().set_index(["interval", "antenna"])
+    assert abs(got.delay[4, 3] - delay[3]) < 15e-9 and abs(got.rate[4, 3] - rate[3]) < 3e-3 and got.from_prior[4, 3]
+    assert len(got) == 25 and not got.from_prior[:4].any()

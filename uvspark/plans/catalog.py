@@ -1,10 +1,10 @@
 """All queries of the library and their SQL, gathered from the operator modules."""
 
-from ..operators import asof, calibrate, decide, diagnose, evolve, flag_stats, inventory, measure, merge, reduce, reference, robust, selection, solve
+from ..operators import asof, calibrate, decide, diagnose, evolve, flag_stats, fringefit, inventory, measure, merge, reduce, reference, robust, selection, solve
 from ..functions import sky
 from ..sources import store, texts
 from ..streaming import sessions
 
-MODULES = [flag_stats, reduce, robust, selection, asof, calibrate, evolve, inventory, decide, merge, diagnose, measure, reference, solve, sky, store, texts, sessions]
+MODULES = [flag_stats, reduce, robust, selection, asof, calibrate, evolve, inventory, decide, merge, diagnose, measure, reference, solve, fringefit, sky, store, texts, sessions]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
