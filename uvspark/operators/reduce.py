@@ -105,6 +105,50 @@ def split_average(vis: DataFrame, keys: list[str]) -> DataFrame:
     return vis.groupBy(*keys).agg(F.round(mean, 2).alias("amp"), F.round(F.coalesce(good, F.lit(0.0)), 4).alias("weight"), F.round(F.coalesce(sigma, F.lit(-1.0)), 6).alias("sigma"), (F.max(ok.cast("int")) == 0).alias("flag"))
 
 
+def split_channels(rows: DataFrame, keys: list[str], scan: list[str], nchan: int, seconds: float, width: int) -> DataFrame:
+    """Average rows (time, interval, exposure, centroid, weight, arrays re, im and flag) in time bins from each scan's first time and in blocks of `width` channels (the last may be narrower).
+
+    A cell is the weighted mean of its unflagged samples; without any, of all, and flagged. weight_spectrum sums
+    the weights used; sigma_spectrum is 1 / sqrt of it, -1 without weight. weight and sigma are means over the
+    unflagged cells (all, without any). Rows with an unflagged sample give the exposure and, by weight, the
+    centroid; time and interval are of the rows up to the last such row. One shuffle; scans' first times are joined.
+    """
+    starts = range(0, nchan, width)
+    first = rows.groupBy(*scan).agg(F.min("time").alias("_first"))
+    r = rows.join(first, scan).withColumn("bin", F.floor((F.col("time") - F.col("_first") + 1e-6) / seconds).cast("long"))
+    ok = lambda c: ~F.get("flag", F.lit(c))
+    w = F.col("weight")
+    total = lambda value, lo, some: F.coalesce(F.sum(sum(F.when(ok(c), value(c)).otherwise(0.0) if some else value(c) for c in range(lo, min(lo + width, nchan)))), F.lit(0.0))
+    cell = lambda lo: F.struct(*[
+        total(v, lo, some).alias(f"{n}_{'ok' if some else 'all'}") for some in (True, False) for n, v in (("re", lambda c: w * F.get("re", F.lit(c))), ("im", lambda c: w * F.get("im", F.lit(c))), ("w", lambda c: w))
+    ], total(lambda c: F.lit(1.0), lo, True).alias("n"))
+    some = F.exists("flag", lambda f: ~f)
+    weighed = F.when(some, w).otherwise(0.0)
+    mean = lambda c: F.coalesce(F.sum(weighed * F.col(c)) / F.nullif(F.sum(weighed), F.lit(0.0)), F.avg(c))
+    g = r.groupBy(*keys, "bin").agg(
+        F.array(*[cell(lo) for lo in starts]).alias("_cells"), F.collect_list(F.struct("time", "interval", some.alias("ok"))).alias("_rows"),
+        F.coalesce(F.sum(F.when(some, F.col("exposure"))), F.sum("exposure")).alias("exposure"), mean("centroid").alias("centroid"),
+    )
+    last = F.array_max(F.transform(F.filter("_rows", lambda x: x["ok"]), lambda x: x["time"]))
+    g = g.withColumn("_last", last).withColumn("_upto", F.filter("_rows", lambda x: F.col("_last").isNull() | (x["time"] <= F.col("_last"))))
+    add = lambda c, name: F.aggregate(c, F.lit(0.0), lambda a, x: a + x[name])
+
+    def averaged(c):
+        empty = c["n"] == 0
+        pick = lambda n: F.when(empty, c[f"{n}_all"]).otherwise(c[f"{n}_ok"])
+        by = F.when(pick("w") > 0, pick("w")).otherwise(1.0)
+        sigma = F.when(pick("w") > 0, 1 / F.sqrt(pick("w"))).otherwise(-1.0)
+        return F.struct((pick("re") / by).alias("re"), (pick("im") / by).alias("im"), empty.alias("flag"), pick("w").alias("weight_spectrum"), sigma.alias("sigma_spectrum"))
+
+    g = g.withColumn("cells", F.transform("_cells", averaged))
+    good = F.filter("cells", lambda c: ~c["flag"])
+    used = F.when(F.size(good) > 0, good).otherwise(F.col("cells"))
+    return g.withColumn("_used", used).select(
+        *keys, "bin", (add(F.col("_upto"), "time") / F.size("_upto")).alias("time"), add(F.col("_upto"), "interval").alias("interval"), "exposure", "centroid",
+        (add(F.col("_used"), "weight_spectrum") / F.size("_used")).alias("weight"), (add(F.col("_used"), "sigma_spectrum") / F.size("_used")).alias("sigma"), "cells",
+    )
+
+
 def fringe_rows(s, d):
     e = series(s, d)
     return e.withColumns({"re": F.col("value"), "im": F.regexp_extract("props", "([0-9]+)", 1).cast("double"), "hour": F.floor(F.col("us") / 3600000000).cast("long")})
@@ -127,6 +171,18 @@ def _statwt_series(s, d):
     return g.select("user_id", "event_type", F.round(weight, 8).alias("weight"), starved.alias("flag"))
 
 
+def _split_channels(s, d):
+    v = F.col("vec_id").cast("double")
+    re = F.transform("embedding", lambda x: x.cast("double"))
+    rows = table(s, d, "embeddings").select(
+        "label", (v * 2).alias("time"), F.lit(2.0).alias("interval"), (1.5 + F.col("vec_id") % 2 / 4).alias("exposure"), (v * 2 + 0.25).alias("centroid"), (F.col("vec_id") % 4).cast("double").alias("weight"),
+        re.alias("re"), F.reverse(re).alias("im"), F.transform("embedding", lambda x, c: ((F.col("vec_id") + F.floor(c / 12)) % 3 == 0) | (F.col("vec_id") % 7 < 3)).alias("flag"),
+    )
+    out = split_channels(rows.withColumn("scan", F.lit(1)), ["scan", "label"], ["scan"], 64, 32.0, 12)
+    cells = out.select("*", F.posexplode("cells").alias("block", "c")).select("label", "bin", "block", "time", "interval", "exposure", "centroid", "weight", "sigma", "c.*")
+    return cells.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in cells.dtypes])
+
+
 CUBE = f"""{SERIES}, df AS (SELECT *, value - lag(value, 1) OVER w AS d1, value - 2 * lag(value, 1) OVER w + lag(value, 2) OVER w AS d2
   FROM ev WINDOW w AS (PARTITION BY user_id, event_type, day ORDER BY us, event_id)),
   cube AS (SELECT user_id, event_type, day, count(value) AS n, round(sum(value), 4) AS total, round(sum(value * value), 4) AS power,
@@ -146,8 +202,22 @@ QUERIES = {
     "statwt_weights": _statwt_rows,
     "statwt_series": _statwt_series,
     "split_average": lambda s, d: split_average(visibilities(s, d), ["scan", "antenna1", "antenna2"]),
+    "split_channels": _split_channels,
 }
 SQL = {
+    "split_channels": """WITH r AS (SELECT label, vec_id, vec_id * 2.0 AS time, 1.5 + vec_id % 2 / 4.0 AS exposure, CAST(vec_id % 4 AS DOUBLE) AS w, embedding AS e, CAST(floor((vec_id * 2.0 - min(vec_id * 2.0) OVER () + 1e-6) / 32.0) AS BIGINT) AS bin FROM embeddings),
+      s AS (SELECT * EXCLUDE e, unnest(e) AS re, unnest(list_reverse(e)) AS im, generate_subscripts(e, 1) - 1 AS c FROM r),
+      f AS (SELECT *, CAST(c // 12 AS INT) AS block, (vec_id + c // 12) % 3 = 0 OR vec_id % 7 < 3 AS flag FROM s),
+      k AS (SELECT label, bin, block, bool_and(flag) AS flag, sum(w) AS wa, sum(w * re::DOUBLE) AS ra, sum(w * im::DOUBLE) AS ia, coalesce(sum(w) FILTER (NOT flag), 0.0) AS wo, coalesce(sum(w * re::DOUBLE) FILTER (NOT flag), 0.0) AS ro, coalesce(sum(w * im::DOUBLE) FILTER (NOT flag), 0.0) AS io FROM f GROUP BY ALL),
+      p AS (SELECT label, bin, block, flag, CASE WHEN flag THEN wa ELSE wo END AS ws, CASE WHEN flag THEN ra ELSE ro END AS re, CASE WHEN flag THEN ia ELSE io END AS im FROM k),
+      c AS (SELECT *, CASE WHEN ws > 0 THEN 1 / sqrt(ws) ELSE -1.0 END AS ss FROM p),
+      h AS (SELECT label, bin, coalesce(avg(ws) FILTER (NOT flag), avg(ws)) AS weight, coalesce(avg(ss) FILTER (NOT flag), avg(ss)) AS sigma FROM c GROUP BY ALL),
+      o AS (SELECT label, bin, vec_id, time, exposure, w, NOT bool_and(flag) AS ok FROM f GROUP BY ALL),
+      l AS (SELECT *, max(CASE WHEN ok THEN time END) OVER (PARTITION BY label, bin) AS last FROM o),
+      t AS (SELECT label, bin, avg(time) FILTER (last IS NULL OR time <= last) AS time, 2.0 * count(*) FILTER (last IS NULL OR time <= last) AS "interval", coalesce(sum(exposure) FILTER (ok), sum(exposure)) AS exposure,
+        coalesce(sum(w * (time + 0.25)) FILTER (ok) / nullif(sum(w) FILTER (ok), 0), avg(time + 0.25)) AS centroid FROM l GROUP BY ALL)
+      SELECT label, bin, block, round(time, 6) AS time, round("interval", 6)::DOUBLE AS "interval", round(exposure, 6)::DOUBLE AS exposure, round(centroid, 6)::DOUBLE AS centroid, round(weight, 6) AS weight, round(sigma, 6) AS sigma,
+        round(re / CASE WHEN ws > 0 THEN ws ELSE 1 END, 6) AS re, round(im / CASE WHEN ws > 0 THEN ws ELSE 1 END, 6) AS im, flag, round(ws, 6) AS weight_spectrum, round(ss, 6) AS sigma_spectrum FROM c JOIN h USING (label, bin) JOIN t USING (label, bin)""",
     "scan_numbers": f"""WITH {SERIES}, b AS (SELECT event_id, user_id, us, CASE WHEN us - lag(us) OVER w <= 21600000000 THEN 0 ELSE 1 END AS new FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)),
       n AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY us, event_id) AS nth FROM b),
       k AS (SELECT user_id, nth, row_number() OVER (ORDER BY us, event_id) AS scan_number FROM n WHERE new = 1)
