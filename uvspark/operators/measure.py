@@ -57,6 +57,43 @@ def normalised(values: Column) -> Column:
     return F.transform(values, lambda x: x.cast("double") / F.coalesce(F.nullif(rms, F.lit(0.0)), F.lit(1.0)))
 
 
+def divide_by_continuum(rows: DataFrame, nchan: int) -> DataFrame:
+    """Divide channel sums (arrays sum_re, sum_im, w) by their channel-averaged visibility m, in the form that keeps signal-to-noise: sums become sum * conj(m), weights w * |m|^2; no weight at all: zero."""
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    by = F.nullif(total("w"), F.lit(0.0))
+    r = rows.withColumns({"_mr": F.coalesce(total("sum_re") / by, F.lit(0.0)), "_mi": F.coalesce(total("sum_im") / by, F.lit(0.0))})
+    both = lambda f: F.zip_with("sum_re", "sum_im", f)
+    mr, mi = F.col("_mr"), F.col("_mi")
+    return r.select(
+        *[c for c in rows.columns if c not in ("sum_re", "sum_im", "w")], both(lambda a, b: a * mr + b * mi).alias("sum_re"), both(lambda a, b: b * mr - a * mi).alias("sum_im"),
+        F.transform("w", lambda w: w * (mr * mr + mi * mi)).alias("w"),
+    )
+
+
+def divide_by_model(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Divide cells (re, im, weight, flag) by their model (model_re, model_im) scaled to median amplitude 1 over the usable cells of each key.
+
+    Weights grow by the scaled amplitude's square. Cells whose model is missing, zero or under a thousandth of
+    the largest are flagged, with weight 0, and keep their value. Keys without a usable cell, or whose model is 1
+    throughout, stay as they are. The model is dropped.
+    """
+    amp = F.sqrt(F.col("model_re") ** 2 + F.col("model_im") ** 2)
+    finite = F.coalesce(~F.isnan(amp) & (amp > 0) & (amp < float("inf")), F.lit(False))
+    r = cells.withColumn("_amp", amp).withColumn("_use", ~F.col("flag") & finite)
+    one = (F.abs(F.col("model_re") - 1) <= 1.001e-5) & (F.abs(F.col("model_im")) <= 1e-5)
+    level = r.filter("_use").groupBy(*keys).agg(F.median("_amp").alias("_scale"), F.max("_amp").alias("_most"), F.min(one.cast("int")).alias("_one"))
+    r = r.join(level, keys, "left").withColumn("_on", F.coalesce(F.col("_one") == 0, F.lit(False)))
+    weak = ~F.col("_use") | (F.col("_amp") < 1e-3 * F.col("_most"))
+    p = (F.col("_amp") / F.col("_scale")) ** 2
+    ur, ui = F.col("model_re") / F.col("_scale"), F.col("model_im") / F.col("_scale")
+    keep = lambda new, old: F.when(~F.col("_on") | weak, F.col(old)).otherwise(new).alias(old)
+    return r.select(
+        *[c for c in cells.columns if c not in ("re", "im", "weight", "flag", "model_re", "model_im")],
+        keep((F.col("re") * ur + F.col("im") * ui) / p, "re"), keep((F.col("im") * ur - F.col("re") * ui) / p, "im"),
+        F.when(~F.col("_on"), F.col("weight")).when(weak, 0.0).otherwise(F.col("weight") * p).alias("weight"), F.when(F.col("_on"), F.col("flag") | weak).otherwise(F.col("flag")).alias("flag"),
+    )
+
+
 def predict_components(vis: DataFrame, components: DataFrame, frequency: Column) -> DataFrame:
     """Add re and im of a sum of components (flux, l, m, sigma: Gaussian width in radians); components are few and broadcast."""
     light = 299792458.0
@@ -154,6 +191,22 @@ def _predicted(s, d):
     return p.groupBy("ddid").agg(F.round(F.avg("re"), 6).alias("re"), F.round(F.avg("im"), 6).alias("im"))
 
 
+def _continuum(s, d):
+    x = F.transform("embedding", lambda e: e.cast("double"))
+    rows = table(s, d, "embeddings").select("vec_id", x.alias("sum_re"), F.reverse(x).alias("sum_im"), F.transform("embedding", lambda e, c: ((F.col("vec_id") + c) % 3).cast("double")).alias("w"))
+    out = divide_by_continuum(rows, 64).select("vec_id", F.posexplode(F.arrays_zip("sum_re", "sum_im", "w")).alias("chan", "c"))
+    return out.select("vec_id", "chan", *[F.round(f"c.{n}", 6).alias(n) for n in ("sum_re", "sum_im", "w")])
+
+
+def _modelled(s, d):
+    e = series(s, d).select("event_id", "event_type", F.col("value").alias("re"), (F.col("user_id") % 11).cast("double").alias("im"), F.lit(2.0).alias("weight"), (F.col("event_id") % 5 == 0).alias("flag"), F.col("user_id"))
+    odd = F.col("event_id") % 13
+    cells = e.withColumn("model_re", F.when(odd == 0, None).when(odd == 1, 0.0).when(odd == 2, 1e-4).when(F.col("event_type") == "click", 1.0).otherwise(1.0 + F.col("user_id") % 7))
+    cells = cells.withColumn("model_im", F.when(F.col("event_type") == "click", 0.0).otherwise((F.col("event_id") % 3).cast("double") * F.when(odd > 2, 1.0).otherwise(0.0)))
+    out = divide_by_model(cells.drop("user_id"), ["event_type"])
+    return out.select("event_id", "event_type", F.round("re", 6).alias("re"), F.round("im", 6).alias("im"), F.round("weight", 6).alias("weight"), "flag")
+
+
 def _states(s, d):
     e = series(s, d).select(F.col("day").alias("scan"), (F.col("user_id") % 40).alias("antenna"), (F.col("value") / 10).alias("snr"))
     return antenna_states(e, s.range(30).select(F.col("id").cast("int").alias("scan")), s.range(42).select(F.col("id").alias("antenna")))
@@ -178,6 +231,8 @@ QUERIES = {
     "reference_timeseries": lambda s, d: vector_average(to_reference(_phased(s, d), 2, "re", "im"), ["other", "scan"], "re", "im"),
     "subband_phase": lambda s, d: vector_average(to_reference(_phased(s, d), 0, "re", "im"), ["other", "ddid"], "re", "im"),
     "channel_blocks": lambda s, d: channel_blocks(table(s, d, "embeddings"), "label", "embedding", 6),
+    "divide_by_continuum": _continuum,
+    "divide_by_model": _modelled,
     "solution_intervals": lambda s, d: accumulate(series(s, d).withColumn("w", F.lit(1.0) + F.col("event_id") % 3), ["event_type"], "day", "us", 3600.0, "value", "w"),
     "normalise_bandpass": _normal,
     "predict_components": _predicted,
@@ -202,6 +257,17 @@ SQL = {
     "reference_timeseries": _vector(2, "scan"),
     "subband_phase": _vector(0, "ddid"),
     "channel_blocks": "SELECT label, CAST(floor(c * 6 / n) AS INT) AS block, round(avg(CAST(x AS DOUBLE)), 6) AS mean, count(x) AS n FROM (SELECT label, len(embedding)::DOUBLE AS n, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS c FROM embeddings) GROUP BY ALL",
+    "divide_by_continuum": """WITH c AS (SELECT vec_id, unnest(embedding)::DOUBLE AS a, unnest(list_reverse(embedding))::DOUBLE AS b, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS chan FROM embeddings),
+      w AS (SELECT *, CAST((vec_id + chan) % 3 AS DOUBLE) AS w FROM c), m AS (SELECT vec_id, coalesce(sum(a) / nullif(sum(w), 0), 0) AS mr, coalesce(sum(b) / nullif(sum(w), 0), 0) AS mi FROM w GROUP BY vec_id)
+      SELECT vec_id, chan, round(a * mr + b * mi, 6) AS sum_re, round(b * mr - a * mi, 6) AS sum_im, round(w * (mr * mr + mi * mi), 6) AS w FROM w JOIN m USING (vec_id)""",
+    "divide_by_model": """WITH e AS (SELECT event_id, event_type, value AS re, CAST(user_id % 11 AS DOUBLE) AS im, event_id % 5 = 0 AS flag, event_id % 13 AS odd,
+        CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 13 = 1 THEN 0.0 WHEN event_id % 13 = 2 THEN 1e-4 WHEN event_type = 'click' THEN 1.0 ELSE 1.0 + user_id % 7 END::DOUBLE AS mr,
+        CASE WHEN event_type = 'click' OR event_id % 13 <= 2 THEN 0.0 ELSE event_id % 3 END::DOUBLE AS mi FROM events),
+      a AS (SELECT *, sqrt(mr * mr + mi * mi) AS amp FROM e), u AS (SELECT *, NOT flag AND coalesce(amp > 0, false) AS use FROM a),
+      l AS (SELECT event_type, median(amp) AS scale, max(amp) AS most, bool_and(abs(mr - 1) <= 1e-5 AND abs(mi) <= 1e-5) AS same FROM u WHERE use GROUP BY event_type),
+      j AS (SELECT *, NOT coalesce(same, true) AS active, NOT use OR amp < 1e-3 * most AS weak FROM u LEFT JOIN l USING (event_type))
+      SELECT event_id, event_type, round(CASE WHEN active AND NOT weak THEN (re * mr + im * mi) / (amp * amp) * scale ELSE re END, 6) AS re, round(CASE WHEN active AND NOT weak THEN (im * mr - re * mi) / (amp * amp) * scale ELSE im END, 6) AS im,
+        round(CASE WHEN NOT active THEN 2.0 WHEN weak THEN 0.0 ELSE 2.0 * (amp / scale) ** 2 END, 6)::DOUBLE AS weight, flag OR (active AND weak) AS flag FROM j""",
     "solution_intervals": f"""WITH {SERIES}, i AS (SELECT *, 1.0 + event_id % 3 AS w, CAST(floor((us - min(us) OVER (PARTITION BY day)) / 3600e6) AS BIGINT) AS "interval" FROM ev) SELECT event_type, day, "interval", round(sum(w * value), 4)::DOUBLE AS sum_wv, round(sum(w), 4)::DOUBLE AS sum_w FROM i GROUP BY ALL""",
     "normalise_bandpass": "WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings), r AS (SELECT *, sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)) AS r FROM x) SELECT vec_id, round(x[1] / coalesce(nullif(r, 0), 1), 6) AS first, round(list_max(x) / coalesce(nullif(r, 0), 1), 6) AS top FROM r",
     "predict_components": f"""WITH {VIS}, c AS (SELECT * FROM (VALUES (2.0::DOUBLE, 1e-9::DOUBLE, -2e-9::DOUBLE, 1e-10::DOUBLE), (0.5, -3e-9, 1e-9, 0.0), (0.1, 0.0, 0.0, 2e-9)) t(flux, l, m, sg)),

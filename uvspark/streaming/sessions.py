@@ -45,7 +45,18 @@ def last_values(events: DataFrame, n: int = 3) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(step, "user_id long, predicted double", "kept array<double>", "update", "NoTimeout")
 
 
-def drain(stream: DataFrame, mode: str = "complete") -> DataFrame:
+def drain_counted(stream: DataFrame, mode: str = "append") -> tuple[DataFrame, int]:
+    """drain, and the number of rows left out as late: Spark judges a batch by the watermark that the batch before it ran under."""
+    dropped = []
+
+    def done(query) -> None:
+        dropped.extend(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+    out = drain(stream, mode, done)
+    return out, sum(dropped)
+
+
+def drain(stream: DataFrame, mode: str = "complete", done=None) -> DataFrame:
     """Run a stream over all input there is now; its result as a table of files in the shared folder."""
     spark = stream.sparkSession
     path = f"{shared_folder(spark)}/uvspark-stream-{uuid.uuid4().hex}"
@@ -54,7 +65,10 @@ def drain(stream: DataFrame, mode: str = "complete") -> DataFrame:
         # Whole batches replace what a failed attempt at the same batch left.
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={0 if mode == 'complete' else batch_id}")
 
-    stream.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    query = stream.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    if done:
+        done(query)
     return spark.read.parquet(f"{path}/out").drop("batch")
 
 
