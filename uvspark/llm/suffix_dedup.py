@@ -35,8 +35,10 @@ GRAM = 16
 #: Bytes of text named at once; anchors sent on at once; anchors, and neighbourhoods, of one bucket.
 TEXT_STEP, SEND, PER_BUCKET, PER_BUCKET_3 = 2_000_000, 1_000_000, 400_000, 40_000
 
-#: Bytes of the sample that finds hot grams, anchors from which on one is hot (it would fill a bucket by itself), and most hot grams.
-SAMPLE_BYTES, HOT_ANCHORS, MOST_HOT = 32_000_000, PER_BUCKET, 20_000
+#: Bytes of the sample that finds hot grams, anchors from which on one is hot (it would fill a bucket by itself), most hot
+#: grams (8 MB of names; beyond some 7 TB the limit of anchors rises with the input, to 14 buckets at 100 TB), and how many
+#: anchors of a hot gram the sample holds at least, on average.
+SAMPLE_BYTES, HOT_ANCHORS, MOST_HOT, SAMPLED = 32_000_000, PER_BUCKET, 1_000_000, 20
 #: Most repeated strings of hot grams that are broadcast.
 BROADCAST_STRINGS = 1_000_000
 
@@ -182,8 +184,8 @@ def sampled_grams(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[p
 
 def hot_grams(rows: DataFrame, threshold: int, total: int, expected: float) -> np.ndarray:
     """Names of grams that a sample of whole documents expects at HOT_ANCHORS anchors or more; at most MOST_HOT."""
-    share = min(1.0, SAMPLE_BYTES / max(1, total))
     most = max(HOT_ANCHORS, expected / MOST_HOT)
+    share = min(1.0, max(SAMPLE_BYTES / max(1, total), SAMPLED / most))
     some = rows if share == 1 else rows.filter(F.xxhash64("doc") < -(1 << 63) + int(share * (1 << 64)))
     seen = some.mapInPandas(lambda it: sampled_grams(it, threshold), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
     found = seen.filter(F.col("n") >= most * share).orderBy(F.desc("n"), "name").limit(MOST_HOT).collect()
@@ -347,7 +349,7 @@ def compare_contexts(pdf: pd.DataFrame, threshold: int) -> pd.DataFrame:
     return pd.DataFrame({"doc": docs[o[at]], "text_id": texts[o[at]], "a": (a[o[at]] + s[at]).astype(np.int32), "b": (a[o[at]] + s[end]).astype(np.int32)})
 
 
-RESULT = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc long, text_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def removed_spans(runs: list[tuple[int, int]], threshold: int) -> list[tuple[int, int]]:
@@ -364,7 +366,7 @@ def removed_spans(runs: list[tuple[int, int]], threshold: int) -> list[tuple[int
 def cut_batches(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for d, text, runs in zip(pdf["doc"].tolist(), pdf["text"].tolist(), pdf["runs"].tolist()):
+        for d, t, text, runs in zip(pdf["doc"].tolist(), pdf["text_id"].tolist(), pdf["text"].tolist(), pdf["runs"].tolist()):
             raw = text.encode()
             spans = removed_spans([(r["a"], r["b"]) for r in runs], threshold) if runs is not None else []
             kept, at = [], 0
@@ -372,8 +374,8 @@ def cut_batches(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.
                 kept.append(raw[at:a])
                 at = b
             kept = b"".join([*kept, raw[at:]])
-            rows.append((d, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-        yield pd.DataFrame(rows, columns=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            rows.append((d, t, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
+        yield pd.DataFrame(rows, columns=["doc", "text_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True) -> DataFrame:
@@ -382,13 +384,18 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True
     Every byte covered by a string of `threshold` (at least 2 * GRAM, at most 255) bytes that also
     starts in a document with a smaller doc_id is removed; null doc_id counts as the largest. Null text
     counts as empty; long texts are searched whole. Repeated rows have one doc_id and don't remove from
-    each other. An empty table gives no rows; other columns are ignored.
+    each other: equal rows are searched once, and each gets the result. An empty table gives no rows; other
+    columns are ignored.
     """
     if not 2 * GRAM <= threshold <= 255:
         raise ValueError("threshold out of range")
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(text).alias("text_id"), text.alias("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    every = rows
+    repeated = not rows.groupBy("doc", "text_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    if repeated:
+        rows = materialize(rows.groupBy("doc", "text_id").agg(F.min("text").alias("text")))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     expected = 2 * total / (threshold - GRAM + 2)
     buckets = max(1, round(expected / PER_BUCKET))
     hot = hot_grams(rows, threshold, total, expected)
@@ -406,8 +413,11 @@ def remove_repeats(docs: DataFrame, threshold: int = 50, with_bytes: bool = True
         hot_contexts = rows.join(few, ["doc", "text_id"]).mapInPandas(lambda it: context_batches(it, threshold), "bucket long, doc long, text_id long, a int, raw binary")
         runs = runs.union(repeated_strings(hot_contexts, threshold))
     runs = runs.groupBy("doc", "text_id").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    out = rows.join(runs, ["doc", "text_id"], "left").mapInPandas(lambda it: (p if with_bytes else p.drop(columns="kept") for p in cut_batches(it, threshold)), RESULT if with_bytes else RESULT.removesuffix(", kept binary"))
-    return out.withColumn("doc", F.nullif("doc", F.lit((1 << 63) - 1))).withColumnRenamed("doc", "doc_id")
+    result = RESULT if with_bytes else RESULT.removesuffix(", kept binary")
+    out = rows.join(runs, ["doc", "text_id"], "left").mapInPandas(lambda it: (p if with_bytes else p.drop(columns="kept") for p in cut_batches(it, threshold)), result)
+    if repeated:
+        out = every.select("doc", "text_id").join(materialize(out), ["doc", "text_id"])
+    return out.drop("text_id").withColumn("doc", F.nullif("doc", F.lit((1 << 63) - 1))).withColumnRenamed("doc", "doc_id")
 
 
 def op3_prefix_doubling(spark, sf_dir):
