@@ -61,3 +61,52 @@ def test_ids_of_long_texts(spark, long_texts):
 def test_quality_of_one_repeated_id(spark, doc_id):
     df = spark.range(12_000).selectExpr(f"cast({'NULL' if doc_id is None else doc_id} as long) AS doc_id", "'a text that is the same everywhere' AS text")
     assert weak_label.classify(df).count() == 12_000
+
+
+def test_repeats_of_equal_rows(spark):
+    """12,000 equal rows of a text of 2 KB, half of which stands in another document, and once more in a third."""
+    import hashlib
+    import random
+    import time
+
+    rng = random.Random(4)
+    word = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+    shared, own, other = word(125), word(125), word(300)
+    took = {}
+    for n in (100, 12_000):
+        rows = [(1, other + " " + shared)] + [(2, shared + own)] * n + [(3, own + word(20)), (None, shared), (None, shared)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+        start = time.time()
+        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, with_bytes=False).collect())
+        took[n] = time.time() - start
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        want = Counter({(1, len(rows[0][1]), 0, 0, sha(rows[0][1])): 1, (2, len(shared + own), len(shared), 1, sha(own)): n, (None, len(shared), len(shared), 1, sha("")): 2})
+        want[3, len(rows[n + 1][1]), len(own), 1, sha(rows[n + 1][1][len(own) :])] += 1
+        assert got == want
+    assert took[12_000] < 30 + 3 * took[100]
+
+
+def two_texts():
+    """60 groups (10 g, A), (10 g + 1, A), (10 g + 1, B), (10 g + 5, C) with B and C alike, and rows without doc_id."""
+    rows = []
+    for g in range(60):
+        a = " ".join(f"a{g}w{i}" for i in range(100))
+        b = [f"b{g}w{i}" for i in range(300)]
+        rows += [(10 * g, a), (10 * g + 1, a), (10 * g + 1, " ".join(b)), (10 * g + 5, " ".join(b[:-2]) + f" c{g} d{g}"), (None, " ".join(b).upper()), (None, f"lone {g} of these")]
+    return rows
+
+
+def test_links_of_ids_with_two_texts(spark):
+    rows = two_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_join.near_duplicates(df, 5).collect())
+    want = Counter()
+    for g in range(60):
+        want.update([(10 * g, 96, 10 * g, True), (10 * g + 1, 96, 10 * g, False), (10 * g + 1, 296, 10 * g + 1, True), (10 * g + 5, 296, 10 * g + 1, False), (None, 296, 10 * g + 1, True), (None, 1, None, True)])
+    assert got == want
+
+
+def test_one_of_each_class_of_ids_with_two_texts(spark):
+    rows = two_texts()
+    kept = Counter((r.doc_id, r.text) for r in minhash_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    assert kept == Counter((d, t) for i, (d, t) in enumerate(rows) if i % 6 in (0, 2, 4, 5))

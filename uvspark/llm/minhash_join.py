@@ -423,7 +423,9 @@ def by_texts(docs: DataFrame, sets: DataFrame, words: int, percent: int, miss: f
     """classes where a doc_id stands for several texts: the texts are joined, each once, and the classes found are named by their least doc_id."""
     texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").groupBy(F.xxhash64("text").alias("doc_id")).agg(F.min("text").alias("text"))
     found = classes(materialize(texts), words, percent, miss).select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("class"))
-    rows = materialize(sets.select("doc_id", "text_id", "n_shingles").join(found, "text_id", "left"))
+    # Texts of one set are of one class, also those of rows without doc_id.
+    by_set = sets.filter("doc_id IS NOT NULL").select("digest", "text_id").distinct().join(found, "text_id").groupBy("digest").agg(F.min("class").alias("class"))
+    rows = materialize(sets.select("doc_id", "text_id", "n_shingles", "digest").join(by_set, "digest", "left").drop("digest"))
     least = rows.groupBy("class").agg(F.min("doc_id").alias("_least"))
     component = F.when(F.col("n_shingles") > 0, F.coalesce("_least", "doc_id")).otherwise(F.col("doc_id"))
     rows = rows.join(least, "class", "left").withColumn("component_id", component)
@@ -435,10 +437,11 @@ def classes(docs: DataFrame, words: int, percent: int, miss: float = 1e-6) -> Da
     threshold = percent / 100
     texts = docs.select(id_or_none(F.col("doc_id")), "text", F.xxhash64("text").alias("text_id"))
     sets = with_null_ids(materialize(texts.mapInPandas(lambda it: sketch_batches(it, words), SETS)))
+    kinds = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64("digest")).alias("lo"), F.max(F.xxhash64("digest")).alias("hi"))
+    if not kinds.filter("lo < hi").isEmpty():  # a doc_id stands for several sets
+        return by_texts(docs, sets, words, percent, miss)
     reps = sets.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig"))
     reps = materialize(reps.filter("rep IS NOT NULL"))
-    if not reps.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-        return by_texts(docs, sets, words, percent, miss)
     total = max(2, reps.count())
     depth = max(2, math.ceil(math.log(total / CHANCE) / -math.log(UNRELATED)))
     least = least_equal(threshold, miss / 2)
