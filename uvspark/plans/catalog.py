@@ -2,9 +2,9 @@
 
 from ..operators import asof, calibrate, chain, decide, diagnose, evolve, flag_stats, fringefit, inventory, measure, merge, reduce, reference, robust, selection, solve
 from ..functions import sky
-from ..sources import correlator, store, texts
+from ..sources import correlator, idi, store, texts
 from ..streaming import sessions
 
-MODULES = [flag_stats, reduce, robust, selection, asof, calibrate, chain, evolve, inventory, decide, merge, diagnose, measure, reference, solve, fringefit, sky, store, texts, correlator, sessions]
+MODULES = [flag_stats, reduce, robust, selection, asof, calibrate, chain, evolve, inventory, decide, merge, diagnose, measure, reference, solve, fringefit, sky, store, texts, correlator, idi, sessions]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
