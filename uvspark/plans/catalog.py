@@ -1,10 +1,10 @@
 """All queries of the library and their SQL, gathered from the operator modules."""
 
-from ..operators import asof, bandpass, calibrate, chain, decide, diagnose, evolve, flag_stats, fringefit, inventory, measure, merge, reduce, reference, rereference, robust, selection, solve
+from ..operators import arrivals, asof, bandpass, blame, calibrate, chain, decide, diagnose, evolve, flag_stats, fringefit, inventory, measure, merge, reduce, reference, rereference, robust, selection, solve
 from ..functions import sky
 from ..sources import correlator, idi, store, texts
 from ..streaming import sessions
 
-MODULES = [flag_stats, reduce, robust, selection, asof, bandpass, calibrate, chain, evolve, inventory, decide, merge, diagnose, measure, reference, rereference, solve, fringefit, sky, store, texts, correlator, idi, sessions]
+MODULES = [flag_stats, reduce, robust, selection, arrivals, asof, bandpass, blame, calibrate, chain, evolve, inventory, decide, merge, diagnose, measure, reference, rereference, solve, fringefit, sky, store, texts, correlator, idi, sessions]
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: text for module in MODULES for name, text in module.SQL.items()}
