@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,9 @@ _BACK = _U(pow(int(_MUL), -1, 1 << 64))
 _CHECK = _U(0xD1342543DE82EF95)
 
 #: Bytes of text made into keys at once; least and most bits of the tables; words a bit stands for on average; keys of a perfect hash.
-TEXT_STEP, LEAST_BITS, BITS, LOAD, ROUND_KEYS = 1_000_000, 16, 25, 16, 1 << 21
+TEXT_STEP, LEAST_BITS, BITS, LOAD, ROUND_KEYS = 60_000, 16, 25, 32, 1 << 21
+#: Texts, and blocks of keys, that a task is handed at once.
+TEXT_ROWS, BLOCK_ROWS = 1000, 64
 #: Bits (or slots) of a row of sums, arrays summed by one task, indices gathered before they are counted.
 CHUNK, FAN, GATHERED = 1 << 14, 64, 1 << 20
 
@@ -159,7 +162,8 @@ class Tally:
 
     def settle(self) -> None:
         if self.n:
-            self.counts += np.bincount(np.concatenate(self.held), minlength=len(self.counts)).astype(np.uint32)
+            more = np.bincount(np.concatenate(self.held), minlength=len(self.counts))
+            np.add(self.counts, more, out=self.counts, casting="unsafe")
         self.held, self.n = [], 0
 
     def rows(self, most: int | None = None) -> pd.DataFrame:
@@ -183,11 +187,24 @@ def _sum(pdf: pd.DataFrame, column: str, kind: str, fan: int) -> pd.DataFrame:
     return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "mapper": [pdf["mapper"].iloc[0] // fan], "total": [zlib.compress(total.astype("<i8").tobytes(), 1)]})
 
 
+@contextmanager
+def arrow_rows(spark, n: int):
+    """While it lasts, Python stages are handed n rows at once: blocks are large rows, and what is handed over at once takes memory beside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def tree_sum(tallies: DataFrame) -> DataFrame:
     """(chunk, total): sums over all mappers, FAN of them in a task."""
     fan = FAN
     node = F.floor(F.col("mapper") / fan)
-    sums = materialize(tallies.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "counts", "<u4", fan), SUM))
+    with arrow_rows(tallies.sparkSession, BLOCK_ROWS):
+        sums = materialize(tallies.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "counts", "<u4", fan), SUM))
     while (sums.agg(F.max("mapper")).first()[0] or 0) > 0:
         sums = materialize(sums.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "total", "<i8", fan), SUM))
     return sums.select("chunk", "total")
@@ -263,7 +280,8 @@ def candidates(blocks: DataFrame, k: int, frequent, some) -> DataFrame:
         flat, width = rows.tobytes(), 8 * k
         return pd.DataFrame({"lang": lang, "words": [flat[i : i + width] for i in range(0, len(flat), width)], "key": keys.view(np.int64), "check": check(rows).view(np.int64)})
 
-    return materialize(blocks.mapInPandas(each_block(work), "lang string, words binary, key long, check long").distinct())
+    with arrow_rows(blocks.sparkSession, BLOCK_ROWS):
+        return materialize(blocks.mapInPandas(each_block(work), "lang string, words binary, key long, check long").distinct())
 
 
 def packed(rows: DataFrame, names: list[str]) -> list[np.ndarray]:
@@ -392,7 +410,8 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
     spark = docs.sparkSession
     send = spark.sparkContext.broadcast
     texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    blocks = materialize(texts.mapInPandas(key_batches, "lang string, n_words long, words binary"))
+    with arrow_rows(spark, TEXT_ROWS):
+        blocks = materialize(texts.mapInPandas(key_batches, "lang string, n_words long, words binary"))
     sizes = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = min(BITS, max(LEAST_BITS, (total // LOAD).bit_length()))
@@ -403,7 +422,8 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
         found = candidates(blocks, k, known, some)
         counts = counted(blocks, k, known, some, found, least)
         if k == 1:
-            names = spellings(texts, some)
+            with arrow_rows(spark, TEXT_ROWS):
+                names = spellings(texts, some)
         else:
             these = found.join(counts, ["key", "check"]).select("lang", F.lit(k).alias("k"), "words", "key", F.col("f").alias("a"))
             phrases = these if phrases is None else phrases.union(these)
