@@ -53,10 +53,10 @@ def collocations(rows, least, longest, percent, top):
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
-@pytest.mark.parametrize("least,top,bits,keys", [(3, 40, 16, 1 << 21), (3, 10_000, 6, 900)])
-def test_phrases(spark, docs, odd, least, top, bits, keys, monkeypatch):
-    """With one round, and with several and tables of bits so small that all are set."""
-    for name, value in (("LEAST_BITS", bits), ("BITS", bits), ("ROUND_KEYS", keys), ("FAN", 2)):
+@pytest.mark.parametrize("least,top,room,keys", [(3, 40, 1 << 14, 1 << 21), (3, 10_000, 64, 900)])
+def test_phrases(spark, docs, odd, least, top, room, keys, monkeypatch):
+    """With one round, and with several and tables so small that all their bits are set."""
+    for name, value in (("LEAST_PLACES", room), ("PLACES", room), ("ROUND_KEYS", keys), ("FAN", 2)):
         monkeypatch.setattr(phrases, name, value)
     rng = random.Random(3)
     made = [(" ".join(rng.choice(["New", "york", "City", "a", "A", "b,", "c.\n", "de:la", "\t", "x!y", "École"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", None, "und"])) for _ in range(120)]

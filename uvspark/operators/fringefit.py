@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.model import table
 from .asof import predict_from_previous
+from .ranks import pinned
 from .solve import REFERENCE_SNR, fringe_peak
 
 # Least signal-to-noise of a solution that predicts, the number of solutions it takes, and the window about a prediction.
@@ -33,15 +34,14 @@ def interval_sums(rows: DataFrame, keys: list[str], solint: float, nchan: int) -
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
     placed = rows.alias("r").join(first.alias("f"), on).select("r.*", at.alias("interval"))
 
-    def sums(value):
-        good = lambda c: F.coalesce(~F.get("flag", F.lit(c)) & ~F.isnan(F.get("re", F.lit(c))) & ~F.isnan(F.get("im", F.lit(c))), F.lit(False))
-        return F.array(*[F.coalesce(F.sum(F.when(good(c), value(c))), F.lit(0.0)) for c in range(nchan)])
-
-    w = F.col("weight")
-    cross = placed.filter("antenna1 <> antenna2 AND weight > 0")
-    return cross.groupBy(*keys, "interval", "time", "antenna1", "antenna2").agg(
-        sums(lambda c: w * F.get("re", F.lit(c))).alias("re"), sums(lambda c: w * F.get("im", F.lit(c))).alias("im"), sums(lambda c: w).alias("w"),
-    )
+    # One row per cell: any number of channels is a number of rows, not of expressions.
+    cells = placed.filter("antenna1 <> antenna2 AND weight > 0").select(*keys, "interval", "time", "antenna1", "antenna2", "weight", F.posexplode(F.arrays_zip("re", "im", "flag")).alias("_c", "_v"))
+    good = F.coalesce(~F.col("_v.flag") & ~F.isnan("_v.re") & ~F.isnan("_v.im"), F.lit(False))
+    w = F.when(good, F.col("weight"))
+    row = [*keys, "interval", "time", "antenna1", "antenna2"]
+    each = cells.groupBy(*row, "_c").agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(n) for n, x in (("re", w * F.col("_v.re")), ("im", w * F.col("_v.im")), ("w", w))])
+    listed = each.groupBy(*row).agg(F.array_sort(F.collect_list(F.struct("_c", "re", "im", "w"))).alias("_l"))
+    return listed.select(*row, *[F.col("_l").getField(n).alias(n) for n in ("re", "im", "w")])
 
 
 def near_peak(vis: np.ndarray, weight: np.ndarray, dt: float, df: float, about: tuple[float, float], window: tuple[float, float]) -> tuple[float, float, float]:
@@ -153,9 +153,10 @@ def solve_interval(pdf: pd.DataFrame, antennas: int, chain: list[int], width: fl
 
 def fringefit(rows: DataFrame, keys: list[str], antennas: int, chain: list[int], width: float, solint: float | None, nchan: int, min_snr: float = 5.0) -> DataFrame:
     """Solutions per key, interval and antenna. A task holds one interval's sums, whose size follows its times, baselines and channels."""
-    sums = interval_sums(rows, keys, solint, nchan)
-    group = [*keys, "interval"]
+    return solve_sums(interval_sums(rows, keys, solint, nchan), [*keys, "interval"], antennas, chain, width, min_snr)
 
+
+def solve_sums(sums: DataFrame, group: list[str], antennas: int, chain: list[int], width: float, min_snr: float) -> DataFrame:
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         return _keyed(pdf, group, solve_interval(pdf, antennas, chain, width, min_snr))
 
@@ -192,12 +193,13 @@ def fringefit_around(rows: DataFrame, keys: list[str], series: list[str], antenn
     """fringefit, and intervals in which an antenna departs from its prediction are solved again within the window about all predictions.
 
     The second solution stands where a prior was used and it isn't flagged. keys tell intervals apart, series (a part of keys) what one predicts for another.
+    Sums and first solutions are written once: the data is read once, and no interval is solved twice but those that depart.
     """
     group = [*keys, "interval"]
-    predicted = predictions(fringefit(rows, keys, antennas, chain, width, solint, nchan, min_snr), series)
+    sums = pinned(interval_sums(rows, keys, solint, nchan))
+    predicted = pinned(predictions(pinned(solve_sums(sums, group, antennas, chain, width, min_snr)), series))
     known = F.filter(F.collect_list(F.when(F.col("delay0").isNotNull(), F.struct("antenna", "delay0", "rate0"))), lambda p: p.isNotNull())
     wanted = predicted.groupBy(*group).agg(F.max(departs(window).cast("int")).alias("_off"), known.alias("priors")).filter("_off = 1").drop("_off")
-    sums = interval_sums(rows, keys, solint, nchan)
     again = sums.alias("s").join(wanted.alias("p"), [F.col(f"s.{g}").eqNullSafe(F.col(f"p.{g}")) for g in group]).select("s.*", "p.priors")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -212,7 +214,7 @@ def fringefit_around(rows: DataFrame, keys: list[str], series: list[str], antenn
     return both.select(*[f"a.{g}" for g in group], "a.time", "a.reference", "a.antenna", *pick)
 
 
-CHANNELS, WIDTH, INTERVAL = 8, 1e6, 1300.0
+CHANNELS, WIDTH, INTERVAL, SHORTER = 8, 1e6, 1300.0, 500.0
 
 
 def planted(s, d) -> DataFrame:
@@ -234,15 +236,24 @@ def _fitted(s, d):
     return out.filter("NOT flag").select("hand", "interval", "time", "reference", "antenna", (F.round(F.col("delay") * 1e9, 2) + 0.0).alias("delay_ns"), (F.round(F.col("rate") * 1e3, 3) + 0.0).alias("rate_mhz"))
 
 
-QUERIES = {"fringefit_intervals": _fitted}
-SQL = {
-    "fringefit_intervals": """WITH v AS (SELECT l_suppkey % 8 AS a, l_partkey % 8 AS b, CAST(l_linenumber % 2 AS INT) AS hand, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) AS t, l_returnflag = 'R' AS flag, l_quantity AS w FROM lineitem),
+def _predicted(s, d):
+    out = fringefit_around(planted(s, d), ["hand"], ["hand"], 8, list(range(8)), WIDTH, SHORTER, CHANNELS)
+    return out.filter("NOT flag").select("hand", "interval", "reference", "antenna", (F.round(F.col("delay") * 1e9, 1) + 0.0).alias("delay_ns"), (F.round(F.col("rate") * 1e3, 2) + 0.0).alias("rate_mhz"))
+
+
+QUERIES = {"fringefit_intervals": _fitted, "fringefit_predicted": _predicted}
+_TRUTH = """WITH v AS (SELECT l_suppkey % 8 AS a, l_partkey % 8 AS b, CAST(l_linenumber % 2 AS INT) AS hand, CAST(date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) AS t, l_returnflag = 'R' AS flag, l_quantity AS w FROM lineitem),
       i AS (SELECT *, CAST(floor((t - min(t) OVER (PARTITION BY hand)) / 1300.0) AS BIGINT) AS "interval" FROM v),
       g AS (SELECT * FROM i WHERE a <> b AND NOT flag AND w > 0),
       e AS (SELECT hand, "interval", a AS antenna FROM g UNION SELECT hand, "interval", b FROM g),
       m AS (SELECT hand, "interval", (min(t) + max(t)) / 2 AS time FROM g GROUP BY ALL),
-      r AS (SELECT hand, "interval", min(antenna) AS reference FROM e GROUP BY ALL)
-      SELECT hand, "interval", time, CAST(reference AS INT) AS reference, CAST(antenna AS INT) AS antenna,
+      r AS (SELECT hand, "interval", min(antenna) AS reference FROM e GROUP BY ALL)"""
+SQL = {
+    "fringefit_intervals": _TRUTH
+    + """ SELECT hand, "interval", time, CAST(reference AS INT) AS reference, CAST(antenna AS INT) AS antenna,
         CAST(((antenna * 7 + hand * 3) % 11 - (reference * 7 + hand * 3) % 11) * 25 AS DOUBLE) AS delay_ns, CAST((antenna * 3 + hand) % 5 - (reference * 3 + hand) % 5 AS DOUBLE) AS rate_mhz
       FROM e JOIN m USING (hand, "interval") JOIN r USING (hand, "interval")""",
+    "fringefit_predicted": _TRUTH.replace("1300.0", "500.0")
+    + """ SELECT hand, "interval", CAST(reference AS INT) AS reference, CAST(antenna AS INT) AS antenna, CAST(((antenna * 7 + hand * 3) % 11 - (reference * 7 + hand * 3) % 11) * 25 AS DOUBLE) AS delay_ns, CAST((antenna * 3 + hand) % 5 - (reference * 3 + hand) % 5 AS DOUBLE) AS rate_mhz
+      FROM e JOIN r USING (hand, "interval")""",
 }
