@@ -151,4 +151,4 @@ def test_fringefit_searches_again_about_predictions(spark):
     assert abs(first.delay[4, 3] - delay[3]) > 50e-9
     got = fringefit.fringefit_around(df, ["scan"], ["scan"], 5, [0], 1e6, 100.0, 8, window=wide).toPandas().set_index(["interval", "antenna"])
     assert abs(got.delay[4, 3] - delay[3]) < 15e-9 and abs(got.rate[4, 3] - rate[3]) < 3e-3 and got.from_prior[4, 3]
-    assert len(got) == 25 and not got.from_prior[:4].any()
+    assert len(got) == 25 and not got.sort_index().loc[:3].from_prior.any()  # rows come in no order; intervals before the broken one
