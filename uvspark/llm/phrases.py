@@ -3,14 +3,14 @@
 Texts become arrays of 64-bit word keys (0: a break) once. Phrases of k words may only be frequent if both their
 parts of k - 1 words are. For each k:
 
-1. Mappers bincount the hashes of phrases whose parts are frequent into a table of fixed size; tables are summed
-   in a tree. Only phrases at places that reach the least count can be frequent, whatever else fell there.
+1. For k of one and two, mappers count the hashes of phrases whose parts are frequent in a table of bounded size; tables
+   are summed in a tree. Only phrases at places that reach the least count can be frequent, whatever else fell there.
 2. Those phrases are the candidates, a superset of the frequent ones. A minimal perfect hash gives each a slot and
    stores its key and a check, so that no other phrase counts.
 3. Mappers bincount slots, and the arrays are summed in a tree: exact counts by slot.
 
 Cuts are read by slot: the counts of a phrase's parts come from a perfect hash over the frequent phrases.
-What is sent to tasks is bounded: bit tables of BITS bits, and perfect hashes of ROUND_KEYS keys. More candidates
+What is sent to tasks is bounded: tables of PLACES bits at most, and perfect hashes of ROUND_KEYS keys. More candidates
 are counted in several rounds.
 """
 
@@ -42,8 +42,9 @@ _MUL = _U(0x9E3779B97F4A7C15)
 _BACK = _U(pow(int(_MUL), -1, 1 << 64))
 _CHECK = _U(0xD1342543DE82EF95)
 
-#: Bytes of text made into keys at once; least and most bits of the tables; words a bit stands for on average; keys of a perfect hash.
-TEXT_STEP, LEAST_BITS, BITS, LOAD, ROUND_KEYS = 60_000, 16, 25, 32, 1 << 21
+#: Characters of text made into keys at once; least and most places of a table; words that fall to a place on average; longest phrases
+#: that are sifted by a table (of longer ones nearly all whose parts are frequent are so themselves); keys of a perfect hash.
+TEXT_STEP, LEAST_PLACES, PLACES, LOAD, SIFTED, ROUND_KEYS = 60_000, 1 << 14, 1 << 26, 8, 2, 1 << 21
 #: Texts, and blocks of keys, that a task is handed at once.
 TEXT_ROWS, BLOCK_ROWS = 1000, 64
 #: Bits (or slots) of a row of sums, arrays summed by one task, indices gathered before they are counted.
@@ -123,10 +124,17 @@ def check(words: np.ndarray) -> np.ndarray:
     return out
 
 
+def place(keys: np.ndarray, size: int) -> np.ndarray:
+    """Places of keys in a table, by their upper halves."""
+    return (((keys >> _U(32)) * _U(size)) >> _U(32)).astype(np.int64)
+
+
 def has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the bit of each key is set; the table's size is a power of two."""
-    at = keys & _U(8 * len(bits) - 1)
-    return (bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
+    """Whether the bit of each key is set; no table: of all."""
+    if not len(bits):
+        return np.ones(len(keys), bool)
+    at = place(keys, 8 * len(bits))
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def places(words: np.ndarray, k: int, frequent: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -149,30 +157,33 @@ def spelled(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
 
 
 class Tally:
-    """Counts of indices below `size`, sent in chunks."""
+    """Counts of indices below `size`, sent in chunks; with `most`, counts stop there, in a byte each."""
 
-    def __init__(self, size: int):
-        self.counts, self.held, self.n = np.zeros(size, np.uint32), [], 0
+    def __init__(self, size: int, most: int | None = None):
+        self.most, self.held, self.n = most, [], 0
+        self.counts = np.zeros(size, np.uint8 if most is not None and most < 256 else np.uint32)
 
     def add(self, at: np.ndarray) -> None:
         self.held.append(at)
         self.n += len(at)
-        if self.n >= max(GATHERED, len(self.counts) // 4):
+        if self.n >= GATHERED:
             self.settle()
 
     def settle(self) -> None:
-        if self.n:
+        if self.n and self.most is None:
             more = np.bincount(np.concatenate(self.held), minlength=len(self.counts))
             np.add(self.counts, more, out=self.counts, casting="unsafe")
+        elif self.n:  # few of very many places: no array of that size beside the counts
+            at, more = np.unique(np.concatenate(self.held), return_counts=True)
+            self.counts[at] = np.minimum(self.counts[at] + more, self.most)
         self.held, self.n = [], 0
 
-    def rows(self, most: int | None = None) -> pd.DataFrame:
-        """(chunk, mapper, counts); counts cut at `most`, chunks without any left out."""
+    def rows(self) -> pd.DataFrame:
+        """(chunk, mapper, counts); chunks without any are left out."""
         self.settle()
-        counts = self.counts if most is None else np.minimum(self.counts, most)
-        found = [(c, part) for c in range(0, -(-len(counts) // CHUNK)) if (part := counts[c * CHUNK : (c + 1) * CHUNK]).any()]
+        found = [(c, part) for c in range(0, -(-len(self.counts) // CHUNK)) if (part := self.counts[c * CHUNK : (c + 1) * CHUNK]).any()]
         mapper = TaskContext.get().partitionId()
-        return pd.DataFrame([(c, mapper, zlib.compress(part.astype("<u4").tobytes(), 1)) for c, part in found], columns=["chunk", "mapper", "counts"])
+        return pd.DataFrame([(c, mapper, zlib.compress(part.tobytes(), 1)) for c, part in found], columns=["chunk", "mapper", "counts"])
 
 
 TALLY = "chunk int, mapper int, counts binary"
@@ -199,27 +210,27 @@ def arrow_rows(spark, n: int):
         spark.conf.set(name, before)
 
 
-def tree_sum(tallies: DataFrame) -> DataFrame:
-    """(chunk, total): sums over all mappers, FAN of them in a task."""
+def tree_sum(tallies: DataFrame, kind: str = "<u4") -> DataFrame:
+    """(chunk, total): sums over all mappers, FAN of them in a task. kind: the type of the counts."""
     fan = FAN
     node = F.floor(F.col("mapper") / fan)
     with arrow_rows(tallies.sparkSession, BLOCK_ROWS):
-        sums = materialize(tallies.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "counts", "<u4", fan), SUM))
+        sums = materialize(tallies.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "counts", kind, fan), SUM))
     while (sums.agg(F.max("mapper")).first()[0] or 0) > 0:
         sums = materialize(sums.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "total", "<i8", fan), SUM))
     return sums.select("chunk", "total")
 
 
-def gathered(rows: DataFrame, bits: int) -> np.ndarray:
-    """The bit table from its chunks (chunk, bits): 2 ** bits bits, at most 4 MB."""
-    out = np.zeros((1 << bits) // 8, np.uint8)
+def gathered(rows: DataFrame, size: int) -> np.ndarray:
+    """The bit table from its chunks (chunk, bits): at most PLACES bits."""
+    out = np.zeros(size // 8, np.uint8)
     for r in rows.toLocalIterator():
         part = np.frombuffer(r["bits"], np.uint8)
         out[r["chunk"] * CHUNK // 8 :][: len(part)] = part
     return out
 
 
-def reached(sums: DataFrame, least: int, bits: int) -> np.ndarray:
+def reached(sums: DataFrame, least: int, size: int) -> np.ndarray:
     """Bits of the places whose total is at least `least`."""
 
     def pack(batches):
@@ -227,20 +238,21 @@ def reached(sums: DataFrame, least: int, bits: int) -> np.ndarray:
             packed = [np.packbits(np.frombuffer(zlib.decompress(t), "<i8") >= least, bitorder="little").tobytes() for t in pdf["total"]]
             yield pd.DataFrame({"chunk": pdf["chunk"], "bits": packed})
 
-    return gathered(sums.mapInPandas(pack, "chunk int, bits binary"), bits)
+    return gathered(sums.mapInPandas(pack, "chunk int, bits binary"), size)
 
 
-def bits_of(keys: DataFrame, bits: int) -> np.ndarray:
+def bits_of(keys: DataFrame, size: int) -> np.ndarray:
     """Bits of the keys of a table."""
 
     def pack(pdf):
-        at = pdf["key"].to_numpy().view(_U) & _U((1 << bits) - 1)
-        row = np.zeros(min(CHUNK, 1 << bits), bool)
-        row[(at % _U(CHUNK)).astype(np.int64)] = True
-        return pd.DataFrame({"chunk": [int(at[0]) // CHUNK], "bits": [np.packbits(row, bitorder="little").tobytes()]})
+        at = place(pdf["key"].to_numpy().view(_U), size)
+        chunk = int(at[0]) // CHUNK
+        row = np.zeros(min(CHUNK, size - chunk * CHUNK), bool)
+        row[at - chunk * CHUNK] = True
+        return pd.DataFrame({"chunk": [chunk], "bits": [np.packbits(row, bitorder="little").tobytes()]})
 
-    chunk = F.shiftrightunsigned(F.col("key").bitwiseAND((1 << bits) - 1), CHUNK.bit_length() - 1)
-    return gathered(keys.select("key").groupBy(chunk).applyInPandas(pack, "chunk int, bits binary"), bits)
+    at = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(size), 32)
+    return gathered(keys.select("key").groupBy(F.floor(at / CHUNK)).applyInPandas(pack, "chunk int, bits binary"), size)
 
 
 def each_block(work: Callable[[str, np.ndarray], pd.DataFrame | None], done: Callable[[], pd.DataFrame] | None = None):
@@ -259,14 +271,14 @@ def each_block(work: Callable[[str, np.ndarray], pd.DataFrame | None], done: Cal
     return run
 
 
-def sketched(blocks: DataFrame, k: int, frequent, least: int, bits: int) -> np.ndarray:
-    """Bits at which phrases of k words fall `least` times or more in all."""
+def sketched(blocks: DataFrame, k: int, frequent, least: int, size: int) -> np.ndarray:
+    """Bits of the places to which phrases of k words fall `least` times or more in all."""
 
     def run(batches):
-        tally = Tally(1 << bits)
-        yield from each_block(lambda _, w: tally.add((places(w, k, frequent.value)[1] & _U((1 << bits) - 1)).astype(np.int64)), lambda: tally.rows(least))(batches)
+        tally = Tally(size, least)
+        yield from each_block(lambda _, w: tally.add(place(places(w, k, frequent.value)[1], size)), tally.rows)(batches)
 
-    return reached(tree_sum(blocks.mapInPandas(run, TALLY)), least, bits)
+    return reached(tree_sum(blocks.mapInPandas(run, TALLY), "u1" if least < 256 else "<u4"), least, size)
 
 
 def candidates(blocks: DataFrame, k: int, frequent, some) -> DataFrame:
@@ -414,11 +426,11 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
         blocks = materialize(texts.mapInPandas(key_batches, "lang string, n_words long, words binary"))
     sizes = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
-    bits = min(BITS, max(LEAST_BITS, (total // LOAD).bit_length()))
+    size = max(LEAST_PLACES, min(PLACES, total // LOAD // 8 * 8))
     shorter, phrases, frequent, names = [], None, None, None
     for k in range(1, longest + 1):
         known = send(list(shorter))
-        some = send(sketched(blocks, k, known, least, bits))
+        some = send(sketched(blocks, k, known, least, size) if k <= SIFTED else np.empty(0, np.uint8))
         found = candidates(blocks, k, known, some)
         counts = counted(blocks, k, known, some, found, least)
         if k == 1:
@@ -428,7 +440,7 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
             these = found.join(counts, ["key", "check"]).select("lang", F.lit(k).alias("k"), "words", "key", F.col("f").alias("a"))
             phrases = these if phrases is None else phrases.union(these)
         if k < longest:
-            shorter.append(bits_of(counts, bits))
+            shorter.append(bits_of(counts, size))
             frequent = counts if frequent is None else frequent.union(counts)
     phrases = materialize(with_cuts(phrases, frequent, longest))
     longer = phrases.select(F.explode("inner").alias("key"), F.col("a").alias("f")).groupBy("key").agg(F.max("f").alias("f"))
