@@ -31,7 +31,10 @@ def hard(spark, long_texts, tmp_path_factory):
     return path
 
 
-@pytest.mark.parametrize("name", sorted(entry.QUERIES))
+BY_WORD = ("op11_phrase_collocations", "op13_spelling_variants")
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.QUERIES) - set(BY_WORD)))
 def test_query_on_hard_table(spark, hard, name):
     out = entry.QUERIES[name](spark, hard).select("doc_id").groupBy("doc_id").count().collect()
     want = {0: 1, 1: 1, 2: 1, 4: 1, 5: 1, 3: 12_001, None: 12_000}
@@ -42,6 +45,17 @@ def test_query_on_hard_table(spark, hard, name):
         assert got == want
 
 
+def test_words_of_hard_table(spark, hard):
+    """The operators whose rows are words or phrases, against brute force."""
+    from tests.llm.test_text_mining import COLUMNS, collocations, grouped
+
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{hard}/documents.parquet").collect()]
+    got = sorted(tuple(r[c] for c in COLUMNS) for r in entry.QUERIES[BY_WORD[0]](spark, hard).collect())
+    assert got == collocations([(t, lang) for _, t, lang in rows], 30, 4, 80, 2000)
+    got = {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in entry.QUERIES[BY_WORD[1]](spark, hard).collect()}
+    assert got == grouped([(d, t) for d, t, _ in rows])
+
+
 def test_pipeline_on_hard_table(spark, hard):
     docs = spark.read.parquet(f"{hard}/documents.parquet")
     for _, stage in pipeline.STAGES:

@@ -413,3 +413,11 @@ def test_mixing_without_sources_or_ids(spark):
 
     sized = mixing.document_sizes(df).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_salt"), F.lit(12)))
     assert sized.groupBy("chunk").count().agg({"count": "max"}).first()[0] < 400
+
+
+def test_shards_of_a_larger_tree(spark, docs):
+    """A tree built with 100 shards keeps its rows when one more is added, but for those that move into it."""
+    rows = sharding.shard_documents(docs, shards=100, built=100).collect()
+    assert {r.shard for r in rows} <= set(range(100)) and len({r.shard for r in rows}) > 60
+    assert all(r.grown_shard in (r.shard, 100) for r in rows)
+    assert [len(region) for region in sharding.built_tree([1.0] * 100, 100)] == [4] * 6 + [1] and len(sharding.built_tree([1.0] * 100)) > 60

@@ -54,4 +54,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {k.partition("_")[0] for k in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {k.partition("_")[0] for k in names} and "pipeline" in names

@@ -188,8 +188,9 @@ def pack_documents(docs: DataFrame, model_file: str, ranks_file: str | None = No
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document's ids end with id 0, so null or empty text is one piece of one token. Documents longer
-    than a sequence are cut into full pieces, the first taking the rest. Repeated rows are packed each;
-    an empty table gives no rows; other columns are ignored.
+    than a sequence are cut into full pieces, the first taking the rest; texts of any length are tokenized
+    whole. Pieces of one length are dealt in order of doc_id, piece and ids; rows equal in these are interchangeable.
+    Repeated rows are packed each; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     tokens = capacity.tokens

@@ -32,7 +32,7 @@ POLICIES = {
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id and the measurements of every document.
 
-    Null text counts as empty. A word belongs to a repeated window if any of the windows of three
+    Null text counts as empty, long texts count whole, repeated rows each. A word belongs to a repeated window if any of the windows of three
     words that hold it occurs twice or more in its text.
     """
     text = F.coalesce("text", F.lit(""))
@@ -100,7 +100,11 @@ def ablation(rows: DataFrame, policy: str = "v1") -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """The documents a policy keeps, with their columns."""
+    """The documents a policy keeps, with their columns.
+
+    Null and empty texts have no words and go; long texts are measured whole; repeated rows are judged alike, each
+    row for itself, so ties don't arise. An empty table stays empty; columns of any name stay.
+    """
     packed = docs.select(F.struct(*docs.columns).alias("doc_id"), "text")  # the whole row rides along
     # A column that isn't deterministic keeps the filter above the measurements; pushed below, it would evaluate them once per rule and use.
     rows = apply_policy(ledger(packed), policy).withColumn("_part", F.spark_partition_id())

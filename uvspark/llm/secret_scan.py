@@ -297,7 +297,11 @@ def redact(text: Column, places: Column, mark: str = "[secret]") -> Column:
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
-    """docs with every secret in `text` replaced, all rows and columns kept; n_chars follows if there."""
+    """docs with every secret in `text` replaced, all rows and columns kept; n_chars follows if there.
+
+    Null text stays null, empty text empty; long texts are searched whole; repeated rows are changed alike. Spans that
+    overlap are replaced as one. An empty table stays empty; columns of any name stay.
+    """
     packed = docs.select(F.struct(*docs.columns).alias("doc_id"), "text")
     rows = scan(packed).select("doc_id.*", F.col("spans").alias("__spans"))
     has = F.size("__spans") > 0

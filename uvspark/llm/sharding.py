@@ -74,14 +74,16 @@ def with_shard(rows: DataFrame, key: str, tree: Tree, name: str) -> DataFrame:
     return rows.withColumn(name, start + F.col("_leaf")).drop("_region", "_rack", "_leaf")
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, weights: Sequence[float] | None = None, new_weight: float = 1.0) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, weights: Sequence[float] | None = None, new_weight: float = 1.0, built: int = BUILT) -> DataFrame:
     """One row per document: size, crc, shard, slot in the shard, and the shard if one more is added.
 
     Null or empty text: size 16, crc 0; long texts count whole. A null doc_id is hashed as the text
     "null". Repeated rows go to one shard, in slots of their own; slots follow doc_id, ties by crc and
-    then in no fixed order. An empty table gives no rows. Other columns are ignored.
+    then in no fixed order. An empty table gives no rows. Other columns are ignored. `built` is how many shards
+    the tree was built with: those stand in its racks and regions, later ones in regions of their own. It must
+    stay the same when shards are added, or more than the new shard's rows move.
     """
-    tree = built_tree(list(weights or [1.0] * shards))
+    tree = built_tree(list(weights or [1.0] * shards), built)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id",
