@@ -11,27 +11,27 @@ WORDS, PERCENT = 5, 80
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that break a rule of the policy go."""
+    """Documents that break a rule of the policy go; null and empty texts among them. Repeated rows are judged alike."""
     return rule_ledger.keep_documents(docs)
 
 
 def near_dedup(spark, docs, sf_dir):
-    """Of each class of near-duplicates one document stays."""
+    """Of each class of near-duplicates one document stays, the least doc_id; rows that repeat it become one. Null, empty and blank texts and rows without doc_id stay."""
     return minhash_join.keep_one(docs, WORDS, PERCENT)
 
 
 def secret_scans(spark, docs, sf_dir):
-    """Secrets are replaced in the texts; no document goes."""
+    """Secrets are replaced in the texts, however long; no document goes. Null texts stay null."""
     return secret_scan.redact_documents(docs)
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Documents are repeated or left out so that the sources reach their targets."""
+    """Documents are repeated or left out so that the sources reach their targets. Null texts have no words and keep one copy; a null source is a source, the last."""
     return mixing.copy_documents(docs)
 
 
 def best_fit_packing(spark, docs, sf_dir):
-    """Token pieces placed in sequences."""
+    """Token pieces placed in sequences: of null and empty texts one piece of one token, of long texts as many as they need."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
