@@ -305,7 +305,9 @@ def _ks(s, d):
 
 
 def _bands(s, d):
-    return subband_bands(s.range(24).select(F.col("id").cast("int").alias("ddid"), (F.lit(1e9) + F.col("id") * 16e6 + F.floor(F.col("id") / 8) * 2e9).alias("lo"), (F.lit(1e9) + F.col("id") * 16e6 + F.floor(F.col("id") / 8) * 2e9 + 15e6).alias("hi")))
+    k = F.col("s_suppkey")
+    lo = F.lit(1e9) + k * 16e6 + F.floor(k / 8) * 2e9
+    return subband_bands(table(s, d, "supplier").select(k.cast("int").alias("ddid"), lo.alias("lo"), (lo + 15e6).alias("hi")))
 
 
 _SNR = f"{SERIES}, snr AS (SELECT user_id % 10 AS antenna, event_type AS source, day AS scan, value / 10 AS snr FROM ev)"
@@ -388,6 +390,6 @@ SQL = {
       SELECT count(*) AS n, round(avg(r), 6) AS accuracy, round((avg(r) FILTER (t) + avg(r) FILTER (NOT t)) / 2, 6) AS balanced, round(avg(r) FILTER (t), 6) AS recall_true, round(avg(r) FILTER (NOT t), 6) AS recall_false FROM y""",
     "station_clusters": f"""WITH RECURSIVE {STATIONS}, reach AS (SELECT antenna AS a, antenna AS b FROM st UNION SELECT r.a, t.antenna FROM reach r JOIN st s ON s.antenna = r.b JOIN st t ON sqrt((s.x - t.x) ** 2 + (s.y - t.y) ** 2) <= 40.0)
       SELECT a AS antenna, min(b) AS cluster FROM reach GROUP BY a""",
-    "frequency_bands": """WITH r AS (SELECT id::INT AS ddid, 1e9 + id * 16e6 + (id // 8) * 2e9 AS lo, 1e9 + id * 16e6 + (id // 8) * 2e9 + 15e6 AS hi FROM range(24) r(id)),
+    "frequency_bands": """WITH r AS (SELECT s_suppkey::INT AS ddid, 1e9 + s_suppkey * 16e6 + (s_suppkey // 8) * 2e9 AS lo, 1e9 + s_suppkey * 16e6 + (s_suppkey // 8) * 2e9 + 15e6 AS hi FROM supplier),
       n AS (SELECT *, coalesce((lo - lag(hi) OVER (ORDER BY lo, ddid) > greatest(10 * (SELECT median(hi - lo) FROM r), 0.02 * lo))::INT, 0) AS new FROM r) SELECT ddid, CAST(sum(new) OVER (ORDER BY lo, ddid) AS INT) AS band FROM n""",
 }

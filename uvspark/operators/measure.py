@@ -218,12 +218,12 @@ def _normal(s, d):
 
 
 def _ranges(s, d):
-    """Setups are days; points the first six events of each, ranges eight that overlap."""
-    nth = F.row_number().over(Window.partitionBy("day").orderBy("us", "event_id"))
-    points = series(s, d).withColumn("_n", nth).filter("_n <= 6").select("day", F.col("event_id").alias("name"), (F.col("value") % 80).alias("x"))
+    """Setups are a user's days; points all events of each, ranges eight that overlap."""
+    setup = ["day", "user_id"]
+    points = series(s, d).select(*setup, F.col("event_id").alias("name"), (F.col("value") % 80).alias("x"))
     k = F.col("id").cast("int")
-    ranges = points.select("day").distinct().join(F.broadcast(s.range(8).select(k.alias("id"), (k * 10.0).alias("lo"), (k * 10.0 + 24).alias("hi"))))
-    return match_ranges(points, ranges, ["day"]).select("day", "name", F.coalesce("matched", F.lit(-1)).alias("matched"))
+    ranges = points.select(*setup).distinct().join(F.broadcast(s.range(8).select(k.alias("id"), (k * 10.0).alias("lo"), (k * 10.0 + 24).alias("hi"))))
+    return match_ranges(points, ranges, setup).select("day", "user_id", "name", F.coalesce("matched", F.lit(-1)).alias("matched"))
 
 
 
@@ -278,12 +278,11 @@ SQL = {
     "sample_times": f"""WITH RECURSIVE {SERIES}, r AS (SELECT user_id, min(us) AS us FROM ev GROUP BY user_id UNION ALL SELECT user_id, us FROM (SELECT r.user_id, (SELECT min(us) FROM ev WHERE ev.user_id = r.user_id AND ev.us - r.us > {12 * HOUR_US}) AS us FROM r) WHERE us IS NOT NULL) SELECT user_id, us FROM r""",
     "antenna_states": f"""WITH {SERIES}, b AS (SELECT day AS scan, user_id % 40 AS antenna, max(value / 10) AS s FROM ev GROUP BY ALL)
       SELECT k::INT AS scan, a AS antenna, CASE WHEN s IS NULL THEN 'absent' WHEN s < 3 THEN 'lost' WHEN s < 7 THEN 'weak' WHEN s < 30 THEN 'good' ELSE 'strong' END AS state FROM range(30) x(k) CROSS JOIN range(42) y(a) LEFT JOIN b ON b.scan = k AND b.antenna = a""",
-    "match_subbands": f"""WITH RECURSIVE {SERIES}, p AS (SELECT * FROM (SELECT day, event_id AS name, value % 80 AS x, CAST(row_number() OVER (PARTITION BY day ORDER BY us, event_id) AS INT) AS k FROM ev) WHERE k <= 6),
-      q AS (SELECT day, name, x, CAST(row_number() OVER (PARTITION BY day ORDER BY name) AS INT) AS n FROM p), r AS (SELECT id::INT AS id, id * 10.0::DOUBLE AS lo, id * 10.0::DOUBLE + 24 AS hi FROM range(8) t(id)),
-      cand AS (SELECT day, name, n, list({{'d': abs(x - (lo + hi) / 2), 'id': id}}) FILTER (x BETWEEN lo AND hi) AS c FROM q, r GROUP BY ALL),
-      g AS (SELECT DISTINCT day, 0 AS n, NULL::BIGINT AS name, []::INT[] AS used, NULL::INT AS matched FROM q
-        UNION ALL SELECT day, n, name, CASE WHEN m IS NULL THEN used ELSE list_append(used, m) END, m FROM (SELECT c.day, c.n, c.name, g.used, list_sort(list_filter(c.c, lambda z: NOT list_contains(g.used, z.id)))[1].id AS m FROM g JOIN cand c ON c.day = g.day AND c.n = g.n + 1))
-      SELECT day, name, coalesce(matched, -1)::INT AS matched FROM g WHERE n > 0""",
+    "match_subbands": f"""WITH RECURSIVE {SERIES}, q AS (SELECT day, user_id, event_id AS name, value % 80 AS x, CAST(row_number() OVER (PARTITION BY day, user_id ORDER BY event_id) AS INT) AS n FROM ev), r AS (SELECT id::INT AS id, id * 10.0::DOUBLE AS lo, id * 10.0::DOUBLE + 24 AS hi FROM range(8) t(id)),
+      cand AS (SELECT day, user_id, name, n, list({{'d': abs(x - (lo + hi) / 2), 'id': id}}) FILTER (x BETWEEN lo AND hi) AS c FROM q, r GROUP BY ALL),
+      g AS (SELECT DISTINCT day, user_id, 0 AS n, NULL::BIGINT AS name, []::INT[] AS used, NULL::INT AS matched FROM q
+        UNION ALL SELECT day, user_id, n, name, CASE WHEN m IS NULL THEN used ELSE list_append(used, m) END, m FROM (SELECT c.day, c.user_id, c.n, c.name, g.used, list_sort(list_filter(c.c, lambda z: NOT list_contains(g.used, z.id)))[1].id AS m FROM g JOIN cand c ON c.day = g.day AND c.user_id = g.user_id AND c.n = g.n + 1))
+      SELECT day, user_id, name, coalesce(matched, -1)::INT AS matched FROM g WHERE n > 0""",
     "hand_ratios": "WITH g AS (SELECT user_id, median(value) FILTER (event_type = 'click') AS a, median(value) FILTER (event_type = 'view') AS b, count(*) FILTER (event_type = 'click') AS na, count(*) FILTER (event_type = 'view') AS nb FROM events GROUP BY user_id) SELECT user_id, round(ln(a / b), 6) AS log_ratio FROM g WHERE na >= 3 AND nb >= 3",
     "amplitude_limit": "SELECT event_type, round(quantile_cont(value, 0.999), 6) AS \"limit\" FROM events GROUP BY event_type",
     "chain_factor": f"WITH {SERIES} SELECT user_id % 30 AS antenna, day, round(exp(sum(ln(value / 40))), 6) AS factor, count(*) AS n_tables FROM ev WHERE value > 0 GROUP BY ALL",
