@@ -349,7 +349,27 @@ def _survey(s, d):
     return e.select(F.col("day").alias("scan"), F.lit(1).alias("source_rank"), (F.col("user_id") % 10).cast("string").alias("antenna"), F.when(F.col("event_id") % 2 == 0, "r").otherwise("l").alias("hand"), (F.col("value") / 10).alias("snr"))
 
 
+def _planted(s, d) -> DataFrame:
+    """Visibilities that are products of known gains of their antennas, in scans of 600 days."""
+    v = visibilities(s, d).withColumn("scan", F.floor(F.col("day") / 600).cast("int"))
+    size = lambda k: 10 + (F.col(k) * 3 + F.col("scan") + 20) % 5
+    turn = lambda k: F.when(F.col(k) == 0, 0.0).otherwise((F.col(k) * 5 + F.col("scan") + 20) % 7 / 2.0 - 1.5)
+    return v.withColumns({"amp": (size("antenna1") * size("antenna2")).cast("double"), "v": 10 * (turn("antenna1") - turn("antenna2"))})
+
+
+def _planted_gains(s, d):
+    out = gains_per_scan(_planted(s, d), 8)
+    return out.select("scan", "antenna", F.round("amplitude", 4).alias("amplitude"), (F.round(F.cos("phase"), 4) + 0.0).alias("cos"), (F.round(F.sin("phase"), 4) + 0.0).alias("sin"))
+
+
+def _planted_terms(s, d):
+    out = terms_per_scan(_planted(s, d), 8)
+    return out.select("scan", "antenna", F.round("term", 5).alias("term"))
+
+
 QUERIES = {
+    "gain_als_planted": _planted_gains,
+    "antenna_terms_planted": _planted_terms,
     "antenna_terms_ls": lambda s, d: terms_per_scan(visibilities(s, d), 8),
     "on_source_fraction": lambda s, d: fractions_per_scan(visibilities(s, d), 8),
     "gain_als": lambda s, d: gains_per_scan(visibilities(s, d), 8),
@@ -358,4 +378,10 @@ QUERIES = {
     "forest_predict": lambda s, d: forest_predictions(table(s, d, "documents"), table(s, d, "labels")),
     "stage_plan": lambda s, d: stage_plan(_survey(s, d), 7.0),
 }
-SQL: dict[str, str] = {}
+_TRUTH = """WITH v AS (SELECT CAST(floor(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) / 600.0) AS INT) AS scan, unnest([l_suppkey % 8, l_partkey % 8])::INT AS antenna FROM lineitem WHERE l_returnflag <> 'R' AND l_suppkey % 8 <> l_partkey % 8),
+  e AS (SELECT DISTINCT scan, antenna, 10 + (antenna * 3 + scan + 20) % 5 AS a, CASE WHEN antenna = 0 THEN 0 ELSE (antenna * 5 + scan + 20) % 7 / 2.0::DOUBLE - 1.5 END AS p FROM v)"""
+# Planted truth.
+SQL = {
+    "gain_als_planted": _TRUTH + " SELECT scan, antenna, round(a::DOUBLE, 4) AS amplitude, round(cos(p), 4) + 0.0 AS cos, round(sin(p), 4) + 0.0 AS sin FROM e",
+    "antenna_terms_planted": _TRUTH + " SELECT scan, antenna, round(ln(a), 5) AS term FROM e",
+}
