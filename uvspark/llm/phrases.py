@@ -3,8 +3,8 @@
 Texts become arrays of 64-bit word keys (0: a break) once. Phrases of k words may only be frequent if both their
 parts of k - 1 words are. For each k:
 
-1. For k of one and two, mappers count the hashes of phrases whose parts are frequent in a table of bounded size; tables
-   are summed in a tree. Only phrases at places that reach the least count can be frequent, whatever else fell there.
+1. Mappers count the hashes of phrases whose parts are frequent in a table of bounded size; tables are summed in a
+   tree. Only phrases at places that reach the least count can be frequent, whatever else fell there.
 2. Those phrases are the candidates, a superset of the frequent ones. A minimal perfect hash gives each a slot and
    stores its key and a check, so that no other phrase counts.
 3. Mappers bincount slots, and the arrays are summed in a tree: exact counts by slot.
@@ -42,9 +42,8 @@ _MUL = _U(0x9E3779B97F4A7C15)
 _BACK = _U(pow(int(_MUL), -1, 1 << 64))
 _CHECK = _U(0xD1342543DE82EF95)
 
-#: Characters of text made into keys at once; least and most places of a table; words that fall to a place on average; longest phrases
-#: that are sifted by a table (of longer ones nearly all whose parts are frequent are so themselves); keys of a perfect hash.
-TEXT_STEP, LEAST_PLACES, PLACES, LOAD, SIFTED, ROUND_KEYS = 60_000, 1 << 14, 1 << 26, 8, 2, 1 << 21
+#: Characters of text made into keys at once; least and most places of a table; words that fall to a place on average; keys of a perfect hash.
+TEXT_STEP, LEAST_PLACES, PLACES, LOAD, ROUND_KEYS = 60_000, 1 << 14, 1 << 26, 8, 1 << 21
 #: Texts, and blocks of keys, that a task is handed at once.
 TEXT_ROWS, BLOCK_ROWS = 1000, 64
 #: Bits (or slots) of a row of sums, arrays summed by one task, indices gathered before they are counted.
@@ -130,9 +129,7 @@ def place(keys: np.ndarray, size: int) -> np.ndarray:
 
 
 def has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the bit of each key is set; no table: of all."""
-    if not len(bits):
-        return np.ones(len(keys), bool)
+    """Whether the bit of each key is set."""
     at = place(keys, 8 * len(bits))
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
@@ -255,16 +252,15 @@ def bits_of(keys: DataFrame, size: int) -> np.ndarray:
     return gathered(keys.select("key").groupBy(F.floor(at / CHUNK)).applyInPandas(pack, "chunk int, bits binary"), size)
 
 
-def each_block(work: Callable[[str, np.ndarray], pd.DataFrame | None], done: Callable[[], pd.DataFrame] | None = None):
-    """A function for mapInPandas over blocks of word keys."""
+def each_batch(work: Callable[[np.ndarray], pd.DataFrame | None], done: Callable[[], pd.DataFrame] | None = None):
+    """A function for mapInPandas over blocks of word keys, those of a batch together: each block begins with a break."""
 
     def run(batches):
         with np.errstate(over="ignore"):
             for pdf in batches:
-                for lang, words in zip(pdf["lang"], pdf["words"]):
-                    out = work(lang, np.frombuffer(words, _U))
-                    if out is not None and len(out):
-                        yield out
+                out = work(np.frombuffer(b"".join(pdf["words"]), _U))
+                if out is not None and len(out):
+                    yield out
             if done:
                 yield done()
 
@@ -276,24 +272,42 @@ def sketched(blocks: DataFrame, k: int, frequent, least: int, size: int) -> np.n
 
     def run(batches):
         tally = Tally(size, least)
-        yield from each_block(lambda _, w: tally.add(place(places(w, k, frequent.value)[1], size)), tally.rows)(batches)
+        yield from each_batch(lambda w: tally.add(place(places(w, k, frequent.value)[1], size)), tally.rows)(batches)
 
     return reached(tree_sum(blocks.mapInPandas(run, TALLY), "u1" if least < 256 else "<u4"), least, size)
 
 
 def candidates(blocks: DataFrame, k: int, frequent, some) -> DataFrame:
-    """(lang, words, key, check) of the distinct phrases of k words that may be frequent."""
+    """(words, key, check) of the distinct phrases of k words that may be frequent; single words with their lang.
 
-    def work(lang, w):
+    What is shuffled is the word keys alone, each phrase once from a task.
+    """
+    names = [f"w{j}" for j in range(k)]
+
+    def found(w: np.ndarray) -> pd.DataFrame:
         at, keys = places(w, k, frequent.value)
         go = has(some.value, keys)
-        keys, one = np.unique(keys[go], return_index=True)
-        rows = np.ascontiguousarray(spelled(w, at[go][one], k))
-        flat, width = rows.tobytes(), 8 * k
-        return pd.DataFrame({"lang": lang, "words": [flat[i : i + width] for i in range(0, len(flat), width)], "key": keys.view(np.int64), "check": check(rows).view(np.int64)})
+        _, one = np.unique(keys[go], return_index=True)
+        return pd.DataFrame(spelled(w, at[go][one], k).view(np.int64), columns=names)
+
+    def words(batches):
+        with np.errstate(over="ignore"):
+            for pdf in batches:
+                for lang, part in pdf.groupby("lang", sort=False):
+                    yield found(np.frombuffer(b"".join(part["words"]), _U)).assign(lang=lang)
 
+    def named(batches):
+        with np.errstate(over="ignore"):
+            for pdf in batches:
+                rows = np.ascontiguousarray(pdf[names].to_numpy(np.int64)).view(_U)
+                flat, width = rows.tobytes(), 8 * k
+                new = {"words": [flat[i : i + width] for i in range(0, len(flat), width)], "key": fold(rows).view(np.int64), "check": check(rows).view(np.int64)}
+                yield pd.DataFrame(new | ({"lang": pdf["lang"]} if k == 1 else {}))
+
+    lang = ", lang string" if k == 1 else ""
     with arrow_rows(blocks.sparkSession, BLOCK_ROWS):
-        return materialize(blocks.mapInPandas(each_block(work), "lang string, words binary, key long, check long").distinct())
+        distinct = materialize(blocks.mapInPandas(words if k == 1 else each_batch(found), ", ".join(f"{n} long" for n in names) + lang).distinct())
+    return materialize(distinct.mapInPandas(named, f"words binary, key long, check long{lang}"))
 
 
 def packed(rows: DataFrame, names: list[str]) -> list[np.ndarray]:
@@ -322,14 +336,14 @@ def counted(blocks: DataFrame, k: int, frequent, some, found: DataFrame, least:
         def run(batches, slots=slots):
             tally = Tally(max(1, len(slots.value)))
 
-            def work(_, w):
+            def work(w):
                 at, keys = places(w, k, frequent.value)
                 go = has(some.value, keys)
                 at, keys = at[go], keys[go]
                 s = slots.value.slots(keys, check(spelled(w, at, k)))
                 tally.add(s[s >= 0])
 
-            yield from each_block(work, tally.rows)(batches)
+            yield from each_batch(work, tally.rows)(batches)
 
         def read(batches, slots=slots):
             for pdf in batches:
@@ -370,9 +384,9 @@ def word_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def with_cuts(phrases: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
-    """phrases with the counts of both parts of each cut (arrays l and r, by the first part's words), read by slot, and the keys of the phrases of two words or more inside."""
+    """phrases with the counts of both parts of each cut (arrays l and r, by the first part's words), read by slot, the key of the first word, and the keys of the phrases of two words or more inside."""
     rounds = max(1, -(-frequent.count() // ROUND_KEYS))
-    phrases = phrases.withColumns({"l": F.array_repeat(F.lit(0).cast("long"), F.col("k") - 1), "r": F.array_repeat(F.lit(0).cast("long"), F.col("k") - 1), "inner": F.array().cast("array<bigint>")})
+    phrases = phrases.withColumns({"_first": F.lit(0).cast("long"), "l": F.array_repeat(F.lit(0).cast("long"), F.col("k") - 1), "r": F.array_repeat(F.lit(0).cast("long"), F.col("k") - 1), "inner": F.array().cast("array<bigint>")})
     schema = phrases.schema
     for r in range(rounds):
         keys, checks, f = packed(frequent.filter(F.pmod("key", F.lit(rounds)) == r), ["key", "check", "f"])
@@ -390,7 +404,7 @@ def with_cuts(phrases: DataFrame, frequent: DataFrame, longest: int) -> DataFram
         def run(batches, count=count):
             with np.errstate(over="ignore"):
                 for pdf in batches:
-                    pdf = pdf.copy()
+                    pdf = pdf.assign(_first=np.frombuffer(b"".join(x[:8] for x in pdf["words"]), np.int64))
                     lefts, rights, inner = (pdf[c].tolist() for c in ("l", "r", "inner"))
                     for k in range(2, longest + 1):
                         rows = np.flatnonzero(pdf["k"].to_numpy() == k)
@@ -427,17 +441,17 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
     sizes = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     size = max(LEAST_PLACES, min(PLACES, total // LOAD // 8 * 8))
-    shorter, phrases, frequent, names = [], None, None, None
+    shorter, phrases, frequent, langs = [], None, None, None
     for k in range(1, longest + 1):
         known = send(list(shorter))
-        some = send(sketched(blocks, k, known, least, size) if k <= SIFTED else np.empty(0, np.uint8))
+        some = send(sketched(blocks, k, known, least, size))
         found = candidates(blocks, k, known, some)
         counts = counted(blocks, k, known, some, found, least)
+        these = found.join(counts, ["key", "check"])
         if k == 1:
-            with arrow_rows(spark, TEXT_ROWS):
-                names = spellings(texts, some)
+            langs = these.select(F.col("key").alias("_first"), "lang")
         else:
-            these = found.join(counts, ["key", "check"]).select("lang", F.lit(k).alias("k"), "words", "key", F.col("f").alias("a"))
+            these = these.select(F.lit(k).alias("k"), "words", "key", F.col("f").alias("a"))
             phrases = these if phrases is None else phrases.union(these)
         if k < longest:
             shorter.append(bits_of(counts, size))
@@ -447,13 +461,17 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
     exact = lambda c: F.col(c).cast("decimal(20,0)")
     phrases = phrases.join(longer, "key", "left").filter(F.col("f").isNull() | (exact("f") * 100 < exact("a") * percent)).drop("f", "inner")
     cut = "array_min(transform(sequence(1, k - 1), c -> struct(cast(cast(a as decimal(20,0)) * 2000000 div (cast(l[c - 1] as decimal(20,0)) + r[c - 1]) as bigint) as score, c as c)))"
-    phrases = phrases.withColumn("cut", F.expr(cut)).select("lang", "key", "words", "a", F.expr("l[cut.c - 1]").alias("l"), F.expr("r[cut.c - 1]").alias("r"), "cut.score")
+    phrases = phrases.withColumn("cut", F.expr(cut)).select("_first", "key", "words", "a", F.expr("l[cut.c - 1]").alias("l"), F.expr("r[cut.c - 1]").alias("r"), "cut.score")
+    phrases = phrases.join(langs, "_first")
     # By score and count alone, ties kept: first in parts of a language, then in all of it.
     order = [F.desc("score"), F.desc("a")]
     for part in ([F.pmod("key", F.lit(64))], []):
         phrases = phrases.withColumn("place", F.rank().over(Window.partitionBy("lang", *part).orderBy(*order))).filter(F.col("place") <= top).drop("place")
     phrases = materialize(phrases)
-    each = phrases.mapInPandas(word_keys, "key long, i int, word_key long").join(names.select(F.col("key").alias("word_key"), "word"), "word_key")
+    each = materialize(phrases.mapInPandas(word_keys, "key long, i int, word_key long"))
+    with arrow_rows(spark, TEXT_ROWS):
+        names = spellings(texts, send(bits_of(each.select(F.col("word_key").alias("key")).distinct(), size)))
+    each = each.join(names.select(F.col("key").alias("word_key"), "word"), "word_key")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ")
     named = phrases.join(each.groupBy("key").agg(text.alias("phrase")), "key").join(F.broadcast(sizes), "lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long")
