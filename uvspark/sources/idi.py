@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.calibrate import _count_until
-from ..operators.ranks import shared_folder
+from ..operators.ranks import pinned, shared_folder
 from ..operators.reduce import scan_numbers
 from ..plans.model import table
 from .correlator import Setup, decode_cells
@@ -288,6 +288,59 @@ def write_files(rows: DataFrame, key: str, folder: str, build) -> list[str]:
     return sorted(r.path for r in rows.groupBy(key).applyInPandas(write, "path string").collect())
 
 
+def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: int = 200_000) -> list[str]:
+    """Write a fact table (as import_files gives it) as raw files again, each with the dimension tables; the files' paths.
+
+    The subbands of a time and baseline become one raw row. A file holds rows of one field, some rows_per_file of them, and is built by one task;
+    its rows are in order of time. Subbands must be those of the setup, all of one width. Flagged cells get a negative weight.
+    """
+    a = setup.axes
+    windows = setup.windows.orderBy("spw").collect()
+    antennas, fields = setup.antennas.orderBy("antenna").collect(), setup.fields.orderBy("field").collect()
+    widths = {w.width for w in windows}
+    if len(widths) > 1:
+        raise ValueError("subbands of several widths")
+    width = widths.pop()
+    to = sorted(a["stokes"], key=ORDER.index)
+    back = [to.index(x) for x in a["stokes"]]
+    nchan, nst, nband = a["nchan"], len(to), len(windows)
+    band = F.struct("spw", "re", "im", "flag", "weight_spectrum")
+    key = ["file", "row", "time", "interval", "antenna1", "antenna2", "field", "uvw"]
+    whole = fact.groupBy(*key).agg(F.collect_list(band).alias("bands"))
+    per = whole.groupBy("field").agg(F.greatest(F.lit(1), F.round(F.count("*") / rows_per_file)).cast("int").alias("_files"))
+    dealt = whole.join(F.broadcast(per), "field").withColumn("_key", F.concat_ws("-", F.col("field"), F.pmod(F.xxhash64("file", "row"), F.col("_files")))).drop("_files", "file", "row")
+    base, listed = windows[0].freqs[0], [w.freqs[0] for w in windows]
+    pixel = a["ref_pixl"]
+
+    def build(_, pdf: pd.DataFrame) -> bytes:
+        pdf = pdf.sort_values(["time", "antenna1", "antenna2"], ignore_index=True)
+        n, flux = len(pdf), np.zeros((len(pdf), nband, nchan, nst, 3))
+        cross = 1 + (pdf["antenna1"].to_numpy() != pdf["antenna2"].to_numpy())
+        scale = a["scale"] * abs(width) * cross * pdf["interval"].to_numpy()
+        for i, bands in enumerate(pdf["bands"]):
+            for b in bands:
+                cell = lambda name, b=b: np.asarray(b[name], float).reshape(nchan, nst)[:, back]
+                w = cell("weight_spectrum") / scale[i]
+                flux[i, b["spw"]] = np.stack([cell("re"), -cell("im"), np.where(cell("flag") > 0, -w, w)], axis=-1)
+        day = np.floor(pdf["time"].to_numpy() / 86400)
+        uvw = np.stack(pdf["uvw"].to_numpy()) / LIGHT
+        many = lambda form: f"{nband}{form}"
+        shared = {"NO_STKD": nst, "STK_1": next(k for k, v in STOKES.items() if v == a["stokes"][0]), "NO_BAND": nband, "NO_CHAN": nchan, "REF_FREQ": base, "REF_PIXL": pixel, "CHAN_BW": width, "VIS_SCAL": a["scale"]}
+        return b"".join([
+            primary_bytes(),
+            table_bytes("ARRAY_GEOMETRY", {"ANNAME": ("8A", [x.name for x in antennas]), "STABXYZ": ("3D", [x.position for x in antennas]), "NOSTA": ("1J", [x.antenna + 1 for x in antennas])}),
+            table_bytes("ANTENNA", {"ANTENNA_NO": ("1J", [x.antenna + 1 for x in antennas]), "NO_LEVELS": (many("J"), [[x.levels or 0] * nband for x in antennas])}),
+            table_bytes("SOURCE", {"SOURCE_ID": ("1J", [x.field + 1 for x in fields]), "SOURCE": ("16A", [x.name for x in fields]), "RAEPO": ("1D", [x.raepo for x in fields]), "DECEPO": ("1D", [x.decepo for x in fields])}),
+            table_bytes("FREQUENCY", {"FREQID": ("1J", [1]), "BANDFREQ": (many("D"), [[f - base - (1 - pixel) * width for f in listed]]), "CH_WIDTH": (many("E"), [[width] * nband])}, shared),
+            table_bytes("UV_DATA", {
+                "UU": ("1D", uvw[:, 0]), "VV": ("1D", uvw[:, 1]), "WW": ("1D", uvw[:, 2]), "DATE": ("1D", day + MJD0), "TIME": ("1D", pdf["time"].to_numpy() / 86400 - day), "BASELINE": ("1J", 256 * (pdf["antenna1"].to_numpy() + 1) + pdf["antenna2"].to_numpy() + 1),
+                "SOURCE": ("1J", pdf["field"].to_numpy() + 1), "FREQID": ("1J", np.ones(n, int)), "INTTIM": ("1E", pdf["interval"].to_numpy()), "FLUX": (f"{nband * nchan * nst * 3}E", flux.reshape(n, -1)),
+            }, shared),
+        ])
+
+    return write_files(dealt, "_key", folder, build)
+
+
 NCHAN, NBAND, NAMES, FIELDS = 4, 2, [f"ST{k}" for k in range(8)], ["ALPHA", "BETA", "GAMMA"]
 
 
@@ -326,7 +379,18 @@ def _made(s, d) -> list[str]:
 
 
 def _imported(s, d):
+    return _per_scan(*import_files(s, _made(s, d), 86400.0 * 3))
+
+
+def _exported(s, d):
+    """Imported, written as other files, and imported from those."""
     fact, setup = import_files(s, _made(s, d), 86400.0 * 3)
+    paths = export_files(pinned(fact), setup, f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", 5000)
+    return _per_scan(*import_files(s, paths, 86400.0 * 3))
+
+
+def _per_scan(fact: DataFrame, setup: RawSetup) -> DataFrame:
+    """Sums of cells per baseline, source, subband and scan, with the names of the dimensions."""
     names = setup.antennas.select("antenna", "name")
     cells = F.arrays_zip("re", "im", "flag", "weight_spectrum")
     total = lambda f: F.aggregate(F.transform(cells, f), F.lit(0.0), lambda a, x: a + x)
@@ -338,9 +402,8 @@ def _imported(s, d):
     return g.select("name1", "name2", "source", "first_freq", "scan_number", "n_rows", "re", "im", "bad", "w", "u")
 
 
-QUERIES = {"import_raw_files": _imported}
-SQL = {
-    "import_raw_files": """WITH l AS (SELECT CAST(l_suppkey % 8 AS INT) AS a, CAST(l_partkey % 8 AS INT) AS b, CAST(l_partkey % 3 AS INT) AS f, l_quantity::DOUBLE AS q, round(l_discount * 100)::DOUBLE AS x, round(l_tax * 100)::DOUBLE AS w,
+QUERIES = {"import_raw_files": _imported, "export_raw_files": _exported}
+_TRUTH = """WITH l AS (SELECT CAST(l_suppkey % 8 AS INT) AS a, CAST(l_partkey % 8 AS INT) AS b, CAST(l_partkey % 3 AS INT) AS f, l_quantity::DOUBLE AS q, round(l_discount * 100)::DOUBLE AS x, round(l_tax * 100)::DOUBLE AS w,
         date_diff('day', DATE '1858-11-17', CAST(l_shipdate AS DATE)) * 86400000000 + l_orderkey % 64 * 84375000 AS t FROM lineitem),
       st AS (SELECT DISTINCT f, t FROM l), ga AS (SELECT f, t, (t - lag(t) OVER (PARTITION BY f ORDER BY t) <= 259200000000) IS NOT TRUE AS new FROM st),
       nth AS (SELECT f, t, new, sum(new::INT) OVER (PARTITION BY f ORDER BY t) AS k FROM ga), sc AS (SELECT f, k, row_number() OVER (ORDER BY t, f) AS scan_number FROM nth WHERE new),
@@ -348,5 +411,5 @@ SQL = {
       e AS (SELECT least(a, b) AS n1, greatest(a, b) AS n2, f, scan_number, band, h, a > b AS swapped, q, x, w - h AS w, a <> b AS crossed FROM r, range(2) y(band), range(2) z(h)),
       s AS (SELECT n1, n2, f, band, scan_number, count(*) / 2 AS n_rows, sum(CASE WHEN w > 0 THEN 4 * (q + 100 * band) + 6 ELSE 0 END) AS re, sum(CASE WHEN w > 0 THEN 4 * (CASE WHEN swapped THEN 1 ELSE -1 END) * (x + 10 * h) ELSE 0 END) AS im,
         sum(CASE WHEN w > 0 THEN 0 ELSE 4 END)::DOUBLE AS bad, sum(4 * abs(w) * 1e6 * 2 * CASE WHEN crossed THEN 2 ELSE 1 END) AS w, sum(CASE WHEN h = 0 THEN CASE WHEN swapped THEN -q ELSE q END ELSE 0 END) AS u FROM e GROUP BY ALL)
-      SELECT 'ST' || n1 AS name1, 'ST' || n2 AS name2, ['ALPHA', 'BETA', 'GAMMA'][f + 1] AS source, 5e9 + 4e6 * band AS first_freq, scan_number, CAST(n_rows AS BIGINT) AS n_rows, round(re, 3) AS re, round(im, 3) AS im, round(bad, 3) AS bad, round(w, 3) AS w, round(u, 4) AS u FROM s""",
-}
+      SELECT 'ST' || n1 AS name1, 'ST' || n2 AS name2, ['ALPHA', 'BETA', 'GAMMA'][f + 1] AS source, 5e9 + 4e6 * band AS first_freq, scan_number, CAST(n_rows AS BIGINT) AS n_rows, round(re, 3) AS re, round(im, 3) AS im, round(bad, 3) AS bad, round(w, 3) AS w, round(u, 4) AS u FROM s"""
+SQL = {"import_raw_files": _TRUTH, "export_raw_files": _TRUTH}
