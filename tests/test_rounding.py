@@ -32,7 +32,7 @@ def both(spark, tmp_path, name, rows=None, users=None):
     return rows_of(df.columns, df.collect()), rows_of(want.columns, want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["tsys_assess"])
+@pytest.mark.parametrize("name", ["tsys_assess", "rule_labels"])
 def test_halves_of_levels(spark, tmp_path, name):
     got, want = both(spark, tmp_path, name, LISTED)
     assert got == want
