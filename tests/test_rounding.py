@@ -32,7 +32,12 @@ def both(spark, tmp_path, name, rows=None, users=None):
     return rows_of(df.columns, df.collect()), rows_of(want.columns, want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["tsys_assess", "rule_labels"])
+@pytest.mark.parametrize("name", ["tsys_assess", "rule_labels", "feature_rows"])
 def test_halves_of_levels(spark, tmp_path, name):
     got, want = both(spark, tmp_path, name, LISTED)
     assert got == want
+
+
+def test_rounded_totals(spark, tmp_path):
+    got, want = both(spark, tmp_path, "feature_rows", users="user_id IN (893, 454, 870, 315)")
+    assert got == want

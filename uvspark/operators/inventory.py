@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.model import SERIES, VIS, series, table, visibilities
 from .decide import _ASSESS, assess_series
 from .ranks import pinned
+from .robust import rounded
 
 
 def calibrators_for(targets: DataFrame, sources: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -190,7 +191,7 @@ def _features(s, d):
     a = assess_series(series(s, d), ["user_id", "event_type"], ["us", "event_id"], "value", ["user_id"])
     out = feature_rows(a, F.concat(F.col("user_id").cast("string"), F.lit("@"), F.col("event_type")), ["n", "median", "scatter", "trend", "level"], "tsys", "sf")
     total = F.aggregate(F.filter("x", lambda v: v.isNotNull()), F.lit(0.0), lambda acc, v: acc + v)
-    return out.select("experiment", "stage", "unit", F.size(F.filter("x", lambda v: v.isNull())).alias("missing"), F.round(total, 3).alias("total"), F.array_join("rule_labels", ",").alias("rule_labels"))
+    return out.select("experiment", "stage", "unit", F.size(F.filter("x", lambda v: v.isNull())).alias("missing"), rounded(total, 3).alias("total"), F.array_join("rule_labels", ",").alias("rule_labels"))
 
 
 def _remarks(s, d):
