@@ -41,3 +41,8 @@ def test_halves_of_levels(spark, tmp_path, name):
 def test_rounded_totals(spark, tmp_path):
     got, want = both(spark, tmp_path, "feature_rows", users="user_id IN (893, 454, 870, 315)")
     assert got == want
+
+
+def test_ratio_at_the_limit(spark, tmp_path):
+    got, want = both(spark, tmp_path, "level_gains", users="user_id % 10 = 8")
+    assert got == want

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,9 +104,21 @@ def blend(first: DataFrame, second: DataFrame, keys: list[str], value: str, x: C
     return j.select(*keys, F.coalesce((1 - F.lit(x)) * F.col("_a") + F.lit(x) * F.col("_b"), "_a", "_b").alias(value))
 
 
+def nearest(f):
+    """A function of the C library on a column; null stays null. Its last digit is nearly always right; that of Spark's log and exp isn't, and a ratio at the limit shows it. For small tables."""
+
+    @F.pandas_udf("double")
+    def of(x: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(v) else f(v) for v in x], dtype="Float64").astype(float)
+
+    return of
+
+
 def level_gains(rows: DataFrame, factor: float = 2.0) -> DataFrame:
     """Per antenna and subband: gains over the level of (antenna, field), exp of the mean over hands of log medians; ratios within the factor, merged over fields as snr-weighted geometric mean."""
-    med = rows.groupBy("antenna", "field", "hand").agg(F.median("gain").alias("_m")).groupBy("antenna", "field").agg(F.exp(F.avg(F.log("_m"))).alias("_level"))
+    log, exp = nearest(math.log), nearest(math.exp)
+    logs = rows.groupBy("antenna", "field", "hand").agg(F.median("gain").alias("_m")).withColumn("_log", log(F.when(F.col("_m") > 0, F.col("_m"))))
+    med = logs.groupBy("antenna", "field").agg(F.avg("_log").alias("_log")).withColumn("_level", exp("_log")).drop("_log")
     r = rows.join(med, ["antenna", "field"]).withColumn("ratio", F.col("gain") / F.col("_level"))
     ok = r.filter(F.col("ratio").between(1 / factor, factor))
     return ok.groupBy("antenna", "ddid").agg(F.round(F.exp(F.sum(F.col("snr") * F.log("ratio")) / F.sum("snr")), 6).alias("gain"), F.count("*").alias("n"))
