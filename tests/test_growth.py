@@ -1,6 +1,11 @@
 """Work that has to grow no faster than its input: what a task holds, and what each row or group costs."""
 
+import glob
+
+from pyspark.sql import functions as F
+
 from uvspark.operators import decide
+from uvspark.sources import store
 
 
 def test_roles_of_many_groups_share_a_batch(spark):
@@ -16,3 +21,14 @@ def test_roles_of_many_groups_share_a_batch(spark):
     seen = {s: x for s, x in snr.items() if x is not None}
     want = {(g, s): (sum(x == s for x, _ in scans), *r) for g in range(40) for s, r in decide.roles_of(scans, seen, place, said if g % 2 else {}).items()}
     assert got == want
+
+
+def test_store_files_are_bounded(spark, tmp_path):
+    rows = spark.range(2000).select("id", F.when(F.col("id") < 1800, 1).when(F.col("id") < 1900, 2).alias("part"))
+    store.write_store(rows, str(tmp_path / "s"), ["part"], rows_per_file=100)
+    read = spark.read.parquet(str(tmp_path / "s"))
+    sizes = {tuple(r)[:2]: r[2] for r in read.groupBy("part", F.input_file_name()).count().collect()}
+    assert read.count() == 2000 and {r.id for r in read.filter("part IS NULL").collect()} == set(range(1900, 2000))
+    # One value in many files of about equal size, a small one in one file.
+    assert len(glob.glob(str(tmp_path / "s/part=1/*.parquet"))) > 6 and len(glob.glob(str(tmp_path / "s/part=2/*.parquet"))) == 1
+    assert max(sizes.values()) < 700

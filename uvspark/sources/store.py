@@ -36,9 +36,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def write_store(vis: DataFrame, path: str, by: list[str], mode: str = "errorifexists") -> None:
-    """One directory per partition value; rows of a partition are gathered before writing."""
-    vis.repartition(*by).write.mode(mode).partitionBy(*by).parquet(path)
+def write_store(vis: DataFrame, path: str, by: list[str], mode: str = "errorifexists", rows_per_file: int = 1_000_000) -> None:
+    """One directory per partition value; its rows are gathered in files of some rows_per_file before writing, so that no task holds a whole value."""
+    counts = vis.groupBy(*by).agg(F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files"))
+    files = counts.agg(F.coalesce(F.sum("_files"), F.lit(1))).first()[0]
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
+    placed = vis.withColumn("_at", F.xxhash64(*vis.columns)).alias("r").join(F.broadcast(counts).alias("c"), same)  # as many counts as directories
+    dealt = placed.select("r.*", F.pmod("_at", F.col("_files")).alias("_file")).drop("_at")
+    dealt.repartition(4 * files, *by, "_file").drop("_file").write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def overwrite_partitions(vis: DataFrame, path: str, by: list[str]) -> None:
