@@ -1,11 +1,15 @@
 """Work that has to grow no faster than its input: what a task holds, and what each row or group costs."""
 
 import glob
+import time
+import types
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from uvspark.operators import decide
 from uvspark.sources import store
+from uvspark.streaming import last_n
 
 
 def test_roles_of_many_groups_share_a_batch(spark):
@@ -32,3 +36,16 @@ def test_store_files_are_bounded(spark, tmp_path):
     # One value in many files of about equal size, a small one in one file.
     assert len(glob.glob(str(tmp_path / "s/part=1/*.parquet"))) > 6 and len(glob.glob(str(tmp_path / "s/part=2/*.parquet"))) == 1
     assert max(sizes.values()) < 700
+
+
+def test_last_solutions_cost_little_a_row():
+    kept = types.SimpleNamespace(get=lambda: iter([]), exists=lambda: False, put=lambda x: None)
+    expiry = types.SimpleNamespace(exists=lambda: False, update=lambda x: None)
+    p = last_n.LastSolutions(3, 1000)
+    p.init(types.SimpleNamespace(getListState=lambda *a: kept, getValueState=lambda *a: expiry, registerTimer=lambda t: None))
+    n = 60_000
+    rows = pd.DataFrame({"event_id": range(n), "ts": pd.date_range("2024-01-01", periods=n, freq="s"), "value": [None if i % 5 == 0 else float(i) for i in range(n)], "good": [i % 4 != 0 for i in range(n)]})
+    start = time.process_time()
+    out = next(iter(p.handleInputRows((1,), iter([rows]), None)))
+    assert time.process_time() - start < 2  # a pandas series a row takes some 5 s
+    assert out["predicted"].tolist()[8:10] == [6.5, 6.5] and pd.isna(out["predicted"][0])

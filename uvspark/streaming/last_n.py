@@ -7,6 +7,7 @@ window does. A series without rows for `idle` of event time is forgotten by a ti
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import median
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,12 +33,15 @@ class LastSolutions(StatefulProcessor):
         self.expiry = handle.getValueState("expiry", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], ignore_index=True)
-        kept = [(x[0], x[1]) for x in self.kept.get()] if self.kept.exists() else []
+        parts = list(rows)
+        new = (parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)).sort_values(["ts", "event_id"], ignore_index=True)
+        kept = [(x[0], x[1]) for x in self.kept.get()]
         out = []
         for value, good in zip(new["value"].tolist(), new["good"].tolist()):
-            last = pd.Series([v for v, ok in kept[-2 * self.n :] if ok][-self.n :], dtype=float)
-            out.append(last.median() if len(last) else None)
+            # Plain numbers: a pandas series for each row would take most of the time.
+            last = [v for v, ok in kept[-2 * self.n :] if ok][-self.n :]
+            last = [v for v in last if v is not None and v == v]
+            out.append(float(median(last)) if last else None)
             kept.append((value, bool(good)))
         self.kept.put(kept[-2 * self.n :])
         at = int(new["ts"].max().timestamp() * 1000) + self.idle_ms
