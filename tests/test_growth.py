@@ -7,7 +7,7 @@ import types
 import pandas as pd
 from pyspark.sql import functions as F
 
-from uvspark.operators import decide
+from uvspark.operators import decide, fringefit
 from uvspark.sources import store
 from uvspark.streaming import last_n
 
@@ -27,6 +27,17 @@ def test_roles_of_many_groups_share_a_batch(spark):
     assert got == want
 
 
+def test_rows_stay_where_they_are_for_intervals(spark, sf_dir):
+    """First times of keys are sent to the rows: no join brings all rows of a key to one task, whatever the session's limit for broadcasts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fringefit.interval_sums(fringefit.planted(spark, sf_dir), ["hand"], 500.0, 8)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_store_files_are_bounded(spark, tmp_path):
     rows = spark.range(2000).select("id", F.when(F.col("id") < 1800, 1).when(F.col("id") < 1900, 2).alias("part"))
     store.write_store(rows, str(tmp_path / "s"), ["part"], rows_per_file=100)

@@ -32,7 +32,8 @@ def interval_sums(rows: DataFrame, keys: list[str], solint: float, nchan: int) -
     else:
         at = F.floor((F.col("time") - F.col("_first")) / solint).cast("long")
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
-    placed = rows.alias("r").join(first.alias("f"), on).select("r.*", at.alias("interval"))
+    # One row per key is sent to the rows: a join dealt by keys would bring all rows of a key to one task.
+    placed = rows.alias("r").join(F.broadcast(first).alias("f"), on).select("r.*", at.alias("interval"))
 
     # One row per cell: any number of channels is a number of rows, not of expressions.
     cells = placed.filter("antenna1 <> antenna2 AND weight > 0").select(*keys, "interval", "time", "antenna1", "antenna2", "weight", F.posexplode(F.arrays_zip("re", "im", "flag")).alias("_c", "_v"))
