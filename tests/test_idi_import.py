@@ -101,3 +101,21 @@ def test_export_and_back(spark, tmp_path):
     for k, r in got.items():
         w = want[k]
         assert np.allclose(r.re, w.re) and np.allclose(r.im, w.im) and r.flag == w.flag and np.allclose(r.weight_spectrum, w.weight_spectrum) and np.allclose(r.uvw, w.uvw) and abs(r.time - w.time) < 1e-4
+
+
+def test_small_tables_share_a_task(spark, tmp_path):
+    """Tables of a few rows in many files are read by few tasks, and only the columns asked for."""
+    paths = [raw_file(tmp_path / f"{i}.idi", ["EF", "JB"], ["A"], [("EF", "JB", "A")] * 2) for i in range(12)]
+    scanned = idi.scan_files(spark, paths).collect()
+    found = idi.read_table(spark, scanned, "ARRAY_GEOMETRY", rows=10)
+    assert found.rdd.getNumPartitions() == 3 and {(r.file, r.row) for r in found.collect()} == {(i, k) for i in range(12) for k in range(2)}
+    times = idi.read_table(spark, scanned, "UV_DATA", only=["time", "file"])
+    assert times.columns == ["time", "file"] and times.count() == 24
+
+
+def test_stand_in_files_are_bounded(spark, sf_dir, monkeypatch):
+    """No task holds all rows of a line number: files grow in number, not in size."""
+    monkeypatch.setattr(idi, "ROWS_PER_FILE", 500)
+    paths = idi._made(spark, sf_dir)
+    rows = [r.rows for r in idi.scan_files(spark, paths).collect() if r.name == "UV_DATA"]
+    assert sum(rows) == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() and len(rows) >= sum(rows) / 500 and max(rows) < 1000

@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.calibrate import _count_until
@@ -32,6 +33,8 @@ LIGHT, MJD0 = 299792458.0, 2400000.5
 # Codes of correlations in raw files, their order in the fact table, and cross hands exchanged with the antennas.
 STOKES = {-1: "RR", -2: "LL", -3: "RL", -4: "LR", -5: "XX", -6: "YY", -7: "XY", -8: "YX"}
 ORDER = ("RR", "RL", "LR", "LL", "XX", "XY", "YX", "YY")
+#: Files that a task opens at most.
+FILES = 500
 EXCHANGED = {"RL": "LR", "LR": "RL", "XY": "YX", "YX": "XY"}
 
 
@@ -45,11 +48,11 @@ def tables_in(path: str) -> Iterator[dict]:
 
 
 def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, path, hdu, name, rows, offset, header as JSON) of every table; one task opens few files."""
+    """(file, path, hdu, name, rows, offset, header as JSON, without its rows) of every table; one task opens few files."""
 
     def scan(batches):
         for pdf in batches:
-            out = [(file, path, i, t["name"], t["header"]["NAXIS2"], t["offset"], json.dumps(t["header"])) for file, path in zip(pdf["file"], pdf["path"]) for i, t in enumerate(tables_in(path))]
+            out = [(file, path, i, t["name"], t["header"]["NAXIS2"], t["offset"], json.dumps({k: v for k, v in t["header"].items() if k != "NAXIS2"})) for file, path in zip(pdf["file"], pdf["path"]) for i, t in enumerate(tables_in(path))]
             yield pd.DataFrame(out, columns=["file", "path", "hdu", "name", "rows", "offset", "header"])
 
     listed = spark.createDataFrame(list(enumerate(paths)), "file int, path string").repartition(min(len(paths), 200))
@@ -57,7 +60,7 @@ def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 class IdiSource(DataSource):
-    """Format "idi": rows of one kind of table in many files. Options: files (JSON of scan_files rows of that kind), rows (of a partition)."""
+    """Format "idi": rows of one kind of table in many files. Options: files (JSON: file, path, rows, offset, and the place of its header), headers (JSON), rows (of a partition)."""
 
     @classmethod
     def name(cls) -> str:
@@ -65,8 +68,8 @@ class IdiSource(DataSource):
 
     def schema(self) -> str:
         kind = lambda code, n: CODES[code][2] if code == "A" or n * CODES[code][1] == 1 else f"array<{CODES[code][2]}>"
-        first = json.loads(self.options["files"])[0]
-        return "file int, row long, " + ", ".join(f"`{name}` {kind(code, n)}" for name, code, n in columns(json.loads(first["header"])) if n)
+        first = json.loads(self.options["headers"])[json.loads(self.options["files"])[0][4]]
+        return "file int, row long, " + ", ".join(f"`{name}` {kind(code, n)}" for name, code, n in columns(json.loads(first)) if n)
 
     def reader(self, schema) -> DataSourceReader:
         return IdiReader(self.options, [f.name for f in schema])
@@ -74,28 +77,43 @@ class IdiSource(DataSource):
 
 class IdiReader(DataSourceReader):
     def __init__(self, options: dict, names: list[str]):
-        self.files, self.step, self.names = json.loads(options["files"]), int(options.get("rows", 50_000)), names
+        self.files, self.headers, self.step, self.names = json.loads(options["files"]), json.loads(options["headers"]), int(options.get("rows", 50_000)), names
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"files": None}  # a task gets the ranges of its partition, not all files
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition((i, a, min(t["rows"], a + self.step))) for i, t in enumerate(self.files) for a in range(0, t["rows"], self.step)]
+        """Ranges of rows; small tables of many files share a partition."""
+        out, rows = [], self.step
+        for file, path, n, offset, header in self.files:
+            for a in range(0, n, self.step):
+                b = min(n, a + self.step)
+                if rows + b - a > self.step or len(out[-1]) >= FILES:
+                    out.append([])
+                    rows = 0
+                out[-1].append((file, path, offset, header, a, b))
+                rows += b - a
+        return [InputPartition(x) for x in out]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        i, first, last = partition.value
-        t = self.files[i]
-        h = json.loads(t["header"])
-        cols = [c for c in columns(h) if c[2]]
-        dtype = np.dtype([(name, f"S{n}" if code == "A" else (CODES[code][0], (n * CODES[code][1],))) for name, code, n in cols])
-        with open(t["path"], "rb") as f:
-            f.seek(t["offset"] + first * h["NAXIS1"])
-            for a in range(first, last, 5000):
-                n = min(5000, last - a)
-                rows = np.frombuffer(f.read(n * h["NAXIS1"]), dtype)
-                found = {name: _arrow(rows[name], code) for name, code, _ in cols}
-                found |= {"file": pa.array(np.full(n, t["file"], np.int32)), "row": pa.array(np.arange(a, a + n))}
-                missing = [c for c in self.names if c not in found]
-                if missing:
-                    raise ValueError(f"{t['path']}: no column {', '.join(missing)} in {t['name']}")
-                yield pa.RecordBatch.from_arrays([found[c] for c in self.names], self.names)
+        kept = {}
+        for file, path, offset, header, first, last in partition.value:
+            if header not in kept:
+                h = json.loads(self.headers[header])
+                cols = [c for c in columns(h) if c[2]]
+                kept[header] = h, cols, np.dtype([(name, f"S{n}" if code == "A" else (CODES[code][0], (n * CODES[code][1],))) for name, code, n in cols])
+            h, cols, dtype = kept[header]
+            missing = [c for c in self.names if c not in {"file", "row", *dtype.names}]
+            if missing:
+                raise ValueError(f"{path}: no column {', '.join(missing)} in {str(h.get('EXTNAME', '')).upper()}")
+            with open(path, "rb") as f:
+                f.seek(offset + first * h["NAXIS1"])
+                for a in range(first, last, 5000):
+                    n = min(5000, last - a)
+                    rows = np.frombuffer(f.read(n * h["NAXIS1"]), dtype)
+                    found = {name: _arrow(rows[name], code) for name, code, _ in cols if name in self.names}
+                    found |= {"file": pa.array(np.full(n, file, np.int32)), "row": pa.array(np.arange(a, a + n))}
+                    yield pa.RecordBatch.from_arrays([found[c] for c in self.names], self.names)
 
 
 def _arrow(values: np.ndarray, code: str) -> pa.Array:
@@ -110,13 +128,29 @@ def _arrow(values: np.ndarray, code: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32)), pa.array(flat))
 
 
-def read_table(spark: SparkSession, scanned: list, name: str, rows: int = 50_000) -> DataFrame:
-    """All tables of a name, in all files. scanned: rows of scan_files."""
-    files = [{"file": r.file, "path": r.path, "name": r.name, "rows": r.rows, "offset": r.offset, "header": r.header} for r in scanned if r.name == name]
-    if not files:
+def read_table(spark: SparkSession, scanned: list, name: str, rows: int = 50_000, only: list[str] | None = None) -> DataFrame:
+    """All tables of a name, in all files; only: columns to read. scanned: rows of scan_files."""
+    found = [r for r in scanned if r.name == name]
+    if not found:
         raise ValueError(f"no table {name} in the files")
+    places: dict[str, int] = {}
+    files = [(r.file, r.path, r.rows, r.offset, places.setdefault(r.header, len(places))) for r in found]
     spark.dataSource.register(IdiSource)
-    return spark.read.format("idi").option("files", json.dumps(files)).option("rows", rows).load()
+    reader = spark.read.format("idi").option("files", json.dumps(files)).option("headers", json.dumps(list(places))).option("rows", rows)
+    whole = reader.load()
+    return reader.schema(T.StructType([whole.schema[c] for c in only])).load() if only else whole
+
+
+@dataclass(frozen=True)
+class Scanned:
+    """A table of a file, as scan_files lists it."""
+
+    file: int
+    path: str
+    name: str
+    rows: int
+    offset: int
+    header: str
 
 
 @dataclass
@@ -151,14 +185,18 @@ def read_setup(spark: SparkSession, paths: list[str]) -> RawSetup:
     All files must agree on axes, correlations, scale and kind of weights; a source of one name must have one position, an antenna
     one number of levels. Antennas and sources are told apart by name, subbands by their frequencies.
     """
-    scanned = sorted(scan_files(spark, paths).collect(), key=lambda r: (r.file, r.hdu))
-    axes = [(r, _axes(json.loads(r.header))) for r in scanned if r.name == "UV_DATA"]
-    if not axes:
+    listed = pinned(scan_files(spark, paths).withColumn("_h", F.xxhash64("header")))
+    # Each header comes to the driver once: those of files made alike are equal.
+    headers = {r["_h"]: r.header for r in listed.groupBy("_h").agg(F.first("header").alias("header")).collect()}
+    scanned = [Scanned(r.file, r.path, r.name, r.rows, r.offset, headers[r["_h"]]) for r in listed.select("file", "path", "name", "rows", "offset", "_h").orderBy("file", "hdu").collect()]
+    data = [r for r in scanned if r.name == "UV_DATA"]
+    if not data:
         raise ValueError("no UV_DATA table in the files")
-    for r, a in axes[1:]:
-        if a != axes[0][1]:
-            raise ValueError(f"{r.path}: {', '.join(k for k in a if a[k] != axes[0][1][k])} differ from the first file")
-    axes = axes[0][1]
+    known = {h: _axes(json.loads(h)) for h in {r.header for r in data}}
+    axes = known[data[0].header]
+    for r in data[1:]:
+        if (a := known[r.header]) != axes:
+            raise ValueError(f"{r.path}: {', '.join(k for k in a if a[k] != axes[k])} differ from the first file")
     stations = read_table(spark, scanned, "ARRAY_GEOMETRY").select("file", "row", F.trim("anname").alias("name"), F.col("nosta").alias("number"), F.col("stabxyz").alias("position"))
     own = read_table(spark, scanned, "ANTENNA").select("file", F.col("antenna_no").alias("number"), F.get("no_levels", 0).alias("levels") if axes["nband"] > 1 else F.col("no_levels").alias("levels"))
     stations = stations.join(own, ["file", "number"], "left")
@@ -213,9 +251,12 @@ def import_files(spark: SparkSession, paths: list[str], scan_gap: float = 15.0)
     named = {re.split(r"[^a-z0-9]", c)[0]: c for c in reversed(raw.columns)}
     number = lambda c: F.col(f"`{named[c]}`")
     seconds = (number("date") - MJD0 + number("time")) * 86400.0
-    rows = raw.select("file", "row", F.round(seconds * 1e6).cast("long").alias("time_us"), seconds.alias("time"), F.floor(number("baseline") / 256).cast("int").alias("_n1"), (number("baseline") % 256).cast("int").alias("_n2"), number("source").alias("_source") if "source" in named else number("source_id").alias("_source"), number("freqid").alias("freqid"), number("inttim").cast("double").alias("interval"), *[number(c).cast("double").alias(f"_{c}") for c in ("uu", "vv", "ww")], number("flux").alias("flux"))
+    source = number("source") if "source" in named else number("source_id")
+    time_us = F.round(seconds * 1e6).cast("long").alias("time_us")
+    rows = raw.select("file", "row", time_us, seconds.alias("time"), F.floor(number("baseline") / 256).cast("int").alias("_n1"), (number("baseline") % 256).cast("int").alias("_n2"), source.alias("_source"), number("freqid").alias("freqid"), number("inttim").cast("double").alias("interval"), *[number(c).cast("double").alias(f"_{c}") for c in ("uu", "vv", "ww")], number("flux").alias("flux"))
     field_of = s.field_of.select("file", F.col("number").alias("_source"), "field")
-    stamps = rows.select("file", "_source", "time_us").distinct().join(F.broadcast(field_of), ["file", "_source"]).select("field", "time_us", F.col("field").alias("field_order")).distinct()
+    times = read_table(spark, s.scanned, "UV_DATA", only=["file", *[named[c] for c in ("date", "time", "source" if "source" in named else "source_id")]])
+    stamps = times.select("file", source.alias("_source"), time_us).join(F.broadcast(field_of), ["file", "_source"]).select("field", "time_us", F.col("field").alias("field_order")).distinct()
     scans = scan_lists(stamps, scan_gap)
     end = lambda k: s.antenna_of.select("file", F.col("number").alias(f"_n{k}"), F.col("antenna").alias(f"_a{k}"))
     rows = rows.join(F.broadcast(field_of), ["file", "_source"]).join(F.broadcast(end(1)), ["file", "_n1"]).join(F.broadcast(end(2)), ["file", "_n2"]).join(F.broadcast(scans), "field")
@@ -341,19 +382,23 @@ def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: i
     return write_files(dealt, "_key", folder, build)
 
 
+#: Rows of a stand-in file, some of which make up each of three files' numbering.
+ROWS_PER_FILE = 100_000
 NCHAN, NBAND, NAMES, FIELDS = 4, 2, [f"ST{k}" for k in range(8)], ["ALPHA", "BETA", "GAMMA"]
 
 
 def _made(s, d) -> list[str]:
-    """Raw files from lineitem, by line number: antennas and sources numbered upwards in some, downwards in the others."""
+    """Raw files from lineitem, by line number, of some ROWS_PER_FILE rows: antennas and sources numbered upwards in some, downwards in the others."""
     day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1858-11-17").cast("date"))
     rows = table(s, d, "lineitem").select(
         (F.col("l_linenumber") % 3).cast("int").alias("file"), day.alias("day"), (F.col("l_orderkey") % 64).alias("part"), (F.col("l_suppkey") % 8).cast("int").alias("a"), (F.col("l_partkey") % 8).cast("int").alias("b"), (F.col("l_partkey") % 3).cast("int").alias("f"),
-        F.col("l_quantity").cast("double").alias("q"), F.round(F.col("l_discount") * 100).cast("double").alias("x"), F.round(F.col("l_tax") * 100).cast("double").alias("w"),
+        F.col("l_quantity").cast("double").alias("q"), F.round(F.col("l_discount") * 100).cast("double").alias("x"), F.round(F.col("l_tax") * 100).cast("double").alias("w"), F.xxhash64("l_orderkey", "l_partkey", "l_suppkey").alias("_at"),
     )
+    per = rows.groupBy("file").agg(F.ceil(F.count("*") / ROWS_PER_FILE).cast("int").alias("_files"))
+    rows = rows.join(F.broadcast(per), "file").withColumn("_key", F.concat_ws("-", "file", F.pmod("_at", F.col("_files")))).drop("_at", "_files")
 
-    def build(value, pdf):
-        up = value % 2 == 0
+    def build(_, pdf):
+        up = pdf["file"].iloc[0] % 2 == 0
         number = (lambda k: k + 1) if up else (lambda k: 8 - k)
         source = (lambda k: k + 1) if up else (lambda k: 3 - k)
         ids, files = sorted(range(8), key=number), sorted(range(3), key=source)
@@ -375,7 +420,7 @@ def _made(s, d) -> list[str]:
             }, shared),
         ])
 
-    return write_files(rows, "file", f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", build)
+    return write_files(rows, "_key", f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", build)
 
 
 def _imported(s, d):
