@@ -347,7 +347,8 @@ def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: i
     nchan, nst, nband = a["nchan"], len(to), len(windows)
     band = F.struct("spw", "re", "im", "flag", "weight_spectrum")
     key = ["file", "row", "time", "interval", "antenna1", "antenna2", "field", "uvw"]
-    whole = fact.groupBy(*key).agg(F.collect_list(band).alias("bands"))
+    cells = ["re", "im", "flag", "weight_spectrum"]
+    whole = fact.groupBy(*key).agg(F.collect_list(band).alias("_b")).select(*key, F.col("_b.spw").alias("spw"), *[F.flatten(F.col("_b").getField(c)).alias(c) for c in cells])
     per = whole.groupBy("field").agg(F.greatest(F.lit(1), F.round(F.count("*") / rows_per_file)).cast("int").alias("_files"))
     dealt = whole.join(F.broadcast(per), "field").withColumn("_key", F.concat_ws("-", F.col("field"), F.pmod(F.xxhash64("file", "row"), F.col("_files")))).drop("_files", "file", "row")
     base, listed = windows[0].freqs[0], [w.freqs[0] for w in windows]
@@ -358,11 +359,11 @@ def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: i
         n, flux = len(pdf), np.zeros((len(pdf), nband, nchan, nst, 3))
         cross = 1 + (pdf["antenna1"].to_numpy() != pdf["antenna2"].to_numpy())
         scale = a["scale"] * abs(width) * cross * pdf["interval"].to_numpy()
-        for i, bands in enumerate(pdf["bands"]):
-            for b in bands:
-                cell = lambda name, b=b: np.asarray(b[name], float).reshape(nchan, nst)[:, back]
-                w = cell("weight_spectrum") / scale[i]
-                flux[i, b["spw"]] = np.stack([cell("re"), -cell("im"), np.where(cell("flag") > 0, -w, w)], axis=-1)
+        spw = pdf["spw"].to_numpy()
+        at, spw = np.repeat(np.arange(n), [len(x) for x in spw]), np.concatenate(spw)
+        cell = lambda name: np.concatenate(pdf[name].to_numpy()).astype(float).reshape(-1, nchan, nst)[..., back]
+        w = cell("weight_spectrum") / scale[at, None, None]
+        flux[at, spw] = np.stack([cell("re"), -cell("im"), np.where(cell("flag") > 0, -w, w)], axis=-1)
         day = np.floor(pdf["time"].to_numpy() / 86400)
         uvw = np.stack(pdf["uvw"].to_numpy()) / LIGHT
         many = lambda form: f"{nband}{form}"
