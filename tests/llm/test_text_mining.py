@@ -73,6 +73,33 @@ def test_phrases_of_nothing(spark):
         assert phrases.collocations(spark.createDataFrame(rows, schema)).count() == 0
 
 
+def test_phrases_told_are_not_sent_again():
+    """A task sends what it wasn't told of, and nothing else."""
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 60, 3000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    words[::7] = 0
+    some = np.full(8, 255, np.uint8)
+    with np.errstate(over="ignore"):
+        rows = phrases.untold(words, 2, [some], some, None)
+        assert {tuple(r) for r in rows.tolist()} == {(a, b) for a, b in zip(words.tolist(), words.tolist()[1:]) if a and b}
+        for part in (rows, rows[::3], rows[:0]):
+            told = phrases.PerfectHash(phrases.fold(part), phrases.check(part))
+            left = phrases.untold(words, 2, [some], some, told)
+            assert len(left) == len(rows) - len(part)
+            assert {tuple(r) for r in left.tolist()} == {tuple(r) for r in rows.tolist()} - {tuple(r) for r in part.tolist()}
+
+
+def test_counts_are_sent_small():
+    """Sparse counts take less than half of what plain compression takes; none changes."""
+    rng = np.random.default_rng(5)
+    for kind in ("u1", "u4", "i8"):
+        for n, share in ((1, 1.0), (64, 0.0), (1 << 14, 0.001), (1 << 14, 0.05), (1 << 14, 0.4), (1 << 14, 1.0)):
+            counts = np.where(rng.random(n) < share, rng.integers(1, min(1 << 40, np.iinfo(kind).max), n), 0).astype(kind)
+            assert phrases.released(phrases.squeezed(counts)).tolist() == counts.tolist()
+    counts = np.where(rng.random(1 << 14) < 0.05, np.minimum(rng.geometric(0.7, 1 << 14), 30), 0).astype("u1")
+    assert 2 * len(phrases.squeezed(counts)) < len(zlib.compress(counts.tobytes(), 1))
+
+
 def test_score_beyond_64_bits(spark):
     """The score's product passes 64 bits without loss."""
     row = spark.range(1).selectExpr("cast(cast(cast(5000000000000000 as bigint) as decimal(20,0)) * 2000000 div (cast(cast(9000000000000001 as bigint) as decimal(20,0)) + cast(7 as bigint)) as bigint) AS s").first()

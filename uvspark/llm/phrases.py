@@ -5,8 +5,9 @@ parts of k - 1 words are. For each k:
 
 1. Mappers count the hashes of phrases whose parts are frequent in a table of bounded size; tables are summed in a
    tree. Only phrases at places that reach the least count can be frequent, whatever else fell there.
-2. Those phrases are the candidates, a superset of the frequent ones. A minimal perfect hash gives each a slot and
-   stores its key and a check, so that no other phrase counts.
+2. Those phrases are the candidates, a superset of the frequent ones. Some tasks send theirs first; the others are told
+   of them and send only what isn't among them. A minimal perfect hash gives each candidate a slot and stores its key
+   and a check, so that no other phrase counts.
 3. Mappers bincount slots, and the arrays are summed in a tree: exact counts by slot.
 
 Cuts are read by slot: the counts of a phrase's parts come from a perfect hash over the frequent phrases.
@@ -16,6 +17,7 @@ are counted in several rounds.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -48,6 +50,8 @@ TEXT_STEP, LEAST_PLACES, PLACES, LOAD, ROUND_KEYS = 60_000, 1 << 14, 1 << 26, 8,
 TEXT_ROWS, BLOCK_ROWS = 1000, 64
 #: Bits (or slots) of a row of sums, arrays summed by one task, indices gathered before they are counted.
 CHUNK, FAN, GATHERED = 1 << 14, 64, 1 << 20
+#: One of so many parts of the blocks sends its candidates first.
+EARLY = 8
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -153,6 +157,34 @@ def spelled(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return words[at[:, None] + np.arange(k)]
 
 
+def squeezed(counts: np.ndarray) -> bytes:
+    """Counts in planes of bytes, each compressed by itself: if few aren't 0, the gaps between those and their values, else all."""
+    at = np.flatnonzero(counts)
+    few = 3 * len(at) < len(counts)
+    gaps, values = (np.diff(at, prepend=-1) - 1, counts[at]) if few else (at[:0], counts)
+    planes = [gaps & 255, gaps >> 8, *np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T]
+    parts = []
+    for plane in planes:
+        how = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_RLE)
+        parts.append(how.compress(plane.astype(np.uint8).tobytes()) + how.flush())
+    return struct.pack(f"<I?B{len(parts)}I", len(counts), few, len(parts), *map(len, parts)) + b"".join(parts)
+
+
+def released(data: bytes) -> np.ndarray:
+    """The counts, as 64-bit numbers."""
+    n, few, k = struct.unpack_from("<I?B", data)
+    planes, start = [], 6 + 4 * k
+    for size in struct.unpack_from(f"<{k}I", data, 6):
+        planes.append(np.frombuffer(zlib.decompress(data[start : start + size], -15), np.uint8).astype(np.int64))
+        start += size
+    values = sum(plane << (8 * i) for i, plane in enumerate(planes[2:]))
+    if not few:
+        return values
+    out = np.zeros(n, np.int64)
+    out[np.cumsum((planes[0] | planes[1] << 8) + 1) - 1] = values
+    return out
+
+
 class Tally:
     """Counts of indices below `size`, sent in chunks; with `most`, counts stop there, in a byte each."""
 
@@ -180,19 +212,16 @@ class Tally:
         self.settle()
         found = [(c, part) for c in range(0, -(-len(self.counts) // CHUNK)) if (part := self.counts[c * CHUNK : (c + 1) * CHUNK]).any()]
         mapper = TaskContext.get().partitionId()
-        return pd.DataFrame([(c, mapper, zlib.compress(part.tobytes(), 1)) for c, part in found], columns=["chunk", "mapper", "counts"])
+        return pd.DataFrame([(c, mapper, squeezed(part)) for c, part in found], columns=["chunk", "mapper", "counts"])
 
 
 TALLY = "chunk int, mapper int, counts binary"
 SUM = "chunk int, mapper int, total binary"
 
 
-def _sum(pdf: pd.DataFrame, column: str, kind: str, fan: int) -> pd.DataFrame:
-    total = None
-    for data in pdf[column]:
-        part = np.frombuffer(zlib.decompress(data), kind).astype(np.int64)
-        total = part if total is None else total + part
-    return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "mapper": [pdf["mapper"].iloc[0] // fan], "total": [zlib.compress(total.astype("<i8").tobytes(), 1)]})
+def _sum(pdf: pd.DataFrame, column: str, fan: int) -> pd.DataFrame:
+    total = sum(map(released, pdf[column]))
+    return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "mapper": [pdf["mapper"].iloc[0] // fan], "total": [squeezed(total)]})
 
 
 @contextmanager
@@ -207,14 +236,14 @@ def arrow_rows(spark, n: int):
         spark.conf.set(name, before)
 
 
-def tree_sum(tallies: DataFrame, kind: str = "<u4") -> DataFrame:
-    """(chunk, total): sums over all mappers, FAN of them in a task. kind: the type of the counts."""
+def tree_sum(tallies: DataFrame) -> DataFrame:
+    """(chunk, total): sums over all mappers, FAN of them in a task."""
     fan = FAN
     node = F.floor(F.col("mapper") / fan)
     with arrow_rows(tallies.sparkSession, BLOCK_ROWS):
-        sums = materialize(tallies.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "counts", kind, fan), SUM))
+        sums = materialize(tallies.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "counts", fan), SUM))
     while (sums.agg(F.max("mapper")).first()[0] or 0) > 0:
-        sums = materialize(sums.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "total", "<i8", fan), SUM))
+        sums = materialize(sums.groupBy("chunk", node).applyInPandas(lambda pdf: _sum(pdf, "total", fan), SUM))
     return sums.select("chunk", "total")
 
 
@@ -232,7 +261,7 @@ def reached(sums: DataFrame, least: int, size: int) -> np.ndarray:
 
     def pack(batches):
         for pdf in batches:
-            packed = [np.packbits(np.frombuffer(zlib.decompress(t), "<i8") >= least, bitorder="little").tobytes() for t in pdf["total"]]
+            packed = [np.packbits(released(t) >= least, bitorder="little").tobytes() for t in pdf["total"]]
             yield pd.DataFrame({"chunk": pdf["chunk"], "bits": packed})
 
     return gathered(sums.mapInPandas(pack, "chunk int, bits binary"), size)
@@ -274,27 +303,39 @@ def sketched(blocks: DataFrame, k: int, frequent, least: int, size: int) -> np.n
         tally = Tally(size, least)
         yield from each_batch(lambda w: tally.add(place(places(w, k, frequent.value)[1], size)), tally.rows)(batches)
 
-    return reached(tree_sum(blocks.mapInPandas(run, TALLY), "u1" if least < 256 else "<u4"), least, size)
+    return reached(tree_sum(blocks.mapInPandas(run, TALLY)), least, size)
+
+
+def untold(words: np.ndarray, k: int, frequent: list[np.ndarray], some: np.ndarray, told: PerfectHash | None) -> np.ndarray:
+    """The distinct phrases of k words that may be frequent and aren't among those told, a row of words each."""
+    at, keys = places(words, k, frequent)
+    go = has(some, keys)
+    keys, one = np.unique(keys[go], return_index=True)
+    rows = spelled(words, at[go][one], k)
+    return rows if told is None else rows[told.slots(keys, check(rows)) < 0]
 
 
 def candidates(blocks: DataFrame, k: int, frequent, some) -> DataFrame:
     """(words, key, check) of the distinct phrases of k words that may be frequent; single words with their lang.
 
-    What is shuffled is the word keys alone, each phrase once from a task.
+    What is shuffled is the word keys alone, each phrase once from a task. The early part of the blocks goes first;
+    its phrases (of more than ROUND_KEYS those that most tasks sent) the rest needn't send again.
     """
     names = [f"w{j}" for j in range(k)]
+    cols = [*names, "lang"] if k == 1 else names
 
-    def found(w: np.ndarray) -> pd.DataFrame:
-        at, keys = places(w, k, frequent.value)
-        go = has(some.value, keys)
-        _, one = np.unique(keys[go], return_index=True)
-        return pd.DataFrame(spelled(w, at[go][one], k).view(np.int64), columns=names)
+    def found(w: np.ndarray, told) -> pd.DataFrame:
+        rows = untold(w, k, frequent.value, some.value, told and told.value)
+        return pd.DataFrame(rows.view(np.int64), columns=names)
 
-    def words(batches):
-        with np.errstate(over="ignore"):
-            for pdf in batches:
-                for lang, part in pdf.groupby("lang", sort=False):
-                    yield found(np.frombuffer(b"".join(part["words"]), _U)).assign(lang=lang)
+    def sent(part: DataFrame, told=None) -> DataFrame:
+        def words(batches):
+            with np.errstate(over="ignore"):
+                for pdf in batches:
+                    for lang, some_ in pdf.groupby("lang", sort=False):
+                        yield found(np.frombuffer(b"".join(some_["words"]), _U), told).assign(lang=lang)
+
+        return part.mapInPandas(words if k == 1 else each_batch(lambda w: found(w, told)), ", ".join(f"{n} long" for n in names) + lang)
 
     def named(batches):
         with np.errstate(over="ignore"):
@@ -305,9 +346,21 @@ def candidates(blocks: DataFrame, k: int, frequent, some) -> DataFrame:
                 yield pd.DataFrame(new | ({"lang": pdf["lang"]} if k == 1 else {}))
 
     lang = ", lang string" if k == 1 else ""
+    schema = f"words binary, key long, check long{lang}"
+    with arrow_rows(blocks.sparkSession, BLOCK_ROWS):
+        first = materialize(sent(blocks.filter("early")).groupBy(*cols).agg(F.count("*").alias("times")))
+    left, least = ROUND_KEYS, None
+    for r in first.groupBy("times").count().orderBy(F.desc("times")).toLocalIterator():
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["times"]
+    first_keys = first.filter(F.col("times") >= least if least else F.lit(False)).select(*cols).mapInPandas(named, schema)
+    told = blocks.sparkSession.sparkContext.broadcast(hash_of(first_keys))
     with arrow_rows(blocks.sparkSession, BLOCK_ROWS):
-        distinct = materialize(blocks.mapInPandas(words if k == 1 else each_batch(found), ", ".join(f"{n} long" for n in names) + lang).distinct())
-    return materialize(distinct.mapInPandas(named, f"words binary, key long, check long{lang}"))
+        distinct = materialize(first.select(*cols).union(sent(blocks.filter("NOT early"), told)).distinct())
+    told.destroy()
+    return materialize(distinct.mapInPandas(named, schema))
 
 
 def packed(rows: DataFrame, names: list[str]) -> list[np.ndarray]:
@@ -348,7 +401,7 @@ def counted(blocks: DataFrame, k: int, frequent, some, found: DataFrame, least:
         def read(batches, slots=slots):
             for pdf in batches:
                 for c, total in zip(pdf["chunk"], pdf["total"]):
-                    f = np.frombuffer(zlib.decompress(total), "<i8")
+                    f = released(total)
                     at = np.flatnonzero(f >= least)
                     if len(at) and len(slots.value):
                         yield pd.DataFrame({"key": slots.value.keys[c * CHUNK + at].view(np.int64), "check": slots.value.checks[c * CHUNK + at].view(np.int64), "f": f[at]})
@@ -437,7 +490,7 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, percent: in
     send = spark.sparkContext.broadcast
     texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     with arrow_rows(spark, TEXT_ROWS):
-        blocks = materialize(texts.mapInPandas(key_batches, "lang string, n_words long, words binary"))
+        blocks = materialize(texts.mapInPandas(key_batches, "lang string, n_words long, words binary").withColumn("early", F.spark_partition_id() % EARLY == 0))
     sizes = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     size = max(LEAST_PLACES, min(PLACES, total // LOAD // 8 * 8))
