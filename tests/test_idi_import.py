@@ -119,3 +119,25 @@ def test_stand_in_files_are_bounded(spark, sf_dir, monkeypatch):
     paths = idi._made(spark, sf_dir)
     rows = [r.rows for r in idi.scan_files(spark, paths).collect() if r.name == "UV_DATA"]
     assert sum(rows) == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() and len(rows) >= sum(rows) / 500 and max(rows) < 1000
+
+
+def test_compressed_tables(spark, tmp_path):
+    """Rows of any range and columns of a table in compressed tiles are those of the plain one; so are files with such a table."""
+    rng = np.random.default_rng(1)
+    cols = {"A": ("3A", [f"x{i}" for i in range(23)]), "J": ("1J", np.arange(23) - 5), "D": ("3D", rng.normal(size=(23, 3))), "E": ("4E", rng.normal(size=(23, 4)))}
+    (tmp_path / "two.fits").write_bytes(idi.primary_bytes() + idi.table_bytes("PLAIN", cols) + idi.table_bytes("TILED", cols, tile=5) + idi.table_bytes("NONE", {"J": ("1J", [])}, tile=5) + idi.table_bytes("LAST", cols))
+    scanned = idi.scan_files(spark, [str(tmp_path / "two.fits")]).collect()
+    assert [(r.name, r.rows) for r in scanned] == [("PLAIN", 23), ("TILED", 23), ("NONE", 0), ("LAST", 23)]
+    of = lambda *a, **b: sorted(map(str, idi.read_table(spark, scanned, *a, **b).collect()))
+    assert of("TILED") == of("PLAIN") == of("LAST") == of("TILED", rows=7) and of("TILED", only=["row", "e"]) == of("PLAIN", only=["row", "e"])
+
+
+def test_export_leaves_little_on_disk(spark, sf_dir, tmp_path):
+    """Cells of an export are shuffled once, as bytes, without a sort; compressed files are a fraction of their rows and are imported as the plain ones are."""
+    fact, setup = idi.import_files(spark, idi._made(spark, sf_dir))
+    fact = idi.pinned(fact)
+    plain, tiled = [idi.export_files(fact, setup, str(tmp_path / name), tile=tile) for name, tile in (("plain", 0), ("tiled", 500))]
+    size = lambda paths: sum(idi.os.path.getsize(p) for p in paths)
+    assert size(tiled) * 3 < size(plain)
+    rows = [sorted(map(str, idi.import_files(spark, p)[0].drop("file", "row").collect())) for p in (plain, tiled)]
+    assert rows[0] == rows[1] and len(rows[0]) == fact.count()

@@ -27,14 +27,14 @@ from ..operators.ranks import pinned, shared_folder
 from ..operators.reduce import scan_numbers
 from ..plans.model import table
 from .correlator import Setup, decode_cells
-from .fits import BLOCK, CODES, columns, data_size, read_header
+from .fits import BLOCK, CODES, columns, data_size, packed, read_header, read_rows, row_count
 
 LIGHT, MJD0 = 299792458.0, 2400000.5
 # Codes of correlations in raw files, their order in the fact table, and cross hands exchanged with the antennas.
 STOKES = {-1: "RR", -2: "LL", -3: "RL", -4: "LR", -5: "XX", -6: "YY", -7: "XY", -8: "YX"}
 ORDER = ("RR", "RL", "LR", "LL", "XX", "XY", "YX", "YY")
-#: Files that a task opens at most.
-FILES = 500
+#: Files that a task opens at most; rows that a task writes, in some files, and rows of a compressed tile.
+FILES, WRITTEN, TILE = 500, 100_000, 5000
 EXCHANGED = {"RL": "LR", "LR": "RL", "XY": "YX", "YX": "XY"}
 
 
@@ -52,7 +52,7 @@ def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     def scan(batches):
         for pdf in batches:
-            out = [(file, path, i, t["name"], t["header"]["NAXIS2"], t["offset"], json.dumps({k: v for k, v in t["header"].items() if k != "NAXIS2"})) for file, path in zip(pdf["file"], pdf["path"]) for i, t in enumerate(tables_in(path))]
+            out = [(file, path, i, t["name"], row_count(t["header"]), t["offset"], json.dumps({k: v for k, v in t["header"].items() if k not in ("NAXIS2", "ZNAXIS2", "PCOUNT")})) for file, path in zip(pdf["file"], pdf["path"]) for i, t in enumerate(tables_in(path))]
             yield pd.DataFrame(out, columns=["file", "path", "hdu", "name", "rows", "offset", "header"])
 
     listed = spark.createDataFrame(list(enumerate(paths)), "file int, path string").repartition(min(len(paths), 200))
@@ -91,26 +91,24 @@ class IdiReader(DataSourceReader):
                 if rows + b - a > self.step or len(out[-1]) >= FILES:
                     out.append([])
                     rows = 0
-                out[-1].append((file, path, offset, header, a, b))
+                out[-1].append((file, path, offset, header, n, a, b))
                 rows += b - a
         return [InputPartition(x) for x in out]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         kept = {}
-        for file, path, offset, header, first, last in partition.value:
+        for file, path, offset, header, total, first, last in partition.value:
             if header not in kept:
                 h = json.loads(self.headers[header])
-                cols = [c for c in columns(h) if c[2]]
-                kept[header] = h, cols, np.dtype([(name, f"S{n}" if code == "A" else (CODES[code][0], (n * CODES[code][1],))) for name, code, n in cols])
-            h, cols, dtype = kept[header]
-            missing = [c for c in self.names if c not in {"file", "row", *dtype.names}]
+                kept[header] = h, [c for c in columns(h) if c[2]]
+            h, cols = kept[header]
+            missing = [c for c in self.names if c not in {"file", "row", *[c[0] for c in cols]}]
             if missing:
                 raise ValueError(f"{path}: no column {', '.join(missing)} in {str(h.get('EXTNAME', '')).upper()}")
             with open(path, "rb") as f:
-                f.seek(offset + first * h["NAXIS1"])
-                for a in range(first, last, 5000):
-                    n = min(5000, last - a)
-                    rows = np.frombuffer(f.read(n * h["NAXIS1"]), dtype)
+                for a in range(first, last, TILE):
+                    n = min(TILE, last - a)
+                    rows = read_rows(f, h, offset, total, a, a + n, set(self.names))
                     found = {name: _arrow(rows[name], code) for name, code, _ in cols if name in self.names}
                     found |= {"file": pa.array(np.full(n, file, np.int32)), "row": pa.array(np.arange(a, a + n))}
                     yield pa.RecordBatch.from_arrays([found[c] for c in self.names], self.names)
@@ -294,17 +292,25 @@ def _card(v) -> str:
     return f"'{v:<8}'" if isinstance(v, str) else f"{v!r:>20}".replace("e", "E")
 
 
-def table_bytes(name: str, cols: dict[str, tuple[str, list]], cards: dict | None = None) -> bytes:
-    """A binary table: per column its form (such as "1D", "16A", "24E") and values."""
+def table_bytes(name: str, cols: dict[str, tuple[str, list]], cards: dict | None = None, tile: int = 0) -> bytes:
+    """A binary table: per column its form (such as "1D", "16A", "24E") and values. tile: compressed by column in tiles of so many rows."""
     n = len(next(iter(cols.values()))[1])
     forms = {c: re.match(r"(\d+)([A-Z])", form).groups() for c, (form, _) in cols.items()}
     dtype = np.dtype([(c, f"S{k}" if code == "A" else (CODES[code][0], (int(k),))) for c, (k, code) in forms.items()])
     rows = np.zeros(n, dtype)
     for c, (_, values) in cols.items():
-        rows[c] = [v.encode() for v in values] if forms[c][1] == "A" else np.asarray(values).reshape(n, -1)
-    own = [(f"{t}{i}", v) for i, (c, (form, _)) in enumerate(cols.items(), 1) for t, v in (("TTYPE", c), ("TFORM", form))]
-    head = [("XTENSION", "BINTABLE"), ("BITPIX", 8), ("NAXIS", 2), ("NAXIS1", dtype.itemsize), ("NAXIS2", n), ("PCOUNT", 0), ("GCOUNT", 1), ("TFIELDS", len(cols)), *own, ("EXTNAME", name), *(cards or {}).items()]
-    data = rows.tobytes()
+        rows[c] = [v.encode() for v in values] if forms[c][1] == "A" else np.asarray(values).reshape(rows[c].shape)
+    own = [(f"{t}{i}", v) for i, (c, (form, _)) in enumerate(cols.items(), 1) for t, v in (("TTYPE", c), ("TFORM", "1QB" if tile else form))]
+    size, data, heap, more = (dtype.itemsize, n), rows.tobytes(), 0, []
+    if tile:
+        numbers = {c: dtype[c].base.itemsize > 1 and forms[c][1] != "A" for c in cols}
+        parts = [packed(rows[c][a : a + tile], numbers[c]) for a in range(0, n, tile) for c in cols]
+        length = np.array([len(x) for x in parts], ">i8")
+        data = np.stack([length, np.cumsum(length) - length], axis=1).astype(">i8").tobytes() + b"".join(parts)
+        size, heap = (16 * len(cols), -(-n // tile)), int(length.sum())
+        own += [(f"{t}{i}", v) for i, (c, (form, _)) in enumerate(cols.items(), 1) for t, v in (("ZFORM", form), ("ZCTYP", "GZIP_2" if numbers[c] else "GZIP_1"))]
+        more = [("ZTABLE", True), ("ZNAXIS1", dtype.itemsize), ("ZNAXIS2", n), ("ZPCOUNT", 0), ("ZTILELEN", tile)]
+    head = [("XTENSION", "BINTABLE"), ("BITPIX", 8), ("NAXIS", 2), ("NAXIS1", size[0]), ("NAXIS2", size[1]), ("PCOUNT", heap), ("GCOUNT", 1), ("TFIELDS", len(cols)), *own, *more, ("EXTNAME", name), *(cards or {}).items()]
     return header_bytes(head) + data.ljust(-(-len(data) // BLOCK) * BLOCK, b"\0")
 
 
@@ -312,28 +318,52 @@ def primary_bytes() -> bytes:
     return header_bytes([("SIMPLE", True), ("BITPIX", 8), ("NAXIS", 0), ("EXTEND", True)])
 
 
-def write_files(rows: DataFrame, key: str, folder: str, build) -> list[str]:
-    """A file per value of key, made in a task by build(value, pandas rows) -> bytes and put in place by a rename, so that a repeated task does no harm. The folder must be one that all executors mount."""
+def numbered(rows: DataFrame, key: str, counts: dict, at: Column) -> tuple[DataFrame, int]:
+    """rows with the number of their file, _file: each value of key has so many files, among which its rows are dealt by a hash; and the number of all files."""
+    starts, total = [], 0
+    for value, files in sorted(counts.items()):
+        starts.append((value, total, files))
+        total += files
+    listed = rows.sparkSession.createDataFrame(starts, f"{key} int, _start int, _files int")
+    return rows.join(F.broadcast(listed), key).withColumn("_file", F.col("_start") + F.pmod(at, F.col("_files")).cast("int")).drop("_start", "_files"), total
+
+
+def write_files(rows: DataFrame, total: int, rows_per_file: int, folder: str, build) -> list[str]:
+    """A file per number _file below total, made in a task by build(pandas rows) -> bytes and put in place by a rename, so that a repeated task does no harm; the paths by number.
+
+    A task gets whole files of some WRITTEN rows in all and tells them apart itself: rows are shuffled, but not sorted. The folder must be one that all executors mount.
+    """
     path = folder.removeprefix("file:")
     path = re.sub(r"^/+", "/", path)
+    each = max(1, WRITTEN // rows_per_file)
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        value = pdf[key].iloc[0]
+    def write(frames):
+        frames = [pdf for pdf in frames if len(pdf)]
+        if not frames:
+            return
         os.makedirs(path, exist_ok=True)
-        name, part = f"{path}/{value}.idi", f"{path}/.{uuid.uuid4().hex}"
-        with open(part, "wb") as f:
-            f.write(build(value, pdf))
-        os.replace(part, name)
-        return pd.DataFrame({"path": [name]})
+        pdf = pd.concat(frames, ignore_index=True)
+        for number, at in pdf.groupby("_file").indices.items():
+            name, part = f"{path}/{number}.idi", f"{path}/.{uuid.uuid4().hex}"
+            with open(part, "wb") as f:
+                f.write(build(pdf.iloc[at]))
+            os.replace(part, name)
+            yield pd.DataFrame({"number": [number], "path": [name]})
+
+    dealt = rows.repartitionById(-(-total // each), F.floor(F.col("_file") / each).cast("int"))
+    return [r.path for r in sorted(dealt.mapInPandas(write, "number int, path string").collect())]
+
 
-    return sorted(r.path for r in rows.groupBy(key).applyInPandas(write, "path string").collect())
+#: Columns of the fact table that raw files are made from.
+EXPORTED = ("file", "row", "time", "interval", "antenna1", "antenna2", "field", "spw", "uvw", "re", "im", "flag", "weight_spectrum")
 
 
-def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: int = 200_000) -> list[str]:
-    """Write a fact table (as import_files gives it) as raw files again, each with the dimension tables; the files' paths.
+def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: int = 200_000, tile: int = 0) -> list[str]:
+    """Write a fact table (as import_files gives it; EXPORTED columns) as raw files again, each with the dimension tables; the files' paths.
 
     The subbands of a time and baseline become one raw row. A file holds rows of one field, some rows_per_file of them, and is built by one task;
-    its rows are in order of time. Subbands must be those of the setup, all of one width. Flagged cells get a negative weight.
+    its rows are in order of time. Subbands must be those of the setup, all of one width. Flagged cells get a negative weight. Cells are
+    shuffled once, as the bytes that files hold. tile: rows are compressed in tiles of so many.
     """
     a = setup.axes
     windows = setup.windows.orderBy("spw").collect()
@@ -345,27 +375,40 @@ def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: i
     to = sorted(a["stokes"], key=ORDER.index)
     back = [to.index(x) for x in a["stokes"]]
     nchan, nst, nband = a["nchan"], len(to), len(windows)
-    band = F.struct("spw", "re", "im", "flag", "weight_spectrum")
-    key = ["file", "row", "time", "interval", "antenna1", "antenna2", "field", "uvw"]
-    cells = ["re", "im", "flag", "weight_spectrum"]
-    whole = fact.groupBy(*key).agg(F.collect_list(band).alias("_b")).select(*key, F.col("_b.spw").alias("spw"), *[F.flatten(F.col("_b").getField(c)).alias(c) for c in cells])
-    per = whole.groupBy("field").agg(F.greatest(F.lit(1), F.round(F.count("*") / rows_per_file)).cast("int").alias("_files"))
-    dealt = whole.join(F.broadcast(per), "field").withColumn("_key", F.concat_ws("-", F.col("field"), F.pmod(F.xxhash64("file", "row"), F.col("_files")))).drop("_files", "file", "row")
+    counts = {r.field: max(1, round(r["n"] / nband / rows_per_file)) for r in fact.filter("field IS NOT NULL").groupBy("field").agg(F.count("*").alias("n")).collect()}
+    placed, total = numbered(fact.select(*EXPORTED), "field", counts, F.xxhash64("file", "row"))
+    keys = ["time", "antenna1", "antenna2", "file", "row", "interval", "u", "v", "w"]
+    placed = placed.select("_file", "field", "spw", *keys[:-3], *[F.get("uvw", i).alias(c) for i, c in enumerate("uvw")], "re", "im", "flag", "weight_spectrum")
+
+    def pack(batches):
+        """Cells as the numbers a file holds: all real parts, imaginary parts and weights of a row."""
+        for batch in batches:
+            cell = lambda c: batch[c].flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, nchan, nst)[..., back]  # noqa: B023, E731
+            number = lambda c: batch[c].to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            scale = a["scale"] * abs(width) * (1 + (number("antenna1") != number("antenna2"))) * number("interval")
+            w = cell("weight_spectrum") / scale[:, None, None]
+            cells = np.stack([cell("re"), -cell("im"), np.where(cell("flag") > 0, -w, w)], axis=1).astype(">f4")
+            flat, size = pa.py_buffer(cells.tobytes()), cells[:1].nbytes
+            ends = pa.py_buffer(np.arange(0, (len(cells) + 1) * size, size, dtype=np.int32)) if len(cells) else pa.py_buffer(np.zeros(1, np.int32))
+            kept = [c for c in batch.schema.names if c not in ("re", "im", "flag", "weight_spectrum")]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.Array.from_buffers(pa.binary(), len(cells), [None, ends, flat])], [*kept, "cells"])
+
+    kinds = dict(placed.dtypes)
+    dealt = placed.mapInArrow(pack, ", ".join(f"{c} {k}" for c, k in kinds.items() if not k.startswith("array")) + ", cells binary")
     base, listed = windows[0].freqs[0], [w.freqs[0] for w in windows]
     pixel = a["ref_pixl"]
 
-    def build(_, pdf: pd.DataFrame) -> bytes:
-        pdf = pdf.sort_values(["time", "antenna1", "antenna2"], ignore_index=True)
-        n, flux = len(pdf), np.zeros((len(pdf), nband, nchan, nst, 3))
-        cross = 1 + (pdf["antenna1"].to_numpy() != pdf["antenna2"].to_numpy())
-        scale = a["scale"] * abs(width) * cross * pdf["interval"].to_numpy()
-        spw = pdf["spw"].to_numpy()
-        at, spw = np.repeat(np.arange(n), [len(x) for x in spw]), np.concatenate(spw)
-        cell = lambda name: np.concatenate(pdf[name].to_numpy()).astype(float).reshape(-1, nchan, nst)[..., back]
-        w = cell("weight_spectrum") / scale[at, None, None]
-        flux[at, spw] = np.stack([cell("re"), -cell("im"), np.where(cell("flag") > 0, -w, w)], axis=-1)
+    def build(pdf: pd.DataFrame) -> bytes:
+        pdf = pdf.sort_values(keys, ignore_index=True)
+        first, own = np.ones(len(pdf), bool), pdf[keys].to_numpy(float)
+        first[1:] = ((own[1:] != own[:-1]) & ~(np.isnan(own[1:]) & np.isnan(own[:-1]))).any(axis=1)
+        at, spw = np.cumsum(first) - 1, pdf["spw"].to_numpy()
+        cells = np.frombuffer(b"".join(pdf["cells"]), ">f4").reshape(-1, 3, nchan, nst)
+        pdf = pdf[first]
+        n, flux = len(pdf), np.zeros((len(pdf), nband, nchan, nst, 3), ">f4")
+        flux[at, spw] = np.moveaxis(cells, 1, -1)
         day = np.floor(pdf["time"].to_numpy() / 86400)
-        uvw = np.stack(pdf["uvw"].to_numpy()) / LIGHT
+        uvw = pdf[["u", "v", "w"]].to_numpy() / LIGHT
         many = lambda form: f"{nband}{form}"
         shared = {"NO_STKD": nst, "STK_1": next(k for k, v in STOKES.items() if v == a["stokes"][0]), "NO_BAND": nband, "NO_CHAN": nchan, "REF_FREQ": base, "REF_PIXL": pixel, "CHAN_BW": width, "VIS_SCAL": a["scale"]}
         return b"".join([
@@ -377,10 +420,10 @@ def export_files(fact: DataFrame, setup: RawSetup, folder: str, rows_per_file: i
             table_bytes("UV_DATA", {
                 "UU": ("1D", uvw[:, 0]), "VV": ("1D", uvw[:, 1]), "WW": ("1D", uvw[:, 2]), "DATE": ("1D", day + MJD0), "TIME": ("1D", pdf["time"].to_numpy() / 86400 - day), "BASELINE": ("1J", 256 * (pdf["antenna1"].to_numpy() + 1) + pdf["antenna2"].to_numpy() + 1),
                 "SOURCE": ("1J", pdf["field"].to_numpy() + 1), "FREQID": ("1J", np.ones(n, int)), "INTTIM": ("1E", pdf["interval"].to_numpy()), "FLUX": (f"{nband * nchan * nst * 3}E", flux.reshape(n, -1)),
-            }, shared),
+            }, shared, tile),
         ])
 
-    return write_files(dealt, "_key", folder, build)
+    return write_files(dealt, total, rows_per_file, folder, build)
 
 
 #: Rows of a stand-in file, some of which make up each of three files' numbering.
@@ -395,10 +438,10 @@ def _made(s, d) -> list[str]:
         (F.col("l_linenumber") % 3).cast("int").alias("file"), day.alias("day"), (F.col("l_orderkey") % 64).alias("part"), (F.col("l_suppkey") % 8).cast("int").alias("a"), (F.col("l_partkey") % 8).cast("int").alias("b"), (F.col("l_partkey") % 3).cast("int").alias("f"),
         F.col("l_quantity").cast("double").alias("q"), F.round(F.col("l_discount") * 100).cast("double").alias("x"), F.round(F.col("l_tax") * 100).cast("double").alias("w"), F.xxhash64("l_orderkey", "l_partkey", "l_suppkey").alias("_at"),
     )
-    per = rows.groupBy("file").agg(F.ceil(F.count("*") / ROWS_PER_FILE).cast("int").alias("_files"))
-    rows = rows.join(F.broadcast(per), "file").withColumn("_key", F.concat_ws("-", "file", F.pmod("_at", F.col("_files")))).drop("_at", "_files")
+    counts = {r.file: -(-r["n"] // ROWS_PER_FILE) for r in rows.groupBy("file").agg(F.count("*").alias("n")).collect()}
+    rows, total = numbered(rows, "file", counts, F.col("_at"))
 
-    def build(_, pdf):
+    def build(pdf):
         up = pdf["file"].iloc[0] % 2 == 0
         number = (lambda k: k + 1) if up else (lambda k: 8 - k)
         source = (lambda k: k + 1) if up else (lambda k: 3 - k)
@@ -418,10 +461,10 @@ def _made(s, d) -> list[str]:
             table_bytes("UV_DATA", {
                 "UU---SIN": ("1D", at["q"] / LIGHT), "VV---SIN": ("1D", at["x"] / LIGHT), "WW---SIN": ("1D", at["w"] / LIGHT), "DATE": ("1D", at["day"] + MJD0), "TIME": ("1D", at["part"] / 1024),
                 "BASELINE": ("1J", 256 * number(at["a"]) + number(at["b"])), "SOURCE": ("1J", source(at["f"])), "FREQID": ("1J", np.ones(n, int)), "INTTIM": ("1E", np.full(n, 2.0)), "FLUX": (f"{NBAND * NCHAN * 6}E", flux.reshape(n, -1)),
-            }, shared),
+            }, shared, TILE),
         ])
 
-    return write_files(rows, "_key", f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", build)
+    return write_files(rows.drop("_at"), total, ROWS_PER_FILE, f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", build)
 
 
 def _imported(s, d):
@@ -431,7 +474,7 @@ def _imported(s, d):
 def _exported(s, d):
     """Imported, written as other files, and imported from those."""
     fact, setup = import_files(s, _made(s, d), 86400.0 * 3)
-    paths = export_files(pinned(fact), setup, f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", 5000)
+    paths = export_files(pinned(fact.select(*EXPORTED)), setup, f"{shared_folder(s)}/idi-{uuid.uuid4().hex}", 5000, TILE)
     return _per_scan(*import_files(s, paths, 86400.0 * 3))
 
 
